@@ -190,7 +190,7 @@ WITH u AS (SELECT player, avg(acl) AS avg_acl_user, coalesce(stddev_samp(acl), 0
 SELECT player, round(avg_acl_user, 8) AS avg_acl_user, round(std_acl_user, 8) AS std_acl_user,
   round(avg_theory_user, 8) AS avg_theory_user, round(win_rate_user, 8) AS win_rate_user, n_games_user, rating_ref,
   {acc_sql('avg_acl_user', 2)} AS accuracy_user,
-  round(CASE WHEN avg_acl_user > 0 THEN 1 - least(1.0, greatest(0.0, std_acl_user / (avg_acl_user + 1e-9))) ELSE 0.0 END, 6)
+  round(CASE WHEN avg_acl_user > 0 THEN 1 - least(1.0, greatest(0.0, std_acl_user / (avg_acl_user + 1e-9))) ELSE 0.0 END, 8)
     AS consistency_score FROM u""")
 def a03(spark, sf):
     return finalize(P.user_context(fx.games(spark, sf), "raw"))
