@@ -41,7 +41,7 @@ def finalize(df: DataFrame, digits: int = 8) -> DataFrame:
 
 def _load_all() -> None:
     # importing the query modules fills the registry
-    from . import queries_core, queries_positions  # noqa: F401
+    from . import queries_core, queries_positions, queries_text  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
