@@ -125,7 +125,7 @@ LABELS_9 = ["beginner_low", "beginner_high", "intermediate_1", "intermediate_2",
 BINS_4 = [0, 1200, 1600, 2000, 5000]
 LABELS_4 = ["beginner", "intermediate", "advanced", "expert"]
 AUDIT_LABELS = ["<1000", "1000-1200", "1200-1400", "1400-1600", "1600-1800", "1800-2000",
-                "2000-2200", "2200-2400", "2400+"]
+                "2000-2200", "2200-2400", ">2400"]
 # left-closed 3-class bins
 BINS_3 = [0, 1400, 1800, 5000]
 LABELS_3 = ["principiante", "intermedio", "avanzado"]

@@ -159,6 +159,22 @@ def semantic_scores(title, description=None) -> dict[str, Column]:
             "score_anchor": count_contains(text, INTERMEDIATE_ANCHOR_SIGNALS)}
 
 
+def with_semantic_scores(df, title_col: str = "title", description_col: str | None = None):
+    """T01 on a DataFrame: the lower-cased texts are materialised once as
+    columns so the ~80 substring tests reference a column instead of
+    re-deriving (and re-planning) the text expression in every test."""
+    desc = F.coalesce(F.col(description_col), F.lit("")) if description_col else F.lit("")
+    d = df.withColumn("__text", F.lower(F.concat(F.coalesce(F.col(title_col), F.lit("")), F.lit(" "), desc)))
+    d = d.withColumn("__tl", F.lower(F.coalesce(F.col(title_col), F.lit(""))))
+    t, tl = F.col("__text"), F.col("__tl")
+    boost = F.when(any_contains(t, COMPLEX_OPENINGS) & any_contains(tl, DEPTH_QUALIFIERS), 1).otherwise(0)
+    d = d.withColumns({
+        "score_up": count_contains(t, UPWARD_SIGNALS_STRICT) + boost + 2 * count_contains(tl, UPWARD_SIGNALS_STRICT),
+        "score_down": count_contains(t, DOWNWARD_SIGNALS),
+        "score_anchor": count_contains(t, INTERMEDIATE_ANCHOR_SIGNALS)})
+    return d.drop("__text", "__tl")
+
+
 def band3(x) -> Column:
     v = _c(x)
     expr = None
@@ -197,10 +213,9 @@ def tier_from_text(up, down, anchor, threshold) -> Column:
 
 def recategorize(df, title_col: str = "title", description_col: str | None = None):
     """Three-tier re-categorisation with provenance (one pass, no shuffle)."""
-    scores = semantic_scores(title_col, description_col)
     out = df.withColumn("level_tier_original",
                         F.when(F.col("level_tier") == "expert", "advanced").otherwise(F.col("level_tier")))
-    out = out.withColumns(scores).withColumn("__thr", promotion_threshold("source"))
+    out = with_semantic_scores(out, title_col, description_col).withColumn("__thr", promotion_threshold("source"))
     out = (out.withColumn("__tr", tier_from_range("level_min", "level_max"))
               .withColumn("__tt", tier_from_text("score_up", "score_down", "score_anchor", "__thr")))
     tr, tt = F.col("__tr"), F.col("__tt")

@@ -29,9 +29,10 @@ def message_resources(messages: DataFrame, min_date: str = "2022-01-01") -> Data
     attachment, deduplicated by resource id (first = newest message, URLs
     before the attachment, URLs in text order). Stateless per message, so the
     same function runs on a streaming DataFrame."""
-    m = messages.filter(F.col("sent_on") >= F.lit(min_date).cast("date"))
-    low = F.lower(F.col("text"))
-    u = m.select("msg_id", "sent_on", "text", F.posexplode(X.extract_urls("text")).alias("pos", "url"))
+    # text materialised once (its fixture expression is not re-planned per keyword test)
+    m = messages.filter(F.col("sent_on") >= F.lit(min_date).cast("date")).withColumn("__low", F.lower(F.col("text")))
+    low = F.col("__low")
+    u = m.select("msg_id", "sent_on", "text", "__low", F.posexplode(X.extract_urls("text")).alias("pos", "url"))
     u = u.withColumn("source", X.source_of_url("url")).filter(F.col("source") != "telegram")
     u = u.withColumn("title", X.extract_title("text", "url"))
     urls = u.select(
@@ -51,7 +52,8 @@ def message_resources(messages: DataFrame, min_date: str = "2022-01-01") -> Data
     base_text = F.when(F.col("text") != "", F.col("text")).otherwise(
         F.replace(F.replace(F.col("file_name"), F.lit("_"), F.lit(" ")), F.lit("-"), F.lit(" ")))
     f = f.withColumn("title", X.extract_title(base_text))
-    tt = F.concat(F.col("title"), F.lit(" "), F.col("text"))
+    f = f.withColumn("__tt", F.concat(F.col("title"), F.lit(" "), F.col("text")))
+    tt = F.col("__tt")
     files = f.select(
         F.concat(F.lit("tg_"), X.slug_id(F.lit("tg_file"), "file_name", 30, F.col("msg_id"))).alias("resource_id"),
         F.lit("telegram_file").alias("source"), "title",
@@ -190,14 +192,19 @@ def retier_report(before: DataFrame, after: DataFrame, key: str = "level_tier")
 
 
 def distribution_vs_targets(df: DataFrame, targets: dict[str, float], key: str = "level_tier") -> DataFrame:
-    """Count, %, target and OK/LOW per tier of an explicit tier list."""
-    spark = df.sparkSession
-    dim = spark.createDataFrame(list(targets.items()), f"{key} string, target double")
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("__total"))
-    j = attach_scalars(F.broadcast(dim).join(counts, key, "left").fillna(0, ["n"]), total)
+    """Count, %, target and OK/LOW per tier of an explicit tier list.
+
+    One conditional-count pass unpivoted with ``stack`` (no join back to a
+    tier dimension, so no constraint is pushed into the tier expression).
+    """
+    names = list(targets)
+    one = df.agg(F.count(F.lit(1)).alias("__total"),
+                 *[F.count(F.when(F.col(key) == t, 1)).alias(f"__n{i}") for i, t in enumerate(names)])
+    stack = "stack({n}, {a}) as ({k}, target, n)".format(
+        n=len(names), k=key, a=", ".join(f"'{t}', CAST({targets[t]} AS DOUBLE), __n{i}" for i, t in enumerate(names)))
+    r = one.selectExpr("__total", stack)
     pct = F.col("n") / F.col("__total") * 100
-    return (j.withColumn("pct", pct).withColumn("status", F.when(pct >= F.col("target"), "OK").otherwise("LOW"))
+    return (r.withColumn("pct", pct).withColumn("status", F.when(pct >= F.col("target"), "OK").otherwise("LOW"))
              .drop("__total"))
 
 

@@ -46,8 +46,7 @@ SELECT resource_id, score_up, score_down, score_anchor, tier_range, tier_text, l
        level_tier_new, level_tier_source FROM rt""")
 def t01_t04(spark, sf):
     cat = fx.catalog(spark, sf)
-    s = X.semantic_scores("title")
-    base = cat.withColumns(s).withColumn("tier_range", X.tier_from_range("level_min", "level_max")).withColumn(
+    base = X.with_semantic_scores(cat, "title").withColumn("tier_range", X.tier_from_range("level_min", "level_max")).withColumn(
         "tier_text", X.tier_from_text("score_up", "score_down", "score_anchor", X.promotion_threshold("source")))
     rt = X.recategorize(cat, "title").select("resource_id", "level_tier_original", "level_tier_new", "level_tier_source")
     return base.select("resource_id", "score_up", "score_down", "score_anchor", "tier_range", "tier_text").join(

@@ -3,6 +3,7 @@ equivalent DuckDB SQL used as the differential oracle."""
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Callable
 
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import apply_sql_conf
 from . import oracle_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,7 +23,12 @@ def register(key: str, oracle: str | None = None):
     def deco(fn):
         if key in QUERIES:
             raise ValueError(f"duplicate query key {key}")
-        QUERIES[key] = fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            apply_sql_conf(spark)
+            return fn(spark, sf_dir)
+        QUERIES[key] = run
         if oracle is not None:
             ORACLE[key] = oracle_views.with_views(oracle)
         return fn
@@ -41,7 +48,7 @@ def finalize(df: DataFrame, digits: int = 8) -> DataFrame:
 
 def _load_all() -> None:
     # importing the query modules fills the registry
-    from . import queries_core, queries_positions, queries_text  # noqa: F401
+    from . import queries_core, queries_positions, queries_text, queries_catalog  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

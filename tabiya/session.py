@@ -20,9 +20,27 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # a broadcast side must stay small: anything above 32 MB is shuffled
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # deep CASE chains (keyword rules) make inferred-constraint propagation
+    # explode the optimised plan; the inferred IS NOT NULL filters it adds are
+    # not needed by these plans
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
+RUNTIME_SQL_CONF = {k: v for k, v in DEFAULT_CONF.items()
+                    if k.startswith("spark.sql.") and not k.startswith("spark.sql.execution.arrow")}
+
+
+def apply_sql_conf(spark: SparkSession) -> None:
+    """Set the runtime SQL settings the plans rely on in a session built elsewhere."""
+    for k, v in RUNTIME_SQL_CONF.items():
+        try:
+            if spark.conf.get(k, None) != v:
+                spark.conf.set(k, v)
+        except Exception:  # noqa: BLE001 - a locked setting keeps its value
+            pass
+
+
 def get_session(app: str = "tabiya", cpus: int | str = "*", shuffle_partitions: int = 8,
                 extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
