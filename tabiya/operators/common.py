@@ -31,3 +31,18 @@ def keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     ordkey = F.struct(*order)
     agg = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in others]), ordkey).alias("__r"))
     return agg.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in others])
+
+
+def global_rank(df: DataFrame, order: list, rank_col: str = "rank") -> DataFrame:
+    """Dense 1..N position of every row under ``order`` without a single-task
+    window: range-partition + sort, count rows per partition (a tiny table of
+    one row per partition), prefix-sum the counts, add the row index inside the
+    partition."""
+    pid = "__pid"
+    s = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(pid, F.spark_partition_id())
+    from pyspark.sql import Window
+    s = s.withColumn("__i", F.row_number().over(Window.partitionBy(pid).orderBy(*order)))
+    counts = s.groupBy(pid).agg(F.count(F.lit(1)).alias("__c"))
+    offs = counts.withColumn("__off", F.sum("__c").over(Window.orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)))
+    offs = F.broadcast(offs.select(pid, F.coalesce(F.col("__off"), F.lit(0)).alias("__off")))
+    return s.join(offs, pid).withColumn(rank_col, F.col("__off") + F.col("__i")).drop(pid, "__i", "__off")

@@ -25,3 +25,58 @@ def top_correlations(df: DataFrame, cols: list[str], k: int = 10) -> DataFrame:
         n=len(pairs), args=", ".join(f"'{a}', '{b}', `{a}__{b}`" for a, b in pairs))
     r = one.selectExpr(stack).filter(F.col("r").isNotNull())
     return r.orderBy(F.desc(F.abs(F.round("r", 8))), "col_a", "col_b").limit(k)
+
+
+def group_split(df: DataFrame, group_col: str = "player", train_pct: int = 80, seed: int = 42,
+                method: str = "hash") -> DataFrame:
+    """Deterministic group-wise split (every row of a group on the same side).
+
+    ``hash``: pmod(xxhash64(group, seed), 100) < pct; ``modulus`` (integer ids):
+    (id * 7919 + seed) % 100 < pct, reproducible in any SQL engine.
+    """
+    if method == "modulus":
+        bucket = F.pmod(F.col(group_col).cast("long") * 7919 + seed, F.lit(100))
+    else:
+        bucket = F.pmod(F.xxhash64(F.col(group_col), F.lit(seed)), F.lit(100))
+    return df.withColumn("is_train", bucket < train_pct)
+
+
+def snake_folds(users: DataFrame, class_col: str, size_col: str, k: int = 5, id_col: str = "player") -> DataFrame:
+    """Stratified group k-fold: users ordered by (class, size desc, id) get
+    folds 0..k-1, k-1..0, ... within their class. The position inside the class
+    is a global rank minus the class start offset (no single-task window)."""
+    from .common import global_rank
+    r = global_rank(users, [F.col(class_col), F.col(size_col).desc(), F.col(id_col)], "__g")
+    starts = r.groupBy(class_col).agg(F.min("__g").alias("__start"))
+    r = r.join(F.broadcast(starts), class_col).withColumn("__p", F.col("__g") - F.col("__start"))
+    m = F.col("__p") % (2 * k)
+    fold = F.when(m < k, m).otherwise(2 * k - 1 - m)
+    return r.withColumn("fold", fold.cast("int")).drop("__g", "__start", "__p")
+
+
+def balanced_weights(df: DataFrame, label_col: str) -> DataFrame:
+    """Class weight n / (k * n_c) attached to every row (class table broadcast;
+    its size is the number of classes)."""
+    per = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("__nc"))
+    tot = per.agg(F.sum("__nc").alias("__n"), F.count(F.lit(1)).alias("__k"))
+    w = attach_scalars(per, tot).select(label_col, (F.col("__n") / (F.col("__k") * F.col("__nc"))).alias("class_weight"))
+    return df.join(F.broadcast(w), label_col, "left")
+
+
+def leakage_free_user_features(games: DataFrame, split: DataFrame) -> DataFrame:
+    """User stats from training games only; users without training games
+    (every test user under a group split) get the training medians of the
+    user-level stats."""
+    g = games.join(split.select("player", "is_train").distinct(), "player")
+    tr = g.filter("is_train")
+    stats = tr.groupBy("player").agg(
+        F.avg("score").alias("win_rate_user"), F.avg("theory_depth").alias("avg_theory_user"),
+        F.avg("acl_w").alias("avg_acl_user"), F.coalesce(F.stddev_samp("acl_w"), F.lit(0.0)).alias("std_acl_user"),
+        F.count("game_id").alias("n_games_user"))
+    cols = ["win_rate_user", "avg_theory_user", "avg_acl_user", "std_acl_user", "n_games_user"]
+    med = stats.agg(*[F.percentile(c, 0.5).alias(f"__m_{c}") for c in cols])
+    users = g.select("player", "is_train").distinct().join(stats, "player", "left")
+    out = attach_scalars(users, med)
+    for c in cols:
+        out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), F.col(f"__m_{c}")))
+    return out.drop(*[f"__m_{c}" for c in cols])
