@@ -39,14 +39,34 @@ def search_resources(requests: DataFrame, catalog: DataFrame, top_n: int = 3, va
     Returns (opening, r_lo, r_hi, rank, match_kind, resource columns).
     """
     lo, hi = rating_key(F.col("rating"))
-    keys = requests.select("opening", lo.alias("r_lo"), hi.alias("r_hi")).distinct()
+    ensure_checkpoint_dir(catalog.sparkSession)
+    keys = requests.select("opening", lo.alias("r_lo"), hi.alias("r_hi")).distinct().checkpoint(eager=True)
     terms = synonym_terms(keys.select("opening"), variant)
     bridge = match_bridge(terms, catalog, ["openings"])
-    res = catalog.select(*RESOURCE_COLS, "level_min", "level_max", "rating_score")
-    cand = keys.join(bridge, "opening").join(res, "resource_id").filter(in_range())
-    w = Window.partitionBy("opening", "r_lo", "r_hi").orderBy(
+    res = catalog.select(*RESOURCE_COLS, F.coalesce(F.col("level_min"), F.lit(0)).cast("long").alias("lo"),
+                         F.coalesce(F.col("level_max"), F.lit(9999)).cast("long").alias("hi"), "rating_score")
+    # the bridge rows are reused by four branches below: materialise them once
+    # (reliable checkpoint in the shared checkpoint folder)
+    ensure_checkpoint_dir(catalog.sparkSession)
+    br = bridge.join(res, "resource_id").checkpoint(eager=True)
+    # Keys whose covering resources are the same share one answer: a resource
+    # covers (r_lo, r_hi) iff lo <= a and hi >= b, where a is the largest lower
+    # bound <= r_lo and b the smallest upper bound >= r_hi among the opening's
+    # resources. (a, b) classes are bounded by the distinct bounds, so the
+    # candidate set no longer grows with the number of distinct ratings.
+    los = br.select("opening", F.col("lo").alias("a")).distinct()
+    his = br.select("opening", F.col("hi").alias("b")).distinct()
+    ka = (keys.select("opening", "r_lo").distinct().join(los, "opening").filter(F.col("a") <= F.col("r_lo"))
+          .groupBy("opening", "r_lo").agg(F.max("a").alias("a")))
+    kb = (keys.select("opening", "r_hi").distinct().join(his, "opening").filter(F.col("b") >= F.col("r_hi"))
+          .groupBy("opening", "r_hi").agg(F.min("b").alias("b")))
+    kc = keys.join(ka, ["opening", "r_lo"]).join(kb, ["opening", "r_hi"])
+    classes = kc.select("opening", "a", "b").distinct()
+    cand = classes.join(br, "opening").filter((F.col("lo") <= F.col("a")) & (F.col("hi") >= F.col("b")))
+    w = Window.partitionBy("opening", "a", "b").orderBy(
         F.col("rating_score").desc_nulls_last(), F.col("is_free").asc_nulls_last(), "resource_id")
-    hits = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_n)
+    top = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_n)
+    hits = kc.join(top, ["opening", "a", "b"])
     hits = hits.select("opening", "r_lo", "r_hi", "rank", F.lit("match").alias("match_kind"), *RESOURCE_COLS)
     # fallback: keys without any hit, by tier of the rating
     missing = keys.join(hits.select("opening", "r_lo", "r_hi").distinct(), ["opening", "r_lo", "r_hi"], "left_anti")
