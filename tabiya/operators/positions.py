@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 
-_BY_GAME = Window.partitionBy("game_id").orderBy("ply")
+def _by_game():
+    return Window.partitionBy("game_id").orderBy("ply")
 
 
 def with_player_color(positions: DataFrame, rule: str = "game_parity") -> DataFrame:
@@ -65,7 +66,7 @@ def theory_exit(positions: DataFrame, book: DataFrame, variant: str = "tolerant"
         return agg.select("game_id", F.coalesce(F.col("first_miss") - 1, F.col("last_ply")).cast("int").alias("theory_end"))
     m = mark_theory(positions, book, 30)
     miss = ~F.col("in_book")
-    m = m.withColumn("__double_miss", miss & F.coalesce(F.lag(miss).over(_BY_GAME), F.lit(False)))
+    m = m.withColumn("__double_miss", miss & F.coalesce(F.lag(miss).over(_by_game()), F.lit(False)))
     agg = m.groupBy("game_id").agg(
         F.min(F.when(F.col("__double_miss"), F.col("ply"))).alias("break_ply"),
         F.collect_list(F.when(F.col("in_book"), F.col("ply"))).alias("__hits"))
@@ -83,10 +84,10 @@ def move_losses(positions: DataFrame, on_missing: str = "null", cap: int = 1000)
     """
     p = with_player_color(positions)
     p = p.withColumn("eval", S.normalize_eval("eval_type", "eval_value", cap, on_missing))
-    prev = F.lag("eval", 1).over(_BY_GAME)
-    first = F.row_number().over(_BY_GAME) == 1
+    prev = F.lag("eval", 1).over(_by_game())
+    first = F.row_number().over(_by_game()) == 1
     p = p.withColumn("eval_prev", F.when(first & (F.col("ply") == 1), F.lit(0.0)).otherwise(prev))
-    p = p.withColumn("pos_before", F.coalesce(F.lag("pos_key", 1).over(_BY_GAME), F.lit("start")))
+    p = p.withColumn("pos_before", F.coalesce(F.lag("pos_key", 1).over(_by_game()), F.lit("start")))
     side = F.when(F.col("player_color") == "white", F.lit(1.0)).otherwise(F.lit(-1.0))
     own = F.col("mover") == F.col("player_color")
     loss = F.greatest(F.lit(0.0), (F.col("eval_prev") - F.col("eval")) * side)
