@@ -335,3 +335,40 @@ def band_aggregate(targets: DataFrame, games: DataFrame, half_width: int = 200)
     j = te.join(per, "g_rating")
     return j.groupBy("target").agg(F.sum("n").alias("n_games"), (F.sum("acl_sum") / F.sum("acl_n")).alias("acl_mean"),
                                    (F.sum("t_sum") / F.sum("n")).alias("theory_mean"))
+
+
+def diversified_topn(df: DataFrame, keys: list[str], order: list, n: int, type_col: str = "course_type") -> DataFrame:
+    """Per key, when there are more than n candidates pick greedily in
+    ``order`` with at most max(1, n // 2) per ``type_col``, then fill in order.
+
+    The greedy result equals ordering by (eligible first, order) where eligible
+    = within the first ``cap`` of its type. Only two bounded candidate sets are
+    ranked — the first ``cap`` of every (key, type) and the first n of every
+    key (both planned with map-side WindowGroupLimit) — never a whole group.
+    """
+    cap = max(1, n // 2)
+    cnt = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    wt = Window.partitionBy(*keys, type_col).orderBy(*order)
+    wg = Window.partitionBy(*keys).orderBy(*order)
+    el = df.withColumn("__r", F.row_number().over(wt)).filter(F.col("__r") <= cap).drop("__r").withColumn("__e", F.lit(1))
+    fill = df.withColumn("__r", F.row_number().over(wg)).filter(F.col("__r") <= n).drop("__r").withColumn("__e", F.lit(0))
+    both = el.unionByName(fill).join(cnt, keys)
+    both = both.withColumn("__e", F.when(F.col("__n") <= n, 1).otherwise(F.col("__e")))
+    cols = [c for c in df.columns]
+    both = both.groupBy(*cols).agg(F.max("__e").alias("__e"))
+    wp = Window.partitionBy(*keys).orderBy(F.desc("__e"), *order)
+    return both.withColumn("pick", F.row_number().over(wp)).filter(F.col("pick") <= n).drop("__e")
+
+
+def tier_boosted_by_tier(catalog: DataFrame, base_score: F.Column, top_n: int = 10) -> DataFrame:
+    """R09 when the base score is a property of the resource: the boosted
+    ranking depends on the user only through the user tier, so it is computed
+    once per tier (3 x catalogue rows, an explode, no join) and attached to
+    users by tier."""
+    tiers = F.array(*[F.lit(t) for t in ("beginner", "intermediate", "advanced")])
+    s = catalog.withColumn("user_tier", F.explode(tiers)).withColumn("base_score", base_score)
+    s = s.withColumn("player", F.col("user_tier"))
+    users = catalog.sparkSession.createDataFrame([("beginner", 0), ("intermediate", 1500), ("advanced", 2000)],
+                                                 "player string, rating int")
+    out = tier_boosted_topn(users, s.drop("user_tier"), top_n)
+    return out.drop("user_tier").withColumnRenamed("player", "user_tier")

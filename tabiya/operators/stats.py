@@ -80,3 +80,51 @@ def leakage_free_user_features(games: DataFrame, split: DataFrame) -> DataFrame:
     for c in cols:
         out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), F.col(f"__m_{c}")))
     return out.drop(*[f"__m_{c}" for c in cols])
+
+
+def jarque_bera(df: DataFrame, cols: dict) -> DataFrame:
+    """M13 (re-aimed): normality screen on all rows: n, skewness g1, excess
+    kurtosis g2 (population moments) and JB = n/6 (g1^2 + g2^2/4).
+    ``cols``: name -> Column expression."""
+    parts = []
+    for name, e in cols.items():
+        d = df.select(e.alias("x")).filter(F.col("x").isNotNull())
+        parts.append(d.agg(F.lit(name).alias("feature"), F.count(F.lit(1)).alias("n"),
+                           F.skewness("x").alias("skew"), F.kurtosis("x").alias("kurt")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.withColumn("jb", F.col("n") / 6.0 * (F.pow("skew", 2) + F.pow("kurt", 2) / 4.0))
+
+
+def classification_metrics(pairs: DataFrame, label_col: str = "y_true", pred_col: str = "y_pred") -> DataFrame:
+    """From the confusion counts (one grouped pass): per-class precision,
+    recall, F1, support; accuracy, balanced accuracy, macro / weighted F1,
+    Cohen's kappa and multi-class MCC. Returns (metric, cls, value)."""
+    conf = pairs.groupBy(F.col(label_col).alias("t"), F.col(pred_col).alias("p")).agg(F.count(F.lit(1)).alias("c"))
+    tp = conf.filter(F.col("t") == F.col("p")).select(F.col("t").alias("cls"), F.col("c").alias("tp"))
+    sup = conf.groupBy(F.col("t").alias("cls")).agg(F.sum("c").alias("support"))
+    pc = conf.groupBy(F.col("p").alias("cls")).agg(F.sum("c").alias("pred_n"))
+    per = sup.join(pc, "cls", "full").join(tp, "cls", "left").fillna(0, ["support", "pred_n", "tp"])
+    prec = F.when(F.col("pred_n") > 0, F.col("tp") / F.col("pred_n")).otherwise(F.lit(0.0))
+    rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(F.lit(0.0))
+    per = per.withColumn("precision", prec).withColumn("recall", rec)
+    per = per.withColumn("f1", F.when(F.col("precision") + F.col("recall") > 0, 2 * F.col("precision") * F.col("recall")
+                                      / (F.col("precision") + F.col("recall"))).otherwise(F.lit(0.0)))
+    n = F.sum("support")
+    glob = per.agg(
+        (F.sum("tp") / n).alias("accuracy"),
+        F.avg(F.when(F.col("support") > 0, F.col("recall"))).alias("balanced_accuracy"),
+        F.avg("f1").alias("f1_macro"),
+        (F.sum(F.col("f1") * F.col("support")) / n).alias("f1_weighted"),
+        n.alias("n"), F.sum("tp").alias("c"), F.sum(F.col("support") * F.col("pred_n")).alias("sp"),
+        F.sum(F.col("support") * F.col("support")).alias("ss"), F.sum(F.col("pred_n") * F.col("pred_n")).alias("pp"))
+    nn, c, sp, ss, pp = (F.col(x).cast("double") for x in ("n", "c", "sp", "ss", "pp"))
+    glob = (glob.withColumn("kappa", (c * nn - sp) / (nn * nn - sp))
+                .withColumn("mcc", (c * nn - sp) / F.sqrt((nn * nn - pp) * (nn * nn - ss))))
+    g = glob.selectExpr("stack(6, 'accuracy', accuracy, 'balanced_accuracy', balanced_accuracy, 'f1_macro', f1_macro, "
+                        "'f1_weighted', f1_weighted, 'kappa', kappa, 'mcc', mcc) as (metric, value)")
+    g = g.withColumn("cls", F.lit("all"))
+    pl = per.selectExpr("cls", "stack(4, 'precision', precision, 'recall', recall, 'f1', f1, "
+                        "'support', CAST(support AS DOUBLE)) as (metric, value)")
+    return g.unionByName(pl.select("metric", "value", "cls"))

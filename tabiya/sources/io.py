@@ -63,3 +63,52 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+
+
+_PERF_SCHEMA = "perfs struct<blitz: struct<rating: int>, rapid: struct<rating: int>, classical: struct<rating: int>, bullet: struct<rating: int>>"
+
+
+def reference_rating(df: DataFrame, json_col: str = "profile") -> DataFrame:
+    """Reference rating from a nested profile: blitz if > 0 else rapid
+    (variant: else classical); players without any positive rating are skipped."""
+    p = df.withColumn("__p", F.from_json(F.col(json_col), _PERF_SCHEMA))
+
+    def r(kind):
+        return F.nullif(F.col(f"__p.perfs.{kind}.rating"), F.lit(0))
+    d = (p.withColumn("ref_rating", F.coalesce(r("blitz"), r("rapid")))
+          .withColumn("ref_rating_classical", F.coalesce(r("blitz"), r("rapid"), r("classical"))))
+    return d.filter(F.col("ref_rating_classical").isNotNull()).drop("__p")
+
+
+def page_cards(pages: DataFrame) -> DataFrame:
+    """Course-card fields of raw pages: title, heading, first paragraph
+    (tags stripped, <= 300 chars), number of distinct links, video flag, colour."""
+    h = F.col("html")
+    heading = F.regexp_extract(h, "<h1>(.*?)</h1>", 1)
+    par = F.regexp_replace(F.regexp_extract(h, "<p>(.*?)</p>", 1), "<[^>]+>", "")
+    par = F.substring(F.regexp_replace(par, r"^\s+|\s+$", ""), 1, 300)
+    links = F.array_distinct(F.regexp_extract_all(h, F.lit('<a href="([^"]+)"'), 1))
+    hl = F.lower(heading)
+    color = F.when(F.instr(hl, "for white") > 0, "White").when(F.instr(hl, "for black") > 0, "Black").otherwise("Both")
+    return pages.select("page_id", F.regexp_extract(h, "<title>(.*?)</title>", 1).alias("title"), heading.alias("heading"),
+                        par.alias("first_paragraph"), F.size(links).alias("n_links"),
+                        F.when(F.instr(h, "Video Content") > 0, 1).otherwise(0).alias("has_video"), color.alias("color"))
+
+
+def search_links(pages: DataFrame, n: int = 3) -> DataFrame:
+    """Link ids and titles of a result page zipped (padded), ids deduplicated
+    keeping the first position, capped at n, plus a generic search link when
+    fewer than n were found."""
+    ids = F.regexp_extract_all(F.col("html"), F.lit('<a href="/([^"]+)">'), 1)
+    titles = F.regexp_extract_all(F.col("html"), F.lit('<a href="/[^"]+">([^<]*)</a>'), 1)
+    z = pages.select("page_id", F.posexplode(F.arrays_zip(ids.alias("i"), titles.alias("t"))).alias("pos", "z"))
+    z = z.select("page_id", "pos", F.col("z.i").alias("link_id"), F.col("z.t").alias("link_title"))
+    first = z.groupBy("page_id", "link_id").agg(F.min_by("link_title", "pos").alias("link_title"), F.min("pos").alias("pos"))
+    w = Window.partitionBy("page_id").orderBy("pos")
+    top = first.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n).drop("pos")
+    k = top.groupBy("page_id").agg(F.count(F.lit(1)).alias("k"))
+    fill = (pages.select("page_id").join(k, "page_id", "left").withColumn("k", F.coalesce("k", F.lit(0)))
+            .filter(F.col("k") < n)
+            .select("page_id", (F.col("k") + 1).cast("int").alias("rank"), F.lit("search").alias("link_id"),
+                    F.lit("Search").alias("link_title")))
+    return top.select("page_id", "rank", "link_id", "link_title").unionByName(fill)
