@@ -372,3 +372,14 @@ def tier_boosted_by_tier(catalog: DataFrame, base_score: F.Column, top_n: int =
                                                  "player string, rating int")
     out = tier_boosted_topn(users, s.drop("user_tier"), top_n)
     return out.drop("user_tier").withColumnRenamed("player", "user_tier")
+
+
+def knn_loo_predictions(neigh: DataFrame, labels: DataFrame, label_col: str) -> DataFrame:
+    """M05 (KNN, leave-one-out): distance-weighted vote (1/d) of the k
+    neighbours (the player itself is never its own neighbour)."""
+    lab = labels.select(F.col("player").alias("neighbour"), F.col(label_col).alias("cls"))
+    votes = neigh.join(lab, "neighbour").groupBy("player", "cls").agg(
+        F.sum(1.0 / F.greatest(F.col("distance"), F.lit(1e-9))).alias("w"))
+    best = votes.groupBy("player").agg(F.min_by("cls", F.struct(-F.col("w"), F.col("cls"))).alias("y_pred"))
+    out = best.join(labels.select("player", F.col(label_col).alias("y_true")), "player")
+    return out.withColumn("correct", F.col("y_pred") == F.col("y_true"))
