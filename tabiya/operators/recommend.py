@@ -383,3 +383,107 @@ def knn_loo_predictions(neigh: DataFrame, labels: DataFrame, label_col: str) ->
     best = votes.groupBy("player").agg(F.min_by("cls", F.struct(-F.col("w"), F.col("cls"))).alias("y_pred"))
     out = best.join(labels.select("player", F.col(label_col).alias("y_true")), "player")
     return out.withColumn("correct", F.col("y_pred") == F.col("y_true"))
+
+
+# Per-group study focus, avoided types and high-accuracy threshold;
+# preferred course types per opening label.
+GROUP_CFG = {
+    "principiante": (["general", "tactics", "opening"], [], 65.0),
+    "intermedio": (["opening", "middlegame", "tactics"], [], 74.0),
+    "avanzado": (["opening", "endgame", "middlegame"], ["general"], 82.0),
+}
+LABEL_COURSE_TYPE = {
+    "PUNTO_CRITICO": ["opening", "general"], "TEORIA_VACIA": ["opening", "middlegame"],
+    "EXITO_NATURAL": ["middlegame", "general"], "DOMINIO": ["endgame", "tactics"], "NEUTRO": ["tactics", "general"],
+}
+
+
+def label_driven_plan(profiles: DataFrame, catalog: DataFrame, top_n: int = 3, pool: int = 6) -> DataFrame:
+    """R07 + R08: label-driven resource scoring for every labelled line
+    (low-volume lines excluded), top n per line.
+
+    score = 40 [openings contain the base opening] + colour (10 same / 5 both)
+    + 20 / 10 preferred course types of the label + 8 study focus of the group
+    + 5 richness - 15 for opening courses when accuracy >= the group's high mark
+    and the label is neither critical nor empty theory; range filter and
+    avoided types of the group.
+
+    The non-opening part of the score depends on the line only through a
+    *rest key* (colour, label, group, penalty, range class). Per rest key the
+    best ``pool`` (= 2 n) resources are enough for the non-matching side: if
+    fewer than n of them miss the opening, the matching ones (+40) fill the top
+    n. Matching resources come from the opening bridge. Candidates are thus
+    bounded by rest keys x catalogue and bridge size, not by the number of lines.
+    """
+    from ..functions import scalar as S
+    spark = profiles.sparkSession
+    ensure_checkpoint_dir(spark)
+    pr = profiles.filter(F.col("label") != "VOLUMEN_BAJO")
+    pr = (pr.withColumn("apertura", F.lower(S.base_opening("opening")))
+            .withColumn("color_en", F.when(F.col("color") == "white", "white").otherwise("black")))
+    cfg_rows = [(g, f, a, h) for g, (f, a, h) in GROUP_CFG.items()]
+    cfg = spark.createDataFrame(cfg_rows, "group string, focus array<string>, avoid array<string>, acc_high double")
+    lab_rows = [(k, v[0], v) for k, v in LABEL_COURSE_TYPE.items()]
+    labd = spark.createDataFrame(lab_rows, "label string, pref1 string, prefs array<string>")
+    pr = pr.join(F.broadcast(cfg), "group").join(F.broadcast(labd), "label", "left")
+    pr = pr.withColumn("penalty", ((F.col("accuracy_pct") >= F.col("acc_high"))
+                                   & ~F.col("label").isin("PUNTO_CRITICO", "TEORIA_VACIA")).cast("int"))
+    lo, hi = rating_key(F.col("rating"))
+    pr = pr.withColumn("r_lo", lo).withColumn("r_hi", hi)
+    res = catalog.select("resource_id", "openings", "course_type",
+                         F.lower(F.coalesce(F.col("color"), F.lit("Both"))).alias("rcolor"),
+                         (F.coalesce("has_video", F.lit(0)) + F.coalesce("has_pgn", F.lit(0))
+                          + F.coalesce("has_exercises", F.lit(0)) + F.coalesce("has_spaced_rep", F.lit(0))).alias("richness"),
+                         F.coalesce(F.col("level_min"), F.lit(0)).cast("long").alias("lo"),
+                         F.coalesce(F.col("level_max"), F.lit(9999)).cast("long").alias("hi"))
+    # range classes over the catalogue's distinct bounds
+    los = res.select(F.col("lo").alias("a")).distinct()
+    his = res.select(F.col("hi").alias("b")).distinct()
+    ka = pr.select("r_lo").distinct().join(F.broadcast(los), F.col("a") <= F.col("r_lo")).groupBy("r_lo").agg(F.max("a").alias("a"))
+    kb = pr.select("r_hi").distinct().join(F.broadcast(his), F.col("b") >= F.col("r_hi")).groupBy("r_hi").agg(F.min("b").alias("b"))
+    pr = pr.join(ka, "r_lo").join(kb, "r_hi").checkpoint(eager=True)
+    rest_cols = ["color_en", "label", "group", "penalty", "a", "b"]
+    rk = pr.select(*rest_cols, "pref1", "prefs", "focus", "avoid").distinct()
+
+    def rest_score(df):
+        ct = F.coalesce(F.col("course_type"), F.lit(""))
+        col_s = F.when(F.col("rcolor") == F.col("color_en"), 10).when(F.col("rcolor") == "both", 5).otherwise(0)
+        pref = F.when(ct == F.coalesce(F.col("pref1"), F.lit("general")), 20).when(
+            F.array_contains(F.coalesce(F.col("prefs"), F.array(F.lit("general"))), ct), 10).otherwise(0)
+        foc = F.when(F.array_contains(F.col("focus"), ct), 8).otherwise(0)
+        pen = F.when((F.col("penalty") == 1) & (ct == "opening"), -15).otherwise(0)
+        return (col_s + pref + foc + pen).cast("double") + F.col("richness") * 5.0
+
+    def eligible(df):
+        return df.filter((F.col("lo") <= F.col("a")) & (F.col("hi") >= F.col("b"))
+                         & ~F.array_contains(F.col("avoid"), F.coalesce(F.col("course_type"), F.lit(""))))
+    # rest-key pools: every resource class is scored once per rest key (the
+    # rest keys are bounded by colour x label x group x penalty x range class)
+    rk_b = F.broadcast(rk)
+    # resources are exploded over the range-class lower bounds they satisfy
+    # (integer Elo bounds lie in [0, 9999]: at most 10^4 distinct values, in
+    # practice a few dozen), then equi-joined with the rest keys on that bound
+    bounds = sorted(r["a"] for r in pr.select("a").distinct().collect())
+    res_a = res.withColumn("a", F.explode(F.filter(F.array(*[F.lit(int(x)).cast("long") for x in bounds]),
+                                                   lambda x: x >= F.col("lo"))))
+    scored = eligible(res_a.join(rk_b, "a")).withColumn("s", rest_score(None))
+    w = Window.partitionBy(*rest_cols).orderBy(F.desc("s"), "resource_id")
+    pools = scored.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= pool).drop("__r")
+    # opening-matching resources per (apertura, rest key)
+    ap = pr.select("apertura").distinct()
+    mt = (res.filter(F.col("openings").isNotNull()).select("resource_id", F.lower("openings").alias("ol"))
+          .join(F.broadcast(ap), F.instr(F.col("ol"), F.col("apertura")) > 0).select("apertura", "resource_id"))
+    keys = pr.select("apertura", *rest_cols).distinct()
+    m_sc = eligible(keys.join(mt, "apertura").join(res, "resource_id").join(rk_b, rest_cols)).withColumn(
+        "s", rest_score(None) + 40.0)
+    wm = Window.partitionBy("apertura", *rest_cols).orderBy(F.desc("s"), "resource_id")
+    m_top = m_sc.withColumn("__r", F.row_number().over(wm)).filter(F.col("__r") <= top_n).select(
+        "apertura", *rest_cols, "resource_id", "s")
+    p_side = keys.join(pools.select(*rest_cols, "resource_id", "s"), rest_cols)
+    p_side = p_side.join(mt.withColumn("__m", F.lit(1)), ["apertura", "resource_id"], "left")
+    p_side = p_side.withColumn("s", F.col("s") + F.when(F.col("__m") == 1, 40.0).otherwise(0.0)).drop("__m")
+    cand = m_top.unionByName(p_side).groupBy("apertura", *rest_cols, "resource_id").agg(F.max("s").alias("score"))
+    wf = Window.partitionBy("apertura", *rest_cols).orderBy(F.desc("score"), "resource_id")
+    best = cand.withColumn("rank", F.row_number().over(wf)).filter(F.col("rank") <= top_n)
+    lines = pr.select("player", "opening", "color", "label", "label_priority", "accuracy_pct", "apertura", *rest_cols)
+    return lines.join(best, ["apertura", *rest_cols]).drop("apertura", "a", "b", "color_en", "penalty")

@@ -169,3 +169,41 @@ def r04(spark, sf):
     krec = R.attach_answers(kreq, R.search_resources(kreq, cat)).withColumn("url", F.lit(None).cast("string"))
     out = R.fuse_plans(prof, krec)
     return finalize(out.withColumn("n_profile", F.col("n_profile").cast("long")).withColumn("n_knn", F.col("n_knn").cast("long")))
+
+
+def _r07_sql():
+    from ..operators.recommend import GROUP_CFG, LABEL_COURSE_TYPE
+    from .queries_core import _A10_SQL
+    focus = " ".join(f"WHEN '{g}' THEN [{', '.join(Q.q(x) for x in f)}]" for g, (f, a, h) in GROUP_CFG.items())
+    avoid = " ".join(f"WHEN '{g}' THEN {('[' + ', '.join(Q.q(x) for x in a) + ']') if a else '[]::VARCHAR[]'}" for g, (f, a, h) in GROUP_CFG.items())
+    acch = " ".join(f"WHEN '{g}' THEN {h}" for g, (f, a, h) in GROUP_CFG.items())
+    pref1 = " ".join(f"WHEN '{k}' THEN '{v[0]}'" for k, v in LABEL_COURSE_TYPE.items())
+    prefs = " ".join(f"WHEN '{k}' THEN [{', '.join(Q.q(x) for x in v)}]" for k, v in LABEL_COURSE_TYPE.items())
+    return f"""WITH {_A10_SQL},
+pr AS (SELECT player, opening, color, label, label_priority, accuracy_pct, rating,
+   lower(trim(split_part(split_part(coalesce(opening, 'Desconocida'), ':', 1), ',', 1))) AS apertura,
+   CASE WHEN color = 'white' THEN 'white' ELSE 'black' END AS color_en,
+   CASE "group" {focus} END AS focus, CASE "group" {avoid} END AS avoid,
+   CASE WHEN accuracy_pct >= (CASE "group" {acch} END) AND label NOT IN ('PUNTO_CRITICO', 'TEORIA_VACIA') THEN 1 ELSE 0 END AS penalty,
+   coalesce(CASE label {pref1} END, 'general') AS pref1, coalesce(CASE label {prefs} END, ['general']) AS prefs
+   FROM labp WHERE label <> 'VOLUMEN_BAJO'),
+rs AS (SELECT resource_id, openings, coalesce(course_type, '') AS ct, lower(coalesce(color, 'Both')) AS rcolor,
+   coalesce(has_video, 0) + coalesce(has_pgn, 0) + coalesce(has_exercises, 0) + coalesce(has_spaced_rep, 0) AS richness,
+   coalesce(level_min, 0) AS lo, coalesce(level_max, 9999) AS hi FROM catalog),
+sc AS (SELECT pr.player, pr.opening, pr.color, pr.label, pr.label_priority, pr.accuracy_pct, rs.resource_id,
+   CAST(CASE WHEN instr(lower(coalesce(rs.openings, '')), pr.apertura) > 0 THEN 40 ELSE 0 END
+   + CASE WHEN rcolor = color_en THEN 10 WHEN rcolor = 'both' THEN 5 ELSE 0 END
+   + CASE WHEN ct = pref1 THEN 20 WHEN list_contains(prefs, ct) THEN 10 ELSE 0 END
+   + CASE WHEN list_contains(focus, ct) THEN 8 ELSE 0 END
+   + CASE WHEN penalty = 1 AND ct = 'opening' THEN -15 ELSE 0 END AS DOUBLE) + richness * 5.0 AS score
+   FROM pr JOIN rs ON rs.lo <= pr.rating AND rs.hi >= pr.rating AND NOT list_contains(pr.avoid, rs.ct))
+SELECT player, opening, color, label, label_priority, round(accuracy_pct, 8) AS accuracy_pct, resource_id, score, rank FROM
+  (SELECT *, row_number() OVER (PARTITION BY player, opening, color ORDER BY score DESC, resource_id) AS rank FROM sc) WHERE rank <= 3"""
+
+
+@register("r07_r08_label_driven_plan", _r07_sql())
+def r07(spark, sf):
+    lab = P.label_openings(P.label_profile(fx.games(spark, sf)))
+    out = R.label_driven_plan(lab, fx.catalog(spark, sf))
+    return finalize(out.select("player", "opening", "color", "label", "label_priority", "accuracy_pct", "resource_id",
+                               "score", "rank"))
