@@ -48,7 +48,7 @@ def finalize(df: DataFrame, digits: int = 8) -> DataFrame:
 
 def _load_all() -> None:
     # importing the query modules fills the registry
-    from . import queries_core, queries_positions, queries_text, queries_catalog, queries_quality, queries_ml, queries_recommend, queries_stream, queries_misc, queries_train  # noqa: F401
+    from . import queries_core, queries_positions, queries_text, queries_catalog, queries_quality, queries_ml, queries_recommend, queries_stream, queries_misc, queries_train, queries_sources  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -112,3 +112,37 @@ def search_links(pages: DataFrame, n: int = 3) -> DataFrame:
             .select("page_id", (F.col("k") + 1).cast("int").alias("rank"), F.lit("search").alias("link_id"),
                     F.lit("Search").alias("link_title")))
     return top.select("page_id", "rank", "link_id", "link_title").unionByName(fill)
+
+
+PGN_TAGS = ["Event", "Site", "White", "Black", "Result", "Opening"]
+
+
+def read_pgn(spark, path: str) -> DataFrame:
+    """Distributed PGN ingest: one record per game (records split on the
+    blank line before ``[Event``), tags by regex, move list by splitting the
+    move text; records without a Site tag are skipped. Move legality is not
+    evaluated (positions arrive as a table)."""
+    raw = spark.read.option("lineSep", "\n\n[Event ").text(path)
+    v = F.col("value")
+    tags = {t.lower(): F.regexp_extract(v, rf'\[{t} "([^"]*)"\]', 1) for t in PGN_TAGS[1:]}
+    d = raw.select(*[e.alias(k) for k, e in tags.items()],
+                   F.regexp_extract(v, r"\n\n([^\[\n][^\n]*)", 1).alias("movetext"))
+    d = d.filter(F.col("site") != "")
+    moves = F.filter(F.split(F.regexp_replace(F.trim("movetext"), r"\d+\.\s*", ""), r"\s+"),
+                     lambda m: ~m.isin("1-0", "0-1", "1/2-1/2", "*") & (m != ""))
+    return d.select(F.element_at(F.split("site", "/"), -1).alias("game_id"), "white", "black", "result",
+                    F.when(F.col("opening") == "", None).otherwise(F.col("opening")).alias("opening"),
+                    moves.alias("moves"))
+
+
+STUDY_SCHEMA = "id string, name string, url string, likes int"
+
+
+def read_study_feed(spark, path: str, known_ids: DataFrame) -> DataFrame:
+    """NDJSON feed, malformed lines dropped, only unseen ids whose name
+    carries a beginner signal (T24), deduplicated by id."""
+    from ..functions.text import is_beginner_text
+    d = spark.read.schema(STUDY_SCHEMA).option("mode", "DROPMALFORMED").json(path)
+    d = d.filter(F.col("id").isNotNull() & is_beginner_text("name"))
+    d = d.join(known_ids.select(F.col("resource_id").alias("id")), "id", "left_anti")
+    return d.dropDuplicates(["id"])
