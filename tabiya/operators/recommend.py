@@ -487,3 +487,149 @@ def label_driven_plan(profiles: DataFrame, catalog: DataFrame, top_n: int = 3, p
     best = cand.withColumn("rank", F.row_number().over(wf)).filter(F.col("rank") <= top_n)
     lines = pr.select("player", "opening", "color", "label", "label_priority", "accuracy_pct", "apertura", *rest_cols)
     return lines.join(best, ["apertura", *rest_cols]).drop("apertura", "a", "b", "color_en", "penalty")
+
+
+# Course-type bonus (first key contained wins) and level -> tier (app search).
+TYPE_BONUS = [("video", 8), ("youtube", 8), ("book", 6), ("libro", 6), ("lichess_study", 4)]
+LEVEL_TO_TIER = {"sin_base": "beginner", "desarrollo": "intermediate", "dominio": "expert"}
+APP_LEVEL_PRIO = {"sin_base": 0, "desarrollo": 1, "dominio": 2}
+
+
+def _type_bonus(ct: F.Column) -> F.Column:
+    t = F.lower(F.coalesce(ct, F.lit("")))
+    e = None
+    for k, v in TYPE_BONUS:
+        c = F.instr(t, k) > 0
+        e = F.when(c, v) if e is None else e.when(c, v)
+    return e.otherwise(0).cast("double")
+
+
+def three_priority_search(requests: DataFrame, catalog: DataFrame, top_n: int = 3,
+                          excluded: DataFrame | None = None, max_excluded: int = 15) -> DataFrame:
+    """Application search for every request at once.
+
+    requests: (req_id, color ['white'/'black'], opening, level, rating, free [1/0/NULL]).
+    Pool: colour in {colour, both, NULL} (whole catalogue when that leaves
+    fewer than 10 rows), free filter, level range (skipped when it empties the
+    pool), minus ``excluded`` (req_id, resource_id). Score 60 opening match +
+    20 title match + 0.5 rating + type bonus. P1 = match and tier, P2 = match
+    any tier (if P1 < n), P3 = no match (if P1 + P2 < n); first 2n, then the
+    diversified top n (W12); rows outside P1 carry ``fallback_tier``.
+
+    Matching candidates come from the opening bridge; non-matching ones from a
+    per (opening, pool key) top-(2n + max_excluded) list, so no request ever
+    scans the catalogue.
+    """
+    spark = catalog.sparkSession
+    ensure_checkpoint_dir(spark)
+    rq = (requests.withColumn("color_en", F.when(F.col("color") == "white", "white").otherwise("black"))
+                  .withColumn("tier_obj", _map(LEVEL_TO_TIER, F.col("level"), "intermediate")))
+    lo, hi = rating_key(F.col("rating"))
+    rq = rq.withColumn("r_lo", lo).withColumn("r_hi", hi)
+    res = catalog.select("resource_id", "title", "source", "course_type", "level_tier", "is_free", "openings",
+                         "rating_score", F.lower(F.trim(F.coalesce(F.col("color"), F.lit("Both")))).alias("rcolor"),
+                         F.coalesce(F.col("level_min"), F.lit(0)).cast("long").alias("lo"),
+                         F.coalesce(F.col("level_max"), F.lit(9999)).cast("long").alias("hi"))
+    # colour pools smaller than 10 rows fall back to the whole catalogue (2 counts)
+    cc = res.select(F.explode(F.array(F.lit("white"), F.lit("black"))).alias("color_en"), "rcolor") \
+        .filter(F.col("rcolor").isin("both") | (F.col("rcolor") == F.col("color_en"))) \
+        .groupBy("color_en").agg(F.count(F.lit(1)).alias("__nc"))
+    rq = rq.join(F.broadcast(cc), "color_en", "left").withColumn("all_colors", F.coalesce(F.col("__nc"), F.lit(0)) < 10)
+    # range classes (see search_resources); a class with no resource in range -> range skipped
+    los = res.select(F.col("lo").alias("a")).distinct()
+    his = res.select(F.col("hi").alias("b")).distinct()
+    ka = rq.select("r_lo").distinct().join(F.broadcast(los), F.col("a") <= F.col("r_lo")).groupBy("r_lo").agg(F.max("a").alias("a"))
+    kb = rq.select("r_hi").distinct().join(F.broadcast(his), F.col("b") >= F.col("r_hi")).groupBy("r_hi").agg(F.min("b").alias("b"))
+    rq = rq.join(ka, "r_lo", "left").join(kb, "r_hi", "left").fillna(-1, ["a"]).fillna(10 ** 6, ["b"])
+    rq = rq.withColumn("free_key", F.coalesce(F.col("free"), F.lit(-1)))
+    pool_key = ["color_en", "all_colors", "free_key", "a", "b"]
+    pk = rq.select(*pool_key).distinct()
+
+    def in_pool(df):
+        colour_ok = F.col("all_colors") | F.col("rcolor").isin("both") | (F.col("rcolor") == F.col("color_en"))
+        free_ok = (F.col("free_key") == -1) | (F.col("is_free") == F.col("free_key"))
+        return df.filter(colour_ok & free_ok)
+    # every resource listed under each pool setting it belongs to (colour x
+    # all-colours flag x free channel: at most 12 rows per resource), so pools
+    # are reached by equi joins
+    res_k = (res.withColumn("color_en", F.explode(F.array(F.lit("white"), F.lit("black"))))
+                .withColumn("all_colors", F.explode(F.array(F.lit(True), F.lit(False))))
+                .withColumn("free_key", F.explode(F.array(F.lit(1), F.lit(0), F.lit(-1)))))
+    res_k = in_pool(res_k)
+    # does the range filter leave anything in the pool? (one count per pool key)
+    pk_res = pk.join(res_k.select("color_en", "all_colors", "free_key", "lo", "hi"), ["color_en", "all_colors", "free_key"])
+    rng = pk_res.groupBy(*pool_key).agg(F.count(F.when((F.col("lo") <= F.col("a")) & (F.col("hi") >= F.col("b")), 1))
+                                        .alias("__nr"))
+    rq = rq.join(rng, pool_key, "left").withColumn("use_range", F.coalesce(F.col("__nr"), F.lit(0)) > 0).drop("__nr", "__nc")
+    rq = rq.checkpoint(eager=True)
+
+    def range_ok(df):
+        return ~F.col("use_range") | ((F.col("lo") <= F.col("a")) & (F.col("hi") >= F.col("b")))
+    # matching candidates through the bridge (app synonyms, word-bounded terms, openings + title)
+    from ..functions.text import WORD_TERMS
+    terms = synonym_terms(rq.select("opening"), "app")
+    m_open = match_bridge(terms, catalog, ["openings"], WORD_TERMS).withColumn("m_open", F.lit(1))
+    m_title = match_bridge(terms, catalog, ["title"], WORD_TERMS).withColumn("m_title", F.lit(1))
+    mb = m_open.join(m_title, ["opening", "resource_id"], "full").fillna(0, ["m_open", "m_title"]).checkpoint(eager=True)
+    base = F.coalesce(F.col("rating_score"), F.lit(0.0)) * 0.5 + _type_bonus(F.col("course_type"))
+    matched = rq.join(mb, "opening").join(res, "resource_id")
+    matched = in_pool(matched).filter(range_ok(matched))
+    matched = matched.withColumn("score", F.col("m_open") * 60.0 + F.col("m_title") * 20.0 + base).withColumn(
+        "prio", F.when(F.col("level_tier") == F.col("tier_obj"), 1).otherwise(2))
+    # non-matching candidates: best (2n + max_excluded) per (opening, pool key, use_range)
+    ok = rq.select("opening", *pool_key, "use_range").distinct()
+    nm = ok.join(res_k, ["color_en", "all_colors", "free_key"])
+    nm = nm.filter(range_ok(nm)).join(mb.select("opening", "resource_id"), ["opening", "resource_id"], "left_anti")
+    nm = nm.withColumn("score", base).withColumn("prio", F.lit(3))
+    w_nm = Window.partitionBy("opening", *pool_key, "use_range").orderBy(F.desc("score"), "resource_id")
+    nm = nm.withColumn("__r", F.row_number().over(w_nm)).filter(F.col("__r") <= 2 * top_n + max_excluded).drop("__r")
+    nm = rq.join(nm, ["opening", *pool_key, "use_range"])
+    cols = ["req_id", "resource_id", "title", "source", "course_type", "level_tier", "is_free", "score", "prio"]
+    cand = matched.select(*cols).unionByName(nm.select(*cols))
+    if excluded is not None:
+        cand = cand.join(excluded.select("req_id", "resource_id"), ["req_id", "resource_id"], "left_anti")
+    # priority gates: P2 only when P1 < n, P3 only when P1 + P2 < n
+    cnt = cand.groupBy("req_id").agg(F.count(F.when(F.col("prio") == 1, 1)).alias("__n1"),
+                                     F.count(F.when(F.col("prio") == 2, 1)).alias("__n2"))
+    cand = cand.join(cnt, "req_id").filter(
+        (F.col("prio") == 1) | ((F.col("prio") == 2) & (F.col("__n1") < top_n))
+        | ((F.col("prio") == 3) & (F.col("__n1") + F.col("__n2") < top_n)))
+    w = Window.partitionBy("req_id").orderBy("prio", F.desc("score"), "resource_id")
+    first = cand.withColumn("order_pos", F.row_number().over(w)).filter(F.col("order_pos") <= 2 * top_n)
+    div = diversified_topn(first.drop("__n1", "__n2"), ["req_id"], [F.col("order_pos")], top_n)
+    return div.withColumn("fallback_tier", F.when(F.col("prio") != 1, F.col("level_tier")))
+
+
+def study_plan(opening_levels: DataFrame, ratings: DataFrame, catalog: DataFrame, top_openings: int = 5,
+               top_n: int = 3) -> DataFrame:
+    """Per player and colour the first 5 lines (level priority, then win
+    rate, n >= 2); for each line a free and a paid channel (R05), each channel
+    excluding resources already used by earlier lines of that colour.
+
+    Unrolled over the rank of the line: round r runs R05 for every player's
+    r-th line of both channels at once, anti-joined with the results of rounds
+    < r; each round's result is written to the shared checkpoint folder
+    (reliable checkpoint) so lineage stays flat.
+    """
+    ensure_checkpoint_dir(catalog.sparkSession)
+    ol = opening_levels.filter(F.col("n_games") >= 2).withColumn("prio", _map(APP_LEVEL_PRIO, F.col("level")))
+    w = Window.partitionBy("player", "color").orderBy("prio", "win_rate", "opening")
+    lines = ol.withColumn("line_rank", F.row_number().over(w)).filter(F.col("line_rank") <= top_openings)
+    lines = lines.join(ratings, "player").checkpoint(eager=True)
+    chans = F.explode(F.array(F.lit(1), F.lit(0))).alias("free")
+    reqs = lines.select("player", "color", "opening", "level", "rating", "line_rank", chans)
+    reqs = reqs.withColumn("req_id", F.concat_ws("#", F.col("player").cast("string"), "color", F.col("free").cast("string"),
+                                                 F.col("line_rank").cast("string")))
+    reqs = reqs.withColumn("chan_id", F.concat_ws("#", F.col("player").cast("string"), "color", F.col("free").cast("string")))
+    reqs = reqs.checkpoint(eager=True)
+    done = None
+    for r in range(1, top_openings + 1):
+        rr = reqs.filter(F.col("line_rank") == r)
+        excl = None
+        if done is not None:
+            excl = rr.select("req_id", "chan_id").join(done.select("chan_id", "resource_id"), "chan_id").drop("chan_id")
+        got = three_priority_search(rr, catalog, top_n, excl)
+        got = got.join(rr.select("req_id", "chan_id", "player", "color", "opening", "free", "line_rank"), "req_id")
+        got = got.checkpoint(eager=True)
+        done = got if done is None else done.unionByName(got)
+    return done

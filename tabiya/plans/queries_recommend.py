@@ -207,3 +207,28 @@ def r07(spark, sf):
     out = R.label_driven_plan(lab, fx.catalog(spark, sf))
     return finalize(out.select("player", "opening", "color", "label", "label_priority", "accuracy_pct", "resource_id",
                                "score", "rank"))
+
+
+def _app_levels(spark, sf):
+    e = P.game_features(fx.games(spark, sf))
+    return K.opening_levels(e, K.scaler_stats(e))
+
+
+@register("r05_three_priority_search")
+def r05(spark, sf):
+    ol = _app_levels(spark, sf)
+    rating = fx.games(spark, sf).groupBy("player").agg(F.avg("rating").alias("rating"))
+    req = ol.join(rating, "player").select(
+        F.concat_ws("#", F.col("player").cast("string"), "opening", "color").alias("req_id"),
+        "color", "opening", "level", "rating", F.lit(None).cast("int").alias("free"))
+    return R.three_priority_search(req, fx.catalog(spark, sf)).select(
+        "req_id", "pick", "resource_id", "title", "course_type", "level_tier", "fallback_tier")
+
+
+@register("r06_study_plan")
+def r06(spark, sf):
+    ol = _app_levels(spark, sf)
+    rating = fx.games(spark, sf).groupBy("player").agg(F.avg("rating").alias("rating"))
+    plan = R.study_plan(ol.select("player", "opening", "color", "level", "n_games", "win_rate"), rating,
+                        fx.catalog(spark, sf))
+    return plan.select("player", "color", "free", "line_rank", "opening", "pick", "resource_id", "title")
