@@ -17,9 +17,9 @@ from tabiya.plans import registry  # noqa: E402
 from tabiya.session import get_session  # noqa: E402
 
 HEADLINE = [
-    "a01_opening_dashboard", "w08_dashboard_categories", "a02_relative_dashboard", "j01_p26_enriched_games",
-    "a10_j03_label_profile", "a11_p14_opening_labels", "w01_theory_exit_tolerant", "w04_w05_post_theory_acl",
-    "w07_worst_blunder", "t01_t04_retier_catalog", "t18_i05_message_resources", "m11_w10_opening_levels",
+    "s01_a01_opening_dashboard", "w08_dashboard_categories", "a02_relative_dashboard", "j01_p26_enriched_games",
+    "a10_j03_label_profile", "a11_j11_p14_opening_labels", "w01_theory_exit_tolerant", "w04_w05_post_theory_acl",
+    "w07_worst_blunder", "t01_t02_t03_t04_retier_catalog", "t18_i05_message_resources", "m11_w10_opening_levels",
     "r01_j07_resource_search", "r02_direct_profile_recommender", "j09_knn_neighbours", "a12_audit_by_band",
 ]
 
@@ -30,7 +30,7 @@ def main() -> None:
     spark = get_session("bench", cpus, shuffle_partitions=int(cpus) * 2)
     qs = registry.queries()
     # warm-up: JVM, code paths, file listing
-    qs["a01_opening_dashboard"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    qs["s01_a01_opening_dashboard"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}
     for name in HEADLINE:
         t0 = time.time()

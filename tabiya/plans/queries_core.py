@@ -117,7 +117,7 @@ dash AS (SELECT *, avg_theory / 15 * (accuracy / 100) AS score_prep, avg_theory
          CASE WHEN avg_theory < 7 AND accuracy >= 65 AND n_games >= 2 THEN accuracy ELSE 0.0 END AS score_feeling FROM d2)"""
 
 
-@register("a01_opening_dashboard", f"""WITH {_A01_SQL}
+@register("s01_a01_opening_dashboard", f"""WITH {_A01_SQL}
 SELECT player, opening, color, round(avg_theory, 8) AS avg_theory, round(avg_acl, 8) AS avg_acl, n_games,
        round(win_rate, 8) AS win_rate, accuracy, round(score_prep, 8) AS score_prep, round(risk_index, 8) AS risk_index,
        score_feeling FROM dash""")
@@ -273,7 +273,7 @@ def a10(spark, sf):
     return finalize(P.label_profile(fx.games(spark, sf)))
 
 
-@register("a11_p14_opening_labels", f"WITH {_A10_SQL} SELECT player, opening, color, \"group\", label_tier, label, "
+@register("a11_j11_p14_opening_labels", f"WITH {_A10_SQL} SELECT player, opening, color, \"group\", label_tier, label, "
                                      "label_priority FROM labp")
 def a11(spark, sf):
     lab = P.label_openings(P.label_profile(fx.games(spark, sf)))

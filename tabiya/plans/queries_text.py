@@ -41,7 +41,7 @@ rt AS (SELECT * EXCLUDE (res, level_tier), split_part(res, '#', 1) AS level_tier
    split_part(res, '#', 1) AS level_tier FROM s3)"""
 
 
-@register("t01_t04_retier_catalog", f"""WITH {_RETIER_SQL}
+@register("t01_t02_t03_t04_retier_catalog", f"""WITH {_RETIER_SQL}
 SELECT resource_id, score_up, score_down, score_anchor, tier_range, tier_text, level_tier_original,
        level_tier_new, level_tier_source FROM rt""")
 def t01_t04(spark, sf):
@@ -108,7 +108,7 @@ def _title_sql(x, url=None):
     return f"coalesce({first}, {slug_title}, 'Unknown')"
 
 
-@register("t07_t12_message_fields", f"""
+@register("t07_t09_t10_t11_t12_message_fields", f"""
 SELECT msg_id, {_msg_level_sql('text')} AS level, {_ctype_sql('text')} AS course_type, {_color_sql('text')} AS color,
   {_fmt_sql('file_name')} AS file_format, {_title_sql('text')} AS title FROM messages""")
 def t07(spark, sf):
@@ -238,7 +238,7 @@ def _noise_sql(x):
     return "(" + f"{x} IS NULL OR " + " OR ".join(f"regexp_matches({t}, {Q.q('(?i)' + p)})" for p in X.NOISE_PATTERNS) + ")"
 
 
-@register("t19_t23_clean_channel", f"""WITH {_msg_resources_sql()},
+@register("t19_t20_t21_t22_t23_clean_channel", f"""WITH {_msg_resources_sql()},
 f1 AS (SELECT * FROM res WHERE NOT {_noise_sql('title')}),
 f2 AS (SELECT * FROM f1 WHERE coalesce(starts_with(url, 'telegram://') OR regexp_matches(url, '^https?://'), false)),
 f3 AS (SELECT *, regexp_replace(regexp_replace(lower({Q.strip_ws("coalesce(title, '')")}), '[^a-z0-9\\s]', '', 'g'), '\\s+', ' ', 'g') AS norm FROM f2),

@@ -9,8 +9,8 @@ import __spark_entry__ as E
 
 from .conftest import SF001
 
-KEYS = ["a01_opening_dashboard", "w08_dashboard_categories", "a02_relative_dashboard", "a10_j03_label_profile",
-        "w01_theory_exit_tolerant", "w07_worst_blunder", "t01_t04_retier_catalog", "t18_i05_message_resources",
+KEYS = ["s01_a01_opening_dashboard", "w08_dashboard_categories", "a02_relative_dashboard", "a10_j03_label_profile",
+        "w01_theory_exit_tolerant", "w07_worst_blunder", "t01_t02_t03_t04_retier_catalog", "t18_i05_message_resources",
         "a19_crosstab_margins", "m11_w10_opening_levels", "r01_j07_resource_search", "s11_j05_incremental_append"]
 
 
