@@ -155,11 +155,12 @@ def _norm(v: str) -> F.Column:
     return F.sqrt(F.aggregate(F.col(v), F.lit(0.0), lambda a, x: a + x * x))
 
 
-def knn_neighbours(vectors: DataFrame, k: int = 5, grid: int = 8) -> DataFrame:
+def knn_neighbours(vectors: DataFrame, k: int = 5, grid: int | None = None) -> DataFrame:
     """Exact k nearest neighbours by cosine distance, self excluded.
 
     Blocking without emitting all pairs: vectors are normalised to the unit
-    sphere and projected on two fixed unit directions; equi-depth bin edges
+    sphere and projected on two unit directions (leading principal axes);
+    equi-depth bin edges
     (approximate quantiles, any edges are correct) give a grid on the
     projection. A query joins the points of its (2r+1)^2 surrounding cells
     (equi join on cell id); its k-th candidate distance is *certified* when it
@@ -173,10 +174,32 @@ def knn_neighbours(vectors: DataFrame, k: int = 5, grid: int = 8) -> DataFrame:
     n = F.col("__n")
     v = vectors.withColumn("__n", _norm("vec"))
     v = v.withColumn("u", F.when(n > 0, F.transform("vec", lambda x: x / n)).otherwise(F.transform("vec", lambda x: x * 0.0)))
+    # the unit vectors feed several passes (moments, quantiles, every round):
+    # materialise them once so the upstream profile pipeline runs once
+    ensure_checkpoint_dir(v.sparkSession)
+    v = v.select("player", "vec", "__n", "u").checkpoint(eager=True)
     d = len(KNN_FEATURES)
-    a = [1.0 / d ** 0.5] * d
-    b = [((-1.0) ** i) / d ** 0.5 for i in range(d)]
-    dot = lambda col, w: sum((F.col(col)[i] * F.lit(w[i]) for i in range(d)), F.lit(0.0))
+    # projection directions: the two leading principal axes of the unit
+    # vectors (a d x d second-moment matrix aggregated on the executors, d = 7),
+    # which spread the points most and so certify most queries early
+    import numpy as np
+    mom = v.agg(F.count(F.lit(1)).alias("n"),
+                *[F.sum(F.col("u")[i] * F.col("u")[j]).alias(f"m{i}_{j}") for i in range(d) for j in range(i, d)],
+                *[F.sum(F.col("u")[i]).alias(f"s{i}") for i in range(d)]).first()
+    n_pts = int(mom["n"])
+    cov = np.zeros((d, d))
+    mu = np.array([(mom[f"s{i}"] or 0.0) / max(n_pts, 1) for i in range(d)])
+    for i in range(d):
+        for j in range(i, d):
+            cov[i, j] = cov[j, i] = (mom[f"m{i}_{j}"] or 0.0) / max(n_pts, 1) - mu[i] * mu[j]
+    _w, vecs = np.linalg.eigh(cov)
+    a = [float(x) for x in vecs[:, -1]]
+    b = [float(x) for x in vecs[:, -2]]
+    if grid is None:
+        grid = int(max(4, min(64, (n_pts / 20.0) ** 0.5)))
+
+    def dot(col, w):
+        return sum((F.col(col)[i] * F.lit(w[i]) for i in range(d)), F.lit(0.0))
     v = v.withColumn("p1", dot("u", a)).withColumn("p2", dot("u", b))
     qs = [i / grid for i in range(1, grid)]
     edges = v.agg(F.percentile_approx("p1", qs, 10000).alias("e1"), F.percentile_approx("p2", qs, 10000).alias("e2")).first()
@@ -186,9 +209,7 @@ def knn_neighbours(vectors: DataFrame, k: int = 5, grid: int = 8) -> DataFrame:
     v = Bucketizer(splits=e2, inputCol="p2", outputCol="c2").transform(v)
     v = v.withColumn("c1", F.col("c1").cast("int")).withColumn("c2", F.col("c2").cast("int"))
     g1, g2 = len(e1) - 1, len(e2) - 1
-    # the vectors are reused by every round: materialise them once (reliable
-    # checkpoint, lineage cut, survives executor loss)
-    ensure_checkpoint_dir(v.sparkSession)
+    # cell ids reused by every round: materialise them (reliable checkpoint)
     pts = v.select("player", "vec", "u", "__n", "c1", "c2", "p1", "p2").checkpoint(eager=True)
     data = pts.select(F.col("player").alias("nb"), F.col("u").alias("nu"), F.col("__n").alias("nn"),
                       F.col("c1").alias("d1"), F.col("c2").alias("d2"))
@@ -210,6 +231,7 @@ def knn_neighbours(vectors: DataFrame, k: int = 5, grid: int = 8) -> DataFrame:
         pairs = pairs.withColumn("distance", F.round(dist, 9))
         w = Window.partitionBy("player").orderBy("distance", "nb")
         top = pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+        top = top.select("player", "nb", "distance", "rank").checkpoint(eager=True)
         # certification radius: projected distance to the border of the searched block
         lo1 = F.element_at(edge1, F.greatest(F.col("c1") - r, F.lit(0)) + 1)
         hi1 = F.element_at(edge1, F.least(F.col("c1") + r + 1, F.lit(g1)) + 1)
