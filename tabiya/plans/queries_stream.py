@@ -34,7 +34,7 @@ def i02(spark, sf):
     return spark.read.parquet(target).select("game_id", "player", "opening")
 
 
-@register("i03_i04_blunder_state", f"""WITH {_EXIT_SQL}, {_loss_sql()},
+_I03_SQL = f"""WITH {_EXIT_SQL}, {_loss_sql()},
 obs AS (SELECT game_id, CAST(game_id % 150 AS BIGINT) AS player, 'op' || CAST(game_id % 12 AS VARCHAR) AS opening, pos_before AS fen,
         loss, CAST(ply AS BIGINT) AS ts, 'observe' AS kind FROM ls2 WHERE is_own AND loss > 100),
 evl AS (SELECT * FROM obs
@@ -43,7 +43,10 @@ evl AS (SELECT * FROM obs
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY game_id ORDER BY loss DESC, ts) AS rn FROM obs) WHERE rn = 1),
 lastk AS (SELECT game_id, arg_max(kind, ts * 10 + CASE kind WHEN 'observe' THEN 0 WHEN 'reset' THEN 1 ELSE 2 END) AS last_kind,
           max(CASE WHEN kind = 'observe' THEN ts END) AS last_seen FROM evl GROUP BY game_id)
-SELECT b.game_id, b.player, b.opening, b.fen, b.loss, l.last_seen, l.last_kind = 'upload' AS uploaded FROM best b JOIN lastk l USING (game_id)""")
+SELECT b.game_id, b.player, b.opening, b.fen, b.loss, l.last_seen, l.last_kind = 'upload' AS uploaded FROM best b JOIN lastk l USING (game_id)"""
+
+
+@register("i03_i04_blunder_state", _I03_SQL)
 def i03(spark, sf):
     l = PO.move_losses(fx.positions(spark, sf))
     obs = l.filter(F.col("is_own") & (F.col("loss") > 100)).select(
@@ -60,6 +63,22 @@ def i03(spark, sf):
     return I.blunder_state(obs.unionByName(up).unionByName(rs))
 
 
+def _blunder_events(spark, sf):
+    l = PO.move_losses(fx.positions(spark, sf))
+    obs = l.filter(F.col("is_own") & (F.col("loss") > 100)).select(
+        "game_id", (F.col("game_id") % 150).cast("long").alias("player"),
+        F.concat(F.lit("op"), (F.col("game_id") % 12).cast("string")).alias("opening"), F.col("pos_before").alias("fen"),
+        "loss", F.col("ply").cast("long").alias("ts"), F.lit("observe").alias("kind"))
+    ids = obs.select("game_id").distinct()
+    nulls = [F.lit(None).cast(t).alias(c) for c, t in [("player", "long"), ("opening", "string"), ("fen", "string"),
+                                                         ("loss", "double")]]
+    up = ids.filter(F.col("game_id") % 3 == 0).select("game_id", *nulls, F.lit(20).cast("long").alias("ts"),
+                                                       F.lit("upload").alias("kind"))
+    rs = ids.filter(F.col("game_id") % 6 == 0).select("game_id", *nulls, F.lit(25).cast("long").alias("ts"),
+                                                       F.lit("reset").alias("kind"))
+    return obs.unionByName(up).unionByName(rs)
+
+
 @register("i05_streaming_message_resources", f"WITH {_msg_resources_sql()} SELECT {_MSGRES_COLS} FROM res")
 def i05(spark, sf):
     m = fx.messages(spark, sf)
@@ -69,3 +88,15 @@ def i05(spark, sf):
     schema = "msg_id long, sent_on date, text string, file_name string, __f int"
     I.stream_message_resources(spark, src, schema, target, ckpt)
     return spark.read.parquet(target).select(*[c.strip() for c in _MSGRES_COLS.split(",")])
+
+
+@register("i03_streaming_blunder_upsert", _I03_SQL)
+def i03s(spark, sf):
+    ev = _blunder_events(spark, sf)
+    base = I.new_run_dir(spark, "i03")
+    # the event log arrives in 3 files ordered by time: observations of early plies, late plies, then flags
+    ev.withColumn("__f", F.when(F.col("kind") != "observe", 2).when(F.col("ts") <= 10, 0).otherwise(1)) \
+        .write.partitionBy("__f").parquet(f"{base}/in")
+    schema = ("game_id long, player long, opening string, fen string, loss double, ts long, kind string, __f int")
+    path = I.stream_blunder_state(spark, f"{base}/in", schema, f"{base}/state", f"{base}/ckpt", files_per_batch=2)
+    return spark.read.parquet(path)

@@ -101,3 +101,39 @@ def stream_message_resources(spark: SparkSession, source_dir: str, schema, targe
 def new_run_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location for one run."""
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def stream_blunder_state(spark: SparkSession, source_dir: str, schema, target_base: str, checkpoint: str,
+                         files_per_batch: int | None = None) -> str:
+    """I03 as a stream: the blunder event log is aggregated per game by a
+    streaming aggregation (update mode: only games touched in the batch are
+    emitted); each batch upserts them into the state table, written as a new
+    version (S09) so readers never see a half-written table."""
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    stream = reader.parquet(source_dir)
+    obs = F.col("kind") == "observe"
+    agg = stream.groupBy("game_id").agg(
+        F.max_by(F.when(obs, F.struct("loss", "fen", "player", "opening")),
+                 F.when(obs, F.struct(F.col("loss"), -F.col("ts")))).alias("best"),
+        F.max(F.when(obs, F.col("ts"))).alias("last_seen"),
+        F.max_by(F.col("kind"), F.struct(F.col("ts"), F.when(F.col("kind") == "observe", 0)
+                                          .when(F.col("kind") == "reset", 1).otherwise(2))).alias("last_kind"))
+    state = {"path": None}
+
+    def upsert(df: DataFrame, epoch: int) -> None:
+        upd = df.filter(F.col("best").isNotNull()).select(
+            "game_id", F.col("best.player").alias("player"), F.col("best.opening").alias("opening"),
+            F.col("best.fen").alias("fen"), F.col("best.loss").alias("loss"), "last_seen",
+            (F.col("last_kind") == "upload").alias("uploaded"))
+        path = f"{target_base}/v{epoch:09d}"
+        if state["path"] is not None:
+            old = df.sparkSession.read.parquet(state["path"])
+            upd = old.join(upd.select("game_id"), "game_id", "left_anti").unionByName(upd)
+        upd.write.mode("overwrite").parquet(path)
+        state["path"] = path
+    q = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(upsert)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return state["path"]
