@@ -256,3 +256,21 @@ SELECT resource_id, title FROM catalog WHERE {Q.any_contains('lower(title)', X.F
 def t24(spark, sf):
     c = fx.catalog(spark, sf)
     return c.filter(X.is_beginner_text("title")).select("resource_id", "title")
+
+
+@register("t01_t05_t14_documents_volume", f"""
+WITH d AS (SELECT doc_id, lower(text) AS lt FROM documents)
+SELECT doc_id, len(regexp_extract_all(lt, '{_URL_RE}', 0)) AS n_urls,
+  {Q.count_contains('lt', X.UPWARD_SIGNALS_STRICT)} AS up_signals, {Q.count_contains('lt', X.DOWNWARD_SIGNALS)} AS down_signals,
+  {Q.count_contains('lt', X.INTERMEDIATE_ANCHOR_SIGNALS)} AS anchor_signals,
+  {Q.count_contains('lt', [k for k, _ in X.OPENING_TAGS])} AS opening_keywords FROM d""")
+def t01_docs(spark, sf):
+    # whole texts of every document: keyword counts and URL extraction
+    from ..sources.tables import read_table
+    d = read_table(spark, sf, "documents", ["doc_id", "text"]).withColumn("lt", F.lower("text"))
+    lt = F.col("lt")
+    return d.select("doc_id", F.size(X.extract_urls(lt)).alias("n_urls"),
+                    X.count_contains(lt, X.UPWARD_SIGNALS_STRICT).alias("up_signals"),
+                    X.count_contains(lt, X.DOWNWARD_SIGNALS).alias("down_signals"),
+                    X.count_contains(lt, X.INTERMEDIATE_ANCHOR_SIGNALS).alias("anchor_signals"),
+                    X.count_contains(lt, [k for k, _ in X.OPENING_TAGS]).alias("opening_keywords"))
