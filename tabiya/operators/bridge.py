@@ -22,18 +22,27 @@ def synonym_terms(openings: DataFrame, variant: str = "pipeline", col: str = "op
     plus the synonyms of every key that contains it or is contained in it,
     ordered distinct (name first, then keys and synonyms in table order).
 
-    The synonym table is a fixed constant of a few dozen rows, so joining the
-    distinct names against it with a containment predicate is a broadcast of a
-    proven-size constant.
+    The synonym table is a fixed constant, so it is compiled into the
+    expression: one conditional term array per key, flattened and exploded
+    with its position (no join).
     """
-    spark = openings.sparkSession
-    dim = spark.createDataFrame(X.synonym_dim_rows(variant), "key_order int, syn_key string, term_order int, term string")
+    rows = X.synonym_dim_rows(variant)
+    keys: dict[int, tuple[str, list[tuple[int, str]]]] = {}
+    for ko, k, to, t in rows:
+        keys.setdefault(ko, (k, []))[1].append((to, t))
     names = openings.select(F.col(col).alias("opening")).distinct().filter(F.col("opening").isNotNull())
-    names = names.withColumn("ap", F.lower(F.trim("opening")))
-    own = names.select("opening", F.col("ap").alias("term"), F.lit(-1).alias("key_order"), F.lit(0).alias("term_order"))
-    syn = names.join(F.broadcast(dim), (F.instr(F.col("ap"), F.col("syn_key")) > 0) | (F.instr(F.col("syn_key"), F.col("ap")) > 0))
-    syn = syn.select("opening", "term", "key_order", "term_order")
-    allt = own.unionByName(syn)
+    ap = F.lower(F.trim(F.col("opening")))
+
+    def entry(ko, to, term):
+        return F.struct(F.lit(ko).alias("key_order"), F.lit(to).alias("term_order"), term.alias("term"))
+    parts = [F.array(entry(-1, 0, ap))]
+    for ko, (k, terms) in sorted(keys.items()):
+        hit = (F.instr(ap, F.lit(k)) > 0) | (F.instr(F.lit(k), ap) > 0)
+        arr = F.array(*[entry(ko, to, F.lit(t)) for to, t in terms])
+        parts.append(F.when(hit, arr).otherwise(F.filter(arr, lambda x: F.lit(False))))
+    allt = names.select("opening", F.explode(F.flatten(F.array(*parts))).alias("e"))
+    allt = allt.select("opening", F.col("e.term").alias("term"), F.col("e.key_order").alias("key_order"),
+                       F.col("e.term_order").alias("term_order"))
     # ordered distinct: keep the earliest position of each term
     first = allt.groupBy("opening", "term").agg(F.min(F.struct("key_order", "term_order")).alias("pos"))
     return first.select("opening", "term", F.col("pos.key_order").alias("key_order"),

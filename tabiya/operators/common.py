@@ -5,19 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_KEY = "__one_row_key"
-
-
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row aggregate to every row of ``df``.
 
-    The one-row side has a proven size (exactly one row), so it is broadcast;
-    the join is an equi join on a constant key (BroadcastHashJoin), which keeps
-    ``df`` partitioned as it is and avoids a global window.
+    Two-stage plan, as MLlib estimators do: the aggregate is computed first
+    (exactly one row reaches the driver) and its values enter the second plan
+    as literals, so ``df`` keeps its partitioning and no join (and no global
+    window) is needed.
     """
-    left = df.withColumn(_KEY, F.lit(0))
-    right = F.broadcast(one_row.withColumn(_KEY, F.lit(0)))
-    return left.join(right, _KEY, "inner").drop(_KEY)
+    rows = one_row.take(2)
+    if len(rows) != 1:
+        raise ValueError(f"expected a one-row aggregate, got {len(rows)} rows")
+    row = rows[0]
+    out = df
+    for f in one_row.schema.fields:
+        out = out.withColumn(f.name, F.lit(row[f.name]).cast(f.dataType))
+    return out
+
+
+def bound_class(value: F.Column, bounds: list[int], kind: str) -> F.Column:
+    """Largest bound <= value (``kind="floor"``) or smallest bound >= value
+    (``kind="ceil"``) among a sorted list of integer Elo bounds. The list is
+    bounded by the rating scale ([0, 9999]: at most 10^4 values)."""
+    arr = F.array(*[F.lit(int(b)).cast("long") for b in bounds]) if bounds else F.array().cast("array<long>")
+    if kind == "floor":
+        return F.array_max(F.filter(arr, lambda x: x <= value))
+    return F.array_min(F.filter(arr, lambda x: x >= value))
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .bridge import in_range, match_bridge, rating_key, synonym_terms
 from ..session import ensure_checkpoint_dir
-from .common import attach_scalars
+from .common import attach_scalars, bound_class
 
 RESOURCE_COLS = ["resource_id", "title", "source", "level_tier", "is_free", "course_type"]
 # Level name maps of the recommenders.
@@ -459,11 +459,11 @@ def label_driven_plan(profiles: DataFrame, catalog: DataFrame, top_n: int = 3, p
                          F.coalesce(F.col("level_min"), F.lit(0)).cast("long").alias("lo"),
                          F.coalesce(F.col("level_max"), F.lit(9999)).cast("long").alias("hi"))
     # range classes over the catalogue's distinct bounds
-    los = res.select(F.col("lo").alias("a")).distinct()
-    his = res.select(F.col("hi").alias("b")).distinct()
-    ka = pr.select("r_lo").distinct().join(F.broadcast(los), F.col("a") <= F.col("r_lo")).groupBy("r_lo").agg(F.max("a").alias("a"))
-    kb = pr.select("r_hi").distinct().join(F.broadcast(his), F.col("b") >= F.col("r_hi")).groupBy("r_hi").agg(F.min("b").alias("b"))
-    pr = pr.join(ka, "r_lo").join(kb, "r_hi").checkpoint(eager=True)
+    lo_b = sorted(r["lo"] for r in res.select("lo").distinct().collect())  # Elo bounds: <= 10^4 values
+    hi_b = sorted(r["hi"] for r in res.select("hi").distinct().collect())
+    pr = (pr.withColumn("a", bound_class(F.col("r_lo"), lo_b, "floor"))
+            .withColumn("b", bound_class(F.col("r_hi"), hi_b, "ceil"))
+            .filter(F.col("a").isNotNull() & F.col("b").isNotNull()).checkpoint(eager=True))
     rest_cols = ["color_en", "label", "group", "penalty", "a", "b"]
     rk = pr.select(*rest_cols, "pref1", "prefs", "focus", "avoid").distinct()
 
@@ -492,9 +492,8 @@ def label_driven_plan(profiles: DataFrame, catalog: DataFrame, top_n: int = 3, p
     w = Window.partitionBy(*rest_cols).orderBy(F.desc("s"), "resource_id")
     pools = scored.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= pool).drop("__r")
     # opening-matching resources per (apertura, rest key)
-    ap = pr.select("apertura").distinct()
-    mt = (res.filter(F.col("openings").isNotNull()).select("resource_id", F.lower("openings").alias("ol"))
-          .join(F.broadcast(ap), F.instr(F.col("ol"), F.col("apertura")) > 0).select("apertura", "resource_id"))
+    ap = pr.select(F.col("apertura").alias("opening"), F.col("apertura").alias("term")).distinct()
+    mt = match_bridge(ap, catalog, ["openings"]).withColumnRenamed("opening", "apertura")
     keys = pr.select("apertura", *rest_cols).distinct()
     m_sc = eligible(keys.join(mt, "apertura").join(res, "resource_id").join(rk_b, rest_cols)).withColumn(
         "s", rest_score(None) + 40.0)
@@ -558,11 +557,10 @@ def three_priority_search(requests: DataFrame, catalog: DataFrame, top_n: int =
         .groupBy("color_en").agg(F.count(F.lit(1)).alias("__nc"))
     rq = rq.join(F.broadcast(cc), "color_en", "left").withColumn("all_colors", F.coalesce(F.col("__nc"), F.lit(0)) < 10)
     # range classes (see search_resources); a class with no resource in range -> range skipped
-    los = res.select(F.col("lo").alias("a")).distinct()
-    his = res.select(F.col("hi").alias("b")).distinct()
-    ka = rq.select("r_lo").distinct().join(F.broadcast(los), F.col("a") <= F.col("r_lo")).groupBy("r_lo").agg(F.max("a").alias("a"))
-    kb = rq.select("r_hi").distinct().join(F.broadcast(his), F.col("b") >= F.col("r_hi")).groupBy("r_hi").agg(F.min("b").alias("b"))
-    rq = rq.join(ka, "r_lo", "left").join(kb, "r_hi", "left").fillna(-1, ["a"]).fillna(10 ** 6, ["b"])
+    lo_b = sorted(r["lo"] for r in res.select("lo").distinct().collect())  # Elo bounds: <= 10^4 values
+    hi_b = sorted(r["hi"] for r in res.select("hi").distinct().collect())
+    rq = (rq.withColumn("a", F.coalesce(bound_class(F.col("r_lo"), lo_b, "floor"), F.lit(-1).cast("long")))
+            .withColumn("b", F.coalesce(bound_class(F.col("r_hi"), hi_b, "ceil"), F.lit(10 ** 6).cast("long"))))
     rq = rq.withColumn("free_key", F.coalesce(F.col("free"), F.lit(-1)))
     pool_key = ["color_en", "all_colors", "free_key", "a", "b"]
     pk = rq.select(*pool_key).distinct()

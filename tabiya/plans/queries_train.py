@@ -41,8 +41,10 @@ def m10(spark, sf):
 def m04(spark, sf):
     e = P.enrich_games(fx.games(spark, sf))
     users = e.groupBy("player").agg(F.min_by("level3", "ingest_seq").alias("level3"), F.count(F.lit(1)).alias("n"))
-    folds = ST.snake_folds(users, "level3", "n", 5).select("player", "fold")
-    d = ST.group_split(e.join(folds, "player"), method="modulus").fillna(0.0)
+    users = ST.group_split(users, method="modulus")
+    # folds over the training users only (held-out users never enter CV)
+    folds = ST.snake_folds(users.filter("is_train"), "level3", "n", 5).select("player", "fold")
+    d = ST.group_split(e.join(folds, "player", "left"), method="modulus").fillna(0.0).fillna(0, ["fold"])
     sets = {"game": ["theory_depth", "acl_w", "risk_index", "prep_score", "color_bin", "score"],
             "user": ["win_rate_user", "avg_theory_user", "avg_acl_user", "std_acl_user", "n_games_user"]}
     sets["all"] = sets["game"] + sets["user"]
