@@ -214,7 +214,47 @@ def _app_levels(spark, sf):
     return K.opening_levels(e, K.scaler_stats(e))
 
 
-@register("r05_three_priority_search")
+def _r05_sql():
+    from ..functions.text import WORD_TERMS
+    from ..operators.recommend import TYPE_BONUS
+    from .queries_ml import _OPEN_LEVELS_SQL
+    words = ", ".join(Q.q(w) for w in WORD_TERMS)
+    bonus = Q.first_case([(f"instr(lower(coalesce(course_type, '')), {Q.q(k)}) > 0", f"{v}.0") for k, v in TYPE_BONUS], "0.0")
+
+    def match(col):
+        return (f"SELECT DISTINCT tt.opening, c.resource_id FROM tt JOIN catalog c ON instr(lower(c.{col}), tt.term) > 0 "
+                f"AND (tt.term NOT IN ({words}) OR regexp_matches(lower(c.{col}), '(^|[^a-z])' || tt.term || '([^a-z]|$)'))")
+    return f"""WITH {_OPEN_LEVELS_SQL}, {_syn_sql('app')},
+rq AS (SELECT CAST(ol.player AS VARCHAR) || '#' || ol.opening || '#' || ol.color AS req_id, ol.opening,
+   CASE WHEN ol.color = 'white' THEN 'white' ELSE 'black' END AS color_en,
+   coalesce(CASE ol.level WHEN 'sin_base' THEN 'beginner' WHEN 'desarrollo' THEN 'intermediate' WHEN 'dominio' THEN 'expert' END,
+            'intermediate') AS tier_obj, pr.rating
+   FROM ol JOIN (SELECT player, avg(rating) AS rating FROM games GROUP BY player) pr USING (player)),
+cat2 AS (SELECT *, lower(trim(coalesce(color, 'Both'))) AS rcolor, coalesce(level_min, 0) AS lo, coalesce(level_max, 9999) AS hi FROM catalog),
+cc AS (SELECT c.color_en, count(*) AS nc FROM (VALUES ('white'), ('black')) c(color_en) JOIN cat2 ON cat2.rcolor IN (c.color_en, 'both') GROUP BY 1),
+pool0 AS (SELECT rq.req_id, rq.rating, cat2.* FROM rq LEFT JOIN cc USING (color_en) JOIN cat2
+          ON coalesce(cc.nc, 0) < 10 OR cat2.rcolor IN (rq.color_en, 'both')),
+rc AS (SELECT req_id, count(*) FILTER (WHERE lo <= rating AND hi >= rating) AS nr FROM pool0 GROUP BY req_id),
+pool AS (SELECT p.* FROM pool0 p JOIN rc USING (req_id) WHERE rc.nr = 0 OR (p.lo <= p.rating AND p.hi >= p.rating)),
+names AS (SELECT DISTINCT opening, lower(trim(opening)) AS ap FROM rq), {_terms_sql('names')},
+mo AS ({match('openings')}), mt AS ({match('title')}),
+sc AS (SELECT pool.*, rq.tier_obj, mo.resource_id IS NOT NULL AS m_open, mt.resource_id IS NOT NULL AS m_title,
+   coalesce(pool.rating_score, 0.0) * 0.5 + {bonus} AS base FROM pool JOIN rq USING (req_id)
+   LEFT JOIN mo ON mo.opening = rq.opening AND mo.resource_id = pool.resource_id
+   LEFT JOIN mt ON mt.opening = rq.opening AND mt.resource_id = pool.resource_id),
+sc2 AS (SELECT *, CASE WHEN m_open OR m_title THEN CAST(m_open AS INT) * 60.0 + CAST(m_title AS INT) * 20.0 + base ELSE base END AS score,
+   CASE WHEN m_open OR m_title THEN CASE WHEN level_tier = tier_obj THEN 1 ELSE 2 END ELSE 3 END AS prio FROM sc),
+cnt AS (SELECT req_id, count(*) FILTER (WHERE prio = 1) AS n1, count(*) FILTER (WHERE prio = 2) AS n2 FROM sc2 GROUP BY req_id),
+gated AS (SELECT sc2.* FROM sc2 JOIN cnt USING (req_id) WHERE prio = 1 OR (prio = 2 AND n1 < 3) OR (prio = 3 AND n1 + n2 < 3)),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY req_id ORDER BY prio, score DESC, resource_id) AS order_pos FROM gated),
+f2 AS (SELECT *, count(*) OVER (PARTITION BY req_id) AS n_cand,
+   row_number() OVER (PARTITION BY req_id, course_type ORDER BY order_pos) AS trank FROM ordered WHERE order_pos <= 6),
+f3 AS (SELECT *, row_number() OVER (PARTITION BY req_id ORDER BY CASE WHEN n_cand <= 3 OR trank <= 1 THEN 0 ELSE 1 END, order_pos) AS pick FROM f2)
+SELECT req_id, pick, resource_id, title, course_type, level_tier, CASE WHEN prio <> 1 THEN level_tier END AS fallback_tier
+FROM f3 WHERE pick <= 3"""
+
+
+@register("r05_three_priority_search", _r05_sql())
 def r05(spark, sf):
     ol = _app_levels(spark, sf)
     rating = fx.games(spark, sf).groupBy("player").agg(F.avg("rating").alias("rating"))
