@@ -222,7 +222,7 @@ def a29(spark, sf):
 @register("a30_distribution_vs_targets", f"""WITH {_RETIER_SQL},
 t AS (SELECT * FROM (VALUES ('beginner', 20.0), ('intermediate', 50.0), ('advanced', 30.0)) v(level_tier, target)),
 n AS (SELECT level_tier, count(*) AS n FROM rt GROUP BY 1), tot AS (SELECT count(*) AS total FROM rt)
-SELECT t.level_tier, t.target, coalesce(n.n, 0) AS n, round(coalesce(n.n, 0) / total * 100, 8) AS pct,
+SELECT t.level_tier, CAST(t.target AS DOUBLE) AS target, coalesce(n.n, 0) AS n, round(coalesce(n.n, 0) / total * 100, 8) AS pct,
   CASE WHEN coalesce(n.n, 0) / total * 100 >= t.target THEN 'OK' ELSE 'LOW' END AS status FROM t LEFT JOIN n USING (level_tier), tot""")
 def a30(spark, sf):
     rt = X.recategorize(fx.catalog(spark, sf))

@@ -23,8 +23,8 @@ WITH h AS (SELECT game_id, CAST(player AS VARCHAR) AS target,
    CASE WHEN color = 'white' THEN upper(CAST(player AS VARCHAR)) ELSE 'other' END AS white,
    CASE WHEN score = 1.0 THEN CASE WHEN color = 'white' THEN '1-0' ELSE '0-1' END WHEN score = 0.5 THEN '1/2-1/2'
         WHEN game_id % 7 = 0 THEN '*' ELSE CASE WHEN color = 'white' THEN '0-1' ELSE '1-0' END END AS result FROM games)
-SELECT game_id, result, CASE WHEN (result = '1-0' AND lower(white) = lower(target)) OR (result = '0-1' AND NOT (lower(white) = lower(target)))
-   THEN 1.0 WHEN result = '1/2-1/2' THEN 0.5 ELSE 0.0 END AS player_score FROM h""")
+SELECT game_id, result, CAST(CASE WHEN (result = '1-0' AND lower(white) = lower(target)) OR (result = '0-1' AND NOT (lower(white) = lower(target)))
+   THEN 1.0 WHEN result = '1/2-1/2' THEN 0.5 ELSE 0.0 END AS DOUBLE) AS player_score FROM h""")
 def p16(spark, sf):
     g = fx.games(spark, sf)
     target = F.col("player").cast("string")

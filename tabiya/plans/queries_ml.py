@@ -142,7 +142,7 @@ rs AS (SELECT g, sum(midrank) AS rsum, count(*) AS ng FROM v JOIN pr USING (x) G
 tot AS (SELECT sum(t) AS ntot, sum(t * t * t - t) AS ties FROM per),
 h AS (SELECT (12.0 / (ntot * (ntot + 1)) * sum(rsum * rsum / ng) - 3 * (ntot + 1)) / (1 - ties / (ntot * ntot * ntot - ntot)) AS hstat,
       count(*) AS k, ntot FROM rs, tot GROUP BY ntot, ties)
-SELECT round(hstat, 6) AS H, k, ntot AS N, round(CASE WHEN k = 3 THEN exp(-hstat / 2) END, 8) AS p_value FROM h""")
+SELECT round(hstat, 6) AS H, k, CAST(ntot AS BIGINT) AS N, round(CASE WHEN k = 3 THEN exp(-hstat / 2) END, 8) AS p_value FROM h""")
 def m12(spark, sf):
     r = K.kruskal_wallis(_game_lv(spark, sf), "rating", "level_id")
     return r.select(F.round("H", 6).alias("H"), "k", "N", F.round("p_value", 8).alias("p_value"))

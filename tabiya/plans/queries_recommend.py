@@ -156,7 +156,7 @@ krecs AS (SELECT kreq.player, kreq.opening, ans.title FROM kreq JOIN ans USING (
 u AS (SELECT player, coalesce(title, 'sin_id') AS res_key, 1 AS np, 0 AS nk, opening FROM precs
       UNION ALL SELECT player, coalesce(title, 'sin_id'), 0, 1, opening FROM krecs),
 a AS (SELECT player, res_key, sum(np) AS n_profile, sum(nk) AS n_knn, array_to_string(list_sort(list_distinct(list(opening))), '|') AS openings FROM u GROUP BY player, res_key)
-SELECT player, res_key, n_profile, n_knn, openings, round(CAST(CASE WHEN n_profile >= 1 AND n_knn >= 1 THEN least(1.0 + 0.5 * (n_profile - 1) + 0.4 * n_knn + 0.5, 2.0)
+SELECT player, res_key, CAST(n_profile AS BIGINT) AS n_profile, CAST(n_knn AS BIGINT) AS n_knn, openings, round(CAST(CASE WHEN n_profile >= 1 AND n_knn >= 1 THEN least(1.0 + 0.5 * (n_profile - 1) + 0.4 * n_knn + 0.5, 2.0)
   WHEN n_profile >= 1 THEN 1.0 + 0.5 * (n_profile - 1) + 0.4 * n_knn ELSE 0.8 + 0.4 * (n_knn - 1) END AS DOUBLE), 8) AS score FROM a""")
 def r04(spark, sf):
     lv = _game_lv(spark, sf)

@@ -27,7 +27,7 @@ def register(key: str, oracle: str | None = None):
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             apply_sql_conf(spark)
-            return fn(spark, sf_dir)
+            return _bigint_positions(fn(spark, sf_dir))
         QUERIES[key] = run
         if oracle is not None:
             ORACLE[key] = oracle_views.with_views(oracle)
@@ -35,6 +35,18 @@ def register(key: str, oracle: str | None = None):
     return deco
 
 
+# ranking, position and count columns are BIGINT, as row_number() / count() are in SQL engines
+_POSITION_COLS = {"rank", "pick", "rank_opening", "rank_gap", "level_id", "mode", "ply", "n_urls", "n_links"}
+
+
+def _bigint_positions(df: DataFrame) -> DataFrame:
+    if not any(f.name in _POSITION_COLS and isinstance(f.dataType, T.IntegerType) for f in df.schema.fields):
+        return df
+    return df.select(*[F.col(f.name).cast("long").alias(f.name)
+                       if f.name in _POSITION_COLS and isinstance(f.dataType, T.IntegerType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
 def finalize(df: DataFrame, digits: int = 8) -> DataFrame:
     """Round every double column (engines differ in the last bits of sums)."""
     cols = []
