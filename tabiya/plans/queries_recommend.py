@@ -214,44 +214,97 @@ def _app_levels(spark, sf):
     return K.opening_levels(e, K.scaler_stats(e))
 
 
-def _r05_sql():
+def _r05_shared_sql(req_union: str) -> str:
+    """CTEs shared by every R05 round: catalogue pool helpers, terms and matches.
+    ``req_union`` is a SELECT giving (opening) of all requests."""
     from ..functions.text import WORD_TERMS
-    from ..operators.recommend import TYPE_BONUS
-    from .queries_ml import _OPEN_LEVELS_SQL
     words = ", ".join(Q.q(w) for w in WORD_TERMS)
-    bonus = Q.first_case([(f"instr(lower(coalesce(course_type, '')), {Q.q(k)}) > 0", f"{v}.0") for k, v in TYPE_BONUS], "0.0")
 
     def match(col):
         return (f"SELECT DISTINCT tt.opening, c.resource_id FROM tt JOIN catalog c ON instr(lower(c.{col}), tt.term) > 0 "
                 f"AND (tt.term NOT IN ({words}) OR regexp_matches(lower(c.{col}), '(^|[^a-z])' || tt.term || '([^a-z]|$)'))")
-    return f"""WITH {_OPEN_LEVELS_SQL}, {_syn_sql('app')},
-rq AS (SELECT CAST(ol.player AS VARCHAR) || '#' || ol.opening || '#' || ol.color AS req_id, ol.opening,
-   CASE WHEN ol.color = 'white' THEN 'white' ELSE 'black' END AS color_en,
-   coalesce(CASE ol.level WHEN 'sin_base' THEN 'beginner' WHEN 'desarrollo' THEN 'intermediate' WHEN 'dominio' THEN 'expert' END,
-            'intermediate') AS tier_obj, pr.rating
-   FROM ol JOIN (SELECT player, avg(rating) AS rating FROM games GROUP BY player) pr USING (player)),
+    return f"""{_syn_sql('app')},
 cat2 AS (SELECT *, lower(trim(coalesce(color, 'Both'))) AS rcolor, coalesce(level_min, 0) AS lo, coalesce(level_max, 9999) AS hi FROM catalog),
 cc AS (SELECT c.color_en, count(*) AS nc FROM (VALUES ('white'), ('black')) c(color_en) JOIN cat2 ON cat2.rcolor IN (c.color_en, 'both') GROUP BY 1),
-pool0 AS (SELECT rq.req_id, rq.rating, cat2.* FROM rq LEFT JOIN cc USING (color_en) JOIN cat2
-          ON coalesce(cc.nc, 0) < 10 OR cat2.rcolor IN (rq.color_en, 'both')),
-rc AS (SELECT req_id, count(*) FILTER (WHERE lo <= rating AND hi >= rating) AS nr FROM pool0 GROUP BY req_id),
-pool AS (SELECT p.* FROM pool0 p JOIN rc USING (req_id) WHERE rc.nr = 0 OR (p.lo <= p.rating AND p.hi >= p.rating)),
-names AS (SELECT DISTINCT opening, lower(trim(opening)) AS ap FROM rq), {_terms_sql('names')},
-mo AS ({match('openings')}), mt AS ({match('title')}),
-sc AS (SELECT pool.*, rq.tier_obj, mo.resource_id IS NOT NULL AS m_open, mt.resource_id IS NOT NULL AS m_title,
-   coalesce(pool.rating_score, 0.0) * 0.5 + {bonus} AS base FROM pool JOIN rq USING (req_id)
-   LEFT JOIN mo ON mo.opening = rq.opening AND mo.resource_id = pool.resource_id
-   LEFT JOIN mt ON mt.opening = rq.opening AND mt.resource_id = pool.resource_id),
-sc2 AS (SELECT *, CASE WHEN m_open OR m_title THEN CAST(m_open AS INT) * 60.0 + CAST(m_title AS INT) * 20.0 + base ELSE base END AS score,
-   CASE WHEN m_open OR m_title THEN CASE WHEN level_tier = tier_obj THEN 1 ELSE 2 END ELSE 3 END AS prio FROM sc),
-cnt AS (SELECT req_id, count(*) FILTER (WHERE prio = 1) AS n1, count(*) FILTER (WHERE prio = 2) AS n2 FROM sc2 GROUP BY req_id),
-gated AS (SELECT sc2.* FROM sc2 JOIN cnt USING (req_id) WHERE prio = 1 OR (prio = 2 AND n1 < 3) OR (prio = 3 AND n1 + n2 < 3)),
-ordered AS (SELECT *, row_number() OVER (PARTITION BY req_id ORDER BY prio, score DESC, resource_id) AS order_pos FROM gated),
-f2 AS (SELECT *, count(*) OVER (PARTITION BY req_id) AS n_cand,
-   row_number() OVER (PARTITION BY req_id, course_type ORDER BY order_pos) AS trank FROM ordered WHERE order_pos <= 6),
-f3 AS (SELECT *, row_number() OVER (PARTITION BY req_id ORDER BY CASE WHEN n_cand <= 3 OR trank <= 1 THEN 0 ELSE 1 END, order_pos) AS pick FROM f2)
-SELECT req_id, pick, resource_id, title, course_type, level_tier, CASE WHEN prio <> 1 THEN level_tier END AS fallback_tier
-FROM f3 WHERE pick <= 3"""
+names AS (SELECT DISTINCT opening, lower(trim(opening)) AS ap FROM ({req_union}) z), {_terms_sql('names')},
+mo AS ({match('openings')}), mt AS ({match('title')})"""
+
+
+def _r05_round_sql(p: str, rq: str, free: str | None, excl: str | None) -> str:
+    """One R05 round over request CTE ``rq`` (req_id, opening, color_en, tier_obj, rating);
+    defines ``{p}res`` (req_id, pick, resource_id, title, course_type, level_tier, fallback_tier)."""
+    from ..operators.recommend import TYPE_BONUS
+    bonus = Q.first_case([(f"instr(lower(coalesce(course_type, '')), {Q.q(k)}) > 0", f"{v}.0") for k, v in TYPE_BONUS], "0.0")
+    free_f = f" AND cat2.is_free = {free}" if free is not None else ""
+    ex = (f"WHERE NOT EXISTS (SELECT 1 FROM {excl} e WHERE e.req_id = {p}sc2.req_id AND e.resource_id = {p}sc2.resource_id)"
+          if excl else "")
+    return f"""
+{p}pool0 AS (SELECT rq.req_id, rq.rating, cat2.* FROM {rq} rq LEFT JOIN cc USING (color_en) JOIN cat2
+          ON (coalesce(cc.nc, 0) < 10 OR cat2.rcolor IN (rq.color_en, 'both')){free_f}),
+{p}rc AS (SELECT req_id, count(*) FILTER (WHERE lo <= rating AND hi >= rating) AS nr FROM {p}pool0 GROUP BY req_id),
+{p}pool AS (SELECT x.* FROM {p}pool0 x JOIN {p}rc USING (req_id) WHERE {p}rc.nr = 0 OR (x.lo <= x.rating AND x.hi >= x.rating)),
+{p}sc AS (SELECT pl.*, rq.tier_obj, mo.resource_id IS NOT NULL AS m_open, mt.resource_id IS NOT NULL AS m_title,
+   coalesce(pl.rating_score, 0.0) * 0.5 + {bonus} AS base FROM {p}pool pl JOIN {rq} rq USING (req_id)
+   LEFT JOIN mo ON mo.opening = rq.opening AND mo.resource_id = pl.resource_id
+   LEFT JOIN mt ON mt.opening = rq.opening AND mt.resource_id = pl.resource_id),
+{p}sc2 AS (SELECT *, CASE WHEN m_open OR m_title THEN CAST(m_open AS INT) * 60.0 + CAST(m_title AS INT) * 20.0 + base ELSE base END AS score,
+   CASE WHEN m_open OR m_title THEN CASE WHEN level_tier = tier_obj THEN 1 ELSE 2 END ELSE 3 END AS prio FROM {p}sc),
+{p}sc3 AS (SELECT * FROM {p}sc2 {ex}),
+{p}cnt AS (SELECT req_id, count(*) FILTER (WHERE prio = 1) AS n1, count(*) FILTER (WHERE prio = 2) AS n2 FROM {p}sc3 GROUP BY req_id),
+{p}gated AS (SELECT x.* FROM {p}sc3 x JOIN {p}cnt USING (req_id) WHERE prio = 1 OR (prio = 2 AND n1 < 3) OR (prio = 3 AND n1 + n2 < 3)),
+{p}ordered AS (SELECT *, row_number() OVER (PARTITION BY req_id ORDER BY prio, score DESC, resource_id) AS order_pos FROM {p}gated),
+{p}f2 AS (SELECT *, count(*) OVER (PARTITION BY req_id) AS n_cand,
+   row_number() OVER (PARTITION BY req_id, course_type ORDER BY order_pos) AS trank FROM {p}ordered WHERE order_pos <= 6),
+{p}f3 AS (SELECT *, row_number() OVER (PARTITION BY req_id ORDER BY CASE WHEN n_cand <= 3 OR trank <= 1 THEN 0 ELSE 1 END, order_pos) AS pick FROM {p}f2),
+{p}res AS (SELECT req_id, pick, resource_id, title, course_type, level_tier, CASE WHEN prio <> 1 THEN level_tier END AS fallback_tier
+   FROM {p}f3 WHERE pick <= 3)"""
+
+
+_RQ_COLS = ("coalesce(CASE ol.level WHEN 'sin_base' THEN 'beginner' WHEN 'desarrollo' THEN 'intermediate' WHEN 'dominio' THEN 'expert' END, "
+            "'intermediate') AS tier_obj, CASE WHEN ol.color = 'white' THEN 'white' ELSE 'black' END AS color_en")
+
+
+def _r05_sql():
+    from .queries_ml import _OPEN_LEVELS_SQL
+    return f"""WITH {_OPEN_LEVELS_SQL},
+rq AS (SELECT CAST(ol.player AS VARCHAR) || '#' || ol.opening || '#' || ol.color AS req_id, ol.opening, {_RQ_COLS}, pr.rating
+   FROM ol JOIN (SELECT player, avg(rating) AS rating FROM games GROUP BY player) pr USING (player)),
+{_r05_shared_sql('SELECT opening FROM rq')},{_r05_round_sql('a_', 'rq', None, None)}
+SELECT * FROM a_res"""
+
+
+def _r06_sql():
+    from .queries_ml import _OPEN_LEVELS_SQL
+    parts = [f"""WITH {_OPEN_LEVELS_SQL},
+pr AS (SELECT player, avg(rating) AS rating FROM games GROUP BY player),
+lines AS (SELECT * FROM (SELECT ol.*, row_number() OVER (PARTITION BY player, color ORDER BY
+   CASE level WHEN 'sin_base' THEN 0 WHEN 'desarrollo' THEN 1 WHEN 'dominio' THEN 2 END, win_rate, opening) AS line_rank
+   FROM ol WHERE n_games >= 2) z WHERE line_rank <= 5),
+lq AS (SELECT lines.player, lines.color, lines.opening, lines.line_rank, f.free, pr.rating,
+   CAST(lines.player AS VARCHAR) || '#' || lines.color || '#' || CAST(f.free AS VARCHAR) || '#' || CAST(lines.line_rank AS VARCHAR) AS req_id,
+   CAST(lines.player AS VARCHAR) || '#' || lines.color || '#' || CAST(f.free AS VARCHAR) AS chan_id,
+   {_RQ_COLS.replace('ol.', 'lines.')} FROM lines JOIN pr USING (player) CROSS JOIN (VALUES (1), (0)) f(free)),
+{_r05_shared_sql('SELECT opening FROM lq')}"""]
+    done = {}
+    for r in range(1, 6):
+        for free in (1, 0):
+            p = f"r{r}f{free}_"
+            parts.append(f",\n{p}rq AS (SELECT * FROM lq WHERE line_rank = {r} AND free = {free})")
+            excl = None
+            if r > 1:
+                parts.append(f",\n{p}ex AS (SELECT q.req_id, d.resource_id FROM {p}rq q JOIN {done[free]} d USING (chan_id))")
+                excl = f"{p}ex"
+            parts.append("," + _r05_round_sql(p, f"{p}rq", str(free), excl))
+            parts.append(f",\n{p}out AS (SELECT x.*, q.chan_id, q.player, q.color, q.opening, q.free, q.line_rank FROM {p}res x JOIN {p}rq q USING (req_id))")
+            cur = f"d{r}f{free}"
+            if r == 1:
+                parts.append(f",\n{cur} AS (SELECT * FROM {p}out)")
+            else:
+                parts.append(f",\n{cur} AS (SELECT * FROM {done[free]} UNION ALL SELECT * FROM {p}out)")
+            done[free] = cur
+    parts.append(f"\nSELECT player, color, CAST(free AS INT) AS free, line_rank, opening, pick, resource_id, title FROM {done[1]} "
+                 f"UNION ALL SELECT player, color, CAST(free AS INT), line_rank, opening, pick, resource_id, title FROM {done[0]}")
+    return "".join(parts)
 
 
 @register("r05_three_priority_search", _r05_sql())
@@ -265,7 +318,7 @@ def r05(spark, sf):
         "req_id", "pick", "resource_id", "title", "course_type", "level_tier", "fallback_tier")
 
 
-@register("r06_study_plan")
+@register("r06_study_plan", _r06_sql())
 def r06(spark, sf):
     ol = _app_levels(spark, sf)
     rating = fx.games(spark, sf).groupBy("player").agg(F.avg("rating").alias("rating"))
