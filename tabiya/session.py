@@ -20,11 +20,6 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # a broadcast side must stay small: anything above 32 MB is shuffled
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    # cluster-sized splits: 256 MB input splits and AQE post-shuffle partitions
-    # (100 TB -> ~400k scan tasks; set spark.sql.shuffle.partitions per cluster
-    # high enough that skewed partitions are split, AQE coalesces the rest)
-    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
     # deep CASE chains (keyword rules) make inferred-constraint propagation
     # explode the optimised plan; the inferred IS NOT NULL filters it adds are
     # not needed by these plans
