@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langmix
+from . import bagminhash, decontaminate, langmix, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,9 +36,47 @@ def op10_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("langs").cast("long").alias("n_langs"))
 
 
+def op7_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and near-duplicate group of every document."""
+    return bagminhash.duplicate_groups(table(spark, sf_dir, "documents"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC records and read back."""
+    pages = table(spark, sf_dir, "pages")
+    kind = pages.schema["page_id"].dataType
+    found = warc.archive_round_trip(pages)
+    return found.select(F.expr(f"try_cast(page_id as {kind.simpleString()})").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"),
+                        "record_type", F.expr(f"try_cast(refers_to as {kind.simpleString()})").alias("refers_to"))
+
+
 QUERIES = {
+    "op7_bagminhash": op7_bagminhash,
+    "op8_warc": op8_warc,
     "op9_decontaminate": op9_decontaminate,
     "op10_language_mixture": op10_language_mixture,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_warc": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+        q AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS d FROM p),
+        f AS (SELECT d, min(page_id) AS first FROM q WHERE n >= 100 GROUP BY d)
+        SELECT q.page_id, q.n::BIGINT AS payload_bytes, q.d AS payload_digest,
+               CASE WHEN f.first IS NULL OR q.page_id IS NOT DISTINCT FROM f.first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN f.first IS NULL OR q.page_id IS NOT DISTINCT FROM f.first THEN NULL ELSE f.first END AS refers_to
+        FROM q LEFT JOIN f ON q.d = f.d""",
+    "op9_decontaminate": """
+        WITH dw AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        bw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        bx AS (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM bw WHERE len(w) > 0),
+        bn AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM bx),
+        sizes AS (SELECT DISTINCT n FROM bn),
+        dx AS (SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM dw, sizes WHERE len(w) >= n),
+        hits AS (SELECT r, i, dx.n, item_id FROM dx JOIN bn ON bn.n = dx.n AND bn.g = array_to_string(w[i:i + dx.n - 1], ' ')),
+        words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
+        items AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS s FROM hits GROUP BY r)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM dw LEFT JOIN words USING (r) LEFT JOIN items USING (r)""",
+}
