@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bagminhash, decontaminate, langmix, warc
+from . import bagminhash, decontaminate, langmix, spm_sampling, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,24 @@ def op10_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("langs").cast("long").alias("n_langs"))
 
 
+#: Distinct segmentations drawn per document.
+SAMPLES = 2
+
+
+def piece_model() -> str:
+    """The public SentencePiece model's place, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op1_spm_gumbel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sampled segmentations of every document, with a checksum of the ids."""
+    found = spm_sampling.encode_samples(table(spark, sf_dir, "documents"), piece_model(), SAMPLES)
+    return found.select("doc_id", F.col("sample").cast("long").alias("sample"), "n_pieces", F.crc32("ids").alias("ids_crc32"),
+                        "log_prob", "perturbed", "log_inclusion", "round_trip")
+
+
 def op7_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and near-duplicate group of every document."""
     return bagminhash.duplicate_groups(table(spark, sf_dir, "documents"))
@@ -51,6 +69,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_spm_gumbel": op1_spm_gumbel,
     "op7_bagminhash": op7_bagminhash,
     "op8_warc": op8_warc,
     "op9_decontaminate": op9_decontaminate,
