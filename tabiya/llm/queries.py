@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bagminhash, decontaminate, langmix, spm_sampling, warc
+from . import bagminhash, decontaminate, langmix, license_join, merkle, spm_sampling, token_files, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,28 @@ def op1_spm_gumbel(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "log_prob", "perturbed", "log_inclusion", "round_trip")
 
 
+def op3_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, and how alike they are."""
+    found = merkle.edited_by_next(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.col("root").alias("fingerprint"), F.col("edited_root").alias("edited_fingerprint"),
+                        merkle.likeness("", "edited_").alias("near_edited"), merkle.likeness("", "next_").alias("near_next"),
+                        F.size("paragraphs").cast("long").alias("n_paragraphs"), F.size("sections").cast("long").alias("n_sections"),
+                        merkle.first_edit("", "edited_").alias("first_edit"))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place, length and checksum of ids, from the written files."""
+    import public_tokenizers
+
+    found = token_files.file_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and template matches of every document."""
+    return license_join.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and near-duplicate group of every document."""
     return bagminhash.duplicate_groups(table(spark, sf_dir, "documents"))
@@ -70,13 +92,58 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_spm_gumbel": op1_spm_gumbel,
+    "op3_merkle": op3_merkle,
+    "op5_token_files": op5_token_files,
+    "op6_license_scan": op6_license_scan,
     "op7_bagminhash": op7_bagminhash,
     "op8_warc": op8_warc,
     "op9_decontaminate": op9_decontaminate,
     "op10_language_mixture": op10_language_mixture,
 }
 
+#: Phrases as the Spark regular expression cuts them; a hash of a phrase stands for the phrase itself.
+_PHRASES = "flatten(list_transform({p}, lambda q: CASE WHEN regexp_matches(q, '\\S') THEN regexp_extract_all(q, '\\s*(?:\\S+(?:\\s+|$)){{1,8}}') ELSE [q] END))"
+_ROOT = "sha256(array_to_string(list_transform(string_split(regexp_replace(array_to_string(list_transform({p}, lambda q: sha256(q)), ' '), '0 ', '0|', 'g'), '|'), lambda q: sha256(q)), ' '))"
+
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _license_sql() -> str:
+    """Every block against every template, and every phrase at every word."""
+    phrases = ", ".join(f"({p.split()!r}, '{label}')" for p, label in license_join.PHRASES.items())
+    templates = ", ".join(f"({sorted(set(license_join.words_of(t)))!r}, '{label}', {license_join.needed(len(set(license_join.words_of(t))), license_join.THRESHOLD)})" for label, t in license_join.TEMPLATES)
+    return f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_LOW} AS low FROM documents),
+        w AS (SELECT r, doc_id, regexp_extract_all(low, '{_WORDS}') AS w FROM d),
+        phrases(p, label) AS (VALUES {phrases}),
+        places AS (SELECT r, label, i - 1 AS i FROM (SELECT r, w, p, label, unnest(range(1, len(w) - len(p) + 2)) AS i FROM w, phrases WHERE len(w) >= len(p)) WHERE w[i:i + len(p) - 1] = p),
+        base AS (SELECT r, count(*) AS n, min(i) AS a, max(i) AS z, list(DISTINCT label) AS l FROM places GROUP BY r),
+        blocks AS (SELECT r, list_distinct(regexp_extract_all(b, '{_WORDS}')) AS b FROM (SELECT r, unnest(string_split(regexp_replace(low, '\\n|[.!?;](\\s)', chr(1) || '\\1', 'g'), chr(1))) AS b FROM d)),
+        templates(t, label, k) AS (VALUES {templates}),
+        hits AS (SELECT r, label, len(list_intersect(b, t))::DOUBLE / len(t) AS s FROM blocks, templates WHERE len(b) >= k AND len(list_intersect(b, t)) >= k),
+        more AS (SELECT r, list(DISTINCT label) AS l, max(s) AS s FROM hits GROUP BY r)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, a::BIGINT AS first_word, z::BIGINT AS last_word,
+               coalesce(array_to_string(list_sort(base.l), ','), '') AS base_labels,
+               coalesce(array_to_string(list_sort(list_distinct(coalesce(base.l, []) || coalesce(more.l, []))), ','), '') AS labels, coalesce(more.s, 0.0) AS score
+        FROM w LEFT JOIN base USING (r) LEFT JOIN more USING (r)"""
+
+
 ORACLE: dict[str, str] = {
+    "op6_license_scan": _license_sql(),
+    "op3_merkle": f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        n AS (SELECT doc_id, t, length(t) AS c, coalesce(lead(t) OVER (ORDER BY doc_id), first_value(t) OVER (ORDER BY doc_id)) AS nt FROM d),
+        e AS (SELECT *, substring(t, 1, c - c // 2) || substring(nt, 1, c // 2) AS et FROM n),
+        s AS (SELECT *, string_split(t, chr(10)) AS p, string_split(et, chr(10)) AS ep, string_split(nt, chr(10)) AS np FROM e),
+        f AS (SELECT *, {_ROOT.format(p="p")} AS r, {_ROOT.format(p="ep")} AS er, {_PHRASES.format(p="p")} AS a, {_PHRASES.format(p="ep")} AS ea, {_PHRASES.format(p="np")} AS na FROM s)
+        SELECT doc_id, c::BIGINT AS n_chars, sha256(et) AS edited_sha256, r AS fingerprint, er AS edited_fingerprint,
+               CASE WHEN t = et THEN 1.0 ELSE len(list_intersect(a, ea))::DOUBLE / len(list_distinct(a || ea)) END AS near_edited,
+               CASE WHEN t = nt THEN 1.0 ELSE len(list_intersect(a, na))::DOUBLE / len(list_distinct(a || na)) END AS near_next,
+               len(p)::BIGINT AS n_paragraphs,
+               len(string_split(regexp_replace(array_to_string(list_transform(p, lambda q: sha256(q)), ' '), '0 ', '0|', 'g'), '|'))::BIGINT AS n_sections,
+               CASE WHEN t <> et THEN list_position(list_transform(range(1, greatest(len(p), len(ep)) + 1), lambda i: p[i] IS NOT DISTINCT FROM ep[i]), false)::BIGINT - 1 END AS first_edit
+        FROM f""",
     "op8_warc": """
         WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
         q AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS d FROM p),
