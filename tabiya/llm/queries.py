@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bagminhash, decontaminate, langmix, license_join, merkle, spm_sampling, token_files, warc
+from . import bagminhash, decontaminate, html_main, langmix, license_join, merkle, spm_sampling, token_files, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +63,11 @@ def op3_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
                         merkle.first_edit("", "edited_").alias("first_edit"))
 
 
+def op4_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_main.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place, length and checksum of ids, from the written files."""
     import public_tokenizers
@@ -93,6 +98,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_spm_gumbel": op1_spm_gumbel,
     "op3_merkle": op3_merkle,
+    "op4_html_main": op4_html_main,
     "op5_token_files": op5_token_files,
     "op6_license_scan": op6_license_scan,
     "op7_bagminhash": op7_bagminhash,
