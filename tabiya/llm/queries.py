@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bagminhash, decontaminate, html_main, langmix, license_join, merkle, spm_sampling, token_files, warc
+from . import attention_lm, bagminhash, decontaminate, html_main, langmix, license_join, merkle, spm_sampling, token_files, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,14 @@ def op1_spm_gumbel(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "log_prob", "perturbed", "log_inclusion", "round_trip")
 
 
+def op2_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model and unigram log10 probabilities of every document; a null id is neither held out nor learned from."""
+    import public_tokenizers
+
+    found = attention_lm.score(table(spark, sf_dir, "documents"), remainder("doc_id", 10) != 0, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return found.select("doc_id", F.coalesce(remainder("doc_id", 10) == 0, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_ids")
+
+
 def op3_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of its edited text, and how alike they are."""
     found = merkle.edited_by_next(table(spark, sf_dir, "documents"))
@@ -97,6 +105,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_spm_gumbel": op1_spm_gumbel,
+    "op2_attention_lm": op2_attention_lm,
     "op3_merkle": op3_merkle,
     "op4_html_main": op4_html_main,
     "op5_token_files": op5_token_files,
