@@ -328,7 +328,9 @@ def read_files(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFra
                     if rows:
                         yield _batch(rows)
 
-    return manifest.select("file", "start").repartition("file").mapInArrow(read, "id string, start bigint, n_tokens bigint, ids binary")
+    # a given number of partitions: Spark would put the small rows that name the files into one task
+    files = manifest.select("file", "start").repartition(max(1, manifest.count()))
+    return files.mapInArrow(read, "id string, start bigint, n_tokens bigint, ids binary")
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
