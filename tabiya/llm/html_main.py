@@ -382,6 +382,8 @@ class Layouts:
 
     def paragraph(self) -> str:
         text = html_lib.escape(self.paragraphs[int(self.rng.integers(len(self.paragraphs)))])
+        if self.chance(0.01):  # a very long one
+            text = f"{text} " * int(self.rng.integers(5, 100))
         if self.chance(0.15):
             text = f'{self.phrase(2, 8)} <a href="/x">{self.phrase(1, 3)}</a> {text}'
         if self.chance(0.15):
@@ -471,7 +473,10 @@ class Layouts:
         for kind, p, side in (("menu", 0.8, 0), ("frame", 0.5, 0), ("notice", 0.3, 0), ("advert", 0.5, 0), ("form", 0.25, 0), ("share", 0.25, 1), ("side", 0.5, 1), ("comment", 0.45, 1), ("advert", 0.3, 1), ("notice", 0.25, 1), ("form", 0.2, 1), ("menu", 0.25, 1), ("frame", 0.75, 1)):
             if self.chance(p):
                 (tail if side else head).append(self.other(kind))
-        inner = "".join(head) + self.article() + "".join(tail)
+        article = self.article()
+        if self.chance(0.05):  # nothing but the article
+            return article if self.chance(0.5) else f"<html><body>{article}</body></html>"
+        inner = "".join(head) + article + "".join(tail)
         for _ in range(int(self.rng.integers(0, 3))):
             inner = f"<div{self.pick('', ' class=wrapper', ' id=page', ' class=container', ' class=layout')}>{inner}</div>"
         return f"<!DOCTYPE html><html><head><title>{self.phrase()}</title><script>var a='<p>';</script></head><body>{inner}</body></html>"
