@@ -10,11 +10,16 @@ the ``m`` minima then agrees between two documents with probability equal to
 their weighted Jaccard similarity.
 
 Equal multisets collapse into classes first. Bands of the classes' signatures
-propose pairs, and every proposed pair is verified by multiset overlap or
-shown to be linked already: buckets first compare all members with one
-representative (a linear number of pairs), members that fall into the same
-connected group need no further comparison, and only what is left between
-different groups of a bucket is compared pair by pair.
+put classes into buckets, and multiset overlap verifies pairs. A bucket's
+members are first compared with one member (a linear number of pairs): the one
+with the smallest row, then the one with the smallest share of shingles that
+no other open class has, which in a group of edited copies is the least
+edited. Members of one connected group need no further comparison. For what
+is left between different groups, a prefix filter over the open classes'
+shingles, rarest first, replaces the pairs of a bucket: two classes that reach
+the threshold share a shingle of their prefixes, and copies with many edits of
+their own have none to share. So nothing that a bucket proposes is lost, and
+no bucket's pairs are listed.
 
 Defined cases: a null or empty text, or one without a word, has no shingle and
 equals only the same text (null = empty); a text of fewer than five words is
@@ -25,7 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bytetext as B
@@ -37,8 +42,6 @@ THRESHOLD = 0.8
 POSITIONS, BAND_ROWS, SHUFFLES = 112, 7, 3
 _U = np.uint64
 _STEP, _LEVEL, _SPLIT = _U(0x9E3779B97F4A7C15), _U(0xA24BAED4963EE407), _U(0x9FB21C651E98DF25)
-#: Rounds of representatives before the remaining pairs of a bucket are compared one by one.
-STAR_ROUNDS = 3
 
 
 def _bands() -> np.ndarray:
@@ -196,6 +199,73 @@ def _with_component(df: DataFrame, comp: DataFrame | None, key: str, name: str)
     return df.join(named, key, "left").withColumn(name, F.coalesce("_c", key)).drop("_c")
 
 
+def _size_filter(pairs: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) whose sizes allow the threshold: similarity is at most their ratio."""
+    return pairs.filter(F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * (threshold - 1e-9)).select("a", "b")
+
+
+def _flat_pairs(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("x.row_id").alias("a"), F.col("y.row_id").alias("b"), F.col("x.n_shingles").alias("n_a"), F.col("y.n_shingles").alias("n_b"))
+
+
+def _open_entries(entries: DataFrame, comp: DataFrame) -> DataFrame:
+    """Entries (bucket, row_id, n_shingles, c) of the buckets with members of different groups."""
+    here = _with_component(entries.drop("lead"), comp, "row_id", "c")
+    mixed = here.groupBy("bucket").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 <> c2").select("bucket")
+    return stored(here.join(mixed, "bucket", "left_semi"), "open")
+
+
+def _token_rows(batches):
+    """(row_id, token): one per shingle and repetition."""
+    for batch in batches:
+        buf, offsets = B.buffers(batch.column("text"))
+        rows = batch.column("row_id").to_numpy()
+        for i, j in B.slices(offsets, 1 << 18):
+            tok = B.tokens(buf[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], B.WORD)
+            doc, h, weight = shingles(tok)
+            first = np.cumsum(weight) - weight
+            again = np.arange(int(weight.sum())) - np.repeat(first, weight)
+            token = B.mix(np.repeat(h, weight) + again.astype(_U) * _STEP).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(rows[i:j][np.repeat(doc, weight)]), pa.array(token)], names=["row_id", "token"])
+
+
+def _shared_shingles(open_: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Tokens of the open rows that several of them have: (row_id, token, df); and per row its size n and number u of tokens of its own."""
+    rows = open_.select("row_id", F.col("n_shingles").alias("n")).distinct()
+    tokens = stored(texts.join(rows.select("row_id"), "row_id", "left_semi").mapInArrow(_token_rows, "row_id bigint, token bigint"), "tokens")
+    common = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
+    shared = stored(tokens.join(common, "token"), "shared")
+    own = rows.join(shared.groupBy("row_id").agg(F.count("*").alias("k")), "row_id", "left").select("row_id", "n", (F.col("n") - F.coalesce("k", F.lit(0))).alias("u"))
+    return shared, stored(own, "own")
+
+
+def _prefix_pairs(shared: DataFrame, own: DataFrame, comp: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of different groups that can reach the threshold by the prefix, length and positional filters.
+
+    Tokens are ordered by frequency, so a row's own tokens come first and fill its prefix. Of a pair, the
+    smaller row's index prefix and the larger row's probe prefix share a token.
+    """
+    t = threshold - 1e-9
+    alive = own.withColumn("probe", F.col("n") - F.ceil(F.col("n") * t) + 1).filter("u < probe")
+    alive = _with_component(alive.withColumn("index", F.col("n") - F.ceil(F.col("n") * (2 * t / (1 + t))) + 1), comp, "row_id", "c")
+    by_rarity = Window.partitionBy("row_id").orderBy("df", "token")
+    entries = shared.join(alive, "row_id").withColumn("r", F.col("u") + F.row_number().over(by_rarity)).filter("r <= probe")
+    entries = stored(entries.select("token", "row_id", "n", "r", "c", (F.col("r") <= F.col("index")).alias("indexed")), "prefixes")
+    # a token's largest group is compared with the others, not with itself
+    major = entries.groupBy("token", "c").agg(F.count("*").alias("k"), F.max("indexed").alias("i")).groupBy("token").agg(
+        F.max_by("c", "k").alias("major"), F.min("c").alias("c1"), F.max("c").alias("c2"), F.max("i").alias("i")).filter("c1 <> c2 and i").select("token", "major")
+    entries = entries.join(major, "token")
+    minor = entries.filter("c <> major").drop("major")
+    other = entries.select("token", *[F.col(x).alias(f"{x}_b") for x in ("row_id", "n", "r", "c", "indexed", "major")])
+    smaller = (F.struct("n", "row_id") < F.struct(F.col("n_b").alias("n"), F.col("row_id_b").alias("row_id")))
+    both = minor.join(other, "token").filter(
+        (F.col("c") != F.col("c_b")) & ((F.col("c_b") == F.col("major_b")) | (F.col("row_id") < F.col("row_id_b")))
+        & (F.least("n", "n_b") >= F.greatest("n", "n_b") * t) & F.when(smaller, F.col("indexed")).otherwise(F.col("indexed_b"))
+        & (1 + F.least(F.col("n") - F.col("r"), F.col("n_b") - F.col("r_b")) >= F.ceil((F.col("n") + F.col("n_b")) * (t / (1 + t)))))
+    x, y = F.struct("row_id", F.col("n").alias("n_shingles")), F.struct(F.col("row_id_b").alias("row_id"), F.col("n_b").alias("n_shingles"))
+    return _flat_pairs(both.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).distinct()).select("a", "b")
+
+
 def near_duplicates(base: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Groups of a table (row_id, id, text): row_id, id, class_row, group_row, n_shingles.
 
@@ -216,40 +286,28 @@ def near_duplicates(base: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     wanted = entries.select("row_id").distinct()
     texts = stored(base.select("row_id", "text").join(wanted, "row_id", "left_semi"), "texts")
 
-    links = None
-    comp = None
-    tested = None
-    for turn in range(STAR_ROUNDS + 1):
-        if turn == 0:
-            left = entries
-            pairs = left.filter("row_id <> lead").select(F.col("lead").alias("a"), F.col("row_id").alias("b"), "n_shingles")
-            sizes = entries.select(F.col("row_id").alias("a"), F.col("n_shingles").alias("n_a")).distinct()
-            pairs = pairs.distinct().join(sizes, "a").withColumnRenamed("n_shingles", "n_b")
-        else:
-            here = _with_component(entries.drop("lead"), comp, "row_id", "c")
-            mixed = here.groupBy("bucket").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 <> c2").select("bucket")
-            here = stored(here.join(mixed, "bucket", "left_semi"), "open")
-            if here.limit(1).count() == 0:
-                break
-            if turn < STAR_ROUNDS:
-                rank = F.struct(F.xxhash64("bucket", "row_id", F.lit(turn)).alias("r"), F.col("row_id"), F.col("c"), F.col("n_shingles"))
-                lead = here.groupBy("bucket").agg(F.min(rank).alias("lead"))
-                pairs = here.join(lead, "bucket").filter("c <> lead.c")
-                x, y = F.struct("row_id", "n_shingles"), F.struct("lead.row_id", "lead.n_shingles")
-                pairs = pairs.select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).distinct()
-            else:
-                other = here.select("bucket", F.col("row_id").alias("row_b"), F.col("n_shingles").alias("n_b"), F.col("c").alias("c_b"))
-                pairs = here.join(other, "bucket").filter("c <> c_b and row_id < row_b")
-                pairs = pairs.select(F.struct("row_id", "n_shingles").alias("x"), F.struct(F.col("row_b").alias("row_id"), F.col("n_b").alias("n_shingles")).alias("y")).distinct()
-            pairs = pairs.select(F.col("x.row_id").alias("a"), F.col("y.row_id").alias("b"), F.col("x.n_shingles").alias("n_a"), F.col("y.n_shingles").alias("n_b"))
-        # similarity is at most the ratio of the sizes
-        pairs = pairs.filter(F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * (threshold - 1e-9)).select("a", "b")
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+    # every bucket's members against its first row
+    sizes = entries.select(F.col("row_id").alias("a"), F.col("n_shingles").alias("n_a")).distinct()
+    pairs = entries.filter("row_id <> lead").select(F.col("lead").alias("a"), F.col("row_id").alias("b"), F.col("n_shingles").alias("n_b")).distinct().join(sizes, "a")
+    done = stored(_verified(_size_filter(pairs, threshold), texts), "pairs")
+    links, tested = done.filter(F.col("similarity") >= threshold).select("a", "b"), done.select("a", "b")
+    comp = components(links)
+    open_ = _open_entries(entries, comp)
+    if open_.limit(1).count():
+        shared, own = _shared_shingles(open_, texts)
+        # against the least edited member
+        rows = open_.join(own, "row_id")
+        rank = F.struct((F.col("u") / F.col("n_shingles")).alias("share"), F.col("row_id"), F.col("c"), F.col("n_shingles"))
+        lead = rows.groupBy("bucket").agg(F.min(rank).alias("lead"))
+        x, y = F.struct("row_id", "n_shingles"), F.struct("lead.row_id", "lead.n_shingles")
+        pairs = rows.join(lead, "bucket").filter("c <> lead.c").select(F.least(x, y).alias("x"), F.greatest(x, y).alias("y")).distinct()
+        done = stored(_verified(_size_filter(_flat_pairs(pairs), threshold).join(tested, ["a", "b"], "left_anti"), texts), "pairs")
+        links, tested = links.union(done.filter(F.col("similarity") >= threshold).select("a", "b")), tested.union(done.select("a", "b"))
+        comp = components(links)
+        # what is left: pairs of different groups that share a shingle of their prefixes
+        pairs = _prefix_pairs(shared, own, comp, threshold).join(tested, ["a", "b"], "left_anti")
         done = stored(_verified(pairs, texts), "pairs")
-        tested = done.select("a", "b") if tested is None else tested.union(done.select("a", "b"))
-        good = done.filter(F.col("similarity") >= threshold).select("a", "b")
-        links = good if links is None else links.union(good)
+        links = links.union(done.filter(F.col("similarity") >= threshold).select("a", "b"))
         comp = components(links)
     merged = _with_component(classes, comp, "class_row", "component")
     groups = merged.groupBy("component").agg(F.min("first").alias("lead"), F.count("*").alias("n_classes"))
@@ -257,21 +315,24 @@ def near_duplicates(base: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return sign.select("row_id", "id", "class_hi", "class_lo", "n_shingles").join(merged, ["class_hi", "class_lo"]).drop("class_hi", "class_lo")
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` stored with a stable ``_row_id``."""
-    return stored(docs.withColumn("_row_id", F.monotonically_increasing_id()), "documents")
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` stored with a stable row number, and that column's name (one that ``docs`` has not)."""
+    name = "_row"
+    while name in docs.columns:
+        name += "_"
+    return stored(docs.withColumn(name, F.monotonically_increasing_id()), "documents"), name
 
 
 def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """One row per input row: id, class_id and group_id (ids of the first row of each), n_shingles, n_classes of the group, keep."""
-    base = numbered(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))).withColumnRenamed("_row_id", "row_id")
-    found = near_duplicates(base, threshold)
+    base, row = numbered(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")))
+    found = near_duplicates(base.withColumnRenamed(row, "row_id"), threshold)
     return found.select(F.col("id").alias(id_col), "class_id", "group_id", "n_shingles", "n_classes", (F.col("row_id") == F.col("group_row")).alias("keep"))
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The first row of each near-duplicate group, with all its columns."""
-    whole = numbered(docs)
-    base = whole.select(F.col("_row_id").alias("row_id"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    keep = near_duplicates(base, threshold).filter("row_id = group_row").select(F.col("row_id").alias("_row_id"))
-    return whole.join(keep, "_row_id", "left_semi").select(*docs.columns)
+    whole, row = numbered(docs)
+    base = whole.select(F.col(row).alias("row_id"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    keep = near_duplicates(base, threshold).filter("row_id = group_row").select(F.col("row_id").alias(row))
+    return whole.join(keep, row, "left_semi").select(*docs.columns)
