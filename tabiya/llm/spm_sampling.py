@@ -138,6 +138,11 @@ class Chunks:
             running[first + count - 1] = 1.0
             prob[at], upto[at] = p, np.repeat(nodes, count) + running
         self.size, self.piece, self.prob, self.upto = size, piece, prob, upto
+        # sums of whole numbers are exact, so a text's sums do not depend on the texts beside it
+        self.units = np.rint(np.log(prob) * _UNIT).astype(np.int64)
+        rest = np.where(np.repeat(np.diff(self.edge0) == 1, np.diff(self.edge0)), 0.0, 1.0 - prob)
+        with np.errstate(divide="ignore"):
+            self.log_rest = np.log(np.where(rest <= 1e-15, 0.0, rest))
 
     def _edges(self, cps: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, ...]:
         p = self.pieces
@@ -198,6 +203,7 @@ class Search:
 
     def __init__(self, chunks: Chunks, occurrence: np.ndarray, first: np.ndarray, key: np.ndarray):
         self.node0, self.edge0, self.size, _, self.prob, self.cumulative = chunks.arrays()
+        self.units, self.log_rest = chunks.units, chunks.log_rest
         self.occurrence, self.first, self.key = occurrence, first, key
         length = np.diff(self.node0)[occurrence]
         self.length = length
@@ -223,8 +229,12 @@ class Search:
             graph = self.node0[self.occurrence[o]] + n - 1
             place = self.position[o] + n - self.position[self.first[text[rows[live]]]]
             u = _noise(self.key[text[rows[live]]], sample, place, 0)
-            edge = np.searchsorted(self.cumulative, graph + u)
-            edge = np.minimum(edge, self.edge0[graph + 1] - 1)
+            # the first edge whose running sum reaches the draw; long pieces come first and are the likely ones
+            edge, draw = self.edge0[graph], graph + u
+            behind = np.flatnonzero(self.cumulative[edge] < draw)
+            while len(behind):
+                edge[behind] += 1
+                behind = behind[self.cumulative[edge[behind]] < draw[behind]]
             out.append((rows[live], o, np.full(len(live), turn), n, edge))
             at[live] = n - self.size[edge]
             live = live[at[live] > 0]
@@ -278,20 +288,18 @@ class Search:
 
     def _settle(self, sample, text, value, mass, row, occ, node, edge, kept, old, opened, paths):
         """Store complete paths (kept steps of an older path and the new steps) and open the new steps' siblings."""
-        # sums of whole numbers are exact, so a text's sums do not depend on the texts beside it
-        logp = np.rint(np.log(self.prob[edge]) * _UNIT).astype(np.int64)
         count = np.bincount(row, minlength=len(text))
         begin = np.cumsum(count) - count
-        total = np.concatenate(([0], np.cumsum(logp)))
+        total = np.concatenate(([0], np.cumsum(self.units[edge])))
         # mass of the node a step starts from: what was fixed before it
         before = mass[row] + (total[:-1] - total[begin[row]]) / _UNIT
-        rest = 1.0 - self.prob[edge]
-        single = np.diff(self.edge0)[self.node0[self.occurrence[occ]] + node - 1] == 1
-        rest = np.where(single | (rest <= 1e-15), 0.0, rest)
-        place = self.position[occ] + node - self.position[self.first[text[row]]]
-        with np.errstate(divide="ignore"):
-            g = _truncated(before + np.log(rest), value[row], _noise(self.key[text[row]], sample, place, 1))
-        g = np.where(rest > 0, g, -np.inf)
+        # only the k largest sibling groups of a text can be among its next paths; the early steps bound them
+        loc = before + self.log_rest[edge]
+        step = np.arange(len(row)) - begin[row]
+        hope = np.flatnonzero(loc > -np.inf)
+        place = self.position[occ[hope]] + node[hope] - self.position[self.first[text[row[hope]]]]
+        g = np.full(len(row), -np.inf)
+        g[hope] = _truncated(loc[hope], value[row[hope]], _noise(self.key[text[row[hope]]], sample, place, 1))
         number = len(paths)
         steps = {"occ": occ, "node": node, "edge": edge, "before": before}
         if old is not None:  # the older path's steps up to the branch, then the new ones
@@ -309,7 +317,6 @@ class Search:
         index = np.full(len(self.first) - 1, -1, np.int64)
         index[text] = np.arange(len(text))
         paths.append({"index": index, "offset": np.append(offset, new_count.sum()), **steps})
-        step = np.arange(len(row)) - begin[row]
         pick = _largest(g, row, step, len(text), self.k)
         opened["value"].append(g[pick])
         opened["text"].append(text[row[pick]])
@@ -358,7 +365,7 @@ class Search:
         for c in opened:
             opened[c] = [flat[c]]
         # the chosen edge, then best children to the beginning
-        logp = np.rint(np.log(self.prob[chosen]) * _UNIT) / _UNIT
+        logp = self.units[chosen] / _UNIT
         stop = node - self.size[chosen]
         last = np.where(stop > 0, occ, occ - 1)
         start = np.where(stop > 0, stop, np.where(last >= self.first[text], self.length[np.maximum(last, 0)], 0))
