@@ -107,9 +107,15 @@ def skew_transforms(cat: DataFrame) -> DataFrame:
              .drop("__md", "__mr"))
 
 
-def one_hot(df: DataFrame, col: str, domain: list[str], prefix: str | None = None) -> DataFrame:
-    """Dummy columns over an explicit domain (NULL -> all zeros)."""
+def domain_of(df: DataFrame, col: str) -> list[str]:
+    """The distinct non-null values of a category column, sorted (as many as a wide table has columns)."""
+    return sorted(r[0] for r in df.select(F.col(col).cast("string")).filter(F.col(col).isNotNull()).distinct().collect())
+
+
+def one_hot(df: DataFrame, col: str, domain: list[str] | None = None, prefix: str | None = None) -> DataFrame:
+    """Dummy columns over the values of the data, or an explicit domain (NULL -> all zeros)."""
     p = prefix or col
+    domain = domain_of(df, col) if domain is None else domain
     return df.withColumns({f"{p}_{v}": (F.col(col) == v).cast("int") for v in domain}).fillna(
         0, subset=[f"{p}_{v}" for v in domain])
 
@@ -153,13 +159,15 @@ def category_frequencies(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.selectExpr(stack).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def pivot_counts(df: DataFrame, row: str, col: str, domain: list[str]) -> DataFrame:
-    """Crosstab counts with an explicit column domain, missing -> 0."""
+def pivot_counts(df: DataFrame, row: str, col: str, domain: list[str] | None = None) -> DataFrame:
+    """Crosstab counts over the values of the data, or an explicit domain, missing -> 0."""
+    domain = domain_of(df, col) if domain is None else domain
     return df.groupBy(row).pivot(col, domain).count().fillna(0)
 
 
-def row_percent(pivot: DataFrame, row: str, domain: list[str]) -> DataFrame:
+def row_percent(pivot: DataFrame, row: str, domain: list[str] | None = None) -> DataFrame:
     """Row-normalised crosstab: round(count/total, 3) * 100."""
+    domain = [c for c in pivot.columns if c != row] if domain is None else domain
     total = sum((F.col(f"`{d}`") for d in domain), F.lit(0))
     return pivot.select(row, *[(F.round(F.col(f"`{d}`") / total, 3) * 100).alias(d) for d in domain])
 
@@ -208,16 +216,19 @@ def distribution_vs_targets(df: DataFrame, targets: dict[str, float], key: str =
              .drop("__total"))
 
 
-def align_schema(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Add missing columns as NULL, drop extra ones, fixed order."""
+def align_schema(df: DataFrame, cols: list[str], like: DataFrame | None = None) -> DataFrame:
+    """Add missing columns as NULL, drop extra ones, fixed order.
+
+    A missing column gets the type it has in ``like`` (string without one)."""
     present = set(df.columns)
-    return df.select(*[F.col(c) if c in present else F.lit(None).cast("string").alias(c) for c in cols])
+    kind = {f.name: f.dataType for f in like.schema.fields} if like is not None else {}
+    return df.select(*[F.col(c) if c in present else F.lit(None).cast(kind.get(c, "string")).alias(c) for c in cols])
 
 
 def merge_catalogues(current: DataFrame, incoming: DataFrame, cols: list[str], key: str = "resource_id") -> DataFrame:
     """New ids (anti join) aligned to the current schema, appended, deduped
     by id (current rows win)."""
-    cur = align_schema(current, cols).withColumn("__src", F.lit(0))
-    new = align_schema(incoming, cols).join(current.select(key), key, "left_anti").withColumn("__src", F.lit(1))
+    cur = align_schema(current, cols, incoming).withColumn("__src", F.lit(0))
+    new = align_schema(incoming, cols, current).join(current.select(key), key, "left_anti").withColumn("__src", F.lit(1))
     both = cur.unionByName(new)
     return keep_first(both, [key], [F.col("__src")]).drop("__src")

@@ -26,16 +26,15 @@ def with_player_color(positions: DataFrame, rule: str = "game_parity") -> DataFr
 
 
 def build_theory_book(positions: DataFrame, max_ply: int = 15, source_col: str | None = None,
-                      games_per_source: int = 10_000) -> DataFrame:
-    """Distinct position keys of the first ``max_ply`` plies of at most
-    ``games_per_source`` games per source file (first by game id).
+                      games_per_source: int | None = None) -> DataFrame:
+    """Distinct position keys of the first ``max_ply`` plies of all games.
 
-    The per-source cap is a ``row_number() <= N`` over distinct games; Spark
-    plans it with a map-side WindowGroupLimit, so a hot source ships at most N
-    candidates per map partition to the final ranking.
+    A caller who wants the reference's limit gives ``games_per_source``: then
+    only that many games of each source file count (first by game id), by a
+    ``row_number() <= N`` that Spark plans with a map-side WindowGroupLimit.
     """
     p = positions.filter(F.col("ply") <= max_ply)
-    if source_col is not None:
+    if source_col is not None and games_per_source is not None:
         games = p.select(source_col, "game_id").distinct()
         w = Window.partitionBy(source_col).orderBy("game_id")
         keep = games.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= games_per_source)

@@ -348,13 +348,16 @@ def band_aggregate(targets: DataFrame, games: DataFrame, half_width: int = 200)
     """For every target rating, aggregate of the games whose rating lies
     within +-half_width (inclusive). Games are pre-aggregated by distinct rating
     (a table bounded by the rating scale) and the band becomes an equi join on
-    exploded integer offsets of that small table."""
-    per = games.groupBy(F.col("rating").cast("long").alias("g_rating")).agg(
+    exploded whole ratings of that small table, with the exact bounds checked
+    after it, so ratings with a fraction keep their place."""
+    per = games.groupBy(F.col("rating").cast("double").alias("g_exact")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("acl").alias("acl_sum"), F.count("acl").alias("acl_n"),
         F.sum("theory_depth").alias("t_sum"))
-    t = targets.select(F.col("rating").cast("long").alias("target")).distinct()
-    te = t.withColumn("g_rating", F.explode(F.sequence(F.col("target") - half_width, F.col("target") + half_width)))
-    j = te.join(per, "g_rating")
+    per = per.withColumn("g_rating", F.floor("g_exact"))
+    kind = targets.schema["rating"].dataType.simpleString()
+    t = targets.select(F.col("rating").cast("long" if kind in ("int", "bigint") else "double").alias("target")).distinct()
+    te = t.withColumn("g_rating", F.explode(F.sequence(F.floor(F.col("target") - half_width), F.floor(F.col("target") + half_width))))
+    j = te.join(per, "g_rating").filter(F.abs(F.col("g_exact") - F.col("target")) <= half_width)
     return j.groupBy("target").agg(F.sum("n").alias("n_games"), (F.sum("acl_sum") / F.sum("acl_n")).alias("acl_mean"),
                                    (F.sum("t_sum") / F.sum("n")).alias("theory_mean"))
 
@@ -420,21 +423,21 @@ LABEL_COURSE_TYPE = {
 }
 
 
-def label_driven_plan(profiles: DataFrame, catalog: DataFrame, top_n: int = 3, pool: int = 6) -> DataFrame:
+def label_driven_plan(profiles: DataFrame, catalog: DataFrame, top_n: int = 3) -> DataFrame:
     """R07 + R08: label-driven resource scoring for every labelled line
     (low-volume lines excluded), top n per line.
 
     score = 40 [openings contain the base opening] + colour (10 same / 5 both)
     + 20 / 10 preferred course types of the label + 8 study focus of the group
-    + 5 richness - 15 for opening courses when accuracy >= the group's high mark
+    + 5 richness + 5 popularity_score (where the catalogue has one) - 15 for opening courses when accuracy >= the group's high mark
     and the label is neither critical nor empty theory; range filter and
     avoided types of the group.
 
     The non-opening part of the score depends on the line only through a
     *rest key* (colour, label, group, penalty, range class). Per rest key the
-    best ``pool`` (= 2 n) resources are enough for the non-matching side: if
-    fewer than n of them miss the opening, the matching ones (+40) fill the top
-    n. Matching resources come from the opening bridge. Candidates are thus
+    best 2 n resources are enough for the non-matching side: if fewer than n of
+    them miss the opening, more than n match it, and their +40 puts them before
+    every resource outside the 2 n. Matching resources come from the opening bridge. Candidates are thus
     bounded by rest keys x catalogue and bridge size, not by the number of lines.
     """
     from ..functions import scalar as S
@@ -452,7 +455,8 @@ def label_driven_plan(profiles: DataFrame, catalog: DataFrame, top_n: int = 3, p
                                    & ~F.col("label").isin("PUNTO_CRITICO", "TEORIA_VACIA")).cast("int"))
     lo, hi = rating_key(F.col("rating"))
     pr = pr.withColumn("r_lo", lo).withColumn("r_hi", hi)
-    res = catalog.select("resource_id", "openings", "course_type",
+    popularity = F.coalesce(F.col("popularity_score").cast("double"), F.lit(0.0)) if "popularity_score" in catalog.columns else F.lit(0.0)
+    res = catalog.select("resource_id", "openings", "course_type", popularity.alias("popularity"),
                          F.lower(F.coalesce(F.col("color"), F.lit("Both"))).alias("rcolor"),
                          (F.coalesce("has_video", F.lit(0)) + F.coalesce("has_pgn", F.lit(0))
                           + F.coalesce("has_exercises", F.lit(0)) + F.coalesce("has_spaced_rep", F.lit(0))).alias("richness"),
@@ -474,7 +478,7 @@ def label_driven_plan(profiles: DataFrame, catalog: DataFrame, top_n: int = 3, p
             F.array_contains(F.coalesce(F.col("prefs"), F.array(F.lit("general"))), ct), 10).otherwise(0)
         foc = F.when(F.array_contains(F.col("focus"), ct), 8).otherwise(0)
         pen = F.when((F.col("penalty") == 1) & (ct == "opening"), -15).otherwise(0)
-        return (col_s + pref + foc + pen).cast("double") + F.col("richness") * 5.0
+        return (col_s + pref + foc + pen).cast("double") + F.col("richness") * 5.0 + F.col("popularity") * 5.0
 
     def eligible(df):
         return df.filter((F.col("lo") <= F.col("a")) & (F.col("hi") >= F.col("b"))
@@ -490,7 +494,7 @@ def label_driven_plan(profiles: DataFrame, catalog: DataFrame, top_n: int = 3, p
                                                    lambda x: x >= F.col("lo"))))
     scored = eligible(res_a.join(rk_b, "a")).withColumn("s", rest_score(None))
     w = Window.partitionBy(*rest_cols).orderBy(F.desc("s"), "resource_id")
-    pools = scored.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= pool).drop("__r")
+    pools = scored.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= 2 * top_n).drop("__r")
     # opening-matching resources per (apertura, rest key)
     ap = pr.select(F.col("apertura").alias("opening"), F.col("apertura").alias("term")).distinct()
     mt = match_bridge(ap, catalog, ["openings"]).withColumnRenamed("opening", "apertura")
@@ -526,20 +530,21 @@ def _type_bonus(ct: F.Column) -> F.Column:
 
 
 def three_priority_search(requests: DataFrame, catalog: DataFrame, top_n: int = 3,
-                          excluded: DataFrame | None = None, max_excluded: int = 15) -> DataFrame:
+                          excluded: DataFrame | None = None, small_pool: int = 10) -> DataFrame:
     """Application search for every request at once.
 
     requests: (req_id, color ['white'/'black'], opening, level, rating, free [1/0/NULL]).
     Pool: colour in {colour, both, NULL} (whole catalogue when that leaves
-    fewer than 10 rows), free filter, level range (skipped when it empties the
+    fewer than ``small_pool`` rows, as the application does), free filter, level range (skipped when it empties the
     pool), minus ``excluded`` (req_id, resource_id). Score 60 opening match +
     20 title match + 0.5 rating + type bonus. P1 = match and tier, P2 = match
     any tier (if P1 < n), P3 = no match (if P1 + P2 < n); first 2n, then the
     diversified top n (W12); rows outside P1 carry ``fallback_tier``.
 
-    Matching candidates come from the opening bridge; non-matching ones from a
-    per (opening, pool key) top-(2n + max_excluded) list, so no request ever
-    scans the catalogue.
+    Matching candidates come from the opening bridge. P3 opens only when fewer
+    than n matching ones remain, so the best 2n + (n - 1) + x of a request's
+    pool hold its best 2n non-matching ones, x being the largest number of
+    resources any request excludes: one list per pool key, whatever the opening.
     """
     spark = catalog.sparkSession
     ensure_checkpoint_dir(spark)
@@ -555,7 +560,7 @@ def three_priority_search(requests: DataFrame, catalog: DataFrame, top_n: int =
     cc = res.select(F.explode(F.array(F.lit("white"), F.lit("black"))).alias("color_en"), "rcolor") \
         .filter(F.col("rcolor").isin("both") | (F.col("rcolor") == F.col("color_en"))) \
         .groupBy("color_en").agg(F.count(F.lit(1)).alias("__nc"))
-    rq = rq.join(F.broadcast(cc), "color_en", "left").withColumn("all_colors", F.coalesce(F.col("__nc"), F.lit(0)) < 10)
+    rq = rq.join(F.broadcast(cc), "color_en", "left").withColumn("all_colors", F.coalesce(F.col("__nc"), F.lit(0)) < small_pool)
     # range classes (see search_resources); a class with no resource in range -> range skipped
     lo_b = sorted(r["lo"] for r in res.select("lo").distinct().collect())  # Elo bounds: <= 10^4 values
     hi_b = sorted(r["hi"] for r in res.select("hi").distinct().collect())
@@ -596,14 +601,20 @@ def three_priority_search(requests: DataFrame, catalog: DataFrame, top_n: int =
     matched = in_pool(matched).filter(range_ok(matched))
     matched = matched.withColumn("score", F.col("m_open") * 60.0 + F.col("m_title") * 20.0 + base).withColumn(
         "prio", F.when(F.col("level_tier") == F.col("tier_obj"), 1).otherwise(2))
-    # non-matching candidates: best (2n + max_excluded) per (opening, pool key, use_range)
-    ok = rq.select("opening", *pool_key, "use_range").distinct()
-    nm = ok.join(res_k, ["color_en", "all_colors", "free_key"])
-    nm = nm.filter(range_ok(nm)).join(mb.select("opening", "resource_id"), ["opening", "resource_id"], "left_anti")
-    nm = nm.withColumn("score", base).withColumn("prio", F.lit(3))
-    w_nm = Window.partitionBy("opening", *pool_key, "use_range").orderBy(F.desc("score"), "resource_id")
-    nm = nm.withColumn("__r", F.row_number().over(w_nm)).filter(F.col("__r") <= 2 * top_n + max_excluded).drop("__r")
-    nm = rq.join(nm, ["opening", *pool_key, "use_range"])
+    # non-matching candidates: the best of each pool key, long enough for every request
+    most = 0
+    if excluded is not None:
+        most = excluded.groupBy("req_id").agg(F.count(F.lit(1)).alias("x")).agg(F.max("x")).first()[0] or 0
+    nm = rq.select(*pool_key, "use_range").distinct().join(res_k, ["color_en", "all_colors", "free_key"])
+    nm = nm.filter(range_ok(nm)).withColumn("score", base).withColumn("prio", F.lit(3))
+    w_nm = Window.partitionBy(*pool_key, "use_range").orderBy(F.desc("score"), "resource_id")
+    nm = nm.withColumn("__r", F.row_number().over(w_nm)).filter(F.col("__r") <= 3 * top_n - 1 + most).drop("__r")
+    few = matched.select("req_id", "resource_id").distinct()
+    if excluded is not None:
+        few = few.join(excluded.select("req_id", "resource_id"), ["req_id", "resource_id"], "left_anti")
+    few = few.groupBy("req_id").agg(F.count(F.lit(1)).alias("__k")).filter(F.col("__k") >= top_n)
+    nm = rq.join(few, "req_id", "left_anti").join(nm, [*pool_key, "use_range"])
+    nm = nm.join(mb.select("opening", "resource_id"), ["opening", "resource_id"], "left_anti")
     cols = ["req_id", "resource_id", "title", "source", "course_type", "level_tier", "is_free", "score", "prio"]
     cand = matched.select(*cols).unionByName(nm.select(*cols))
     if excluded is not None:

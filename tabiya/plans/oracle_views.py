@@ -15,7 +15,8 @@ _POSITIONS = ("SELECT " + ", ".join(fx.POSITIONS_EXPRS) +
 _CATALOG = "SELECT " + ", ".join(fx.CATALOG_EXPRS) + " FROM part"
 _MESSAGES = ("SELECT " + ", ".join(fx._message_exprs("CAST(DATE '2021-11-01' + CAST(conv_id AS INT) AS DATE)")) +
              " FROM conversations")
-_BOOK = "SELECT DISTINCT pos_key FROM positions WHERE game_id % 40 = 0 AND ply <= 15"
+_BOOK = ("SELECT DISTINCT pos_key FROM (SELECT pos_key, n, avg(n) OVER (PARTITION BY ply) AS mean FROM "
+         "(SELECT ply, pos_key, count(*) AS n FROM positions WHERE ply <= 15 GROUP BY ply, pos_key) c) d WHERE n >= mean")
 
 
 def acc_sql(x: str, digits: int = 2) -> str:

@@ -41,7 +41,7 @@ _CTYPES = ["opening", "tactics", "middlegame", "endgame", "general", "video"]
     [f"coalesce(CAST(color = '{v}' AS INT), 0) AS color_{v}" for v in _COLORS]
     + [f"coalesce(CAST(course_type = '{v}' AS INT), 0) AS course_type_{v}" for v in _CTYPES]) + " FROM catalog")
 def p23(spark, sf):
-    c = C.one_hot(C.one_hot(fx.catalog(spark, sf), "color", _COLORS), "course_type", _CTYPES)
+    c = C.one_hot(C.one_hot(fx.catalog(spark, sf), "color"), "course_type")
     return c.select("resource_id", *[f"color_{v}" for v in _COLORS], *[f"course_type_{v}" for v in _CTYPES])
 
 
@@ -96,15 +96,15 @@ def a16(spark, sf):
 @register("a17_pivot_source_tier", "SELECT source, " + ", ".join(
     f"count(*) FILTER (WHERE level_tier = '{t}') AS {t}" for t in TIERS4) + " FROM catalog GROUP BY source")
 def a17(spark, sf):
-    return C.pivot_counts(fx.catalog(spark, sf), "source", "level_tier", TIERS4)
+    return C.pivot_counts(fx.catalog(spark, sf), "source", "level_tier")
 
 
 @register("a18_row_percent", "WITH p AS (SELECT course_type, " + ", ".join(
     f"count(*) FILTER (WHERE level_tier = '{t}') AS {t}" for t in TIERS4) + " FROM catalog GROUP BY course_type) SELECT course_type, "
     + ", ".join(f"round(round({t} / ({' + '.join(TIERS4)}), 3) * 100, 8) AS {t}" for t in TIERS4) + " FROM p")
 def a18(spark, sf):
-    p = C.pivot_counts(fx.catalog(spark, sf), "course_type", "level_tier", TIERS4)
-    return finalize(C.row_percent(p, "course_type", TIERS4))
+    p = C.pivot_counts(fx.catalog(spark, sf), "course_type", "level_tier")
+    return finalize(C.row_percent(p, "course_type"))
 
 
 @register("a19_crosstab_margins", f"""WITH {_RETIER_SQL}

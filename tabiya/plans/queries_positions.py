@@ -35,13 +35,9 @@ def _book(spark, sf):
     return fx.theory_book(fx.positions(spark, sf))
 
 
-@register("s12_theory_book_build", """
-WITH gsrc AS (SELECT DISTINCT game_id % 10 AS source_file, game_id FROM positions WHERE ply <= 15),
-keep AS (SELECT game_id FROM (SELECT *, row_number() OVER (PARTITION BY source_file ORDER BY game_id) AS rn FROM gsrc) WHERE rn <= 10000)
-SELECT DISTINCT pos_key FROM positions WHERE ply <= 15 AND game_id IN (SELECT game_id FROM keep)""")
+@register("s12_theory_book_build", "SELECT DISTINCT pos_key FROM positions WHERE ply <= 15")
 def s12(spark, sf):
-    pos = fx.positions(spark, sf).withColumn("source_file", F.col("game_id") % 10)
-    return PO.build_theory_book(pos, 15, "source_file", 10_000)
+    return PO.build_theory_book(fx.positions(spark, sf), 15)
 
 
 @register("j06_theory_membership", """

@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoints whose DataFrames are gone are deleted
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # a broadcast side must stay small: anything above 32 MB is shuffled
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     # deep CASE chains (keyword rules) make inferred-constraint propagation
@@ -59,13 +61,16 @@ def get_session(app: str = "tabiya", cpus: int | str = "*", shuffle_partitions:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting points at shared storage and is used as is. Only
-    when it is unset (local tests) a private folder is created and registered.
+    On a cluster the setting points at shared storage and is used as is. Where it
+    is unset, a local session (tests) gets a private folder; on a cluster that
+    folder would be out of the executors' sight, so it is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="tabiya-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if not spark.sparkContext.getCheckpointDir():

@@ -98,7 +98,7 @@ def _message_exprs(date_expr: str) -> list[str]:
         f"WHEN 6 THEN concat({opening_case('turn % 12')}, ' against 1.e4 ') WHEN 7 THEN '*Fundamentals* of strategy ' ELSE '' END, "
         "CASE (conv_id + turn) % 7 WHEN 0 THEN 'https://www.chessable.com/course/x-1' "
         "WHEN 1 THEN 'http://youtu.be/abc (https://unknown.example/y)' "
-        "WHEN 2 THEN 'https://www.modernchess.com/course/z' ELSE '' END, chr(10), substr(text, 1, 80)) AS text",
+        "WHEN 2 THEN 'https://www.modernchess.com/course/z' ELSE '' END, chr(10), text) AS text",
         "CASE (conv_id * 5 + turn) % 8 WHEN 0 THEN 'Najdorf_Guide.pdf' WHEN 1 THEN 'games-2200.PGN' "
         "WHEN 2 THEN 'photo.jpg' ELSE NULL END AS file_name",
     ]
@@ -131,5 +131,8 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def theory_book(pos: DataFrame) -> DataFrame:
-    """Fixture theory book: distinct keys of the first 15 plies of every 40th game."""
-    return pos.filter((F.col("game_id") % 40 == 0) & (F.col("ply") <= 15)).select("pos_key").distinct()
+    """Fixture theory book over all games: the keys of the first 15 plies that are
+    reached at least as often as the mean key of their ply."""
+    keys = pos.filter(F.col("ply") <= 15).groupBy("ply", "pos_key").agg(F.count(F.lit(1)).alias("n"))
+    mean = keys.groupBy("ply").agg(F.avg("n").alias("mean"))
+    return keys.join(mean, "ply").filter(F.col("n") >= F.col("mean")).select("pos_key").distinct()

@@ -23,14 +23,19 @@ def pending_work(all_keys: DataFrame, done_log: DataFrame, key: str = "player")
     return all_keys.select(key).distinct().join(done_log.select(key), key, "left_anti")
 
 
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder through Spark's file systems; none where the folder does not exist."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in store.listStatus(p)] if store.exists(p) else []
+
+
 def _append_new(batch: DataFrame, target: str, key: str, order_col: str) -> None:
     spark = batch.sparkSession
     fresh = keep_first(batch, [key], [F.col(order_col)])
-    try:
-        known = spark.read.parquet(target).select(key)
-        fresh = fresh.join(known, key, "left_anti")
-    except Exception:  # noqa: BLE001 - first batch: the target does not exist yet
-        pass
+    # only a target without data files is new; any error while reading one ends the batch
+    if any(n.startswith("part-") for n in _children(spark, target)):
+        fresh = fresh.join(spark.read.parquet(target).select(key), key, "left_anti")
     fresh.write.mode("append").parquet(target)
 
 
@@ -108,7 +113,11 @@ def stream_blunder_state(spark: SparkSession, source_dir: str, schema, target_ba
     """I03 as a stream: the blunder event log is aggregated per game by a
     streaming aggregation (update mode: only games touched in the batch are
     emitted); each batch upserts them into the state table, written as a new
-    version (S09) so readers never see a half-written table."""
+    version (S09) so readers never see a half-written table.
+
+    The newest complete version (one with Spark's ``_SUCCESS`` mark) of
+    ``target_base`` is where a run starts and, without new events, its result;
+    None if there never was an event."""
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -120,7 +129,11 @@ def stream_blunder_state(spark: SparkSession, source_dir: str, schema, target_ba
         F.max(F.when(obs, F.col("ts"))).alias("last_seen"),
         F.max_by(F.col("kind"), F.struct(F.col("ts"), F.when(F.col("kind") == "observe", 0)
                                           .when(F.col("kind") == "reset", 1).otherwise(2))).alias("last_kind"))
-    state = {"path": None}
+
+    def newest(before: int | None = None) -> str | None:
+        done = [n for n in _children(spark, target_base) if n.startswith("v") and "_SUCCESS" in _children(spark, f"{target_base}/{n}")]
+        done = [n for n in sorted(done) if before is None or int(n[1:]) < before]
+        return f"{target_base}/{done[-1]}" if done else None
 
     def upsert(df: DataFrame, epoch: int) -> None:
         upd = df.filter(F.col("best").isNotNull()).select(
@@ -128,12 +141,13 @@ def stream_blunder_state(spark: SparkSession, source_dir: str, schema, target_ba
             F.col("best.fen").alias("fen"), F.col("best.loss").alias("loss"), "last_seen",
             (F.col("last_kind") == "upload").alias("uploaded"))
         path = f"{target_base}/v{epoch:09d}"
-        if state["path"] is not None:
-            old = df.sparkSession.read.parquet(state["path"])
+        # a batch that runs again starts from the version before it
+        if (last := newest(before=epoch)) is not None:
+            old = df.sparkSession.read.parquet(last)
             upd = old.join(upd.select("game_id"), "game_id", "left_anti").unionByName(upd)
         upd.write.mode("overwrite").parquet(path)
-        state["path"] = path
+
     q = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(upsert)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return state["path"]
+    return newest()

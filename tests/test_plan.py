@@ -56,7 +56,7 @@ def _bonus(ct):
         next((v for k, v in R.TYPE_BONUS if k in t), 0)
 
 
-def _brute(req, cat, n=3):
+def _brute(req, cat, n=3, excluded=()):
     color_en = req["color"]
     col = cat["color"].fillna("Both").str.strip().str.lower()
     pool = cat[col.isin([color_en, "both"])]
@@ -64,6 +64,7 @@ def _brute(req, cat, n=3):
         pool = cat
     pr = pool[(pool["level_min"].fillna(0) <= req["rating"]) & (pool["level_max"].fillna(9999) >= req["rating"])]
     pool = pr if len(pr) else pool
+    pool = pool[~pool["resource_id"].isin(list(excluded))]
     terms = _terms(req["opening"])
     tier = R.LEVEL_TO_TIER.get(req["level"], "intermediate")
     rows = []

@@ -45,7 +45,7 @@ def test_fixture_check_values(spark):
     ex = PO.theory_exit(pos, fx.theory_book(pos))
     r = ex.agg(F.count(F.lit(1)).alias("n"), F.sum("theory_end").alias("s"), F.max("theory_end").alias("m"),
                F.sum((F.col("theory_end") == 0).cast("int")).alias("z")).collect()[0]
-    assert (r["n"], r["s"], r["m"], r["z"]) == (3200, 35169, 15, 149)
+    assert (r["n"], r["s"], r["m"], r["z"]) == (3200, 17692, 15, 482)
     g = fx.games(spark, SF01).agg(F.count(F.lit(1)).alias("n"), F.count("acl").alias("na"),
                                   F.sum("theory_depth").alias("sd")).collect()[0]
     assert (g["n"], g["na"], g["sd"]) == (10000, 9584, 87068)
