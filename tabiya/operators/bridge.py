@@ -1,18 +1,21 @@
 """Opening-term expansion and the opening -> resource bridge.
 
 The containment join ``term in lower(text)`` is turned into an equi join: a
-term can only occur in a text that contains the term's first trigram, so both
-sides are keyed by trigram (text side: every trigram of the text, term side:
-its first trigram), joined on it, and the candidates verified with ``instr``.
-The result is exact, needs no broadcast of the catalogue and no nested loop.
+term can only occur in a text that has all the term's trigrams, so both sides
+are keyed by trigram (text side: those that some term has, term side: its
+rarest one), joined on it, and the candidates verified with ``instr``. The
+result is exact, needs no broadcast of the catalogue and no nested loop.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..session import ensure_checkpoint_dir
 
 GRAM = 3
 
@@ -49,31 +52,46 @@ def synonym_terms(openings: DataFrame, variant: str = "pipeline", col: str = "op
                         F.col("pos.term_order").alias("term_order"))
 
 
-def _trigrams(text: F.Column) -> F.Column:
-    return F.expr("transform(sequence(1, greatest(length(__t) - 2, 1)), i -> substr(__t, i, 3))")
+def _grams(text: F.Column, n: int) -> F.Column:
+    """All substrings of ``n`` characters (none where the text is shorter)."""
+    return F.when(F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(text, i, F.lit(n)))).otherwise(
+        F.array().cast("array<string>"))
 
 
 def match_bridge(terms: DataFrame, resources: DataFrame, text_cols: list[str], word_terms: list[str] | None = None,
                  id_col: str = "resource_id") -> DataFrame:
     """J08 + T26: (opening, resource_id) pairs where some term of the opening
     occurs in lower(one of ``text_cols``). Terms listed in ``word_terms`` must
-    match with non-letter boundaries (start-or-non-letter, term, non-letter-or-end)."""
-    pieces = []
-    for c in text_cols:
-        t = resources.select(id_col, F.lower(F.col(c)).alias("__t")).filter(F.col("__t").isNotNull())
-        g = t.select(id_col, "__t", F.explode(F.array_distinct(_trigrams(F.col("__t")))).alias("gram"))
-        pieces.append(g)
-    grams = pieces[0]
-    for p in pieces[1:]:
-        grams = grams.unionByName(p)
-    tt = terms.select("opening", "term").distinct().withColumn("gram", F.substring("term", 1, GRAM))
-    cand = grams.join(tt, "gram")
+    match with non-letter boundaries (start-or-non-letter, term, non-letter-or-end).
+
+    Only distinct texts are searched, under a number; grams carry the number,
+    not the text. A term of three characters or more is looked up under the one
+    of its trigrams that the fewest texts have, a shorter one under itself.
+    """
+    ensure_checkpoint_dir(resources.sparkSession)
+    parts = [resources.select(id_col, F.lower(F.col(c)).alias("__t")).filter(F.col("__t").isNotNull()) for c in text_cols]
+    rows = functools.reduce(DataFrame.unionByName, parts)
+    # the numbers must be the same in every branch below
+    texts = rows.select("__t").distinct().withColumn("__id", F.monotonically_increasing_id()).checkpoint(eager=True)
+    tt = terms.select("term").distinct().filter(F.length("term") > 0).checkpoint(eager=True)
+    short = [r[0] for r in tt.filter(F.length("term") < GRAM).select(F.length("term")).distinct().collect()]  # 1 and 2 at most
+    every = F.flatten(F.array(*[_grams(F.col("__t"), n) for n in sorted({GRAM, *short})]))
+    grams = texts.select("__id", F.explode(F.array_distinct(every)).alias("gram"))
+    mine = tt.select("term", F.explode(F.when(F.length("term") < GRAM, F.array("term")).otherwise(_grams(F.col("term"), GRAM))).alias("gram")).distinct()
+    wanted = mine.select("gram").distinct()
+    grams = grams.join(wanted, "gram", "left_semi").checkpoint(eager=True)
+    df = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    # a term with a gram that no text has cannot occur
+    rare = mine.join(df, "gram", "left").groupBy("term").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), F.col("gram"))).alias("g"))
+    rare = rare.filter(F.col("g.df") > 0).select("term", F.col("g.gram").alias("gram"))
+    cand = grams.join(rare, "gram").select("term", "__id").join(texts, "__id")
     ok = F.instr(F.col("__t"), F.col("term")) > 0
     if word_terms:
         # the word terms are plain lower-case words, so they embed in the pattern as is
         bounded = F.regexp(F.col("__t"), F.concat(F.lit("(^|[^a-z])"), F.col("term"), F.lit("([^a-z]|$)")))
         ok = ok & (~F.col("term").isin(*word_terms) | bounded)
-    return cand.filter(ok).select("opening", id_col).distinct()
+    hits = cand.filter(ok).select("term", "__t")
+    return hits.join(rows, "__t").join(terms.select("opening", "term").distinct(), "term").select("opening", id_col).distinct()
 
 
 def rating_key(rating: F.Column) -> tuple[F.Column, F.Column]:
@@ -81,8 +99,3 @@ def rating_key(rating: F.Column) -> tuple[F.Column, F.Column]:
     lo <= floor(r) and ceil(r) <= hi, so (floor, ceil) is an exact, bounded
     key for the range test (integer domain) and lets requests be deduplicated."""
     return F.floor(rating).cast("long"), F.ceil(rating).cast("long")
-
-
-def in_range(level_min: str = "level_min", level_max: str = "level_max", lo: str = "r_lo", hi: str = "r_hi") -> F.Column:
-    """J07 predicate: coalesce(level_min, 0) <= rating <= coalesce(level_max, 9999)."""
-    return (F.coalesce(F.col(level_min), F.lit(0)) <= F.col(lo)) & (F.coalesce(F.col(level_max), F.lit(9999)) >= F.col(hi))

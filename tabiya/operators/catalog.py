@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 from ..functions import text as X
-from .common import attach_scalars, keep_first
+from .common import attach_scalars, attach_values, exact_quantiles, keep_first
 
 CATALOG_SCHEMA_COLS = [
     "resource_id", "source", "title", "url", "resource_type", "format", "course_type", "openings", "color", "author",
@@ -96,8 +96,8 @@ def skew_transforms(cat: DataFrame) -> DataFrame:
     """log1p(duration or median), log10(views or 1) + 1... as in the catalogue
     preparation: duration/rating NULL <- median (exact), views NULL <- 1 then log10(x+1),
     price NULL <- 0 then log1p; tier ordinal."""
-    med = cat.agg(F.percentile("duration_min", 0.5).alias("__md"), F.percentile("rating_score", 0.5).alias("__mr"))
-    c = attach_scalars(cat, med)
+    med = exact_quantiles(cat, ["duration_min", "rating_score"], [0.5])
+    c = attach_values(cat, {"__md": med["duration_min"][0], "__mr": med["rating_score"][0]})
     tier = F.create_map(*[x for kv in TIER_ORDER.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
     return (c.withColumn("log_duration", F.log1p(F.coalesce(F.col("duration_min").cast("double"), F.col("__md"))))
              .withColumn("log_views", F.log10(F.coalesce(F.col("views_yt").cast("double"), F.lit(1.0)) + 1))

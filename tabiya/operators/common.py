@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
+
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row aggregate to every row of ``df``.
 
@@ -46,16 +51,59 @@ def keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return agg.select(*keys, *[F.col(f"__r.{c}").alias(c) for c in others])
 
 
+def _ranged(df: DataFrame, order: list) -> DataFrame:
+    """``df`` sorted by range partitions whose number ``__pid`` is kept by a reliable checkpoint, so that
+    every later branch sees the same partitions whatever adaptive execution does to its own shuffles."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__pid", F.spark_partition_id()).checkpoint(eager=True)
+
+
 def global_rank(df: DataFrame, order: list, rank_col: str = "rank") -> DataFrame:
     """Dense 1..N position of every row under ``order`` without a single-task
     window: range-partition + sort, count rows per partition (a tiny table of
     one row per partition), prefix-sum the counts, add the row index inside the
     partition."""
-    pid = "__pid"
-    s = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(pid, F.spark_partition_id())
-    from pyspark.sql import Window
-    s = s.withColumn("__i", F.row_number().over(Window.partitionBy(pid).orderBy(*order)))
-    counts = s.groupBy(pid).agg(F.count(F.lit(1)).alias("__c"))
-    offs = counts.withColumn("__off", F.sum("__c").over(Window.orderBy(pid).rowsBetween(Window.unboundedPreceding, -1)))
-    offs = F.broadcast(offs.select(pid, F.coalesce(F.col("__off"), F.lit(0)).alias("__off")))
-    return s.join(offs, pid).withColumn(rank_col, F.col("__off") + F.col("__i")).drop(pid, "__i", "__off")
+    s = _ranged(df, order).withColumn("__i", F.row_number().over(Window.partitionBy("__pid").orderBy(*order)))
+    counts = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__c"))
+    offs = counts.withColumn("__off", F.sum("__c").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)))
+    offs = F.broadcast(offs.select("__pid", F.coalesce(F.col("__off"), F.lit(0)).alias("__off")))
+    return s.join(offs, "__pid").withColumn(rank_col, F.col("__off") + F.col("__i")).drop("__pid", "__i", "__off")
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list[float | None]]:
+    """Exact quantiles (linear interpolation) of numeric columns over all rows.
+
+    No task holds all distinct values: (column, value) pairs are counted,
+    range-partitioned and prefix-summed, one sum per partition and column
+    reaches the driver, and so do the two order statistics around each quantile.
+    """
+    stack = f"stack({len(cols)}, " + ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols) + ") AS (name, value)"
+    counts = df.selectExpr(stack).filter(F.col("value").isNotNull()).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+    s = _ranged(counts, ["name", "value"])
+    before: dict[str, int] = {}
+    parts, total = [], {}
+    for r in s.groupBy("name", "__pid").agg(F.sum("n").alias("n")).orderBy("name", "__pid").collect():
+        parts.append((r["name"], r["__pid"], before.get(r["name"], 0), r["n"]))
+        before[r["name"]] = total[r["name"]] = before.get(r["name"], 0) + r["n"]
+    wanted = {(c, k) for c, n in total.items() for p in probs for k in {math.floor(p * (n - 1)), math.ceil(p * (n - 1))}}
+    at = [(c, pid, base, k) for c, pid, base, n in parts for cc, k in wanted if cc == c and base <= k < base + n]
+    if not at:
+        return {c: [None] * len(probs) for c in cols}
+    at_df = df.sparkSession.createDataFrame(at, "name string, __pid int, base long, k long")
+    running = F.sum("n").over(Window.partitionBy("name", "__pid").orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    hit = s.withColumn("upto", running).join(F.broadcast(at_df), ["name", "__pid"]).filter(
+        (F.col("k") < F.col("base") + F.col("upto")) & (F.col("k") >= F.col("base") + F.col("upto") - F.col("n")))
+    value = {(r["name"], r["k"]): r["value"] for r in hit.select("name", "k", "value").collect()}
+
+    def quantile(c: str, p: float) -> float | None:
+        if c not in total:
+            return None
+        x = p * (total[c] - 1)
+        lo, hi = value[c, math.floor(x)], value[c, math.ceil(x)]
+        return lo + (hi - lo) * (x - math.floor(x))
+    return {c: [quantile(c, p) for p in probs] for c in cols}
+
+
+def attach_values(df: DataFrame, values: dict[str, float | None]) -> DataFrame:
+    """Constant double columns."""
+    return df.withColumns({k: F.lit(v).cast("double") for k, v in values.items()})

@@ -59,12 +59,15 @@ def rf_experiments(df: DataFrame, label: str, feature_sets: dict, fold_col: str
                    num_trees: int = 200, max_depth: int = 8, min_leaf: int = 20, seed: int = 42,
                    n_folds: int = 5) -> list[tuple]:
     """M04 + M06: random forest per feature set, group k-fold CV on the
-    training users (``foldCol``) and weighted F1 on the held-out users."""
+    training users (``foldCol``) and weighted F1 on the held-out users. Class
+    weights are those of the training rows."""
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
     idx = StringIndexer(inputCol=label, outputCol="label", handleInvalid="keep").fit(df)
     # every fit re-reads the training rows: materialise them once (reliable checkpoint)
-    d = balanced_weights(idx.transform(df), "label").checkpoint(eager=True)
+    d = idx.transform(df)
+    fit_rows = balanced_weights(d.filter(F.col(split_col)), "label").checkpoint(eager=True)
+    held_out = d.filter(~F.col(split_col)).checkpoint(eager=True)
     ev = MulticlassClassificationEvaluator(metricName="weightedFMeasure")
     res = []
     for name, cols in feature_sets.items():
@@ -72,8 +75,7 @@ def rf_experiments(df: DataFrame, label: str, feature_sets: dict, fold_col: str
         rf = RandomForestClassifier(numTrees=num_trees, maxDepth=max_depth, minInstancesPerNode=min_leaf, seed=seed,
                                     weightCol="class_weight")
         grid = ParamGridBuilder().addGrid(rf.maxDepth, [max_depth]).build()
-        train = asm.transform(d.filter(F.col(split_col)))
-        test = asm.transform(d.filter(~F.col(split_col)))
+        train, test = asm.transform(fit_rows), asm.transform(held_out)
         cv = CrossValidator(estimator=rf, estimatorParamMaps=grid, evaluator=ev, foldCol=fold_col, numFolds=n_folds,
                             seed=seed)
         model = cv.fit(train)
@@ -83,33 +85,43 @@ def rf_experiments(df: DataFrame, label: str, feature_sets: dict, fold_col: str
     return res
 
 
-def tree_rules(df: DataFrame, label: str, cols: list[str], max_depth: int = 4, min_leaf: int = 30, seed: int = 42):
-    """Depth-4 decision tree (balanced weights) and its leaf rules
-    (class, training count, confidence, conditions), sorted by count."""
-    idx = StringIndexer(inputCol=label, outputCol="label").fit(df)
-    d = balanced_weights(idx.transform(df), "label")
-    d = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep").transform(d)
+def tree_rules(df: DataFrame, label: str, cols: list[str], split_col: str = "is_train", max_depth: int = 4, min_leaf: int = 30,
+               seed: int = 42) -> tuple[DataFrame, float, float]:
+    """Depth-4 decision tree (balanced weights of the training rows) and its
+    leaves as rules: (predicted, n, confidence, conditions) with the real number
+    of training rows in each leaf and the share of them that have the predicted
+    class; and the accuracies on training and held-out rows."""
+    idx = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(df)
+    d = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep").transform(idx.transform(df))
+    train, test = d.filter(F.col(split_col)), d.filter(~F.col(split_col))
     model = DecisionTreeClassifier(maxDepth=max_depth, minInstancesPerNode=min_leaf, weightCol="class_weight",
-                                   seed=seed).fit(d)
-    labels = idx.labels
-    rules = []
+                                   seed=seed).fit(balanced_weights(train, "label"))
+    leaves = []
 
     def walk(node, conds):
         if node.getClass().getSimpleName() == "LeafNode":
-            stats = list(node.impurityStats().stats())
-            tot = sum(stats)
-            pred = int(node.prediction())
-            rules.append((labels[pred] if pred < len(labels) else str(pred), float(tot),
-                          float(stats[pred] / tot) if tot else 0.0, " AND ".join(conds) or "TRUE"))
+            leaves.append((int(node.prediction()), conds))
             return
         split = node.split()
-        f = cols[split.featureIndex()]
-        thr = float(split.threshold())
-        walk(node.leftChild(), conds + [f"{f} <= {thr:.4f}"])
-        walk(node.rightChild(), conds + [f"{f} > {thr:.4f}"])
+        f, thr = cols[split.featureIndex()], float(split.threshold())
+        walk(node.leftChild(), conds + [(f, "<=", thr)])
+        walk(node.rightChild(), conds + [(f, ">", thr)])
     walk(model._java_obj.rootNode(), [])
-    rules.sort(key=lambda r: -r[1])
-    return model, rules
+
+    def holds(conds):
+        c = F.lit(True)
+        for f, op, thr in conds:
+            c = c & ((F.col(f) <= thr) if op == "<=" else (F.col(f) > thr))
+        return c
+    # one pass counts the rows of every leaf (at most 2 ** max_depth) by its conditions
+    leaf = F.coalesce(*[F.when(holds(c), F.lit(i)) for i, (_, c) in enumerate(leaves)])
+    pred = F.element_at(F.array(*[F.lit(float(p)) for p, _ in leaves]), leaf + 1)
+    got = {r["leaf"]: r for r in train.select(leaf.alias("leaf"), (pred == F.col("label")).cast("double").alias("ok")).groupBy("leaf").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("ok").alias("ok")).collect()}
+    rules = [(idx.labels[p], got[i]["n"] if i in got else 0, got[i]["ok"] if i in got else None, " AND ".join(f"{f} {op} {thr:.4f}" for f, op, thr in c) or "TRUE")
+             for i, (p, c) in enumerate(leaves)]
+    acc = [x.select(F.avg((pred == F.col("label")).cast("double"))).first()[0] for x in (train, test)]
+    return df.sparkSession.createDataFrame(rules, "predicted string, n long, confidence double, conditions string"), acc[0], acc[1]
 
 
 def save_and_load(df: DataFrame, path: str, features=K.FEATURES, k: int = 3, seed: int = 42) -> DataFrame:
@@ -122,21 +134,25 @@ def save_and_load(df: DataFrame, path: str, features=K.FEATURES, k: int = 3, see
     return PipelineModel.load(path).transform(df)
 
 
-def player_groups(games: DataFrame, band: DataFrame, min_rows: int = 30, k: int = 3, seed: int = 42) -> DataFrame:
-    """Player group by KMeans on (rating, accuracy of the +-200 band mean
-    acl, band mean theory), clusters ordered by mean rating; with fewer than
-    ``min_rows`` games the P14 rule group is used."""
+def player_groups(games: DataFrame, band: DataFrame, min_rows: int | None = None, k: int = 3, seed: int = 42) -> DataFrame:
+    """Group of every point of ``band`` (rating, accuracy of the +-200 band's
+    mean acl, band's mean theory) by the nearest centroid of a KMeans fitted on
+    the standardised (rating, accuracy, theory) of the games; clusters are named
+    by rising mean rating. With ``min_rows`` given and fewer games, the P14 rule
+    group is used instead (the reference's own switch, at 30 rows)."""
     from ..functions import scalar as S
-    pts = band.select(F.col("target").alias("rating"), S.accuracy("acl_mean", 1).alias("acc"),
-                      F.col("theory_mean").alias("theory"))
-    if games.limit(min_rows).count() < min_rows:
+    pts = band.select(F.col("target").cast("double").alias("rating"), S.accuracy("acl_mean", 1).alias("acc"), F.col("theory_mean").alias("theory"))
+    if min_rows is not None and games.limit(min_rows).count() < min_rows:
         return pts.withColumn("group", S.rule_group("rating"))
-    vec = VectorAssembler(inputCols=["rating", "acc", "theory"], outputCol="features", handleInvalid="skip").transform(pts)
-    m = KMeans(k=k, seed=seed).fit(vec)
-    pred = m.transform(vec)
-    order = pred.groupBy("prediction").agg(F.avg("rating").alias("__r"))
-    names = F.array(*[F.lit(x) for x in ("principiante", "intermedio", "avanzado")])
-    from pyspark.sql import Window
-    order = order.withColumn("__i", F.row_number().over(Window.orderBy("__r")) - 1)  # k rows
-    return pred.join(F.broadcast(order), "prediction").withColumn("group", F.element_at(names, F.col("__i") + 1)).select(
-        "rating", "acc", "theory", "group")
+    cols = ["rating", "acc", "theory"]
+    g = games.select(F.col("rating").cast("double").alias("rating"), S.accuracy("acl", 1).alias("acc"), F.col("theory_depth").cast("double").alias("theory")).dropna()
+    st = g.agg(*[F.avg(c).alias(f"m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).first()
+
+    def scaled(df):
+        return df.withColumns({f"z_{c}": (F.col(c) - st[f"m_{c}"]) / (st[f"s_{c}"] or 1.0) for c in cols})
+    vec = VectorAssembler(inputCols=[f"z_{c}" for c in cols], outputCol="features", handleInvalid="skip")
+    model = KMeans(k=k, seed=seed).fit(vec.transform(scaled(g)))
+    order = sorted(range(len(model.clusterCenters())), key=lambda i: model.clusterCenters()[i][0])
+    names = dict(zip(order, ("principiante", "intermedio", "avanzado")))
+    group = F.element_at(F.array(*[F.lit(names.get(i)) for i in range(len(order))]), F.col("prediction") + 1)
+    return model.transform(vec.transform(scaled(pts))).select(*cols, group.alias("group"))

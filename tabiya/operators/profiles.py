@@ -241,12 +241,3 @@ def ordered_users(games: DataFrame) -> DataFrame:
     """First rating per user (file order), sorted by rating."""
     return (games.groupBy("player").agg(F.min_by("rating", "ingest_seq").alias("rating"))
                  .orderBy("rating", "player"))
-
-
-def global_median_fill(df: DataFrame, cols: list[str], default: float = 50.0) -> DataFrame:
-    """Null feature <- median of that feature over all rows (one-row aggregate attached)."""
-    med = df.agg(*[F.percentile(c, 0.5).alias(f"__med_{c}") for c in cols])
-    out = attach_scalars(df, med)
-    for c in cols:
-        out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"__med_{c}"), F.lit(default)))
-    return out.drop(*[f"__med_{c}" for c in cols])

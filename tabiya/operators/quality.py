@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
-from .common import attach_scalars
+from .common import attach_scalars, attach_values, exact_quantiles
 
 CLASS_ORDER_4 = ["beginner", "intermediate", "advanced", "expert"]
 
@@ -23,8 +23,7 @@ def audit_by_band(games: DataFrame) -> DataFrame:
     d = (d.withColumn("accuracy", S.accuracy("avg_acl", 1))
           .withColumn("win_pct", F.bround(F.col("win_rate") * 100, 1))
           .withColumn("few_users", F.col("users") < 2))
-    med = games.agg(F.percentile("acl", 0.5).alias("global_median_acl"))
-    return attach_scalars(d, med)
+    return attach_values(d, {"global_median_acl": exact_quantiles(games, ["acl"], [0.5])["acl"][0]})
 
 
 def top_contributors(games: DataFrame, n: int = 5) -> DataFrame:

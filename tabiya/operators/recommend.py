@@ -13,9 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bridge import in_range, match_bridge, rating_key, synonym_terms
+from .bridge import match_bridge, rating_key, synonym_terms
 from ..session import ensure_checkpoint_dir
-from .common import attach_scalars, bound_class
+from .common import attach_scalars, attach_values, bound_class, exact_quantiles
 
 RESOURCE_COLS = ["resource_id", "title", "source", "level_tier", "is_free", "course_type"]
 # Level name maps of the recommenders.
@@ -132,8 +132,7 @@ def similarity_profiles(game_lv: DataFrame) -> DataFrame:
         F.avg((lv == "desarrollo").cast("double")).alias("pct_desarrollo"),
         F.avg((lv == "sin_base").cast("double")).alias("pct_sin_base"),
         F.avg("score").alias("win_rate"), F.count_distinct("opening").cast("double").alias("n_openings"))
-    med = p.agg(*[F.percentile(c, 0.5).alias(f"__m_{c}") for c in KNN_FEATURES])
-    out = attach_scalars(p, med)
+    out = attach_values(p, {f"__m_{c}": q[0] for c, q in exact_quantiles(p, KNN_FEATURES, [0.5]).items()})
     for c in KNN_FEATURES:
         out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"__m_{c}"), F.lit(50.0)))
     return out.drop(*[f"__m_{c}" for c in KNN_FEATURES])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach_scalars
+from .common import attach_scalars, attach_values, exact_quantiles
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
@@ -74,9 +74,9 @@ def leakage_free_user_features(games: DataFrame, split: DataFrame) -> DataFrame:
         F.avg("acl_w").alias("avg_acl_user"), F.coalesce(F.stddev_samp("acl_w"), F.lit(0.0)).alias("std_acl_user"),
         F.count("game_id").alias("n_games_user"))
     cols = ["win_rate_user", "avg_theory_user", "avg_acl_user", "std_acl_user", "n_games_user"]
-    med = stats.agg(*[F.percentile(c, 0.5).alias(f"__m_{c}") for c in cols])
+    med = {f"__m_{c}": q[0] for c, q in exact_quantiles(stats, cols, [0.5]).items()}
     users = g.select("player", "is_train").distinct().join(stats, "player", "left")
-    out = attach_scalars(users, med)
+    out = attach_values(users, med)
     for c in cols:
         out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), F.col(f"__m_{c}")))
     return out.drop(*[f"__m_{c}" for c in cols])

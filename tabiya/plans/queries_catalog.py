@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import scalar as S
 from ..functions import text as X
 from ..operators import catalog as C
+from ..operators.common import exact_quantiles
 from ..sources import fixtures as fx
 from .queries_text import _RETIER_SQL
 from .registry import finalize, register
@@ -168,8 +169,9 @@ def a23(spark, sf):
     exprs = [(k, F.col(k).cast("double")) for k in _DESC_COLS] + \
             [(f"log10_{k}", F.log10(F.col(k).cast("double") + 1)) for k in ["views_yt", "price_eur"]]
     c = c.select(*[e.alias(k) for k, e in exprs])
+    med = exact_quantiles(c, [k for k, _ in exprs], [0.5])
     parts = [c.agg(F.lit(k).alias("feature"), F.avg(k).alias("mean"), F.stddev_samp(k).alias("std"),
-                   F.min(k).alias("min"), F.percentile(k, 0.5).alias("median"), F.max(k).alias("max"),
+                   F.min(k).alias("min"), F.lit(med[k][0]).cast("double").alias("median"), F.max(k).alias("max"),
                    F.skewness(k).alias("skew")) for k, _ in exprs]
     out = parts[0]
     for p in parts[1:]:

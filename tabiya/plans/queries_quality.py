@@ -141,7 +141,7 @@ def m03(spark, sf):
     return finalize(ST.balanced_weights(u, "level3").select("level3", "class_weight").distinct())
 
 
-@register("a05_j02_leakage_free_features", """
+@register("a05_leakage_free_features", """
 WITH g AS (SELECT *, (player * 7919 + 42) % 100 < 80 AS is_train FROM gx),
 s AS (SELECT player, avg(score) AS win_rate_user, avg(theory_depth) AS avg_theory_user, avg(acl_w) AS avg_acl_user,
    coalesce(stddev_samp(acl_w), 0.0) AS std_acl_user, CAST(count(game_id) AS DOUBLE) AS n_games_user FROM g WHERE is_train GROUP BY player),
@@ -155,3 +155,28 @@ def a05(spark, sf):
     g = P.game_features(fx.games(spark, sf))
     split = ST.group_split(g.select("player"), method="modulus")
     return finalize(ST.leakage_free_user_features(g, split))
+
+
+_A05_SQL = """
+WITH g AS (SELECT *, (player * 7919 + 42) % 100 < 80 AS is_train FROM gx),
+s AS (SELECT player, avg(score) AS win_rate_user, avg(theory_depth) AS avg_theory_user, avg(acl_w) AS avg_acl_user,
+   coalesce(stddev_samp(acl_w), 0.0) AS std_acl_user, CAST(count(game_id) AS DOUBLE) AS n_games_user FROM g WHERE is_train GROUP BY player),
+m AS (SELECT quantile_cont(win_rate_user, 0.5) AS m1, quantile_cont(avg_theory_user, 0.5) AS m2, quantile_cont(avg_acl_user, 0.5) AS m3,
+   quantile_cont(std_acl_user, 0.5) AS m4, quantile_cont(n_games_user, 0.5) AS m5 FROM s),
+u AS (SELECT DISTINCT player, is_train FROM g)
+SELECT u.player, u.is_train, round(coalesce(win_rate_user, m1), 8) AS win_rate_user, round(coalesce(avg_theory_user, m2), 8) AS avg_theory_user,
+  round(coalesce(avg_acl_user, m3), 8) AS avg_acl_user, round(coalesce(std_acl_user, m4), 8) AS std_acl_user,
+  round(coalesce(n_games_user, m5), 8) AS n_games_user FROM u LEFT JOIN s USING (player), m"""
+
+
+@register("j02_join_regenerated_columns", f"""
+SELECT g.game_id, g.player, u.is_train, u.win_rate_user, u.avg_acl_user, round(g.acl_w - u.avg_acl_user, 8) AS acl_vs_user
+FROM gx g JOIN ({_A05_SQL}) u USING (player)""")
+def j02(spark, sf):
+    # the enriched games hold user columns of all games: they go, and come back from the training games by an inner join
+    e = P.enrich_games(fx.games(spark, sf))
+    split = ST.group_split(e.select("player"), method="modulus")
+    own = ST.leakage_free_user_features(P.game_features(fx.games(spark, sf)), split)
+    d = e.drop(*[c for c in own.columns if c != "player"]).join(own, "player")
+    d = d.withColumn("acl_vs_user", F.col("acl_w") - F.col("avg_acl_user"))
+    return finalize(d.select("game_id", "player", "is_train", "win_rate_user", "avg_acl_user", "acl_vs_user"))

@@ -62,10 +62,31 @@ def s06(spark, sf):
     return io.read_study_feed(spark, path, known).select("id", "name")
 
 
-@register("s10_snapshots")
+@register("s10_snapshots", """
+SELECT 'after' AS label, count(*) AS n FROM games UNION ALL SELECT 'before', count(*) FROM games
+UNION ALL SELECT 'every_10_users', count(*) FROM games WHERE player % 10 = 0""")
 def s10(spark, sf):
     g = fx.games(spark, sf).select("game_id", "player")
     base = new_run_dir(spark, "snap")
     io.write_snapshot(g, base, "before")
     io.write_snapshot(g.filter(F.col("player") % 10 == 0), base, "every_10_users")
-    return spark.read.parquet(base).groupBy(F.split("snapshot_ts", "_")[0].alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    io.write_snapshot(g, base, "after")
+    label = F.regexp_extract("snapshot_ts", "^(.*)_[^_]*$", 1)
+    return spark.read.parquet(base).groupBy(label.alias("label")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("s15_long_tables", "SELECT game_id, player, opening, color FROM games")
+def s15(spark, sf):
+    path = new_run_dir(spark, "features")
+    io.write_table(fx.games(spark, sf).select("game_id", "player", "opening", "color"), path, ["color"])
+    return spark.read.parquet(path).select("game_id", "player", "opening", "color")
+
+
+@register("s09_versioned_table", "SELECT game_id, player, rating + 1 AS rating FROM games")
+def s09(spark, sf):
+    base = new_run_dir(spark, "versions")
+    g = fx.games(spark, sf).select("game_id", "player", "rating")
+    io.write_versioned(g, base)
+    # the second version is made from the first one, which its readers keep until the new one is complete
+    io.write_versioned(io.read_newest(spark, base).withColumn("rating", F.col("rating") + 1), base)
+    return io.read_newest(spark, base)

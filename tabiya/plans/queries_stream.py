@@ -20,7 +20,7 @@ def i01(spark, sf):
     return I.pending_work(g, done)
 
 
-@register("i02_s09_exactly_once_stream_append", """SELECT game_id, player, opening FROM games""")
+@register("i02_exactly_once_stream_append", """SELECT game_id, player, opening FROM games""")
 def i02(spark, sf):
     g = fx.games(spark, sf).select("game_id", "player", "opening", "ingest_seq")
     base = I.new_run_dir(spark, "i02")
@@ -46,21 +46,22 @@ lastk AS (SELECT game_id, arg_max(kind, ts * 10 + CASE kind WHEN 'observe' THEN
 SELECT b.game_id, b.player, b.opening, b.fen, b.loss, l.last_seen, l.last_kind = 'upload' AS uploaded FROM best b JOIN lastk l USING (game_id)"""
 
 
-@register("i03_i04_blunder_state", _I03_SQL)
+@register("i04_pending_blunders", f"SELECT game_id, player, loss FROM ({_I03_SQL}) s WHERE NOT uploaded")
+def i04_pending(spark, sf):
+    return I.pending_blunders(I.blunder_state(_blunder_events(spark, sf))).select("game_id", "player", "loss")
+
+
+@register("i04_reset_player", f"SELECT game_id, player, loss, uploaded AND player <> 3 AS uploaded FROM ({_I03_SQL}) s")
+def i04_reset(spark, sf):
+    ev = _blunder_events(spark, sf)
+    # player 3 asks to see the uploaded ones again: a reset event for each of the player's blunders
+    reset = I.reset_events(I.blunder_state(ev), 30, 3).withColumn("ts", F.col("ts").cast("long"))
+    return I.blunder_state(ev.unionByName(reset)).select("game_id", "player", "loss", "uploaded")
+
+
+@register("i03_blunder_state", _I03_SQL)
 def i03(spark, sf):
-    l = PO.move_losses(fx.positions(spark, sf))
-    obs = l.filter(F.col("is_own") & (F.col("loss") > 100)).select(
-        "game_id", (F.col("game_id") % 150).cast("long").alias("player"),
-        F.concat(F.lit("op"), (F.col("game_id") % 12).cast("string")).alias("opening"), F.col("pos_before").alias("fen"),
-        "loss", F.col("ply").cast("long").alias("ts"), F.lit("observe").alias("kind"))
-    ids = obs.select("game_id").distinct()
-    nulls = [F.lit(None).cast(t).alias(c) for c, t in [("player", "long"), ("opening", "string"), ("fen", "string"),
-                                                         ("loss", "double")]]
-    up = ids.filter(F.col("game_id") % 3 == 0).select("game_id", *nulls, F.lit(20).cast("long").alias("ts"),
-                                                       F.lit("upload").alias("kind"))
-    rs = ids.filter(F.col("game_id") % 6 == 0).select("game_id", *nulls, F.lit(25).cast("long").alias("ts"),
-                                                       F.lit("reset").alias("kind"))
-    return I.blunder_state(obs.unionByName(up).unionByName(rs))
+    return I.blunder_state(_blunder_events(spark, sf))
 
 
 def _blunder_events(spark, sf):

@@ -44,9 +44,13 @@ def m04(spark, sf):
     users = ST.group_split(users, method="modulus")
     # folds over the training users only (held-out users never enter CV)
     folds = ST.snake_folds(users.filter("is_train"), "level3", "n", 5).select("player", "fold")
-    d = ST.group_split(e.join(folds, "player", "left"), method="modulus").fillna(0.0).fillna(0, ["fold"])
+    # user features of the training games only (A05), so nothing of the held-out users leaks
+    user = ["win_rate_user", "avg_theory_user", "avg_acl_user", "std_acl_user", "n_games_user"]
+    split = ST.group_split(e.select("player"), method="modulus")
+    own = ST.leakage_free_user_features(e, split).drop("is_train")
+    d = ST.group_split(e.drop(*user).join(own, "player").join(folds, "player", "left"), method="modulus").fillna(0.0).fillna(0, ["fold"])
     sets = {"game": ["theory_depth", "acl_w", "risk_index", "prep_score", "color_bin", "score"],
-            "user": ["win_rate_user", "avg_theory_user", "avg_acl_user", "std_acl_user", "n_games_user"]}
+            "user": user}
     sets["all"] = sets["game"] + sets["user"]
     rows = ML.rf_experiments(d, "level3", sets, num_trees=50)
     return finalize(spark.createDataFrame(rows, "feature_set string, cv_f1 double, test_f1 double, gap double"))
@@ -54,12 +58,14 @@ def m04(spark, sf):
 
 @register("m14_tree_rules")
 def m14(spark, sf):
-    e = P.game_features(fx.games(spark, sf)).fillna(0.0)
-    _m, rules = ML.tree_rules(e, "level3", ["theory_depth", "acl_w", "prep_score", "risk_index"])
-    return finalize(spark.createDataFrame(rules, "predicted string, n double, confidence double, conditions string"))
+    e = P.game_features(fx.games(spark, sf))
+    lv = K.game_levels(e, K.scaler_stats(e)).withColumn("level", R.level_of_cluster())
+    z = K.scale(ST.group_split(lv, method="modulus"), K.FEATURES, K.scaler_stats(e)).fillna(0.0)
+    rules, train_acc, test_acc = ML.tree_rules(z, "level", [f"z_{c}" for c in K.FEATURES])
+    return finalize(rules.withColumn("train_accuracy", F.lit(train_acc)).withColumn("test_accuracy", F.lit(test_acc)))
 
 
-@register("s13_s15_model_roundtrip")
+@register("s13_model_roundtrip")
 def s13(spark, sf):
     _e, z = _scaled(spark, sf)
     path = new_run_dir(spark, "model")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.common import keep_first
@@ -50,6 +50,23 @@ def write_versioned(df: DataFrame, base: str, mode: str = "overwrite") -> str:
     return path
 
 
+def newest_version(spark: SparkSession, base: str) -> str | None:
+    """The newest version of :func:`write_versioned` that has Spark's ``_SUCCESS`` mark."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(base)
+    store = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in store.listStatus(p)] if store.exists(p) else []
+    done = [n for n in sorted(names) if n.startswith("v") and store.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{n}/_SUCCESS"))]
+    return f"{base.rstrip('/')}/{done[-1]}" if done else None
+
+
+def read_newest(spark: SparkSession, base: str) -> DataFrame:
+    """The newest complete version."""
+    path = newest_version(spark, base)
+    if path is None:
+        raise FileNotFoundError(f"no complete version under {base}")
+    return spark.read.parquet(path)
+
+
 def write_snapshot(df: DataFrame, base: str, label: str) -> str:
     """Timestamped snapshot partition ``snapshot_ts=..`` under ``base``."""
     ts = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
