@@ -118,3 +118,29 @@ def test_blunder_state_survives_restarts(spark, tmp_path):
     add((3, 50, 2), (1, 300, 2))
     assert run() == {1: 300.0, 2: 200.0, 3: 50.0}
     assert run() == {1: 300.0, 2: 200.0, 3: 50.0}  # nothing new
+
+
+def test_bridge_finds_short_terms_and_shares_texts(spark):
+    from tabiya.operators.bridge import match_bridge
+
+    rows = [(f"r{k}", t) for k, t in enumerate(["1.d4 abc", "1.d4 abc", "x", "the defense of d4", "kingside", None, ""])] + [(f"h{k}", "the the the") for k in range(50)]
+    res = spark.createDataFrame(rows, "resource_id string, openings string")
+    terms = spark.createDataFrame([("A", "d4"), ("B", "x"), ("C", "the"), ("D", "defense of"), ("E", "zzz"), ("F", "the"), ("G", "")], "opening string, term string")
+    got = {(r.opening, r.resource_id) for r in match_bridge(terms, res, ["openings"]).collect()}
+    want = {(o, i) for o, t in [("A", "d4"), ("B", "x"), ("C", "the"), ("D", "defense of"), ("E", "zzz"), ("F", "the")] for i, s in rows if s and t in s}
+    assert got == want
+    assert match_bridge(terms, res, ["openings"], ["x"]).filter("opening = 'B'").count() == 1
+
+
+def test_exact_quantiles_equal_numpy(spark):
+    import numpy as np
+    from tabiya.operators.common import exact_quantiles, global_rank
+
+    rng = np.random.default_rng(1)
+    a, b = rng.integers(0, 20, 501).astype(float), rng.normal(size=501)
+    df = spark.createDataFrame([(float(x), float(y) if i % 3 else None, None) for i, (x, y) in enumerate(zip(a, b))], "a double, b double, c double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = exact_quantiles(df, ["a", "b", "c"], probs)
+    assert np.allclose(got["a"], np.quantile(a, probs)) and np.allclose(got["b"], np.quantile([y for i, y in enumerate(b) if i % 3], probs)) and got["c"] == [None] * 6
+    ranked = global_rank(df.select("b").filter("b is not null"), [F.col("b")]).orderBy("b").collect()
+    assert [r.rank for r in ranked] == list(range(1, len(ranked) + 1))
