@@ -21,7 +21,7 @@ HEADLINE = [
     "a10_j03_label_profile", "a11_j11_p14_opening_labels", "w01_theory_exit_tolerant", "w04_w05_post_theory_acl",
     "w07_worst_blunder", "t01_t02_t03_t04_retier_catalog", "t18_i05_message_resources", "m11_w10_opening_levels",
     "r01_j07_resource_search", "r02_direct_profile_recommender", "j09_knn_neighbours", "a12_audit_by_band",
-    "r07_r08_label_driven_plan", "t01_t05_t14_documents_volume",
+    "r07_r08_label_driven_plan", "t01_t05_t14_documents_volume", "r05_three_priority_search", "r06_study_plan",
 ]
 
 

@@ -148,17 +148,6 @@ def any_contains(text, terms: list[str]) -> Column:
     return cond
 
 
-def semantic_scores(title, description=None) -> dict[str, Column]:
-    """Up / down / anchor signal counts of lower(title + ' ' + description)."""
-    desc = F.coalesce(_c(description), F.lit("")) if description is not None else F.lit("")
-    text = F.lower(F.concat(F.coalesce(_c(title), F.lit("")), F.lit(" "), desc))
-    tl = F.lower(F.coalesce(_c(title), F.lit("")))
-    boost = F.when(any_contains(text, COMPLEX_OPENINGS) & any_contains(tl, DEPTH_QUALIFIERS), 1).otherwise(0)
-    up = count_contains(text, UPWARD_SIGNALS_STRICT) + boost + 2 * count_contains(tl, UPWARD_SIGNALS_STRICT)
-    return {"score_up": up, "score_down": count_contains(text, DOWNWARD_SIGNALS),
-            "score_anchor": count_contains(text, INTERMEDIATE_ANCHOR_SIGNALS)}
-
-
 def with_semantic_scores(df, title_col: str = "title", description_col: str | None = None):
     """T01 on a DataFrame: the lower-cased texts are materialised once as
     columns so the ~80 substring tests reference a column instead of
@@ -450,11 +439,6 @@ SYNONYMS = [
 ]
 
 
-def synonym_rows() -> list[tuple[int, str, int, str]]:
-    """(key_order, key, term_order, term) rows of the synonym dimension."""
-    return [(i, k, j, t) for i, (k, terms) in enumerate(SYNONYMS) for j, t in enumerate(terms)]
-
-
 # Opening synonyms of the application (T25 app variant).
 SYNONYMS_APP = [
     ("rapport-jobava system", ["jobava london", "london system"]), ("london system", ["london system"]),

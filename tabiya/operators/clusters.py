@@ -9,8 +9,6 @@ and an arg-min CASE), with no join at all.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,28 +27,6 @@ CLUSTER_NAMES = ["apertura_solida", "apertura_media", "apertura_debil"]
 LEVEL_PRIORITY = {"sin_base": 1, "desarrollo": 2, "dominio": 3}
 
 
-@dataclass
-class ClusterModel:
-    features: list[str]
-    means: list[float]
-    stds: list[float]
-    centroids: list[list[float]]
-
-
-def fit_scaler(df: DataFrame, features: list[str] = FEATURES) -> tuple[list[float], list[float]]:
-    """Mean and population std per feature (NULL -> 0 first; std 0 -> 1). One
-    aggregate row returned to the driver (2 x d numbers)."""
-    row = df.agg(*[F.avg(F.coalesce(F.col(c).cast("double"), F.lit(0.0))).alias(f"m_{c}") for c in features],
-                 *[F.stddev_pop(F.coalesce(F.col(c).cast("double"), F.lit(0.0))).alias(f"s_{c}") for c in features]).first()
-    means = [float(row[f"m_{c}"]) for c in features]
-    stds = [float(row[f"s_{c}"]) if row[f"s_{c}"] else 1.0 for c in features]
-    return means, stds
-
-
-def scaler_columns(features: list[str], means_df: DataFrame) -> DataFrame:
-    return means_df
-
-
 def scale(df: DataFrame, features: list[str], stats: DataFrame) -> DataFrame:
     """Standardise with a one-row stats frame (``m_<f>``, ``s_<f>``) attached."""
     d = attach_scalars(df, stats)

@@ -129,24 +129,6 @@ def worst_blunder(window_rows: DataFrame, threshold: float = 100.0) -> DataFrame
                       F.col("b.loss").alias("loss"))
 
 
-def analyse_games(positions: DataFrame, book: DataFrame, variant: str = "app") -> DataFrame:
-    """Per game: theory exit, post-theory ACL and worst blunder.
-
-    ``app``: tolerant exit, 12 own moves, NULL evals skipped, worst blunder.
-    ``pipeline``: tolerant exit, 12 board plies, failed evals -> 0, first blunder.
-    ``bulk``: strict exit, 12 board plies.
-    """
-    exit_variant = "strict" if variant == "bulk" else "tolerant"
-    exits = theory_exit(positions, book, exit_variant)
-    losses = move_losses(positions, on_missing="null" if variant == "app" else "zero")
-    win = post_theory_window(losses, exits, 12, "own" if variant == "app" else "board")
-    acl = game_acl(win, 1 if variant == "app" else None)
-    bl = (worst_blunder(win) if variant == "app" else first_blunder(win))
-    bl = bl.select("game_id", F.col("ply").alias("blunder_ply"), F.col("pos_before").alias("blunder_pos"),
-                   F.col("loss").alias("blunder_loss"))
-    return exits.join(acl, "game_id", "left").join(bl, "game_id", "left")
-
-
 def blunders_of_weak_games(game_acl_df: DataFrame, positions: DataFrame, book: DataFrame,
                            min_mean_acl: float = 100.0) -> DataFrame:
     """Worst blunder only for games whose mean ACL exceeds ``min_mean_acl``

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
-from ..functions import text as X
 from ..operators import clusters as K
 from ..operators import profiles as P
 from ..operators import recommend as R
@@ -266,5 +265,3 @@ def m08(spark, sf):
         F.col("mode") == 1, "intermedio").otherwise("principiante"))
     return finalize(j.filter(F.col("y_true") != F.col("y_pred")).select("player", "y_true", "y_pred", "rating"))
 
-
-_ = X

@@ -4,7 +4,6 @@ equivalent DuckDB SQL used as the differential oracle."""
 from __future__ import annotations
 
 import functools
-import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,5 +71,3 @@ def oracle_sql() -> dict[str, str]:
     _load_all()
     return dict(ORACLE)
 
-
-_ = re
