@@ -513,6 +513,14 @@ def label_driven_plan(profiles: DataFrame, catalog: DataFrame, top_n: int = 3) -
     return lines.join(best, ["apertura", *rest_cols]).drop("apertura", "a", "b", "color_en", "penalty")
 
 
+def rank_lines(profiles: DataFrame) -> DataFrame:
+    """Every player's lines in the order of study: label priority,
+    then accuracy; low-volume lines are left out, unknown labels come last."""
+    d = profiles.filter(F.col("label") != "VOLUMEN_BAJO").withColumn("label_priority", F.coalesce(F.col("label_priority"), F.lit(99)))
+    w = Window.partitionBy("player").orderBy("label_priority", F.round("accuracy_pct", 8), "opening", "color")
+    return d.withColumn("line_rank", F.row_number().over(w).cast("long"))
+
+
 # Course-type bonus (first key contained wins) and level -> tier (app search).
 TYPE_BONUS = [("video", 8), ("youtube", 8), ("book", 6), ("libro", 6), ("lichess_study", 4)]
 LEVEL_TO_TIER = {"sin_base": "beginner", "desarrollo": "intermediate", "dominio": "expert"}

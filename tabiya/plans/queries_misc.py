@@ -171,6 +171,36 @@ def s07(spark, sf):
     return page_cards(read_table(spark, sf, "pages", ["page_id", "html"]))
 
 
+_CARD_TEXT = "regexp_replace(html, '<[^>]*>', ' ', 'g')"
+_PLAIN = "trim(regexp_replace(regexp_replace({x}, '<[^>]*>', '', 'g'), '\\s+', ' ', 'g'))"
+_DURATION = r"(\d+(?:\.\d+)?)\s*h(?:\s*and\s*(\d+)\s*min)?|(\d+)\s*min"
+
+
+def _card_sql():
+    from ..functions import text as X
+    from .queries_text import _triple_sql
+    title = _PLAIN.format(x="regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1)")
+    types = " ".join(f"WHEN {Q.any_contains('lower(title)', w)} THEN {Q.q(n)}" for n, w in X.CARD_COURSE_TYPES[1:])
+    return f"""
+WITH c AS (SELECT page_id, html, {title} AS title, regexp_extract(html, '<a [^>]*href="([^"]*)"', 1) AS url, {_CARD_TEXT} AS text FROM pages),
+d AS (SELECT *, {_triple_sql('text')} AS tr FROM c WHERE title <> '' AND url <> '')
+SELECT page_id, title, url, CASE WHEN contains(text, 'Video Content') THEN 'video' ELSE 'interactive' END AS format,
+  CASE WHEN {Q.any_contains('lower(title)', X.CARD_COURSE_TYPES[0][1])} THEN 'opening' {types} ELSE 'general' END AS course_type,
+  CAST(split_part(tr, '#', 1) AS INT) AS level_min, CAST(split_part(tr, '#', 2) AS INT) AS level_max, split_part(tr, '#', 3) AS level_tier,
+  CASE WHEN regexp_extract(text, '{_DURATION}', 3) <> '' THEN CAST(regexp_extract(text, '{_DURATION}', 3) AS DOUBLE)
+       WHEN regexp_extract(text, '{_DURATION}', 1) <> '' THEN CAST(regexp_extract(text, '{_DURATION}', 1) AS DOUBLE) * 60
+         + coalesce(CAST(nullif(regexp_extract(text, '{_DURATION}', 2), '') AS DOUBLE), 0.0) END AS duration_min,
+  substr({_PLAIN.format(x="regexp_extract(html, '(?s)<p[^>]*>(.*?)</p>', 1)")}, 1, 300) AS description FROM d"""
+
+
+@register("s07_course_cards", _card_sql())
+def s07_cards(spark, sf):
+    from ..sources.io import course_cards
+    # the pages of the fixture have h1 headings and no course links: the first link stands for one
+    d = course_cards(read_table(spark, sf, "pages", ["page_id", "html"]), "h1", "")
+    return d.select("page_id", "title", "url", "format", "course_type", "level_min", "level_max", "level_tier", "duration_min", "description")
+
+
 @register("s08_search_links", """
 WITH l AS (SELECT page_id, regexp_extract_all(html, '<a href="/([^"]+)">', 1) AS ids,
                   regexp_extract_all(html, '<a href="/[^"]+">([^<]*)</a>', 1) AS titles FROM pages),

@@ -209,6 +209,20 @@ def r07(spark, sf):
                                "score", "rank"))
 
 
+def _lines_sql():
+    from .queries_core import _A10_SQL
+    return f"""WITH {_A10_SQL}
+SELECT player, opening, color, label, coalesce(label_priority, 99) AS label_priority, round(accuracy_pct, 8) AS accuracy_pct,
+  row_number() OVER (PARTITION BY player ORDER BY coalesce(label_priority, 99), round(accuracy_pct, 8), opening, color) AS line_rank
+FROM labp WHERE label <> 'VOLUMEN_BAJO'"""
+
+
+@register("w09_r08_line_ranking", _lines_sql())
+def w09_lines(spark, sf):
+    lab = R.rank_lines(P.label_openings(P.label_profile(fx.games(spark, sf))))
+    return finalize(lab.select("player", "opening", "color", "label", "label_priority", "accuracy_pct", "line_rank"))
+
+
 def _app_levels(spark, sf):
     e = P.game_features(fx.games(spark, sf))
     return K.opening_levels(e, K.scaler_stats(e))

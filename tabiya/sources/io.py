@@ -7,6 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as X
 from ..operators.common import keep_first
 
 GAME_REQUIRED = ["game_id", "player", "rating", "opening", "color", "theory_depth", "acl", "score"]
@@ -112,6 +113,37 @@ def page_cards(pages: DataFrame) -> DataFrame:
                         F.when(F.instr(h, "Video Content") > 0, 1).otherwise(0).alias("has_video"), color.alias("color"))
 
 
+def course_cards(pages: DataFrame, heading_tag: str = "h2", link_part: str = "/course/", id_prefix: str = "mc", source: str = "modern_chess",
+                 description_chars: int = 300) -> DataFrame:
+    """S07 in full: one course card per page that has a heading and a course link.
+
+    Heading, course link and slug, openings named by ``opening=`` links, colour and course type by the
+    title, authors by ``/author/`` links and their title, duration, four feature flags, level triple and
+    description from the text. ``link_part`` may be empty: then the first link of the page counts.
+    """
+    h = F.col("html")
+
+    def plain(x):
+        return F.trim(F.regexp_replace(F.regexp_replace(x, "<[^>]*>", ""), r"\s+", " "))
+    heading = plain(F.regexp_extract(h, f"(?s)<{heading_tag}[^>]*>(.*?)</{heading_tag}>", 1))
+    link = F.regexp_extract(h, f'<a [^>]*href="([^"]*{link_part}[^"]*)"', 1)
+    named = F.regexp_extract_all(h, F.lit(r'<a [^>]*href="[^"]*opening=([^&"]+)'), 1)
+    authors = F.transform(F.regexp_extract_all(h, F.lit(r'(?s)<a [^>]*href="[^"]*/author/[^"]*"[^>]*>(.*?)</a>'), 1), plain)
+    d = pages.select("page_id", h.alias("html"), heading.alias("title"), link.alias("url"), F.regexp_replace(h, "<[^>]*>", " ").alias("text"),
+                     F.array_join(F.array_distinct(F.transform(named, lambda x: F.replace(x, F.lit("+"), F.lit(" ")))), "|").alias("openings"),
+                     F.array_join(authors, ", ").alias("author"))
+    d = d.filter((F.col("title") != "") & (F.col("url") != ""))
+    slug = F.regexp_extract("url", "/course/([^/]+)/", 1)
+    flags = {"has_video": "Video Content", "has_pgn": "PGN Download", "has_exercises": "Interactive Tests", "has_spaced_rep": "Memory Booster"}
+    d = d.withColumns({k: F.contains(F.col("text"), F.lit(v)).cast("int") for k, v in flags.items()}).withColumn("tr", X.level_triple("text"))
+    return d.select("page_id", X.slug_id(F.lit(id_prefix), F.when(slug != "", slug).otherwise(F.substring("title", 1, 30)), 60).alias("resource_id"), F.lit(source).alias("source"),
+                    "title", "url", F.when(F.col("has_video") == 1, "video").otherwise("interactive").alias("format"),
+                    X.course_type_of_card("title", "openings").alias("course_type"), "openings", X.color_of_card_title("title").alias("color"),
+                    "author", X.author_title("author").alias("author_title"), "tr.level_min", "tr.level_max", "tr.level_tier",
+                    X.text_duration_minutes("text").alias("duration_min"), *flags,
+                    F.substring(plain(F.regexp_extract("html", "(?s)<p[^>]*>(.*?)</p>", 1)), 1, description_chars).alias("description"))
+
+
 def search_links(pages: DataFrame, n: int = 3) -> DataFrame:
     """Link ids and titles of a result page zipped (padded), ids deduplicated
     keeping the first position, capped at n, plus a generic search link when

@@ -144,3 +144,19 @@ def test_exact_quantiles_equal_numpy(spark):
     assert np.allclose(got["a"], np.quantile(a, probs)) and np.allclose(got["b"], np.quantile([y for i, y in enumerate(b) if i % 3], probs)) and got["c"] == [None] * 6
     ranked = global_rank(df.select("b").filter("b is not null"), [F.col("b")]).orderBy("b").collect()
     assert [r.rank for r in ranked] == list(range(1, len(ranked) + 1))
+
+
+def test_course_card_of_a_full_page(spark):
+    from tabiya.sources.io import course_cards
+
+    html = ('<div><a href="/course/sharp-dragon/x"><h2>The <b>Sharp</b>  Dragon for Black</h2></a><a href="/l?opening=Sicilian+Dragon&p=1">a</a>'
+            '<a href="/l?opening=Sicilian+Dragon">b</a><a href="/l?opening=Pirc">c</a><a class="x" href="/author/1">GM A. One</a><a href="/author/2">IM B</a>'
+            "<p>For players 1400 - 1800. 2 h and 30 min</p><i>Video Content</i><i>Memory Booster</i></div>")
+    df = spark.createDataFrame([(1, html), (2, "<h2>no link</h2>"), (3, None), (4, '<a href="/course/a/">x</a>')], "page_id int, html string")
+    rows = course_cards(df).collect()
+    assert len(rows) == 1
+    r = rows[0]
+    assert (r.title, r.url, r.openings, r.color, r.course_type) == ("The Sharp Dragon for Black", "/course/sharp-dragon/x", "Sicilian Dragon|Pirc", "Black", "opening")
+    assert (r.author, r.author_title, r.duration_min, r.level_min, r.level_max) == ("GM A. One, IM B", "GM", 150.0, 1400, 1800)
+    assert (r.has_video, r.has_pgn, r.has_exercises, r.has_spaced_rep, r.format) == (1, 0, 0, 1, "video")
+    assert r.resource_id == "mc__sharp_dragon" and r.description.startswith("For players")
