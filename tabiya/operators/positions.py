@@ -129,15 +129,23 @@ def worst_blunder(window_rows: DataFrame, threshold: float = 100.0) -> DataFrame
                       F.col("b.loss").alias("loss"))
 
 
-def blunders_of_weak_games(game_acl_df: DataFrame, positions: DataFrame, book: DataFrame,
+def post_theory_acl(losses: DataFrame, exits: DataFrame, window: int = 12) -> DataFrame:
+    """W04 + W05 in one aggregate per game: (game_id, theory_end, acl_own, acl_board),
+    the mean own loss over the next ``window`` own moves and board plies."""
+    after = F.col("is_own") & (F.col("ply") > F.col("theory_end"))
+    own = F.avg(F.when(after & (F.col("ply") <= F.col("theory_end") + 2 * window), F.col("loss")))
+    board = F.avg(F.when(after & (F.col("ply") <= F.col("theory_end") + window), F.col("loss")))
+    return losses.join(exits, "game_id").groupBy("game_id", "theory_end").agg(F.bround(own, 1).alias("acl_own"), board.alias("acl_board"))
+
+
+def blunders_of_weak_games(losses: DataFrame, exits: DataFrame, window: int = 12, threshold: float = 100.0,
                            min_mean_acl: float = 100.0) -> DataFrame:
-    """Worst blunder only for games whose mean ACL exceeds ``min_mean_acl``
-    (games table semi-joined to their plies before the window work)."""
-    weak = game_acl_df.filter(F.col("acl") > min_mean_acl).select("game_id")
-    pos = positions.join(weak, "game_id", "left_semi")
-    exits = theory_exit(pos, book, "tolerant")
-    win = post_theory_window(move_losses(pos), exits, 12, "own")
-    return worst_blunder(win)
+    """Worst blunder (W07) of the games whose mean post-theory ACL exceeds
+    ``min_mean_acl``: both come from one aggregate over each game's window."""
+    win = post_theory_window(losses, exits, window, "own").filter("is_own")
+    blunder = F.when(F.col("loss") > threshold, F.struct(-F.col("loss"), F.col("ply")))
+    agg = win.groupBy("game_id").agg(F.avg("loss").alias("acl"), F.min_by(F.struct("ply", "pos_before", "loss"), blunder).alias("b"))
+    return agg.filter((F.col("acl") > min_mean_acl) & F.col("b").isNotNull()).select("game_id", "b.ply", "b.pos_before", "b.loss")
 
 
 def export_record(blunders: DataFrame, opening_col: str = "opening", fen_col: str = "fen") -> DataFrame:

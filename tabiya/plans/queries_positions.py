@@ -73,11 +73,7 @@ a2 AS (SELECT game_id, round(avg(CASE WHEN is_own THEN loss END), 8) AS acl_boar
 SELECT ex.game_id, theory_end, acl_own, acl_board FROM ex LEFT JOIN a1 USING (game_id) LEFT JOIN a2 USING (game_id)""")
 def w04(spark, sf):
     pos, book = fx.positions(spark, sf), _book(spark, sf)
-    exits = PO.theory_exit(pos, book)
-    losses = PO.move_losses(pos)
-    own = PO.game_acl(PO.post_theory_window(losses, exits, 12, "own"), 1).withColumnRenamed("acl", "acl_own")
-    brd = PO.game_acl(PO.post_theory_window(losses, exits, 12, "board"), None).withColumnRenamed("acl", "acl_board")
-    return finalize(exits.join(own, "game_id", "left").join(brd, "game_id", "left"))
+    return finalize(PO.post_theory_acl(PO.move_losses(pos), PO.theory_exit(pos, book)))
 
 
 @register("w06_first_blunder", f"""WITH {_EXIT_SQL}, {_loss_sql('0.0')},
@@ -111,9 +107,7 @@ SELECT game_id, ply, pos_before, loss FROM
   (SELECT *, row_number() OVER (PARTITION BY game_id ORDER BY loss DESC, ply) AS rn FROM own) WHERE rn = 1""")
 def j12(spark, sf):
     pos, book = fx.positions(spark, sf), _book(spark, sf)
-    win = PO.post_theory_window(PO.move_losses(pos), PO.theory_exit(pos, book), 12, "own")
-    acl = PO.game_acl(win, None)
-    return finalize(PO.blunders_of_weak_games(acl, pos, book))
+    return finalize(PO.blunders_of_weak_games(PO.move_losses(pos), PO.theory_exit(pos, book)))
 
 
 @register("p19_position_export", f"""WITH {_W07_SQL},
