@@ -235,11 +235,11 @@ GENERIC_WORDS = ["variation", "defense", "opening", "attack", "gambit", "decline
 def search_query(name, url_encode: bool = False) -> Column:
     """P20: last segment after ':' then after ',', lower, generic words removed as
     substrings, whitespace runs -> '+', outer '+' stripped. ``url_encode`` is the
-    app variant: the trimmed name percent-encoded.
+    app variant: the trimmed name percent-encoded (blank ``%20``, slash kept).
     """
     n = F.coalesce(_c(name), F.lit(""))
     if url_encode:
-        return F.url_encode(F.trim(n))
+        return F.replace(F.replace(F.url_encode(F.trim(n)), F.lit("+"), F.lit("%20")), F.lit("%2F"), F.lit("/"))
     last = F.lower(F.trim(F.element_at(F.split(F.element_at(F.split(n, ":"), -1), ","), -1)))
     for w in GENERIC_WORDS:
         last = F.trim(F.replace(last, F.lit(w), F.lit("")))

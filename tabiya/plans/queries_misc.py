@@ -64,12 +64,12 @@ def _search_q_sql(x):
 
 
 @register("p20_search_query", f"""
-SELECT DISTINCT title AS name, {_search_q_sql('title')} AS query FROM catalog
-UNION SELECT DISTINCT opening, {_search_q_sql('opening')} FROM games""")
+SELECT DISTINCT title AS name, {_search_q_sql('title')} AS query, replace(url_encode(trim(title)), '%2F', '/') AS query_url FROM catalog
+UNION SELECT DISTINCT opening, {_search_q_sql('opening')}, replace(url_encode(trim(opening)), '%2F', '/') FROM games""")
 def p20(spark, sf):
     a = fx.catalog(spark, sf).select(F.col("title").alias("name"))
     b = fx.games(spark, sf).select(F.col("opening").alias("name"))
-    return a.unionByName(b).distinct().select("name", S.search_query("name").alias("query"))
+    return a.unionByName(b).distinct().select("name", S.search_query("name").alias("query"), S.search_query("name", url_encode=True).alias("query_url"))
 
 
 @register("j10_band_aggregate", """
@@ -130,16 +130,19 @@ def r09(spark, sf):
 def _profile_json_sql():
     return ("'{\"perfs\": {\"blitz\": {\"rating\": ' || CAST(CASE WHEN player % 3 = 0 THEN 0 ELSE rating END AS VARCHAR) || "
             "'}, \"rapid\": {\"rating\": ' || CAST(CASE WHEN player % 5 = 0 THEN 0 ELSE rating + 50 END AS VARCHAR) || "
-            "'}, \"classical\": {\"rating\": ' || CAST(CASE WHEN player % 4 = 0 THEN 0 ELSE rating + 100 END AS VARCHAR) || '}}}'")
+            "'}, \"classical\": {\"rating\": ' || CAST(CASE WHEN player % 4 = 0 THEN 0 ELSE rating + 100 END AS VARCHAR) || "
+            "'}, \"bullet\": {\"rating\": ' || CAST(CASE WHEN player % 2 = 0 THEN 0 ELSE rating - 30 END AS VARCHAR) || '}}}'")
 
 
 @register("s05_reference_rating", f"""
 WITH p AS (SELECT player, arg_min(rating, ingest_seq) AS rating FROM games GROUP BY player),
 j AS (SELECT player, {_profile_json_sql()} AS profile FROM p),
 x AS (SELECT player, CAST(json_extract(profile, '$.perfs.blitz.rating') AS INT) AS b,
-   CAST(json_extract(profile, '$.perfs.rapid.rating') AS INT) AS r, CAST(json_extract(profile, '$.perfs.classical.rating') AS INT) AS c FROM j)
-SELECT player, coalesce(nullif(b, 0), nullif(r, 0)) AS ref_rating, coalesce(nullif(b, 0), nullif(r, 0), nullif(c, 0)) AS ref_rating_classical
-FROM x WHERE coalesce(nullif(b, 0), nullif(r, 0), nullif(c, 0)) IS NOT NULL""")
+   CAST(json_extract(profile, '$.perfs.rapid.rating') AS INT) AS r, CAST(json_extract(profile, '$.perfs.classical.rating') AS INT) AS c,
+   CAST(json_extract(profile, '$.perfs.bullet.rating') AS INT) AS u FROM j)
+SELECT player, coalesce(nullif(b, 0), nullif(r, 0)) AS ref_rating, coalesce(nullif(b, 0), nullif(r, 0), nullif(c, 0)) AS ref_rating_classical,
+  coalesce(nullif(b, 0), nullif(r, 0), nullif(u, 0)) AS ref_rating_bullet
+FROM x WHERE coalesce(nullif(b, 0), nullif(r, 0), nullif(c, 0), nullif(u, 0)) IS NOT NULL""")
 def s05(spark, sf):
     from ..sources.io import reference_rating
     p = P.ordered_users(fx.games(spark, sf))
@@ -150,8 +153,10 @@ def s05(spark, sf):
                            F.when(F.col("player") % 5 == 0, 0).otherwise(F.col("rating") + 50).cast("string"),
                            F.lit('}, "classical": {"rating": '),
                            F.when(F.col("player") % 4 == 0, 0).otherwise(F.col("rating") + 100).cast("string"),
+                           F.lit('}, "bullet": {"rating": '),
+                           F.when(F.col("player") % 2 == 0, 0).otherwise(F.col("rating") - 30).cast("string"),
                            F.lit("}}}")).alias("profile"))
-    return reference_rating(j, "profile").select("player", "ref_rating", "ref_rating_classical")
+    return reference_rating(j, "profile").select("player", "ref_rating", "ref_rating_classical", "ref_rating_bullet")
 
 
 _H1 = "'<h1>(.*?)</h1>'"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import scalar as S
 from ..operators import positions as PO
 from ..sources import fixtures as fx
 from .registry import finalize, register
@@ -65,6 +66,13 @@ def w03(spark, sf):
     return finalize(l.select("game_id", "ply", "eval", "eval_prev", "is_own", "loss", "pos_before"))
 
 
+@register("p18_loss_class", f"""WITH {_loss_sql()}
+SELECT game_id, ply, CASE WHEN loss > 200 THEN 'severe' ELSE 'normal' END AS loss_class FROM ls2 WHERE loss IS NOT NULL""")
+def p18_loss(spark, sf):
+    l = PO.move_losses(fx.positions(spark, sf)).filter(F.col("loss").isNotNull())
+    return l.select("game_id", "ply", S.loss_class("loss").alias("loss_class"))
+
+
 @register("w04_w05_post_theory_acl", f"""WITH {_EXIT_SQL}, {_loss_sql()},
 own AS (SELECT ls2.*, theory_end FROM ls2 JOIN ex USING (game_id) WHERE ply > theory_end AND ply <= theory_end + 24),
 brd AS (SELECT ls2.*, theory_end FROM ls2 JOIN ex USING (game_id) WHERE ply > theory_end AND ply <= theory_end + 12),

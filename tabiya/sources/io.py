@@ -88,14 +88,15 @@ _PERF_SCHEMA = "perfs struct<blitz: struct<rating: int>, rapid: struct<rating: i
 
 def reference_rating(df: DataFrame, json_col: str = "profile") -> DataFrame:
     """Reference rating from a nested profile: blitz if > 0 else rapid
-    (variant: else classical); players without any positive rating are skipped."""
+    (variants: else classical; else bullet); players without any positive rating are skipped."""
     p = df.withColumn("__p", F.from_json(F.col(json_col), _PERF_SCHEMA))
 
     def r(kind):
         return F.nullif(F.col(f"__p.perfs.{kind}.rating"), F.lit(0))
     d = (p.withColumn("ref_rating", F.coalesce(r("blitz"), r("rapid")))
-          .withColumn("ref_rating_classical", F.coalesce(r("blitz"), r("rapid"), r("classical"))))
-    return d.filter(F.col("ref_rating_classical").isNotNull()).drop("__p")
+          .withColumn("ref_rating_classical", F.coalesce(r("blitz"), r("rapid"), r("classical")))
+          .withColumn("ref_rating_bullet", F.coalesce(r("blitz"), r("rapid"), r("bullet"))))
+    return d.filter(F.coalesce("ref_rating_classical", "ref_rating_bullet").isNotNull()).drop("__p")
 
 
 def page_cards(pages: DataFrame) -> DataFrame:
