@@ -205,6 +205,7 @@ class Search:
         self.node0, self.edge0, self.size, _, self.prob, self.cumulative = chunks.arrays()
         self.units, self.log_rest = chunks.units, chunks.log_rest
         self.occurrence, self.first, self.key = occurrence, first, key
+        self.branched: dict[tuple[int, int, int], set[int]] = {}  # edges taken later out of (text, path, step)
         length = np.diff(self.node0)[occurrence]
         self.length = length
         self.position = np.cumsum(length) - length  # characters before each occurrence
@@ -259,8 +260,7 @@ class Search:
         value = _gumbel(B.uniform(B.mix(self.key[text] ^ _U(0x5851F42D4C957F2D))))
         last = self.first[text + 1] - 1
         row, occ, node, edge = self.descend(0, text, last, self.length[last])
-        state = self._settle(0, text, value, np.zeros(len(text)), row, occ, node, edge, np.zeros(len(text), np.int64), None, opened, paths)
-        found.append(state)
+        found.append(self._settle(0, text, value, np.zeros(len(text)), row, occ, node, edge, np.zeros(len(text), np.int64), None, opened, paths))
         for sample in range(1, k + 1):
             best = self._best(opened, n_texts)
             got = np.flatnonzero(best >= 0)
@@ -357,7 +357,7 @@ class Search:
             left = c[-1] - p[e]
             rest[r] = left if left > 1e-15 and (p > 0).sum() > 1 else 0.0
         for r in range(len(text)):
-            self._taken.setdefault((text[r], which[r], kept[r]), set()).add(int(chosen[r] - self.edge0[graph[r]]))
+            self.branched.setdefault((text[r], which[r], kept[r]), set()).add(int(chosen[r] - self.edge0[graph[r]]))
         # the rest of the group stays open below the value just used
         with np.errstate(divide="ignore"):
             g = _truncated(before + np.log(rest), value, _noise(self.key[text], sample, place, 3))
@@ -381,14 +381,11 @@ class Search:
         return self._settle(sample, text, value, before + logp, row2, occ2, node2, edge2, kept_all, old_all, opened, paths)
 
     def taken(self, paths, text, number, step):
+        """Edges of a sibling group that paths have taken: the group's own path's, and later ones."""
         first = paths[number]
         at = first["offset"][first["index"][text]] + step
         graph = self.node0[self.occurrence[first["occ"][at]]] + first["node"][at] - 1
-        return {int(first["edge"][at] - self.edge0[graph])} | self._taken.get((text, number, step), set())
-
-    @property
-    def _taken(self):
-        return self.__dict__.setdefault("_taken_edges", {})
+        return {int(first["edge"][at] - self.edge0[graph])} | self.branched.get((text, number, step), set())
 
 
 def _largest(value: np.ndarray, row: np.ndarray, step: np.ndarray, n: int, k: int) -> np.ndarray:
