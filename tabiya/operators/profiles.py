@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
-from .common import attach_scalars
 
 
 def game_features(games: DataFrame, variant: str = "app") -> DataFrame:
