@@ -9,6 +9,7 @@ import zipfile
 
 import tabiya
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
@@ -57,6 +58,19 @@ def stored(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Data
     return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
 
 
+def hashed_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
+    """The ``limit`` rows with the smallest hashes of ``key`` (ties by hash stay together, then cut).
+
+    The border is found among hashes alone: a plain sort with a limit would send ``limit`` whole rows of
+    every task to the driver.
+    """
+    hashed = df.withColumn("_h", F.xxhash64(F.col(key).cast("string")))
+    border = hashed.select("_h").orderBy("_h").limit(limit).agg(F.max("_h")).first()[0]
+    if border is None:
+        return df.limit(0)
+    return hashed.filter(F.col("_h") <= border).orderBy("_h").limit(limit).drop("_h")
+
+
 def drop_stored(df: DataFrame) -> None:
     """Delete the files behind a table made by :func:`stored` (they are no longer needed)."""
     spark = df.sparkSession

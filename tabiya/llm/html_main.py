@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytetext as B
-from .common import ship
+from .common import hashed_sample, ship
 
 SAMPLE_PAGES = 200
 TRAINING_PAGES = 1200
@@ -501,9 +501,9 @@ def train(paragraphs: list[str], pages: int = TRAINING_PAGES, seed: int = 11) ->
 
 def sample_paragraphs(pages: DataFrame, id_col: str, html_col: str, limit: int) -> list[str]:
     """Paragraph texts of ``limit`` pages, the first by a hash of their id."""
-    rows = pages.filter(F.col(html_col).isNotNull()).select(F.xxhash64(F.col(id_col).cast("string")).alias("h"), F.col(html_col).cast("string").alias("html"))
+    rows = pages.filter(F.col(html_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(html_col).cast("string").alias("html"))
     out = []
-    for r in rows.orderBy("h", "html").limit(limit).collect():
+    for r in hashed_sample(rows, "id", limit).collect():
         out += paragraphs_of(r.html)
     return out
 
