@@ -25,6 +25,7 @@ ignored.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import re
 import struct
@@ -44,9 +45,9 @@ from .warc import open_folder
 MAGIC = b"RANKVB01"
 BLOCK = 1 << 18
 FILE_TOKENS = 1 << 23
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 21
 #: Pieces kept encoded in a worker.
-KEPT_PIECES = 300_000
+KEPT_PIECES = 1_500_000
 #: Texts of these characters are lower-cased and cut alike by the fast path and by the library.
 PLAIN = re.compile("[\t-\r -~À-ÖØ-öø-įı-ſ]*")
 _CLASS = np.full(256, 2, np.uint8)
@@ -67,7 +68,20 @@ class WordTokenizer:
         cut = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] if spec["pre_tokenizer"]["type"] == "Sequence" else ""
         #: the fast path knows this one rule; any other tokenizer goes through the library text by text
         self.fast = cut == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-        self.kept: dict[bytes, list[int]] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Pieces encoded so far: sorted hashes, and where their ids are."""
+        self.kept, self.first, self.size, self.flat = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def learn(self, h: np.ndarray, pieces: list[str]) -> None:
+        """Encode new pieces (of ascending hashes ``h``)."""
+        coded = self.whole(pieces)
+        size = np.array([len(c) for c in coded], np.int64)
+        at = np.searchsorted(self.kept, h)
+        self.kept, self.size = np.insert(self.kept, at, h), np.insert(self.size, at, size)
+        self.first = np.insert(self.first, at, len(self.flat) + np.cumsum(size) - size)
+        self.flat = np.concatenate((self.flat, np.fromiter(itertools.chain.from_iterable(coded), np.int64, int(size.sum()))))
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -109,20 +123,18 @@ class WordTokenizer:
         else:
             starts = ends = np.zeros(0, np.int64)
         h = B.spans_hash(buf, starts, ends)
-        _, pick, back = np.unique(h, return_index=True, return_inverse=True)
-        names = [buf[a:b].tobytes() for a, b in zip(starts[pick], ends[pick])]
+        unique, pick, back = np.unique(h, return_index=True, return_inverse=True)
         if len(self.kept) > KEPT_PIECES:
-            self.kept.clear()
-        new = [n for n in names if n not in self.kept]
-        if new:
-            self.kept.update(zip(new, self.whole([n.decode() for n in new])))
-        coded = [self.kept[n] for n in names]
-        size = np.array([len(c) for c in coded], np.int64)
-        first = np.cumsum(size) - size
-        flat = np.array([i for c in coded for i in c], np.int64)
-        per = size[back]
+            self.forget()
+        at = np.searchsorted(self.kept, unique)
+        new = np.flatnonzero((at == len(self.kept)) | (self.kept[np.minimum(at, len(self.kept) - 1)] != unique)) if len(self.kept) else np.arange(len(unique))
+        if len(new):
+            raw = buf.tobytes()
+            self.learn(unique[new], [raw[a:b].decode() for a, b in zip(starts[pick[new]].tolist(), ends[pick[new]].tolist())])
+            at = np.searchsorted(self.kept, unique)
+        per = self.size[at][back]
         begin = np.cumsum(per) - per
-        ids = flat[np.repeat(first[back] - begin, per) + np.arange(int(per.sum()))]
+        ids = self.flat[np.repeat(self.first[at][back] - begin, per) + np.arange(int(per.sum()))]
         piece0 = np.searchsorted(starts, offsets)
         bounds = np.append(begin, per.sum())[piece0]
         rest = self.whole([t for t, ok in zip(texts, plain) if not ok])
@@ -145,8 +157,9 @@ def _tokenizer(path: str) -> WordTokenizer:
 
 
 def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row_id, id, ids): every text's ids and the end id, packed as little-endian uint32."""
+    """(row_id, id, ids): every text's ids and the end id, packed little-endian in ``id_type`` of the tokenizer."""
     ship(docs.sparkSession)
+    kind_of_id = id_type(tokenizer_path, end_id)
 
     def encode(batches):
         tok = _tokenizer(tokenizer_path)
@@ -155,9 +168,9 @@ def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "d
             sizes = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
             for i, j in B.slices(sizes, BATCH_BYTES):
                 ids, bounds = tok.encode(texts[i:j])
-                ids = np.insert(ids, bounds[1:], end_id).astype("<u4")
-                bounds = bounds + np.arange(len(bounds))
-                packed = pa.Array.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer((bounds * 4).astype(np.int64)), pa.py_buffer(ids)])
+                ids = np.insert(ids, bounds[1:], end_id).astype(kind_of_id)
+                bounds = (bounds + np.arange(len(bounds))) * ids.itemsize
+                packed = pa.Array.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(ids)])
                 yield pa.RecordBatch.from_arrays([batch.column("row_id").slice(i, j - i), batch.column("id").slice(i, j - i), packed.cast(pa.binary())], names=["row_id", "id", "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -165,22 +178,30 @@ def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "d
     return rows.mapInArrow(encode, f"row_id bigint, id {kind}, ids binary")
 
 
-def _frequencies(batches):
-    total = np.zeros(0, np.int64)
-    for batch in batches:
-        for packed in batch.column("ids"):
-            if packed.is_valid:
-                n = np.bincount(np.frombuffer(packed.as_buffer(), "<u4"))
-                if len(n) > len(total):
-                    total = np.concatenate((total, np.zeros(len(n) - len(total), np.int64)))
-                total[:len(n)] += n
-    have = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(have, pa.int64()), pa.array(total[have], pa.int64())], names=["token", "n"])
+def id_type(tokenizer_path: str, end_id: int) -> str:
+    """Two bytes where all ids fit."""
+    return "<u2" if max(_tokenizer(tokenizer_path).library.get_vocab_size() - 1, end_id) < 1 << 16 else "<u4"
+
+
+def _frequencies(kind: str):
+    def count(batches):
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            column = batch.column("ids").cast(pa.large_binary())
+            at = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+            n = np.bincount(np.frombuffer(column.buffers()[2], np.uint8)[at[0]:at[-1]].view(kind)) if at[-1] > at[0] else total[:0]
+            if len(n) > len(total):
+                total = np.concatenate((total, np.zeros(len(n) - len(total), np.int64)))
+            total[:len(n)] += n
+        have = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(have, pa.int64()), pa.array(total[have], pa.int64())], names=["token", "n"])
+
+    return count
 
 
-def ranked_ids(tokens: DataFrame) -> np.ndarray:
+def ranked_ids(tokens: DataFrame, kind: str = "<u4") -> np.ndarray:
     """Ids by falling corpus frequency (ties: smaller id first); as many as the tokenizer has ids at most."""
-    counts = tokens.select("ids").mapInArrow(_frequencies, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
+    counts = tokens.select("ids").mapInArrow(_frequencies(kind), "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
     rows = counts.orderBy(F.desc("n"), "token").select("token").toPandas()
     return rows["token"].to_numpy(np.int64)
 
@@ -214,7 +235,7 @@ def decode_block(data: bytes, n: int) -> np.ndarray:
     return out
 
 
-def _writer(folder: str, ranks: np.ndarray, file_tokens: int):
+def _writer(folder: str, ranks: np.ndarray, file_tokens: int, kind: str):
     inverse = np.zeros(int(ranks.max()) + 1 if len(ranks) else 1, np.uint32)
     inverse[ranks] = np.arange(len(ranks))
 
@@ -247,7 +268,7 @@ def _writer(folder: str, ranks: np.ndarray, file_tokens: int):
         for batch in batches:
             for name, packed in zip(batch.column("id").to_pylist(), batch.column("ids").to_pylist()):
                 names.append(name)
-                parts.append(np.frombuffer(packed, "<u4"))
+                parts.append(np.frombuffer(packed, kind))
                 counts.append(len(parts[-1]))
                 gathered += counts[-1]
                 if gathered >= file_tokens:
@@ -259,7 +280,7 @@ def _writer(folder: str, ranks: np.ndarray, file_tokens: int):
     return write
 
 
-def write_files(tokens: DataFrame, ranks: np.ndarray, folder: str, file_tokens: int = FILE_TOKENS) -> DataFrame:
+def write_files(tokens: DataFrame, ranks: np.ndarray, folder: str, file_tokens: int = FILE_TOKENS, kind: str = "<u4") -> DataFrame:
     """Write a stored table (row_id, id, ids) in ascending id order; the stored manifest with every file's first place."""
     spark = ship(tokens.sparkSession)
     store, path = open_folder(folder)
@@ -267,7 +288,7 @@ def write_files(tokens: DataFrame, ranks: np.ndarray, folder: str, file_tokens:
     with store.open_output_stream(f"{path}/ranks.bin", compression=None) as out:
         out.write(ranks.astype("<u4").tobytes())
     rows = tokens.repartitionByRange("id", "row_id").sortWithinPartitions("id", "row_id").select(F.col("id").cast("string").alias("id"), "ids")
-    manifest = stored(rows.mapInArrow(_writer(folder, ranks, file_tokens), "part bigint, seq bigint, file string, n_docs bigint, n_tokens bigint"), "manifest")
+    manifest = stored(rows.mapInArrow(_writer(folder, ranks, file_tokens, kind), "part bigint, seq bigint, file string, n_docs bigint, n_tokens bigint"), "manifest")
     # one row per range partition
     parts = manifest.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect()
     base, first = 0, []
@@ -343,7 +364,8 @@ def file_round_trip(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: s
     spark = docs.sparkSession
     folder = shared_path(spark, "tokens")
     tokens = stored(tokenise(docs, tokenizer_path, end_id, id_col, text_col), "tokenised")
-    manifest = stored(write_files(tokens, ranked_ids(tokens), folder), "files")
+    width = id_type(tokenizer_path, end_id)
+    manifest = stored(write_files(tokens, ranked_ids(tokens, width), folder, kind=width), "files")
     drop_stored(tokens)
     kind = docs.schema[id_col].dataType.simpleString()
     return read_files(spark, folder, manifest).withColumn("id", F.expr(f"cast(id as {kind})")).withColumnRenamed("id", id_col)
