@@ -204,7 +204,9 @@ def read_archives(spark: SparkSession, folder: str, manifest: DataFrame, range_b
     """Records of the manifest's files, read by byte ranges: file, offset, page_id, url, record_type, refers_to, digest, payload_bytes, payload."""
     ship(spark)
     ranges = manifest.select("file", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(range_bytes).cast("long"))).alias("start"))
-    ranges = ranges.select("file", "start", F.least(F.col("start") + range_bytes, "bytes").alias("end")).repartition("file", "start")
+    ranges = ranges.select("file", "start", F.least(F.col("start") + range_bytes, "bytes").alias("end"))
+    # a given number of partitions: Spark would put the small rows that name the ranges into one task
+    ranges = ranges.repartition(max(1, ranges.count()))
     return ranges.mapInArrow(_reader(folder), "file string, offset bigint, page_id string, url string, record_type string, refers_to string, digest string, payload_bytes bigint, payload binary")
 
 
