@@ -17,14 +17,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytetext as B
 from .common import ship
 
-#: Trigrams kept in the model, most frequent first: the size bound of what is broadcast.
-MODEL_KEYS = 200_000
 #: Strength of the back-off to the next lower order.
 BACKOFF = 4.0
 EM_ROUNDS = 8
@@ -78,35 +76,46 @@ def _count(batches):
 
 
 class Model:
-    """log p(byte | two bytes before) per language for the kept trigrams, and a back-off for the rest."""
-
-    def __init__(self, rows: list[Row]):
-        self.langs = sorted({r.lang for r in rows})
-        place = {x: i for i, x in enumerate(self.langs)}
-        self.keys = np.unique(np.array([r.key for r in rows], np.int64))
-        tri = np.zeros((len(self.langs), len(self.keys)))
-        if rows:
-            np.add.at(tri, ([place[r.lang] for r in rows], np.searchsorted(self.keys, [r.key for r in rows])), [r.n for r in rows])
-        context, of_context = np.unique(self.keys >> 8, return_inverse=True)
-        byte = self.keys & 255
-        self.table = np.zeros((len(self.langs), len(self.keys) + 1), np.float32)
-        for l in range(len(self.langs)):
-            single = np.bincount(byte, tri[l], 256) + 0.5
-            p1 = single / single.sum()
-            before = np.bincount(of_context, tri[l], len(context))
-            self.table[l, :-1] = np.log((tri[l] + BACKOFF * p1[byte]) / (before[of_context] + BACKOFF))
-            self.table[l, -1] = np.log(p1.min())
+    """log p(byte | two bytes before) per language, with a back-off for the trigrams a language has not.
+
+    Only the pairs that occur are held: a language has 155^3 trigrams at most, most have a small part of them.
+    """
+
+    def __init__(self, lang: np.ndarray, key: np.ndarray, n: np.ndarray):
+        names, code = np.unique(lang.astype(str), return_inverse=True)
+        self.langs = names.tolist()
+        order = np.lexsort((code, key))
+        code, key, n = code[order], key[order], n[order].astype(np.float64)
+        self.keys, self.first = np.unique(key, return_index=True)
+        self.first = np.append(self.first, len(key))
+        self.contexts, of_context = np.unique(key >> 8, return_inverse=True)
+        single, before = np.full((len(names), 256), 0.5), np.zeros((len(names), len(self.contexts)))
+        np.add.at(single, (code, key & 255), n)
+        np.add.at(before, (code, of_context), n)
+        p1 = single / single.sum(1, keepdims=True)
+        #: log p of a byte alone, times the back-off; log of a context's count and the back-off
+        self.alone, self.before = np.log(BACKOFF * p1), np.log(before + BACKOFF)
+        #: the trigrams no language has
+        self.none = np.log(p1.min(1)).astype(np.float32)
+        self.code = code.astype(np.int32)
+        self.value = np.log((n + BACKOFF * p1[code, key & 255]) / (before[code, of_context] + BACKOFF)).astype(np.float32)
 
     def words(self, tok: B.Tokens) -> np.ndarray:
         """(tokens, languages) log likelihoods."""
         h = B.spans_hash(tok.buf, tok.starts, tok.ends)
         _, pick, back = np.unique(h, return_index=True, return_inverse=True)
         keys, sizes = _letters(tok, pick)
-        at = np.searchsorted(self.keys, keys)
-        at[at == len(self.keys)] = 0
-        at[self.keys[at] != keys] = len(self.keys)
+        keys, of_key = np.unique(keys, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        known = np.flatnonzero(self.keys[at] == keys)
+        context, at = np.searchsorted(self.contexts, keys[known] >> 8), at[known]
+        table = np.repeat(self.none[:, None], len(keys), 1)
+        table[:, known] = self.alone[:, keys[known] & 255] - self.before[:, context]
+        count = self.first[at + 1] - self.first[at]
+        entry = np.repeat(self.first[at] - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
+        table[self.code[entry], np.repeat(known, count)] = self.value[entry]
         first = np.cumsum(sizes) - sizes
-        return np.stack([np.add.reduceat(row[at], first) for row in self.table], 1)[back]
+        return np.stack([np.add.reduceat(row[of_key], first) for row in table], 1)[back]
 
 
 def _mixture(ll: np.ndarray, doc: np.ndarray, n_docs: int, allowed: np.ndarray, rounds: int = EM_ROUNDS) -> tuple[np.ndarray, np.ndarray]:
@@ -175,13 +184,14 @@ def _has_letter(tok: B.Tokens, text: pa.Array, i: int) -> np.ndarray:
 
 
 def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Model:
-    """A model from all labelled rows of ``docs``: counts are summed by Spark, the kept trigrams come to the driver."""
+    """A model from all labelled rows of ``docs``: counts are summed by Spark, one row per language and trigram comes to the driver."""
     ship(docs.sparkSession)
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counts = rows.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")) \
         .mapInArrow(_count, "lang string, key bigint, n bigint") \
         .groupBy("lang", "key").agg(F.sum("n").alias("n"))
-    return Model(counts.orderBy(F.desc("n"), "key", "lang").limit(MODEL_KEYS).collect())
+    found = counts.toArrow()
+    return Model(found["lang"].to_numpy(), found["key"].to_numpy(), found["n"].to_numpy())
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

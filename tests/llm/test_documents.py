@@ -88,6 +88,19 @@ def test_languages_of_awkward_and_empty_tables(spark):
     assert langmix.keep_identified(awkward(spark), model).columns == awkward(spark).columns
 
 
+def test_hot_language_does_not_push_out_a_rare_one(spark):
+    rng = np.random.default_rng(4)
+    two, three = rng.integers(0xC0, 0x800, 700_000), rng.integers(0x3000, 0xD800, 700_000)
+    noise = ["".join(map(chr, row)) for row in np.concatenate((two, three)).reshape(-1, 10).tolist()]
+    hot = [(k % 70, " ".join(noise[k % 70::70]), "hot") for k in range(140)]  # every trigram twice at least
+    rare = "sawubona mngane wami unjani namhlanje siyabonga kakhulu ngosizo lwakho"
+    docs = spark.createDataFrame([*hot, (1000, rare, "rare")], "doc_id int, text string, lang string").repartition(4)
+    model = langmix.train(docs)
+    assert model.langs == ["hot", "rare"] and len(model.value) > 250_000
+    asked = spark.createDataFrame([(1, "siyabonga mngane wami"), (2, noise[0] + " " + noise[-1])], "doc_id int, text string")
+    assert {r.doc_id: r.lang_pred for r in langmix.identify(asked, model).collect()} == {1: "rare", 2: "hot"}
+
+
 # ------------------------------------------------------------ Merkle trees
 
 def test_edit_of_awkward_rows(spark):
