@@ -3,8 +3,8 @@
 Tokenising: a word-level tokenizer's pieces do not depend on their
 neighbours, so each batch cuts its texts into pieces with numpy, and the
 tokenizers library encodes every distinct piece once. Texts with characters
-outside the range whose cutting rule is known to the fast path go to the
-library as a whole.
+outside the range whose cutting rule is known to the fast path, or with an
+added token of the tokenizer file, go to the library as a whole.
 
 Files: ids are replaced by their rank in the corpus (0: most frequent), so
 that most take one byte. A block holds up to ``BLOCK`` values as control bytes
@@ -68,6 +68,9 @@ class WordTokenizer:
         cut = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] if spec["pre_tokenizer"]["type"] == "Sequence" else ""
         #: the fast path knows this one rule; any other tokenizer goes through the library text by text
         self.fast = cut == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+        #: the library cuts added tokens out of the raw or of the normalised text, before the rule
+        added = spec.get("added_tokens") or []
+        self.added = re.compile("|".join(re.escape(t["content"]) for t in added), re.IGNORECASE) if added else None
         self.forget()
 
     def forget(self) -> None:
@@ -114,7 +117,7 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and offsets per text."""
-        plain = [self.fast and PLAIN.fullmatch(t) is not None for t in texts]
+        plain = [self.fast and PLAIN.fullmatch(t) is not None and not (self.added and self.added.search(t)) for t in texts]
         low = [t.lower().encode() for t, ok in zip(texts, plain) if ok]
         offsets = np.concatenate(([0], np.cumsum([len(x) for x in low]))).astype(np.int64)
         buf = np.frombuffer(b"".join(low), np.uint8)

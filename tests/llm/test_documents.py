@@ -148,6 +148,20 @@ def test_tokenizer_equals_library_on_odd_texts():
     assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == tok.whole(texts)
 
 
+def test_tokenizer_takes_added_tokens_as_the_library_does(spark):
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok = token_files.WordTokenizer(path)
+    texts = ["one <|endoftext|> two", "<|startoftext|>", "a<|endoftext|>b<|endoftext|>", "One <|ENDOFTEXT|> two", "<| endoftext|>", "<|endoftext|", "plain", "one <|endoftext|> two 😀"]
+    ids, bounds = tok.encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == tok.whole(texts)
+    assert ids[bounds[0]:bounds[1]].tolist() == [637, 49407, 1237]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = sorted((r.doc_id, r.n_tokens, np.frombuffer(r.ids, "<u4").tolist()) for r in token_files.file_round_trip(docs, path, 2).collect())
+    assert got == [(k, len(w) + 1, [*w, 2]) for k, w in enumerate(tok.whole(texts))]
+
+
 @pytest.mark.parametrize("n", [0, 1, 3, 4, 5, 1000])
 def test_block_round_trip(n):
     rng = np.random.default_rng(n)
