@@ -1,7 +1,9 @@
 """Licence scan: phrases, and an exact set-similarity join with licence templates.
 
-Only DataFrame functions. A block is a sentence or line; its tokens are the
-distinct words of the block that some template has. Tokens are put in one
+Only DataFrame functions. A block is a sentence of a paragraph, which goes on over
+single line feeds up to a blank line; its tokens are the distinct words of the
+block that some template has. What a single line of a block shares with a
+template the block shares too, so lines need no blocks of their own. Tokens are put in one
 global order, rarest in the corpus first. A template of ``|T|`` tokens asks
 for ``a = ceil(threshold * |T|)`` of them, so a matching block must share a
 token of the template's first ``|T| - a + 1`` with its own first
@@ -92,7 +94,7 @@ def _prepared(docs: DataFrame, id_col: str, text_col: str, phrases: dict[str, st
     found = [F.col(f"p{k}") for k in range(len(phrases))]
     df = df.withColumn("found", F.array(*found)) if found else df.withColumn("found", F.array().cast("array<struct<n:bigint,first:bigint,last:bigint>>"))
     labels = F.array_compact(F.array(*[F.when(F.col(f"p{k}.n") > 0, F.lit(label)) for k, label in enumerate(phrases.values())])) if phrases else F.array().cast("array<string>")
-    blocks = F.split(closed(F.regexp_replace(F.col("low"), r"\n|[.!?;](?=\s)", f" {_END} ")), _END) if tokens else F.array().cast("array<string>")
+    blocks = F.split(closed(F.regexp_replace(F.col("low"), r"\n\s*\n|[.!?;](?=\s)", f" {_END} ")), _END) if tokens else F.array().cast("array<string>")
     known = F.array(*[F.lit(t) for t in tokens]) if tokens else F.array().cast("array<string>")
     df = df.withColumn("shared", F.filter(F.transform(blocks, lambda b: F.array_intersect(F.split(b, " "), known)), lambda s: F.size(s) >= least))
     return df.select("row_id", "id", "n_words", F.aggregate("found", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("n_base"),

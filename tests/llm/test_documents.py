@@ -5,6 +5,7 @@ import html as html_lib
 import io
 import random
 import re
+import textwrap
 import unicodedata
 import zlib
 
@@ -213,6 +214,28 @@ def test_license_scan_equals_plain_scan(spark):
     assert license_join.scan(docs, templates=[], phrases={}).filter("score > 0 or n_base > 0").count() == 0
 
 
+def test_license_notices_wrapped_over_lines(spark):
+    mit = """MIT License
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction"""
+    bsd = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice"""
+    gpl = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."""
+    rows, want = [], []
+    for label, notice in (("mit", mit), ("bsd", bsd), ("gpl", gpl)):
+        for mark in ("", " * ", "# "):
+            for end in ("\n", "\r\n"):
+                lines = [mark + x for part in notice.split("\n") for x in (textwrap.wrap(part, 72) or [""])]
+                rows.append((len(rows), f"Copyright 2020 A. Author{end}{end}" + end.join(lines)))
+                want.append(label)
+    # a blank line or a sentence's end between the halves: no notice
+    half = textwrap.wrap(bsd.split("\n")[0], 72)
+    rows += [(len(rows), "\n \n".join(half)), (len(rows) + 1, ".\n".join(half))]
+    got = sorted((r.doc_id, r.labels, r.score) for r in license_join.scan(spark.createDataFrame(rows, "doc_id int, text string")).collect())
+    assert [x for _, x, _ in got] == [*want, "", ""] and all(s == 1.0 for _, x, s in got if x)
+
+
 def test_similarity_join_is_exact(spark):
     rng = random.Random(5)
     vocabulary = [f"t{k}" for k in range(25)]
