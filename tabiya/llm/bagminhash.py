@@ -239,6 +239,13 @@ def _shared_shingles(open_: DataFrame, texts: DataFrame) -> tuple[DataFrame, Dat
     return shared, stored(own, "own")
 
 
+def _major_groups(entries: DataFrame) -> DataFrame:
+    """(token, major): a token's largest group, of equal ones the last, so that every evaluation finds the same; only tokens of several groups."""
+    groups = entries.groupBy("token", "c").agg(F.count("*").alias("k"), F.max("indexed").alias("i"))
+    return groups.groupBy("token").agg(F.max_by("c", F.struct("k", "c")).alias("major"), F.min("c").alias("c1"), F.max("c").alias("c2"), F.max("i").alias("i")) \
+        .filter("c1 <> c2 and i").select("token", "major")
+
+
 def _prefix_pairs(shared: DataFrame, own: DataFrame, comp: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) of different groups that can reach the threshold by the prefix, length and positional filters.
 
@@ -252,9 +259,7 @@ def _prefix_pairs(shared: DataFrame, own: DataFrame, comp: DataFrame, threshold:
     entries = shared.join(alive, "row_id").withColumn("r", F.col("u") + F.row_number().over(by_rarity)).filter("r <= probe")
     entries = stored(entries.select("token", "row_id", "n", "r", "c", (F.col("r") <= F.col("index")).alias("indexed")), "prefixes")
     # a token's largest group is compared with the others, not with itself
-    major = entries.groupBy("token", "c").agg(F.count("*").alias("k"), F.max("indexed").alias("i")).groupBy("token").agg(
-        F.max_by("c", "k").alias("major"), F.min("c").alias("c1"), F.max("c").alias("c2"), F.max("i").alias("i")).filter("c1 <> c2 and i").select("token", "major")
-    entries = entries.join(major, "token")
+    entries = entries.join(_major_groups(entries), "token")
     minor = entries.filter("c <> major").drop("major")
     other = entries.select("token", *[F.col(x).alias(f"{x}_b") for x in ("row_id", "n", "r", "c", "indexed", "major")])
     smaller = (F.struct("n", "row_id") < F.struct(F.col("n_b").alias("n"), F.col("row_id_b").alias("row_id")))

@@ -295,3 +295,12 @@ def test_pipeline_of_awkward_and_empty_tables(spark, tmp_path):
         got = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
         assert bool(got) == bool(data)
     assert decontaminate.WIDTH == 10
+
+
+def test_major_group_does_not_depend_on_the_order_of_rows(spark):
+    rows = [(t, c, True) for t in range(20) for c in range(5)]
+    found = []
+    for order in (rows, rows[::-1]):
+        entries = spark.createDataFrame(order, "token bigint, c bigint, indexed boolean").coalesce(1)
+        found.append(sorted(map(tuple, bagminhash._major_groups(entries).collect())))
+    assert found[0] == found[1] == [(t, 4) for t in range(20)]
