@@ -304,3 +304,9 @@ def test_major_group_does_not_depend_on_the_order_of_rows(spark):
         entries = spark.createDataFrame(order, "token bigint, c bigint, indexed boolean").coalesce(1)
         found.append(sorted(map(tuple, bagminhash._major_groups(entries).collect())))
     assert found[0] == found[1] == [(t, 4) for t in range(20)]
+
+
+def test_bands_are_independent():
+    bands = bagminhash._bands()
+    assert len(np.unique(bands)) == bands.size  # a position in two bands would make them miss together
+    assert (1 - bagminhash.THRESHOLD ** bands.shape[1]) ** len(bands) < 1 / 80_000
