@@ -297,6 +297,12 @@ def test_pipeline_of_awkward_and_empty_tables(spark, tmp_path):
     assert decontaminate.WIDTH == 10
 
 
+def test_rounds_take_every_window_once():
+    draw = B.mix(np.arange(5000, dtype=np.uint64))
+    taken = np.concatenate([A._of_round(draw, turn) for turn in range(A.ROUNDS)])
+    assert sorted(taken.tolist()) == list(range(5000))
+
+
 def test_major_group_does_not_depend_on_the_order_of_rows(spark):
     rows = [(t, c, True) for t in range(20) for c in range(5)]
     found = []
