@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attention_lm, bagminhash, decontaminate, html_main, langmix, license_join, merkle, spm_sampling, token_files, warc
+from . import attention_lm, bagminhash, byte_bpe, decontaminate, hard_negatives, html_main, langmix, license_join, merkle, spm_sampling, token_files, warc, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,6 +103,27 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "record_type", F.expr(f"try_cast(refers_to as {kind.simpleString()})").alias("refers_to"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checksums of every document's ids and of the bytes they decode to."""
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    coded = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents"), ranks), ranks)
+    return coded.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh has the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every vector; a deviation beyond 64 bits is null."""
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
 QUERIES = {
     "op1_spm_gumbel": op1_spm_gumbel,
     "op2_attention_lm": op2_attention_lm,
@@ -114,6 +135,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_decontaminate": op9_decontaminate,
     "op10_language_mixture": op10_language_mixture,
+    "op11_byte_bpe": op11_byte_bpe,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_whitening": op13_whitening,
 }
 
 #: Phrases as the Spark regular expression cuts them; a hash of a phrase stands for the phrase itself.
@@ -159,6 +183,16 @@ ORACLE: dict[str, str] = {
                len(string_split(regexp_replace(array_to_string(list_transform(p, lambda q: sha256(q)), ' '), '0 ', '0|', 'g'), '|'))::BIGINT AS n_sections,
                CASE WHEN t <> et THEN list_position(list_transform(range(1, greatest(len(p), len(ep)) + 1), lambda i: p[i] IS NOT DISTINCT FROM ep[i]), false)::BIGINT - 1 END AS first_edit
         FROM f""",
+    "op12_hard_negatives": """
+        WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda c: floor(c::DOUBLE * 256)) AS x
+                   FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, e.vec_id, a.label = e.label AS same, list_inner_product(a.x, e.x)::BIGINT AS score
+              FROM e AS a, e WHERE a.vec_id % 100 = 0 AND a.vec_id <> e.vec_id),
+        p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+        QUALIFY rank <= 5""",
     "op8_warc": """
         WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
         q AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS d FROM p),
