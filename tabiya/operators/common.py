@@ -58,6 +58,26 @@ def _ranged(df: DataFrame, order: list) -> DataFrame:
     return df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__pid", F.spark_partition_id()).checkpoint(eager=True)
 
 
+def nearest_bound(df: DataFrame, value: str, bounds: DataFrame, kind: str, out: str) -> DataFrame:
+    """``df`` with the largest bound <= ``value`` (``kind="floor"``) or the smallest bound >= it (``"ceil"``); null where there is none.
+
+    Distinct values and bounds are sorted together by range partitions; within a partition a running
+    maximum gives the bound, and the partitions' own maxima, added up in order, give what comes from before.
+    No list of bounds is collected or written into the plan, whatever their number.
+    """
+    sign = 1 if kind == "floor" else -1
+    both = df.select((F.col(value) * sign).cast("long").alias("v"), F.lit(1).alias("q")).distinct().unionAll(
+        bounds.select((F.col(bounds.columns[0]) * sign).cast("long").alias("v"), F.lit(0).alias("q")).distinct()).filter(F.col("v").isNotNull())
+    s = _ranged(both, ["v", "q"])
+    bound = F.when(F.col("q") == 0, F.col("v"))
+    ends = s.groupBy("__pid").agg(F.max(bound).alias("__top"))
+    before = ends.select("__pid", F.max("__top").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)).alias("__before"))
+    running = F.max(bound).over(Window.partitionBy("__pid").orderBy("v", "q").rowsBetween(Window.unboundedPreceding, 0))
+    found = s.withColumn("__own", running).join(F.broadcast(before), "__pid").filter("q = 1")
+    found = found.select((F.col("v") * sign).alias(value), (F.coalesce("__own", "__before") * sign).alias(out))
+    return df.join(found, value, "left")
+
+
 def global_rank(df: DataFrame, order: list, rank_col: str = "rank") -> DataFrame:
     """Dense 1..N position of every row under ``order`` without a single-task
     window: range-partition + sort, count rows per partition (a tiny table of

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .bridge import match_bridge, rating_key, synonym_terms
 from ..session import ensure_checkpoint_dir
-from .common import attach_scalars, attach_values, bound_class, exact_quantiles
+from .common import attach_scalars, attach_values, bound_class, exact_quantiles, nearest_bound
 
 RESOURCE_COLS = ["resource_id", "title", "source", "level_tier", "is_free", "course_type"]
 # Level name maps of the recommenders.
@@ -536,6 +536,111 @@ def _type_bonus(ct: F.Column) -> F.Column:
     return e.otherwise(0).cast("double")
 
 
+def _item() -> F.Column:
+    """What a candidate list holds of a resource; lists are sorted by falling score, then id."""
+    return F.struct((-F.col("score")).alias("order"), "resource_id", "course_type", "level_tier")
+
+
+def _search_classes(requests: DataFrame, res: DataFrame, small_pool: int) -> DataFrame:
+    """``requests`` with what their answers depend on: wanted tier, pool settings, bounds of the range class and whether the range counts."""
+    rq = (requests.withColumn("color_en", F.when(F.col("color") == "white", "white").otherwise("black"))
+                  .withColumn("tier_obj", _map(LEVEL_TO_TIER, F.col("level"), "intermediate")))
+    lo, hi = rating_key(F.col("rating"))
+    rq = rq.withColumn("r_lo", lo).withColumn("r_hi", hi).withColumn("free_key", F.coalesce(F.col("free"), F.lit(-1)))
+    # colour pools smaller than ``small_pool`` rows fall back to the whole catalogue (2 counts)
+    cc = res.select(F.explode(F.array(F.lit("white"), F.lit("black"))).alias("color_en"), "rcolor") \
+        .filter(F.col("rcolor").isin("both") | (F.col("rcolor") == F.col("color_en"))) \
+        .groupBy("color_en").agg(F.count(F.lit(1)).alias("__nc"))
+    rq = rq.join(F.broadcast(cc), "color_en", "left").withColumn("all_colors", F.coalesce(F.col("__nc"), F.lit(0)) < small_pool).drop("__nc")
+    # a resource covers (r_lo, r_hi) iff lo <= a and hi >= b: a and b are the nearest bounds of the catalogue
+    rq = nearest_bound(rq, "r_lo", res.select("lo"), "floor", "a")
+    rq = nearest_bound(rq, "r_hi", res.select("hi"), "ceil", "b")
+    return rq.withColumn("a", F.coalesce("a", F.lit(-(2 ** 62)))).withColumn("b", F.coalesce("b", F.lit(2 ** 62)))
+
+
+POOL = ["color_en", "all_colors", "free_key", "a", "b"]
+
+
+def _answer_lists(rq: DataFrame, res: DataFrame, top_n: int, most: int) -> DataFrame:
+    """Per answer class (opening, pool, range use): the candidates of every priority, best first, as arrays.
+
+    ``hits`` holds the first ``2 top_n + most`` matching resources of each tier, ``rest`` the first
+    ``2 top_n`` and more of the pool that do not match. A request that excludes ``most`` resources at most
+    finds all it needs there: the rest opens only when fewer than ``top_n`` matching ones remain, so at
+    most ``top_n - 1 + most`` of the pool's first ``3 top_n - 1 + 2 most`` can fall away as matching or excluded.
+    """
+    from ..functions.text import WORD_TERMS
+    # a resource stands under each pool setting it belongs to (colour x all-colours flag x free channel: 12 rows at most)
+    setting = ["color_en", "all_colors", "free_key"]
+    res_k = (res.withColumn("color_en", F.explode(F.array(F.lit("white"), F.lit("black"))))
+                .withColumn("all_colors", F.explode(F.array(F.lit(True), F.lit(False))))
+                .withColumn("free_key", F.explode(F.array(F.lit(1), F.lit(0), F.lit(-1)))))
+    res_k = res_k.filter((F.col("all_colors") | F.col("rcolor").isin("both") | (F.col("rcolor") == F.col("color_en")))
+                         & ((F.col("free_key") == -1) | (F.col("is_free") == F.col("free_key"))))
+    base = F.coalesce(F.col("rating_score"), F.lit(0.0)) * 0.5 + _type_bonus(F.col("course_type"))
+    res_k = res_k.withColumn("base", base).select(*setting, "resource_id", "course_type", "level_tier", "lo", "hi", "base")
+    in_range = (F.col("lo") <= F.col("a")) & (F.col("hi") >= F.col("b"))
+    # does the range leave anything in the pool? else it does not count
+    pools = rq.select(*POOL).distinct()
+    covered = pools.join(res_k, setting).groupBy(*POOL).agg(F.max(in_range.cast("int")).alias("use_range"))
+    pools = pools.join(covered, POOL, "left").withColumn("use_range", F.coalesce(F.col("use_range") == 1, F.lit(False)))
+    pools = pools.checkpoint(eager=True)
+    ok = ~F.col("use_range") | in_range
+    # the rest: one list per pool
+    length = 3 * top_n - 1 + 2 * most
+    every = pools.join(res_k, setting).filter(ok).withColumn("score", F.col("base"))
+    best = Window.partitionBy(*POOL).orderBy(F.desc("score"), "resource_id")
+    every = every.withColumn("__r", F.row_number().over(best)).filter(F.col("__r") <= length)
+    every = every.groupBy(*POOL).agg(F.sort_array(F.collect_list(_item())).alias("pool"))
+    # matching resources (app synonyms, word-bounded terms, openings + title) per opening and pool
+    terms = synonym_terms(rq.select("opening"), "app")
+    # both texts of a resource go through the bridge together
+    texts = res.select(F.explode(F.array(F.struct(F.lit(1).alias("open"), F.col("openings").alias("text")), F.struct(F.lit(0).alias("open"), F.col("title").alias("text")))).alias("x"), "resource_id")
+    texts = texts.select(F.struct("x.open", F.col("resource_id").alias("id")).alias("resource_id"), "x.text")
+    mb = match_bridge(terms, texts, ["text"], WORD_TERMS).groupBy("opening", F.col("resource_id.id").alias("resource_id")).agg(
+        F.max(F.col("resource_id.open")).alias("m_open"), F.max(1 - F.col("resource_id.open")).alias("m_title"))
+    keys = rq.select("opening", *POOL).distinct().join(pools, POOL)
+    hits = keys.join(mb.join(res_k, "resource_id"), ["opening", *setting]).filter(ok)
+    hits = hits.withColumn("score", F.col("m_open") * 60.0 + F.col("m_title") * 20.0 + F.col("base"))
+    tier = Window.partitionBy("opening", *POOL, "level_tier").orderBy(F.desc("score"), "resource_id")
+    hits = hits.withColumn("__r", F.row_number().over(tier)).filter(F.col("__r") <= 2 * top_n + most)
+    hits = hits.groupBy("opening", *POOL).agg(F.sort_array(F.collect_list(_item())).alias("hits"))
+    out = keys.join(hits, ["opening", *POOL], "left").join(every, POOL, "left")
+    none = F.array().cast(every.schema["pool"].dataType)
+    out = out.withColumn("hits", F.coalesce("hits", none)).withColumn("pool", F.coalesce("pool", none))
+    few = F.size("hits") < top_n + most  # else the rest never opens
+    rest = F.filter("pool", lambda r: ~F.exists("hits", lambda h: h["resource_id"] == r["resource_id"]))
+    return out.select("opening", *POOL, "hits", F.when(few, rest).otherwise(none).alias("rest"))
+
+
+def _picked(hits: F.Column, rest: F.Column, tier: F.Column, gone: F.Column, n: int) -> F.Column:
+    """The answer of one request as an array of (resource_id, prio) in the order picked.
+
+    P1 = hits of the wanted tier, P2 = other hits (if P1 < n), P3 = the rest (if P1 + P2 < n), without
+    ``gone``; of the first 2n, more than n are thinned to max(1, n // 2) a course type and filled up in order (W12).
+    """
+    left = lambda x: ~F.array_contains(gone, x["resource_id"])
+    wanted = lambda x: F.coalesce(x["level_tier"] == tier, F.lit(False))
+    named = lambda xs, prio: F.transform(xs, lambda x: F.struct(x["resource_id"].alias("resource_id"), F.lower(F.coalesce(x["course_type"], F.lit(""))).alias("type"), F.lit(prio).alias("prio")))  # noqa: E731,E501
+    p1 = named(F.slice(F.filter(hits, lambda x: wanted(x) & left(x)), 1, 2 * n), 1)
+    p2 = named(F.slice(F.filter(hits, lambda x: ~wanted(x) & left(x)), 1, 2 * n), 2)
+    p3 = named(F.slice(F.filter(rest, left), 1, 2 * n), 3)
+    none = F.slice(p1, 1, 0)
+    rows = _let(p1, lambda one: F.concat(one, F.when(F.size(one) < n, p2).otherwise(none)))
+    rows = _let(rows, lambda two: F.concat(two, F.when(F.size(two) < n, p3).otherwise(none)))
+
+    def thinned(xs: F.Column) -> F.Column:
+        cap = max(1, n // 2)
+        early = F.filter(xs, lambda x, i: (F.size(xs) <= n) | (F.size(F.filter(F.slice(xs, F.lit(1), i), lambda y: y["type"] == x["type"])) < cap))
+        return _let(F.slice(early, 1, n), lambda some: F.slice(F.concat(some, F.filter(xs, lambda x: ~F.exists(some, lambda y: y["resource_id"] == x["resource_id"]))), 1, n))
+    return _let(F.slice(rows, 1, 2 * n), thinned)
+
+
+def _let(value: F.Column, use) -> F.Column:
+    """``use(value)`` with ``value`` evaluated once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def three_priority_search(requests: DataFrame, catalog: DataFrame, top_n: int = 3,
                           excluded: DataFrame | None = None, small_pool: int = 10) -> DataFrame:
     """Application search for every request at once.
@@ -548,126 +653,70 @@ def three_priority_search(requests: DataFrame, catalog: DataFrame, top_n: int =
     any tier (if P1 < n), P3 = no match (if P1 + P2 < n); first 2n, then the
     diversified top n (W12); rows outside P1 carry ``fallback_tier``.
 
-    Matching candidates come from the opening bridge. P3 opens only when fewer
-    than n matching ones remain, so the best 2n + (n - 1) + x of a request's
-    pool hold its best 2n non-matching ones, x being the largest number of
-    resources any request excludes: one list per pool key, whatever the opening.
+    Candidates are ranked once per answer class (opening, colour, channel, range class) and kept as
+    arrays long enough for the largest number of exclusions; a request meets its class's arrays in one equi
+    join and picks its answer inside its own row, so no table ever has a row per request and candidate.
     """
     spark = catalog.sparkSession
     ensure_checkpoint_dir(spark)
-    rq = (requests.withColumn("color_en", F.when(F.col("color") == "white", "white").otherwise("black"))
-                  .withColumn("tier_obj", _map(LEVEL_TO_TIER, F.col("level"), "intermediate")))
-    lo, hi = rating_key(F.col("rating"))
-    rq = rq.withColumn("r_lo", lo).withColumn("r_hi", hi)
-    res = catalog.select("resource_id", "title", "source", "course_type", "level_tier", "is_free", "openings",
-                         "rating_score", F.lower(F.trim(F.coalesce(F.col("color"), F.lit("Both")))).alias("rcolor"),
-                         F.coalesce(F.col("level_min"), F.lit(0)).cast("long").alias("lo"),
-                         F.coalesce(F.col("level_max"), F.lit(9999)).cast("long").alias("hi"))
-    # colour pools smaller than 10 rows fall back to the whole catalogue (2 counts)
-    cc = res.select(F.explode(F.array(F.lit("white"), F.lit("black"))).alias("color_en"), "rcolor") \
-        .filter(F.col("rcolor").isin("both") | (F.col("rcolor") == F.col("color_en"))) \
-        .groupBy("color_en").agg(F.count(F.lit(1)).alias("__nc"))
-    rq = rq.join(F.broadcast(cc), "color_en", "left").withColumn("all_colors", F.coalesce(F.col("__nc"), F.lit(0)) < small_pool)
-    # range classes (see search_resources); a class with no resource in range -> range skipped
-    lo_b = sorted(r["lo"] for r in res.select("lo").distinct().collect())  # Elo bounds: <= 10^4 values
-    hi_b = sorted(r["hi"] for r in res.select("hi").distinct().collect())
-    rq = (rq.withColumn("a", F.coalesce(bound_class(F.col("r_lo"), lo_b, "floor"), F.lit(-1).cast("long")))
-            .withColumn("b", F.coalesce(bound_class(F.col("r_hi"), hi_b, "ceil"), F.lit(10 ** 6).cast("long"))))
-    rq = rq.withColumn("free_key", F.coalesce(F.col("free"), F.lit(-1)))
-    pool_key = ["color_en", "all_colors", "free_key", "a", "b"]
-    pk = rq.select(*pool_key).distinct()
-
-    def in_pool(df):
-        colour_ok = F.col("all_colors") | F.col("rcolor").isin("both") | (F.col("rcolor") == F.col("color_en"))
-        free_ok = (F.col("free_key") == -1) | (F.col("is_free") == F.col("free_key"))
-        return df.filter(colour_ok & free_ok)
-    # every resource listed under each pool setting it belongs to (colour x
-    # all-colours flag x free channel: at most 12 rows per resource), so pools
-    # are reached by equi joins
-    res_k = (res.withColumn("color_en", F.explode(F.array(F.lit("white"), F.lit("black"))))
-                .withColumn("all_colors", F.explode(F.array(F.lit(True), F.lit(False))))
-                .withColumn("free_key", F.explode(F.array(F.lit(1), F.lit(0), F.lit(-1)))))
-    res_k = in_pool(res_k)
-    # does the range filter leave anything in the pool? (one count per pool key)
-    pk_res = pk.join(res_k.select("color_en", "all_colors", "free_key", "lo", "hi"), ["color_en", "all_colors", "free_key"])
-    rng = pk_res.groupBy(*pool_key).agg(F.count(F.when((F.col("lo") <= F.col("a")) & (F.col("hi") >= F.col("b")), 1))
-                                        .alias("__nr"))
-    rq = rq.join(rng, pool_key, "left").withColumn("use_range", F.coalesce(F.col("__nr"), F.lit(0)) > 0).drop("__nr", "__nc")
-    rq = rq.checkpoint(eager=True)
-
-    def range_ok(df):
-        return ~F.col("use_range") | ((F.col("lo") <= F.col("a")) & (F.col("hi") >= F.col("b")))
-    # matching candidates through the bridge (app synonyms, word-bounded terms, openings + title)
-    from ..functions.text import WORD_TERMS
-    terms = synonym_terms(rq.select("opening"), "app")
-    m_open = match_bridge(terms, catalog, ["openings"], WORD_TERMS).withColumn("m_open", F.lit(1))
-    m_title = match_bridge(terms, catalog, ["title"], WORD_TERMS).withColumn("m_title", F.lit(1))
-    mb = m_open.join(m_title, ["opening", "resource_id"], "full").fillna(0, ["m_open", "m_title"]).checkpoint(eager=True)
-    base = F.coalesce(F.col("rating_score"), F.lit(0.0)) * 0.5 + _type_bonus(F.col("course_type"))
-    matched = rq.join(mb, "opening").join(res, "resource_id")
-    matched = in_pool(matched).filter(range_ok(matched))
-    matched = matched.withColumn("score", F.col("m_open") * 60.0 + F.col("m_title") * 20.0 + base).withColumn(
-        "prio", F.when(F.col("level_tier") == F.col("tier_obj"), 1).otherwise(2))
-    # non-matching candidates: the best of each pool key, long enough for every request
+    res = _searched(catalog)
+    rq = _search_classes(requests.checkpoint(eager=True), res, small_pool).checkpoint(eager=True)
     most = 0
+    gone = F.array().cast("array<string>")
     if excluded is not None:
-        most = excluded.groupBy("req_id").agg(F.count(F.lit(1)).alias("x")).agg(F.max("x")).first()[0] or 0
-    nm = rq.select(*pool_key, "use_range").distinct().join(res_k, ["color_en", "all_colors", "free_key"])
-    nm = nm.filter(range_ok(nm)).withColumn("score", base).withColumn("prio", F.lit(3))
-    w_nm = Window.partitionBy(*pool_key, "use_range").orderBy(F.desc("score"), "resource_id")
-    nm = nm.withColumn("__r", F.row_number().over(w_nm)).filter(F.col("__r") <= 3 * top_n - 1 + most).drop("__r")
-    few = matched.select("req_id", "resource_id").distinct()
-    if excluded is not None:
-        few = few.join(excluded.select("req_id", "resource_id"), ["req_id", "resource_id"], "left_anti")
-    few = few.groupBy("req_id").agg(F.count(F.lit(1)).alias("__k")).filter(F.col("__k") >= top_n)
-    nm = rq.join(few, "req_id", "left_anti").join(nm, [*pool_key, "use_range"])
-    nm = nm.join(mb.select("opening", "resource_id"), ["opening", "resource_id"], "left_anti")
-    cols = ["req_id", "resource_id", "title", "source", "course_type", "level_tier", "is_free", "score", "prio"]
-    cand = matched.select(*cols).unionByName(nm.select(*cols))
-    if excluded is not None:
-        cand = cand.join(excluded.select("req_id", "resource_id"), ["req_id", "resource_id"], "left_anti")
-    # priority gates: P2 only when P1 < n, P3 only when P1 + P2 < n
-    cnt = cand.groupBy("req_id").agg(F.count(F.when(F.col("prio") == 1, 1)).alias("__n1"),
-                                     F.count(F.when(F.col("prio") == 2, 1)).alias("__n2"))
-    cand = cand.join(cnt, "req_id").filter(
-        (F.col("prio") == 1) | ((F.col("prio") == 2) & (F.col("__n1") < top_n))
-        | ((F.col("prio") == 3) & (F.col("__n1") + F.col("__n2") < top_n)))
-    w = Window.partitionBy("req_id").orderBy("prio", F.desc("score"), "resource_id")
-    first = cand.withColumn("order_pos", F.row_number().over(w)).filter(F.col("order_pos") <= 2 * top_n)
-    div = diversified_topn(first.drop("__n1", "__n2"), ["req_id"], [F.col("order_pos")], top_n)
-    return div.withColumn("fallback_tier", F.when(F.col("prio") != 1, F.col("level_tier")))
+        ex = excluded.groupBy("req_id").agg(F.collect_set("resource_id").alias("gone")).checkpoint(eager=True)
+        most = ex.agg(F.max(F.size("gone"))).first()[0] or 0
+        rq = rq.join(ex, "req_id", "left")
+        gone = F.coalesce(F.col("gone"), gone)
+    lists = _answer_lists(rq, res, top_n, most)
+    got = rq.join(lists, ["opening", *POOL])
+    got = got.select("req_id", F.posexplode(_picked(F.col("hits"), F.col("rest"), F.col("tier_obj"), gone, top_n)).alias("pick", "x"))
+    got = got.select("req_id", (F.col("pick") + 1).alias("pick"), "x.resource_id", "x.prio")
+    return _described(got, res)
+
+
+def _searched(catalog: DataFrame) -> DataFrame:
+    """The catalogue's columns that a search reads, with open bounds filled in; written once, as several branches read them."""
+    return catalog.select("resource_id", "title", "source", "course_type", "level_tier", "is_free", "openings",
+                          "rating_score", F.lower(F.trim(F.coalesce(F.col("color"), F.lit("Both")))).alias("rcolor"),
+                          F.coalesce(F.col("level_min"), F.lit(0)).cast("long").alias("lo"),
+                          F.coalesce(F.col("level_max"), F.lit(9999)).cast("long").alias("hi")).checkpoint(eager=True)
+
+
+def _described(got: DataFrame, res: DataFrame) -> DataFrame:
+    """Picks with the resource's columns and the tier of a fallback."""
+    out = got.join(res.select("resource_id", "title", "source", "course_type", "level_tier", "is_free"), "resource_id")
+    return out.withColumn("fallback_tier", F.when(F.col("prio") != 1, F.col("level_tier")))
 
 
 def study_plan(opening_levels: DataFrame, ratings: DataFrame, catalog: DataFrame, top_openings: int = 5,
-               top_n: int = 3) -> DataFrame:
-    """Per player and colour the first 5 lines (level priority, then win
+               top_n: int = 3, small_pool: int = 10) -> DataFrame:
+    """Per player and colour the first lines (level priority, then win
     rate, n >= 2); for each line a free and a paid channel (R05), each channel
     excluding resources already used by earlier lines of that colour.
 
-    Unrolled over the rank of the line: round r runs R05 for every player's
-    r-th line of both channels at once, anti-joined with the results of rounds
-    < r; each round's result is written to the shared checkpoint folder
-    (reliable checkpoint) so lineage stays flat.
+    One search for all lines: a channel's lines and their candidate arrays meet in one row, and a fold
+    over the lines picks each answer without what the earlier ones took. The arrays are long enough
+    for the ``(top_openings - 1) * top_n`` resources that can be taken before.
     """
     ensure_checkpoint_dir(catalog.sparkSession)
     ol = opening_levels.filter(F.col("n_games") >= 2).withColumn("prio", _map(APP_LEVEL_PRIO, F.col("level")))
     w = Window.partitionBy("player", "color").orderBy("prio", "win_rate", "opening")
     lines = ol.withColumn("line_rank", F.row_number().over(w)).filter(F.col("line_rank") <= top_openings)
-    lines = lines.join(ratings, "player").checkpoint(eager=True)
-    chans = F.explode(F.array(F.lit(1), F.lit(0))).alias("free")
-    reqs = lines.select("player", "color", "opening", "level", "rating", "line_rank", chans)
-    reqs = reqs.withColumn("req_id", F.concat_ws("#", F.col("player").cast("string"), "color", F.col("free").cast("string"),
-                                                 F.col("line_rank").cast("string")))
-    reqs = reqs.withColumn("chan_id", F.concat_ws("#", F.col("player").cast("string"), "color", F.col("free").cast("string")))
-    reqs = reqs.checkpoint(eager=True)
-    done = None
-    for r in range(1, top_openings + 1):
-        rr = reqs.filter(F.col("line_rank") == r)
-        excl = None
-        if done is not None:
-            excl = rr.select("req_id", "chan_id").join(done.select("chan_id", "resource_id"), "chan_id").drop("chan_id")
-        got = three_priority_search(rr, catalog, top_n, excl)
-        got = got.join(rr.select("req_id", "chan_id", "player", "color", "opening", "free", "line_rank"), "req_id")
-        got = got.checkpoint(eager=True)
-        done = got if done is None else done.unionByName(got)
-    return done
+    lines = lines.join(ratings, "player").select("player", "color", "opening", "level", "rating", "line_rank", F.explode(F.array(F.lit(1), F.lit(0))).alias("free"))
+    res = _searched(catalog)
+    rq = _search_classes(lines.checkpoint(eager=True), res, small_pool).checkpoint(eager=True)
+    lists = _answer_lists(rq, res, top_n, (top_openings - 1) * top_n)
+    steps = rq.join(lists, ["opening", *POOL]).groupBy("player", "color", "free").agg(
+        F.sort_array(F.collect_list(F.struct("line_rank", "opening", "tier_obj", "hits", "rest"))).alias("steps"))
+    start = F.struct(F.array().cast("array<string>").alias("gone"),
+                     F.array().cast("array<struct<line_rank:int,opening:string,pick:int,resource_id:string,prio:int>>").alias("out"))
+
+    def step(state: F.Column, line: F.Column) -> F.Column:
+        def taken(xs: F.Column) -> F.Column:
+            rows = F.transform(xs, lambda x, i: F.struct(line["line_rank"].alias("line_rank"), line["opening"].alias("opening"), (i + 1).alias("pick"),
+                                                         x["resource_id"].alias("resource_id"), x["prio"].alias("prio")))
+            return F.struct(F.concat(state["gone"], F.transform(xs, lambda x: x["resource_id"])).alias("gone"), F.concat(state["out"], rows).alias("out"))
+        return _let(_picked(line["hits"], line["rest"], line["tier_obj"], state["gone"], top_n), taken)
+    plan = steps.select("player", "color", "free", F.explode(F.aggregate("steps", start, step, lambda s: s["out"])).alias("x"))
+    return _described(plan.select("player", "color", "free", "x.*"), res)

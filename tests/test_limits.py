@@ -160,3 +160,35 @@ def test_course_card_of_a_full_page(spark):
     assert (r.author, r.author_title, r.duration_min, r.level_min, r.level_max) == ("GM A. One, IM B", "GM", 150.0, 1400, 1800)
     assert (r.has_video, r.has_pgn, r.has_exercises, r.has_spaced_rep, r.format) == (1, 0, 0, 1, "video")
     assert r.resource_id == "mc__sharp_dragon" and r.description.startswith("For players")
+
+
+def test_nearest_bounds_are_the_plain_ones(spark):
+    import bisect
+    import random
+
+    from tabiya.operators.common import nearest_bound
+
+    rng = random.Random(3)
+    bounds = sorted({rng.randrange(-10 ** 6, 10 ** 6) for _ in range(20_000)})
+    values = [rng.randrange(-2 * 10 ** 6, 2 * 10 ** 6) for _ in range(500)] + bounds[:50] + [None, 7, 7]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v long")
+    bd = spark.createDataFrame([(b,) for b in bounds], "b long")
+    got = nearest_bound(nearest_bound(df, "v", bd, "floor", "lo"), "v", bd, "ceil", "hi").collect()
+    assert len(got) == len(values)
+    for r in got:
+        if r.v is None:
+            assert r.lo is None and r.hi is None
+            continue
+        a, b = bisect.bisect_right(bounds, r.v), bisect.bisect_left(bounds, r.v)
+        assert r.lo == (bounds[a - 1] if a else None) and r.hi == (bounds[b] if b < len(bounds) else None)
+    assert nearest_bound(df, "v", bd.limit(0), "floor", "lo").filter("lo IS NOT NULL").count() == 0
+
+
+def test_search_lists_make_no_row_per_request_and_candidate(spark):
+    cat = fx.catalog(spark, SF001)
+    req = spark.createDataFrame([(f"q{k}", "white", fx.OPENING_NAMES[0], "dominio", 1500.0) for k in range(400)], "req_id string, color string, opening string, level string, rating double")
+    plan = R.three_priority_search(req.withColumn("free", F.lit(None).cast("int")), cat)
+    assert plan.groupBy("req_id").count().filter("count <> 3").count() == 0
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    # ranked per class before, picked inside the request's row
+    assert "posexplode" in text and not [line for line in text.splitlines() if "Window" in line and "req_id" in line]
