@@ -109,9 +109,9 @@ def s11(spark, sf):
 
 
 @register("s14_newest_per_player", """
-SELECT game_id, player FROM (SELECT *, row_number() OVER (PARTITION BY player ORDER BY played_at DESC, game_id DESC) AS rn FROM games) WHERE rn <= 50""")
+SELECT game_id, player FROM (SELECT *, row_number() OVER (PARTITION BY player ORDER BY played_at DESC, game_id DESC) AS rn FROM games) WHERE rn <= 200""")
 def s14(spark, sf):
-    return io.newest_per_player(fx.games(spark, sf), 50).select("game_id", "player")
+    return io.newest_per_player(fx.games(spark, sf), 200).select("game_id", "player")
 
 
 @register("m01_group_split", """

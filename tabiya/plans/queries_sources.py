@@ -25,8 +25,15 @@ def _pgn_text(g):
            .when(F.col("score") == 0.5, "1/2-1/2").otherwise(F.when(F.col("color") == "white", "0-1").otherwise("1-0")))
     white = F.when(F.col("color") == "white", F.concat(F.lit("u"), F.col("player").cast("string"))).otherwise("opp")
     black = F.when(F.col("color") == "black", F.concat(F.lit("u"), F.col("player").cast("string"))).otherwise("opp")
-    moves = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.greatest(F.col("theory_depth"), F.lit(1))),
-                                         lambda i: F.concat(i.cast("string"), F.lit(". e4 e5"))))
+    def pair(i):
+        n, k = i.cast("string"), (i + F.col("game_id")) % 6
+        return (F.when(k == 0, F.concat(n, F.lit(". e4 e5")))
+                .when(k == 1, F.concat(n, F.lit(". e4 {a comment with ( and 1. d4\nover two lines} e5")))
+                .when(k == 2, F.concat(n, F.lit(". e4! $1 "), n, F.lit("... e5")))
+                .when(k == 3, F.concat(n, F.lit(". e4 ("), n, F.lit(". d4 d5 ("), n, F.lit("... Nf6 {deep}) 9. c4) e5?!")))
+                .when(k == 4, F.concat(n, F.lit(".e4 e5 ; 1. h4 to the end of the line\n")))
+                .otherwise(F.concat(n, F.lit(". e4\ne5"))))
+    moves = F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.greatest(F.col("theory_depth"), F.lit(1))), pair))
     return F.concat(F.lit('[Event "Rated game"]\n[Site "https://example.org/'), F.col("game_id").cast("string"),
                     F.lit('"]\n[White "'), white, F.lit('"]\n[Black "'), black, F.lit('"]\n[Result "'), res,
                     F.lit('"]\n[Opening "'), F.col("opening"), F.lit(': Main Line, Exchange"]\n\n'), moves, F.lit(" "), res)
@@ -34,17 +41,19 @@ def _pgn_text(g):
 
 @register("s04_p16_pgn_ingest", """
 SELECT CAST(game_id AS VARCHAR) AS game_id, CASE WHEN color = 'white' THEN 'u' || CAST(player AS VARCHAR) ELSE 'opp' END AS white,
-  opening AS opening_base, greatest(theory_depth, 1) * 2 AS n_moves,
+  opening AS opening_base, greatest(theory_depth, 1) * 2 AS n_moves, rtrim(repeat('e4 e5 ', greatest(theory_depth, 1)::BIGINT)) AS main_line,
   CAST(CASE WHEN score = 1.0 THEN 1.0 WHEN score = 0.5 THEN 0.5 ELSE 0.0 END AS DOUBLE) AS player_score FROM games""")
 def s04(spark, sf):
     g = fx.games(spark, sf)
     path = new_run_dir(spark, "pgn")
-    # one text file per partition; records separated by a blank line
-    g.select(_pgn_text(g).alias("value")).write.option("lineSep", "\n\n").text(path)
-    d = io.read_pgn(spark, path)
+    # one text file per partition; records separated by a blank line, every other game in files with CRLF line ends
+    text = _pgn_text(g)
+    g.filter(F.col("game_id") % 2 == 0).select(text.alias("value")).write.option("lineSep", "\n\n").text(f"{path}/lf")
+    g.filter(F.col("game_id") % 2 != 0).select(F.regexp_replace(text, "\n", "\r\n").alias("value")).write.option("lineSep", "\r\n\r\n").text(f"{path}/crlf")
+    d = io.read_pgn(spark, [f"{path}/lf", f"{path}/crlf"])
     target = F.when(F.col("white") != "opp", F.col("white")).otherwise(F.col("black"))
-    return d.select("game_id", "white", S.base_opening("opening").alias("opening_base"),
-                    F.size("moves").alias("n_moves"), S.result_score("result", "white", target).alias("player_score"))
+    return d.select("game_id", "white", S.base_opening("opening").alias("opening_base"), F.size("moves").alias("n_moves"),
+                    F.concat_ws(" ", "moves").alias("main_line"), S.result_score("result", "white", target).alias("player_score"))
 
 
 @register("s06_study_feed", """

@@ -167,22 +167,51 @@ def search_links(pages: DataFrame, n: int = 3) -> DataFrame:
 PGN_TAGS = ["Event", "Site", "White", "Black", "Result", "Opening"]
 
 
-def read_pgn(spark, path: str) -> DataFrame:
-    """Distributed PGN ingest: one record per game (records split on the
-    blank line before ``[Event``), tags by regex, move list by splitting the
-    move text; records without a Site tag are skipped. Move legality is not
-    evaluated (positions arrive as a table)."""
-    raw = spark.read.option("lineSep", "\n\n[Event ").text(path)
-    v = F.col("value")
-    tags = {t.lower(): F.regexp_extract(v, rf'\[{t} "([^"]*)"\]', 1) for t in PGN_TAGS[1:]}
-    d = raw.select(*[e.alias(k) for k, e in tags.items()],
-                   F.regexp_extract(v, r"\n\n([^\[\n][^\n]*)", 1).alias("movetext"))
-    d = d.filter(F.col("site") != "")
-    moves = F.filter(F.split(F.regexp_replace(F.trim("movetext"), r"\d+\.\s*", ""), r"\s+"),
-                     lambda m: ~m.isin("1-0", "0-1", "1/2-1/2", "*") & (m != ""))
+#: Tokens of a move text: brace comment, rest-of-line comment, escaped line, bracket of a variation, glyph number, word.
+MOVE_TOKEN = r"\{[^}]*(?:\}|$)|;[^\n]*|(?m:^%[^\n]*)|[()]|\$\d*|[^\s(){};$]+"
+
+
+def main_line(movetext: F.Column) -> F.Column:
+    """The moves of a game's main line, in order, of a PGN move text over any number of lines.
+
+    A fold over the tokens carries the depth of the open variations; words at depth 0 are moves once move
+    numbers (``3.``, ``3...``, ``3.e4``), annotation marks (``!?``) and the result are taken off. Comments, glyphs and
+    variations, however nested, give nothing; an unclosed comment runs to the end.
+    """
+    tokens = F.regexp_extract_all(movetext, F.lit(MOVE_TOKEN), F.lit(0))
+    kind = F.transform(tokens, lambda t: F.regexp_replace(F.regexp_replace(t, r"^\d*\.+", ""), r"[!?]+$", ""))
+    kind = F.filter(kind, lambda t: ~F.substring(t, 1, 1).isin("{", ";", "%", "$") & (t != "") & ~t.rlike(r"^\d+$")
+                    & ~t.isin("1-0", "0-1", "1/2-1/2", "*", "e.p."))
+
+    def step(state: F.Column, t: F.Column) -> F.Column:
+        depth = F.when(t == "(", state["depth"] + 1).when(t == ")", F.greatest(state["depth"] - 1, F.lit(0))).otherwise(state["depth"])
+        move = (state["depth"] == 0) & ~t.isin("(", ")")
+        return F.struct(depth.alias("depth"), F.when(move, F.concat(state["moves"], F.array(t))).otherwise(state["moves"]).alias("moves"))
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("moves"))
+    return F.aggregate(kind, start, step, lambda s: s["moves"])
+
+
+def pgn_tag(record: F.Column, tag: str) -> F.Column:
+    """The value of a tag, with escaped quotes and backslashes read back; empty where the tag is absent."""
+    raw = F.regexp_extract(record, rf'(?m)^\[{tag} "((?:[^"\\]|\\.)*)"\]', 1)
+    return F.regexp_replace(raw, r"\\(.)", "$1")
+
+
+def read_pgn(spark, path: str | list[str]) -> DataFrame:
+    """Distributed PGN ingest, one row per game, from files with LF or CRLF line ends.
+
+    A game begins at a line that starts with ``[Event "``; files are split there, so a large file is
+    read by many tasks. The tag lines give the columns, everything behind them is the move text (see
+    :func:`main_line`). Records without a Site tag are skipped; move legality is not evaluated (positions arrive as a table).
+    """
+    raw = spark.read.option("lineSep", '\n[Event "').text(path)
+    v = F.regexp_replace("value", "\r", "")
+    tags = {t.lower(): pgn_tag(v, t) for t in PGN_TAGS[1:]}
+    # behind the rest of the first tag line come tag lines and blank lines, then the moves
+    text = F.regexp_extract(v, r"(?s)^[^\n]*\n(?:\[[^\n]*\n|[ \t]*\n)*+(.*)$", 1)
+    d = raw.select(*[e.alias(k) for k, e in tags.items()], main_line(text).alias("moves")).filter(F.col("site") != "")
     return d.select(F.element_at(F.split("site", "/"), -1).alias("game_id"), "white", "black", "result",
-                    F.when(F.col("opening") == "", None).otherwise(F.col("opening")).alias("opening"),
-                    moves.alias("moves"))
+                    F.when(F.col("opening") == "", None).otherwise(F.col("opening")).alias("opening"), "moves")
 
 
 STUDY_SCHEMA = "id string, name string, url string, likes int"
