@@ -41,13 +41,20 @@ from . import bytetext as B
 from .common import ship
 
 SPACE = "▁"
+#: What is solved together: marks and what follows them.
 CHUNK = re.compile(SPACE + "+[^" + SPACE + "]*|[^" + SPACE + "]+")
 _U = np.uint64
 #: Log probabilities are multiples of 1 / _UNIT.
 _UNIT = float(1 << 32)
 _CP_BASE = 0xC2B2AE3D27D4EB4F | 1
 #: Characters of text handled together.
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 21
+#: Edges of solved chunks that a worker keeps (42 bytes each).
+KEPT_EDGES = 5_000_000
+#: Steps of a path whose sibling groups bound the others, and more than the largest Gumbel that a draw can give.
+EARLY, MOST = 32, 40.0
+#: First bits of a piece's hash that lead to its place.
+SLOT_BITS = 20
 
 
 class Pieces:
@@ -78,9 +85,11 @@ class Pieces:
         sort = np.argsort(h)
         self.hashes, self.hash_id = h[sort], np.array(usable, np.int64)[sort]
         self.hash_weight = np.array([self.weight[names[i]] for i in sort])
-        self.seen_bits = 20
-        self.seen = np.zeros(1 << self.seen_bits, bool)
-        self.seen[h >> _U(64 - self.seen_bits)] = True
+        #: first place in ``hashes`` of the hashes that begin with these bits, or -1; and how many begin alike at most
+        begin = (self.hashes >> _U(64 - SLOT_BITS)).astype(np.int64)
+        self.slot = np.full(1 << SLOT_BITS, -1, np.int32)
+        self.slot[begin[::-1]] = np.arange(len(begin), dtype=np.int32)[::-1]
+        self.alike = int(np.unique(begin, return_counts=True)[1].max(initial=1))
         raw = [b"" if sp.is_control(i) or sp.is_unknown(i) else self.names[i].encode() for i in range(n)]
         for b, i in enumerate(self.byte):
             if i >= 0:
@@ -88,6 +97,20 @@ class Pieces:
         self.sizes = np.array([len(r) for r in raw], np.int64)
         self.first = np.cumsum(self.sizes) - self.sizes
         self.raw = np.frombuffer(b"".join(raw), np.uint8)
+        self.solved = Solved(self)
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes are pieces', and their places in ``hashes``."""
+        k = self.slot[(h >> _U(64 - SLOT_BITS)).astype(np.int64)]
+        at = np.flatnonzero(k >= 0)
+        k, h = k[at], h[at]
+        hit, place = [], []
+        for step in range(self.alike):
+            here = np.minimum(k + step, len(self.hashes) - 1)
+            same = self.hashes[here] == h
+            hit.append(at[same])
+            place.append(here[same])
+        return np.concatenate(hit), np.concatenate(place)
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of a piece sequence."""
@@ -105,10 +128,8 @@ class Chunks:
     their rolling hash, and the forward filter runs over positions.
     """
 
-    def __init__(self, pieces: Pieces, chunks: list[str]):
+    def __init__(self, pieces: Pieces, cps: np.ndarray, length: np.ndarray):
         self.pieces = pieces
-        cps = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        length = np.array([len(c) for c in chunks], np.int64)
         self.node0 = np.concatenate(([0], np.cumsum(length)))
         place = np.arange(len(cps)) - np.repeat(self.node0[:-1], length)
         left = np.repeat(length, length) - place
@@ -119,8 +140,8 @@ class Chunks:
         self.edge0 = np.searchsorted(node, np.arange(len(cps) + 1))
         alpha = np.zeros(len(cps) + 1)  # the last one serves starts at a chunk's beginning
         origin = np.where(place[start] == 0, len(cps), start - 1) if len(start) else start
-        prob, upto = np.empty(len(start)), np.empty(len(start))
-        by_place = np.argsort(place, kind="stable")
+        prob, upto, logs = np.empty(len(start)), np.empty(len(start)), np.empty(len(start))
+        by_place = np.argsort(place.astype(np.uint16) if place.max(initial=0) < 1 << 16 else place, kind="stable")
         for nodes in np.split(by_place, np.flatnonzero(np.diff(place[by_place])) + 1):
             if not len(nodes):
                 continue
@@ -131,18 +152,27 @@ class Chunks:
             top = np.maximum.reduceat(v, first)
             total = top + np.log(np.add.reduceat(np.exp(v - np.repeat(top, count)), first))
             alpha[nodes] = total
-            p = np.exp(v - np.repeat(total, count))
+            logs[at] = v - np.repeat(total, count)
+            p = np.exp(logs[at])
             running = np.cumsum(p)
             running -= np.repeat(running[first] - p[first], count)
             running = np.minimum(running, 1.0)
             running[first + count - 1] = 1.0
-            prob[at], upto[at] = p, np.repeat(nodes, count) + running
-        self.size, self.piece, self.prob, self.upto = size, piece, prob, upto
+            prob[at], upto[at] = p, running
+        self.size, self.piece, self.prob, self.upto = size.astype(np.int32), piece.astype(np.int32), prob, upto
         # sums of whole numbers are exact, so a text's sums do not depend on the texts beside it
-        self.units = np.rint(np.log(prob) * _UNIT).astype(np.int64)
-        rest = np.where(np.repeat(np.diff(self.edge0) == 1, np.diff(self.edge0)), 0.0, 1.0 - prob)
-        with np.errstate(divide="ignore"):
-            self.log_rest = np.log(np.where(rest <= 1e-15, 0.0, rest))
+        self.units = np.rint(logs * _UNIT).astype(np.int64)
+        #: edges that are not their node's only one
+        self.choice = np.repeat(np.diff(self.edge0) > 1, np.diff(self.edge0))
+
+    def log_rest(self, edge: np.ndarray) -> np.ndarray:
+        """Log probability of a node's other edges; minus infinity where there is none."""
+        out = np.full(len(edge), -np.inf)
+        some = np.flatnonzero(self.choice[edge])
+        rest = 1.0 - self.prob[edge[some]]
+        some, rest = some[rest > 1e-15], rest[rest > 1e-15]
+        out[some] = np.log(rest)
+        return out
 
     def _edges(self, cps: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, ...]:
         p = self.pieces
@@ -152,12 +182,8 @@ class Chunks:
             at = np.flatnonzero(left >= n)
             if not len(at):
                 break
-            h = _substring(prefix, down, at, n)
-            near = p.seen[h >> _U(64 - p.seen_bits)]
-            at, h = at[near], h[near]
-            k = np.minimum(np.searchsorted(p.hashes, h), max(len(p.hashes) - 1, 0))
-            ok = p.hashes[k] == h if len(p.hashes) else np.zeros(len(h), bool)
-            at, k = at[ok], k[ok]
+            hit, k = p.find(_substring(prefix, down, at, n))
+            at = at[hit]
             out.append((at, np.full(len(at), n), p.hash_id[k], p.hash_weight[k]))
             if n == 1:
                 bare = np.setdiff1d(np.arange(len(cps)), at, assume_unique=True)
@@ -169,6 +195,73 @@ class Chunks:
         """First nodes, first edges, and the edges' characters, pieces, probabilities and running sums."""
         return self.node0, self.edge0, self.size, self.piece, self.prob, self.upto
 
+    EDGES = ("size", "piece", "prob", "upto", "units", "choice")
+
+    def join(self, more: "Chunks") -> None:
+        """Put the chunks of ``more`` behind the own ones."""
+        self.node0 = _appended(self.node0[:-1], more.node0 + self.node0[-1])
+        self.edge0 = _appended(self.edge0[:-1], more.edge0 + self.edge0[-1])
+        for c in self.EDGES:
+            setattr(self, c, _appended(getattr(self, c), getattr(more, c)))
+
+    def only(self, which: np.ndarray) -> None:
+        """Drop all chunks but ``which`` (ascending numbers)."""
+        nodes, first = np.diff(self.node0)[which], self.node0[which]
+        at = np.repeat(first, nodes) + _ranges(nodes)
+        edges = np.diff(self.edge0)[at]
+        to = np.repeat(self.edge0[at], edges) + _ranges(edges)
+        self.node0, self.edge0 = np.concatenate(([0], np.cumsum(nodes))), np.concatenate(([0], np.cumsum(edges)))
+        for c in self.EDGES:
+            setattr(self, c, getattr(self, c)[to])
+
+
+def _appended(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``b`` behind ``a``, in the room behind ``a`` where there is some: a growing array is seldom copied."""
+    n, room = len(a) + len(b), a.base
+    if room is None or not isinstance(room, np.ndarray) or room.dtype != a.dtype or len(room) < n:
+        room = np.empty(n + n // 2 + 1024, a.dtype)
+        room[:len(a)] = a
+    room[len(a):n] = b
+    return room[:n]
+
+
+class Solved:
+    """Chunks solved so far by a worker, found by 64-bit hash.
+
+    When they hold more than ``KEPT_EDGES`` edges, those met in one batch only are dropped (all, where that is
+    not enough); a text's samples do not depend on what is kept.
+    """
+
+    def __init__(self, pieces: Pieces):
+        self.pieces = pieces
+        self.forget()
+
+    def forget(self) -> None:
+        self.chunks = Chunks(self.pieces, np.zeros(0, np.int64), np.zeros(0, np.int64))
+        self.hashes, self.number, self.met = np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def find(self, h: np.ndarray, cps: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Numbers of the chunks with ascending hashes ``h`` at ``at`` in ``cps``; new ones are solved."""
+        if len(self.chunks.size) > KEPT_EDGES:
+            often = np.flatnonzero(self.met[np.argsort(self.number)] > 1)
+            if np.diff(self.chunks.edge0[self.chunks.node0])[often].sum() > KEPT_EDGES // 2:
+                self.forget()
+            else:
+                keep = np.isin(self.number, often)
+                self.chunks.only(often)
+                self.hashes, self.number, self.met = self.hashes[keep], np.searchsorted(often, self.number[keep]), self.met[keep] * 0 + 1
+        k = np.searchsorted(self.hashes, h)
+        new = np.flatnonzero(self.hashes[np.minimum(k, len(self.hashes) - 1)] != h) if len(self.hashes) else np.arange(len(h))
+        if len(new):
+            begin, length = at[new], size[new]
+            self.chunks.join(Chunks(self.pieces, cps[np.repeat(begin, length) + _ranges(length)], length))
+            count = len(self.number)
+            self.hashes, self.number = np.insert(self.hashes, k[new], h[new]), np.insert(self.number, k[new], count + np.arange(len(new)))
+            self.met = np.insert(self.met, k[new], 0)
+            k = np.searchsorted(self.hashes, h)
+        self.met[k] += 1
+        return self.number[k]
+
 
 def _prefix_hash(cps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     up, down = B.powers(_CP_BASE, len(cps) + 1)
@@ -185,8 +278,17 @@ def _gumbel(u: np.ndarray) -> np.ndarray:
     return -np.log(-np.log(u))
 
 
+def _source(key: np.ndarray, sample: int, what: int) -> np.ndarray:
+    """A text's source of noise for one purpose."""
+    return B.mix(key + _U(sample * 4 + what))
+
+
+def _draw(source: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return B.uniform(B.mix(source + place.astype(_U) * _U(0x9E3779B97F4A7C15)))
+
+
 def _noise(key: np.ndarray, sample: int, place: np.ndarray, what: int) -> np.ndarray:
-    return B.uniform(B.mix(B.mix(key + _U(sample * 4 + what)) + place.astype(_U) * _U(0x9E3779B97F4A7C15)))
+    return _draw(_source(key, sample, what), place)
 
 
 def _truncated(loc: np.ndarray, bound: np.ndarray, u: np.ndarray) -> np.ndarray:
@@ -224,28 +326,34 @@ class Search:
         at[begin[counts > 0]] = node[counts > 0]
         out = []
         turn = 0
+        steps = np.zeros(len(at), np.int64)
         live = np.flatnonzero(at > 0)
+        source, begins = _source(self.key[text], sample, 0), self.position[np.minimum(self.first[text], len(self.position) - 1)]
         while len(live):
             o, n = occ[live], at[live]
             graph = self.node0[self.occurrence[o]] + n - 1
-            place = self.position[o] + n - self.position[self.first[text[rows[live]]]]
-            u = _noise(self.key[text[rows[live]]], sample, place, 0)
+            mine = rows[live]
+            draw = _draw(source[mine], self.position[o] + n - begins[mine])
             # the first edge whose running sum reaches the draw; long pieces come first and are the likely ones
-            edge, draw = self.edge0[graph], graph + u
+            edge = self.edge0[graph]
             behind = np.flatnonzero(self.cumulative[edge] < draw)
             while len(behind):
                 edge[behind] += 1
                 behind = behind[self.cumulative[edge[behind]] < draw[behind]]
-            out.append((rows[live], o, np.full(len(live), turn), n, edge))
+            out.append((live, n, edge))
+            steps[live] = turn + 1
             at[live] = n - self.size[edge]
             live = live[at[live] > 0]
             turn += 1
         if not out:
             z = np.zeros(0, np.int64)
             return z, z, z, z
-        row, o, turn, n, edge = (np.concatenate(c) for c in zip(*out))
-        order = np.lexsort((turn, -o, row))
-        return row[order], o[order], n[order], edge[order]
+        # the steps of a chunk stand together, in the order of the turns
+        place = np.cumsum(steps) - steps
+        node, edge = np.empty(int(steps.sum()), np.int64), np.empty(int(steps.sum()), np.int64)
+        for turn, (live, n, e) in enumerate(out):
+            node[place[live] + turn], edge[place[live] + turn] = n, e
+        return np.repeat(rows, steps), np.repeat(occ, steps), node, edge
 
     def run(self, k: int):
         """Per sample: (texts, perturbed values, log probabilities, step offsets, edges); and the threshold per text."""
@@ -293,13 +401,26 @@ class Search:
         total = np.concatenate(([0], np.cumsum(self.units[edge])))
         # mass of the node a step starts from: what was fixed before it
         before = mass[row] + (total[:-1] - total[begin[row]]) / _UNIT
-        # only the k largest sibling groups of a text can be among its next paths; the early steps bound them
-        loc = before + self.log_rest[edge]
+        # only the k largest sibling groups of a text can be among its next paths; the early steps bound them, and
+        # a later group whose mass is too far below the bound for any Gumbel is not drawn
         step = np.arange(len(row)) - begin[row]
-        hope = np.flatnonzero(loc > -np.inf)
-        place = self.position[occ[hope]] + node[hope] - self.position[self.first[text[row[hope]]]]
-        g = np.full(len(row), -np.inf)
-        g[hope] = _truncated(loc[hope], value[row[hope]], _noise(self.key[text[row[hope]]], sample, place, 1))
+        source = _source(self.key[text], sample, 1)
+
+        def drawn(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            loc = before[at] + self.log_rest(edge[at])
+            at, loc = at[loc > -np.inf], loc[loc > -np.inf]
+            mine = row[at]
+            place = self.position[occ[at]] + node[at] - self.position[self.first[text]][mine]
+            return at, _truncated(loc, value[mine], _draw(source[mine], place))
+        at, g = drawn(np.flatnonzero(step < EARLY))
+        top = _largest(g, row[at], self.k)
+        bound = np.full(len(text), np.inf)
+        np.minimum.at(bound, row[at[top]], g[top])
+        bound[np.bincount(row[at[top]], minlength=len(text)) < self.k] = -np.inf
+        late, more = drawn(np.flatnonzero((step >= EARLY) & (before + MOST > bound[row])))
+        at, g = np.concatenate((at, late)), np.concatenate((g, more))
+        top = _largest(g, row[at], self.k)
+        pick, g = at[top], g[top]
         number = len(paths)
         steps = {"occ": occ, "node": node, "edge": edge, "before": before}
         if old is not None:  # the older path's steps up to the branch, then the new ones
@@ -317,8 +438,7 @@ class Search:
         index = np.full(len(self.first) - 1, -1, np.int64)
         index[text] = np.arange(len(text))
         paths.append({"index": index, "offset": np.append(offset, new_count.sum()), **steps})
-        pick = _largest(g, row, step, len(text), self.k)
-        opened["value"].append(g[pick])
+        opened["value"].append(g)
         opened["text"].append(text[row[pick]])
         opened["round"].append(np.full(len(pick), number))
         opened["step"].append(kept[row[pick]] + step[pick])
@@ -388,23 +508,11 @@ class Search:
         return {int(first["edge"][at] - self.edge0[graph])} | self.branched.get((text, number, step), set())
 
 
-def _largest(value: np.ndarray, row: np.ndarray, step: np.ndarray, n: int, k: int) -> np.ndarray:
-    """Places of each row's ``k`` largest values (no other sibling group can be among the next ``k`` paths).
-
-    A group's value falls with its mass, so the first steps nearly always hold the largest: their k-th
-    largest is a bound that few of the other values pass.
-    """
-    def top(at: np.ndarray) -> np.ndarray:
-        at = at[np.lexsort((-value[at], row[at]))]
-        new = np.flatnonzero(np.append(True, row[at][1:] != row[at][:-1])) if len(at) else at
-        rank = np.arange(len(at)) - np.repeat(new, np.diff(np.append(new, len(at))))
-        return at[rank < k]
-
-    early = top(np.flatnonzero((step < 32) & (value > -np.inf)))
-    bound, full = np.full(n, np.inf), np.bincount(row[early], minlength=n) >= k
-    np.minimum.at(bound, row[early], value[early])
-    bound = np.where(full, bound, -np.inf)
-    return top(np.flatnonzero((value >= bound[row]) & (value > -np.inf)))
+def _largest(value: np.ndarray, row: np.ndarray, k: int) -> np.ndarray:
+    """Places of each row's ``k`` largest values."""
+    at = np.lexsort((-value, row))
+    new = np.flatnonzero(np.append(True, row[at][1:] != row[at][:-1])) if len(at) else at
+    return at[np.arange(len(at)) - np.repeat(new, np.diff(np.append(new, len(at)))) < k]
 
 
 def _ranges(counts: np.ndarray) -> np.ndarray:
@@ -436,15 +544,24 @@ def _ids(chunks: Chunks, found: dict) -> tuple[np.ndarray, np.ndarray]:
 
 def sample_segmentations(pieces: Pieces, texts: list[str], keys: np.ndarray, k: int):
     """For every text its samples in the order drawn: (ids, log probability, perturbed value, log inclusion score)."""
-    occurrence, first = [], [0]
-    number: dict[str, int] = {}
-    for text in texts:
-        if text:
-            occurrence += [number.setdefault(c, len(number)) for c in CHUNK.findall(SPACE + text.replace(" ", SPACE))]
-        first.append(len(occurrence))
-    chunks = Chunks(pieces, list(number))
+    # every text that is not empty gets a mark in front; a chunk begins at a mark behind another character
+    marked = [SPACE + t for t in texts if t]
+    cps = np.frombuffer("".join(marked).replace(" ", SPACE).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    begins = np.concatenate(([0], np.cumsum([len(t) for t in marked]))).astype(np.int64)
+    edge = np.zeros(len(cps) + 1, bool)
+    edge[1:-1] = (cps[1:] == ord(SPACE)) & (cps[:-1] != ord(SPACE))
+    edge[begins] = True
+    edge = np.flatnonzero(edge)
+    at, size = edge[:-1], np.diff(edge)
+    prefix, down = _prefix_hash(cps)
+    h, pick, back = np.unique(B.mix((prefix[edge[1:]] - prefix[at]) * down[at] + size.astype(_U)), return_index=True, return_inverse=True)
+    first = np.zeros(len(texts) + 1, np.int64)
+    first[1:][[bool(t) for t in texts]] = np.diff(np.searchsorted(at, begins))
+    solved = pieces.solved
+    occurrence = solved.find(h, cps, at[pick], size[pick])[back]
+    chunks = solved.chunks
     out: list[list] = [[] for _ in texts]
-    search = Search(chunks, np.array(occurrence, np.int64), np.array(first, np.int64), keys)
+    search = Search(chunks, occurrence, np.cumsum(first), keys)
     found, threshold = search.run(k)
     for f in found:
         ids, offset = _ids(chunks, f)
