@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .bridge import match_bridge, rating_key, synonym_terms
 from ..session import ensure_checkpoint_dir
+from .metric import knn_neighbours
 from .common import attach_scalars, attach_values, bound_class, exact_quantiles, nearest_bound
 
 RESOURCE_COLS = ["resource_id", "title", "source", "level_tier", "is_free", "course_type"]
@@ -150,110 +151,6 @@ def weighted_vectors(profiles: DataFrame) -> DataFrame:
     return p.select("player", "rating_mean", F.array(*comps).alias("vec"))
 
 
-def _norm(v: str) -> F.Column:
-    return F.sqrt(F.aggregate(F.col(v), F.lit(0.0), lambda a, x: a + x * x))
-
-
-def knn_neighbours(vectors: DataFrame, k: int = 5, grid: int | None = None) -> DataFrame:
-    """Exact k nearest neighbours by cosine distance, self excluded.
-
-    Blocking without emitting all pairs: vectors are normalised to the unit
-    sphere and projected on two unit directions (leading principal axes);
-    equi-depth bin edges
-    (approximate quantiles, any edges are correct) give a grid on the
-    projection. A query joins the points of its (2r+1)^2 surrounding cells
-    (equi join on cell id); its k-th candidate distance is *certified* when it
-    is not larger than the projected distance to the border of that block,
-    because a projection on a unit direction never exceeds the true
-    Euclidean distance. Uncertified queries retry with a wider ring; the last
-    ring covers the whole grid, so the result is always exact.
-    """
-    from pyspark.ml.feature import Bucketizer
-
-    n = F.col("__n")
-    v = vectors.withColumn("__n", _norm("vec"))
-    v = v.withColumn("u", F.when(n > 0, F.transform("vec", lambda x: x / n)).otherwise(F.transform("vec", lambda x: x * 0.0)))
-    # the unit vectors feed several passes (moments, quantiles, every round):
-    # materialise them once so the upstream profile pipeline runs once
-    ensure_checkpoint_dir(v.sparkSession)
-    v = v.select("player", "vec", "__n", "u").checkpoint(eager=True)
-    d = len(KNN_FEATURES)
-    # projection directions: the two leading principal axes of the unit
-    # vectors (a d x d second-moment matrix aggregated on the executors, d = 7),
-    # which spread the points most and so certify most queries early
-    import numpy as np
-    mom = v.agg(F.count(F.lit(1)).alias("n"),
-                *[F.sum(F.col("u")[i] * F.col("u")[j]).alias(f"m{i}_{j}") for i in range(d) for j in range(i, d)],
-                *[F.sum(F.col("u")[i]).alias(f"s{i}") for i in range(d)]).first()
-    n_pts = int(mom["n"])
-    cov = np.zeros((d, d))
-    mu = np.array([(mom[f"s{i}"] or 0.0) / max(n_pts, 1) for i in range(d)])
-    for i in range(d):
-        for j in range(i, d):
-            cov[i, j] = cov[j, i] = (mom[f"m{i}_{j}"] or 0.0) / max(n_pts, 1) - mu[i] * mu[j]
-    _w, vecs = np.linalg.eigh(cov)
-    a = [float(x) for x in vecs[:, -1]]
-    b = [float(x) for x in vecs[:, -2]]
-    if grid is None:
-        grid = int(max(4, min(64, (n_pts / 20.0) ** 0.5)))
-
-    def dot(col, w):
-        return sum((F.col(col)[i] * F.lit(w[i]) for i in range(d)), F.lit(0.0))
-    v = v.withColumn("p1", dot("u", a)).withColumn("p2", dot("u", b))
-    qs = [i / grid for i in range(1, grid)]
-    edges = v.agg(F.percentile_approx("p1", qs, 10000).alias("e1"), F.percentile_approx("p2", qs, 10000).alias("e2")).first()
-    e1 = [-float("inf")] + sorted(set(float(x) for x in edges["e1"])) + [float("inf")]
-    e2 = [-float("inf")] + sorted(set(float(x) for x in edges["e2"])) + [float("inf")]
-    v = Bucketizer(splits=e1, inputCol="p1", outputCol="c1").transform(v)
-    v = Bucketizer(splits=e2, inputCol="p2", outputCol="c2").transform(v)
-    v = v.withColumn("c1", F.col("c1").cast("int")).withColumn("c2", F.col("c2").cast("int"))
-    g1, g2 = len(e1) - 1, len(e2) - 1
-    # cell ids reused by every round: materialise them (reliable checkpoint)
-    pts = v.select("player", "vec", "u", "__n", "c1", "c2", "p1", "p2").checkpoint(eager=True)
-    data = pts.select(F.col("player").alias("nb"), F.col("u").alias("nu"), F.col("__n").alias("nn"),
-                      F.col("c1").alias("d1"), F.col("c2").alias("d2"))
-    edge1 = F.array(*[F.lit(x) for x in e1])
-    edge2 = F.array(*[F.lit(x) for x in e2])
-    done = None
-    todo = pts
-    r = 1
-    while True:
-        last = r >= max(g1, g2)
-        offs = F.array(*[F.lit(i) for i in range(-r, r + 1)])
-        q = (todo.select("player", "u", "__n", "c1", "c2", "p1", "p2",
-                         F.explode(offs).alias("o1")).withColumn("o2", F.explode(offs))
-             .withColumn("d1", F.col("c1") + F.col("o1")).withColumn("d2", F.col("c2") + F.col("o2"))
-             .filter((F.col("d1") >= 0) & (F.col("d1") < g1) & (F.col("d2") >= 0) & (F.col("d2") < g2)))
-        pairs = q.join(data, ["d1", "d2"]).filter(F.col("player") != F.col("nb"))
-        cos = F.aggregate(F.arrays_zip("u", "nu"), F.lit(0.0), lambda acc, z: acc + z["u"] * z["nu"])
-        dist = F.when((F.col("__n") > 0) & (F.col("nn") > 0), 1.0 - cos).otherwise(F.lit(1.0))
-        pairs = pairs.withColumn("distance", F.round(dist, 9))
-        w = Window.partitionBy("player").orderBy("distance", "nb")
-        top = pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-        top = top.select("player", "nb", "distance", "rank").checkpoint(eager=True)
-        # certification radius: projected distance to the border of the searched block
-        lo1 = F.element_at(edge1, F.greatest(F.col("c1") - r, F.lit(0)) + 1)
-        hi1 = F.element_at(edge1, F.least(F.col("c1") + r + 1, F.lit(g1)) + 1)
-        lo2 = F.element_at(edge2, F.greatest(F.col("c2") - r, F.lit(0)) + 1)
-        hi2 = F.element_at(edge2, F.least(F.col("c2") + r + 1, F.lit(g2)) + 1)
-        rad = F.least(F.col("p1") - lo1, hi1 - F.col("p1"), F.col("p2") - lo2, hi2 - F.col("p2"))
-        stat = top.groupBy("player").agg(F.max("distance").alias("dk"), F.count(F.lit(1)).alias("m"))
-        qq = todo.select("player", "c1", "c2", "p1", "p2").withColumn("rad", rad).join(stat, "player", "left")
-        # Euclidean distance of unit vectors = sqrt(2 * cosine distance)
-        cert = qq.filter(F.lit(last) | ((F.col("m") >= k) & (F.sqrt(2 * F.col("dk")) <= F.col("rad"))))
-        got = top.join(cert.select("player"), "player", "left_semi").select("player", "nb", "distance", "rank")
-        got = got.checkpoint(eager=True)
-        done = got if done is None else done.unionByName(got)
-        if last:
-            break
-        # cut the lineage of the shrinking query set (reliable checkpoint in
-        # the shared spark.checkpoint.dir, survives executor loss)
-        ensure_checkpoint_dir(todo.sparkSession)
-        todo = todo.join(got.select("player").distinct(), "player", "left_anti").checkpoint(eager=True)
-        r = r * 2 if r * 2 < max(g1, g2) else max(g1, g2)
-    return done.withColumnRenamed("nb", "neighbour")
-
-
 def mastered_openings(game_lv: DataFrame, min_games: int = 5) -> DataFrame:
     """R03 helper: openings with >= min_games solid-level games per player."""
     s = game_lv.filter(F.col("level_id") == 0).groupBy("player", "opening").agg(F.count(F.lit(1)).alias("n"))

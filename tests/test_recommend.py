@@ -37,7 +37,7 @@ def test_knn_exact_against_brute_force(spark):
     x = np.vstack([rng.normal(0, 1, (60, 7)), rng.normal(3, 0.1, (40, 7))])  # one dense clump
     rows = [(i, float(i), [float(v) for v in x[i]]) for i in range(len(x))]
     vec = spark.createDataFrame(rows, "player long, rating_mean double, vec array<double>")
-    got = R.knn_neighbours(vec, 5, grid=6).collect()
+    got = R.knn_neighbours(vec, 5, leaf=8).collect()
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
     d = np.round(1 - u @ u.T, 9)
     for i in range(len(x)):
