@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import attach_scalars
+from .common import attach_scalars, running_total
 
 FEATURES = ["theory_depth", "acl_w", "prep_score", "risk_index"]
 # Reference centroid table used by the SQL-checked queries (scaled space).
@@ -177,11 +177,10 @@ def davies_bouldin(scaled_lv: DataFrame, label_col: str, features: list[str] = F
 def kruskal_wallis(df: DataFrame, value_col: str, group_col: str) -> DataFrame:
     """H statistic with mid-ranks and tie correction; for 3 groups the
     chi-square(2) survival is exp(-H/2). Ranks come from counts per distinct
-    value (a table bounded by the value domain), so no row-level sort is needed."""
+    value, and values below from a running total over range partitions, so no task sorts them all."""
     v = df.filter(F.col(value_col).isNotNull() & F.col(group_col).isNotNull())
     per = v.groupBy(value_col).agg(F.count(F.lit(1)).alias("t"))
-    w = Window.orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)  # distinct values only
-    per = per.withColumn("__below", F.coalesce(F.sum("t").over(w), F.lit(0)))
+    per = running_total(per, [], value_col, "t", "__below")
     per = per.withColumn("midrank", F.col("__below") + (F.col("t") + 1) / 2.0)
     g = v.groupBy(group_col, value_col).agg(F.count(F.lit(1)).alias("c")).join(per.select(value_col, "midrank"), value_col)
     rs = g.groupBy(group_col).agg(F.sum(F.col("c") * F.col("midrank")).alias("rank_sum"), F.sum("c").alias("n_group"))

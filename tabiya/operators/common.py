@@ -90,6 +90,21 @@ def global_rank(df: DataFrame, order: list, rank_col: str = "rank") -> DataFrame
     return s.join(offs, "__pid").withColumn(rank_col, F.col("__off") + F.col("__i")).drop("__pid", "__i", "__off")
 
 
+def running_total(df: DataFrame, keys: list[str], order: str, value: str, out: str) -> DataFrame:
+    """``df`` with the sum of ``value`` over the rows of the same keys that come before under ``order`` (unique within the keys).
+
+    Range partitions, sums inside each, and what the earlier partitions hold of a key (one row per
+    partition and key) instead of a window over all rows of a key.
+    """
+    s = _ranged(df, [*keys, order])
+    inside = F.sum(value).over(Window.partitionBy(*keys, "__pid").orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    ends = s.groupBy(*keys, "__pid").agg(F.sum(value).alias("__s"))
+    before = Window.partitionBy(*keys).orderBy("__pid") if keys else Window.orderBy("__pid")
+    ends = ends.select(*keys, "__pid", F.coalesce(F.sum("__s").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    d = s.withColumn("__inside", F.coalesce(inside, F.lit(0))).join(F.broadcast(ends), [*keys, "__pid"])
+    return d.withColumn(out, F.col("__before") + F.col("__inside")).drop("__pid", "__inside", "__before")
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list[float | None]]:
     """Exact quantiles (linear interpolation) of numeric columns over all rows.
 

@@ -9,7 +9,9 @@ from ..operators import clusters as K
 from ..operators import ml as ML
 from ..operators import profiles as P
 from ..operators import recommend as R
+from ..operators import scoring as SC
 from ..operators import stats as ST
+from ..operators.common import attach_scalars
 from ..sources import fixtures as fx
 from ..streaming.incremental import new_run_dir
 from .queries_recommend import _A09_SQL
@@ -90,3 +92,73 @@ def m05(spark, sf):
     nb = R.knn_neighbours(R.weighted_vectors(R.similarity_profiles(lv)), 5)
     lab = P.game_features(fx.games(spark, sf)).groupBy("player").agg(F.min_by("level3", "ingest_seq").alias("level3"))
     return R.knn_loo_predictions(nb, lab, "level3")
+
+
+CLASSES = ["avanzado", "intermedio", "principiante"]
+_GRID_SQL = _A09_SQL.replace("WHERE rank <= 5)", "WHERE rank <= 11)") + f""",
+lab AS (SELECT player, arg_min(level3, ingest_seq) AS level3 FROM gx GROUP BY player),
+ks AS (SELECT unnest({SC.GRID!r})::INT AS k), classes AS (SELECT unnest({CLASSES!r}) AS cls),
+votes AS (SELECT k, nb.player, lab.level3 AS cls, sum(1.0 / greatest(nb.distance, 1e-9)) AS w FROM nb JOIN lab ON lab.player = nb.neighbour JOIN ks ON nb.rank <= ks.k GROUP BY k, nb.player, lab.level3),
+total AS (SELECT k, player, sum(w) AS t FROM votes GROUP BY k, player),
+sc AS (SELECT k, player, lab.level3 AS y_true, cls, round(coalesce(w, 0.0) / t, 9) AS p FROM total JOIN lab USING (player) CROSS JOIN classes LEFT JOIN votes USING (k, player, cls)),
+pred AS (SELECT k, player, y_true, arg_min(cls, (-p, cls)) AS y_pred, max(p) AS confidence FROM sc GROUP BY k, player, y_true)"""
+
+
+def _neighbour_scores(spark, sf, grid=None):
+    e = P.game_features(fx.games(spark, sf))
+    nb = R.knn_neighbours(R.weighted_vectors(R.similarity_profiles(K.game_levels(e, K.scaler_stats(e)))), max(grid or SC.GRID))
+    lab = e.groupBy("player").agg(F.min_by("level3", "ingest_seq").alias("level3"))
+    return SC.neighbour_scores(nb, lab, "level3", CLASSES, grid)
+
+
+@register("m05_m06_neighbour_grid", f"""WITH {_GRID_SQL},
+cell AS (SELECT k, cls, count_if(y_true = cls) AS s, count_if(y_pred = cls) AS q, count_if(y_true = cls AND y_pred = cls) AS tp FROM pred, classes GROUP BY k, cls),
+f AS (SELECT k, sum(CASE WHEN s + q > 0 THEN 2.0 * tp / (s + q) * s ELSE 0.0 END) / sum(s) AS f1_weighted FROM cell GROUP BY k),
+a AS (SELECT k, avg(CASE WHEN y_pred = y_true THEN 1.0 ELSE 0.0 END) AS accuracy, count(*) AS n FROM pred GROUP BY k)
+SELECT k, n, round(accuracy, 8) AS accuracy, round(f1_weighted, 8) AS f1_weighted,
+  row_number() OVER (ORDER BY round(f1_weighted, 8) DESC, k) = 1 AS best FROM a JOIN f USING (k)""")
+def m05_grid(spark, sf):
+    pred = SC.predicted(_neighbour_scores(spark, sf), ["k"]).checkpoint(eager=True)
+    rows = []
+    for k in SC.GRID:
+        m = ST.classification_metrics(pred.filter(F.col("k") == k)).filter(F.col("metric").isin("accuracy", "f1_weighted"))
+        rows.append(m.groupBy().agg(*[F.max(F.when(F.col("metric") == c, F.col("value"))).alias(c) for c in ("accuracy", "f1_weighted")]).withColumn("k", F.lit(k)))
+    grid = rows[0]
+    for r in rows[1:]:
+        grid = grid.unionByName(r)
+    grid = finalize(grid.join(pred.groupBy("k").agg(F.count(F.lit(1)).alias("n")), "k"))
+    best = grid.agg(F.min_by("k", F.struct(-F.col("f1_weighted"), F.col("k"))).alias("b")).first()["b"]  # of five rows
+    return grid.select("k", "n", "accuracy", "f1_weighted", (F.col("k") == F.lit(best)).alias("best"))
+
+
+@register("m07_probabilistic_metrics", f"""WITH {_GRID_SQL},
+c AS (SELECT k, cls, p, count_if(cls = y_true) AS pos, count_if(cls <> y_true) AS neg FROM sc GROUP BY k, cls, p),
+b AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY k, cls ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM c),
+auc AS (SELECT k, cls, sum(pos * (below + neg / 2)) / (sum(pos) * sum(neg)) AS value FROM b GROUP BY k, cls HAVING sum(pos) > 0 AND sum(neg) > 0)
+SELECT k, 'log_loss' AS metric, 'all' AS cls, round(-avg(ln(greatest(p, 1e-15))), 8) AS value FROM sc WHERE cls = y_true GROUP BY k
+UNION ALL SELECT k, 'roc_auc', cls, round(value, 8) FROM auc UNION ALL SELECT k, 'roc_auc_ovr', 'all', round(avg(value), 8) FROM auc GROUP BY k""")
+def m07_probabilities(spark, sf):
+    scores = _neighbour_scores(spark, sf).checkpoint(eager=True)
+    return finalize(SC.probabilistic_metrics(scores, ["k"]))
+
+
+@register("m07_m08_confusion", f"""WITH {_GRID_SQL},
+p7 AS (SELECT * FROM pred WHERE k = 7), names AS (SELECT y_true AS cls FROM p7 UNION SELECT y_pred FROM p7), t AS (SELECT y_true, count(*) AS support FROM p7 GROUP BY y_true),
+c AS (SELECT y_true, y_pred, count(*) AS n FROM p7 GROUP BY y_true, y_pred)
+SELECT t.y_true, names.cls AS y_pred, coalesce(c.n, 0)::BIGINT AS n, round(coalesce(c.n, 0) / t.support, 8) AS share FROM t CROSS JOIN names LEFT JOIN c ON c.y_true = t.y_true AND c.y_pred = names.cls""")
+def m07_confusion(spark, sf):
+    return finalize(SC.confusion(SC.predicted(_neighbour_scores(spark, sf, [7]), ["k"]).checkpoint(eager=True)))
+
+
+@register("m08_confident_errors", f"""WITH {_GRID_SQL},
+u AS (SELECT player, avg(rating) AS rating, count(*) AS n_games FROM games GROUP BY player),
+loo AS (SELECT avg(CASE WHEN y_pred = y_true THEN 1.0 ELSE 0.0 END) AS loo_accuracy FROM pred WHERE k = 7)
+SELECT player, y_true, y_pred, confidence, round(rating, 8) AS rating, n_games, round(loo_accuracy, 8) AS loo_accuracy
+FROM pred JOIN u USING (player), loo WHERE k = 7 AND y_pred <> y_true""")
+def m08_confidence(spark, sf):
+    pred = SC.predicted(_neighbour_scores(spark, sf, [7]), ["k"]).checkpoint(eager=True)
+    u = fx.games(spark, sf).groupBy("player").agg(F.avg("rating").alias("rating"), F.count(F.lit(1)).alias("n_games"))
+    out = attach_scalars(pred, pred.agg(F.avg(F.col("correct").cast("double")).alias("loo_accuracy")))
+    out = out.filter(~F.col("correct")).join(u, "player")
+    # shares of votes have 9 digits already
+    return out.select("player", "y_true", "y_pred", "confidence", F.round("rating", 8).alias("rating"), "n_games", F.round("loo_accuracy", 8).alias("loo_accuracy"))
