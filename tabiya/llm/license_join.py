@@ -14,7 +14,10 @@ threshold is lost.
 
 Defined cases: null and empty texts have no word and no label; repeated rows
 are scanned each on its own; without templates only the phrases count; other
-columns are ignored.
+columns are ignored; an empty table gives an empty table; ties between templates
+give all their labels. A very long text is scanned whole; without a blank
+line or the end of a sentence it is one block, however long, and a template's words
+may then stand anywhere in it.
 """
 
 from __future__ import annotations
@@ -52,8 +55,12 @@ TEMPLATES = [
 THRESHOLD = 0.8
 _WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: A private-use character stands for a block's end while the gaps are closed.
-_END = "\ue000"
+#: A block's end: a blank line, or the end of a sentence.
+BORDER = r"\n[ \t-\r]*\n|[.!?;](?=[ \t-\r])"
+#: Stands for a block's end while the gaps are closed. It is no word character, so no text's words hold it; where a
+#: text has it between words, its neighbour takes its place.
+_END = "\x01"
+_INNER_GAP = r"[\x00\x02-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def words_of(text: str) -> list[str]:
@@ -94,7 +101,8 @@ def _prepared(docs: DataFrame, id_col: str, text_col: str, phrases: dict[str, st
     found = [F.col(f"p{k}") for k in range(len(phrases))]
     df = df.withColumn("found", F.array(*found)) if found else df.withColumn("found", F.array().cast("array<struct<n:bigint,first:bigint,last:bigint>>"))
     labels = F.array_compact(F.array(*[F.when(F.col(f"p{k}.n") > 0, F.lit(label)) for k, label in enumerate(phrases.values())])) if phrases else F.array().cast("array<string>")
-    blocks = F.split(closed(F.regexp_replace(F.col("low"), r"\n\s*\n|[.!?;](?=\s)", f" {_END} ")), _END) if tokens else F.array().cast("array<string>")
+    marked = F.regexp_replace(F.translate(F.col("low"), _END, "\x02"), BORDER, _END)
+    blocks = F.split(F.regexp_replace(marked, _INNER_GAP, " "), _END) if tokens else F.array().cast("array<string>")
     known = F.array(*[F.lit(t) for t in tokens]) if tokens else F.array().cast("array<string>")
     df = df.withColumn("shared", F.filter(F.transform(blocks, lambda b: F.array_intersect(F.split(b, " "), known)), lambda s: F.size(s) >= least))
     return df.select("row_id", "id", "n_words", F.aggregate("found", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("n_base"),

@@ -158,7 +158,7 @@ def _license_sql() -> str:
         phrases(p, label) AS (VALUES {phrases}),
         places AS (SELECT r, label, i - 1 AS i FROM (SELECT r, w, p, label, unnest(range(1, len(w) - len(p) + 2)) AS i FROM w, phrases WHERE len(w) >= len(p)) WHERE w[i:i + len(p) - 1] = p),
         base AS (SELECT r, count(*) AS n, min(i) AS a, max(i) AS z, list(DISTINCT label) AS l FROM places GROUP BY r),
-        blocks AS (SELECT r, list_distinct(regexp_extract_all(b, '{_WORDS}')) AS b FROM (SELECT r, unnest(string_split(regexp_replace(low, '\\n|[.!?;](\\s)', chr(1) || '\\1', 'g'), chr(1))) AS b FROM d)),
+        blocks AS (SELECT r, list_distinct(regexp_extract_all(b, '{_WORDS}')) AS b FROM (SELECT r, unnest(string_split(regexp_replace(translate(low, chr(1), chr(2)), '\\n[ \\t-\\r]*\\n|[.!?;]([ \\t-\\r])', chr(1) || '\\1', 'g'), chr(1))) AS b FROM d)),
         templates(t, label, k) AS (VALUES {templates}),
         hits AS (SELECT r, label, len(list_intersect(b, t))::DOUBLE / len(t) AS s FROM blocks, templates WHERE len(b) >= k AND len(list_intersect(b, t)) >= k),
         more AS (SELECT r, list(DISTINCT label) AS l, max(s) AS s FROM hits GROUP BY r)

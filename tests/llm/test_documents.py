@@ -202,7 +202,7 @@ def test_license_scan_equals_plain_scan(spark):
         assert (r.n_words, r.n_base, r.first_word, r.last_word) == (len(w), len(places), min((i for i, _ in places), default=None), max((i for i, _ in places), default=None))
         assert r.base_labels == ",".join(sorted({x for _, x in places}))
         best, labels = 0.0, {x for _, x in places}
-        for block in re.split(r"\n|[.!?;](?=\s)", text):
+        for block in re.split(r"\n[ \t-\r]*\n|[.!?;](?=[ \t-\r])", text):
             b = set(words(block))
             for label, t in license_join.TEMPLATES:
                 t = set(words(t))
@@ -322,3 +322,22 @@ def test_main_text_of_awkward_pages(spark):
     assert got[7].text == "T &é\nOne two three.\nFour.\na\nb\nEnd, of the text here."
     assert html_main.extract(spark.createDataFrame([], "page_id bigint, url string, html string"), training_pages=20).count() == 0
     assert unicodedata.normalize("NFC", got[7].text) == got[7].text
+
+
+def test_no_character_of_a_text_cuts_its_blocks(spark):
+    import duckdb
+    import pyarrow as pa
+    from tabiya.llm.queries import ORACLE
+
+    grant = license_join.TEMPLATES[8][1]
+    half = grant.index("software")
+    rows = [(1, grant[:half] + "\ue000 " + grant[half:]), (2, grant[:half] + "\x01 " + grant[half:]), (3, grant[:half] + "\n" + grant[half:]),
+            (4, grant[:half] + "\n \x0b\n" + grant[half:]), (5, grant[:half] + ".\n\n" + grant[half:]), (6, grant[:half] + ".\x01" + grant[half:]), (7, "\x01\x02"), (8, "\ue000")]
+    got = {r.doc_id: (r.n_words, r.labels, r.score) for r in license_join.scan(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    size = len(words(grant))
+    assert [got[i] for i in (2, 3, 6)] == [(size, "mit", 1.0)] * 3 and got[1] == (size + 1, "mit", 1.0)
+    assert [got[i][1] for i in (4, 5, 7, 8)] == [""] * 4 and (got[7][0], got[8][0]) == (0, 1)
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows]}))
+    want = {r[0]: (r[1], r[6], r[7]) for r in con.sql(ORACLE["op6_license_scan"]).fetchall()}
+    assert got == want
