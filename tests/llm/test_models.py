@@ -79,6 +79,19 @@ def test_rows_sample_alike_in_any_batch(pieces):
             assert a[0].tolist() == b[0].tolist() and a[1:] == b[1:]
 
 
+def test_samples_do_not_depend_on_the_kept_chunks(pieces, monkeypatch):
+    texts = [prose(seed, 60, 300) for seed in range(40)] + ["", "a  b", "Élan 日本"]
+    keys = B.mix(np.arange(len(texts), dtype=np.uint64))
+    want = S.sample_segmentations(pieces, texts, keys, 3)
+    monkeypatch.setattr(S, "KEPT_EDGES", 2000)  # often full: what several batches share stays, or all goes
+    for size in (4, 9):
+        pieces.solved.forget()
+        for i in range(0, len(texts), size):
+            for got, old in zip(S.sample_segmentations(pieces, texts[i:i + size], keys[i:i + size], 3), want[i:i + size]):
+                assert [(g[0].tolist(), round(g[1], 6)) for g in got] == [(o[0].tolist(), round(o[1], 6)) for o in old]
+    pieces.solved.forget()
+
+
 def test_encode_and_decode(spark):
     import sentencepiece
 
