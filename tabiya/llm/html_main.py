@@ -16,8 +16,12 @@ extracted whole.
 
 Defined cases: null or empty html, and pages without kept text, give an empty
 text; unclosed elements end where HTML ends them or at the page's end;
-comments, scripts, styles, templates and form fields have no text; repeated
-rows are extracted each on its own.
+comments, scripts, styles, templates and form fields have no text; hidden
+elements, formulas and drawings are judged as any other element; very long and
+deeply nested pages take time linear in their length; of equally likely
+choices the first of outside, kept, dropped is taken; repeated rows are
+extracted each on its own; an empty table gives an empty table; other columns
+of the input, whatever their names, are left out.
 """
 
 from __future__ import annotations
@@ -45,7 +49,7 @@ _SENTENCE = re.compile(r"[.!?,;:]")
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style noscript template iframe object svg math canvas select option textarea button head title".split())
+SILENT = frozenset("script style noscript template iframe select option textarea button head title".split())
 RAW = frozenset("script style textarea title noscript iframe".split())
 BLOCK = frozenset(("address article aside blockquote body br center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header "
                    "hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul").split())
@@ -79,41 +83,45 @@ class Page:
     tag: list[str] = field(default_factory=list)
     parent: list[int] = field(default_factory=list)
     kinds: list[list[int]] = field(default_factory=list)  # kinds of the attribute words
-    hidden: list[bool] = field(default_factory=list)
     truth: list[int] = field(default_factory=list)        # training only: 1 article, 0 other, -1 neither
     pieces: list[tuple[int, str]] = field(default_factory=list)  # (element, text); element -1: a block's border
 
 
-def _attributes(raw: str) -> tuple[list[int], bool, int | None]:
-    kinds, hidden, truth = [], False, None
+def _attributes(raw: str) -> tuple[list[int], int | None]:
+    kinds, truth = [], None
     for m in _ATTRIBUTE.finditer(raw):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("class", "id", "role"):
             kinds += [_KIND_OF[w.lower()] for w in _ATTRIBUTE_WORD.findall(value) if w.lower() in _KIND_OF]
-        elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none", value)):
-            hidden = True
         elif name == "data-truth":
             truth = int(value)
-    return kinds, hidden, truth
+    return kinds, truth
 
 
 def parse(source: str) -> Page:
     """The tree of a page; a stand-in root holds everything."""
     page = Page()
     open_: list[int] = []
+    # places in the stack of open elements, by tag
+    places: dict[str, list[int]] = {}
+
+    def last(*tags: str) -> int:
+        """Place of the innermost open element of these, 0 if there is none."""
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
 
     def start(tag: str, raw: str) -> None:
-        kinds, hidden, truth = _attributes(raw) if raw.strip() else ([], False, None)
+        kinds, truth = _attributes(raw) if raw.strip() else ([], None)
         up = open_[-1] if open_ else -1
         page.tag.append(tag)
         page.parent.append(up)
         page.kinds.append(kinds)
-        page.hidden.append(hidden)
         page.truth.append(truth if truth is not None else (page.truth[up] if up >= 0 else -1))
+        places.setdefault(tag, []).append(len(open_))
         open_.append(len(page.tag) - 1)
 
     def end_to(place: int) -> None:
         for i in open_[place:]:
+            places[page.tag[i]].pop()
             if page.tag[i] in BLOCK:
                 page.pieces.append((-1, ""))
         del open_[place:]
@@ -134,28 +142,25 @@ def parse(source: str) -> Page:
             continue
         name = name.lower()
         if m[2]:
-            place = next((k for k in range(len(open_) - 1, 0, -1) if page.tag[open_[k]] == name), 0)
+            place = last(name)
             if place:
                 end_to(place)
             elif name in ("p", "br"):
                 page.pieces.append((-1, ""))
             continue
-        if name in ("html", "body") and any(page.tag[i] == name for i in open_):
+        if name in ("html", "body") and last(name):
             continue
         if name in ENDS_P:
-            place = next((k for k in range(len(open_) - 1, 0, -1) if page.tag[open_[k]] == "p"), 0)
-            if place and not any(page.tag[i] in ("td", "th", "button", "object") for i in open_[place:]):
+            place = last("p")
+            if place > last("td", "th", "button", "object"):
                 end_to(place)
         if name in ENDS:
             shut, stop = ENDS[name]
-            for k in range(len(open_) - 1, 0, -1):
-                if page.tag[open_[k]] in stop:
-                    break
-                if page.tag[open_[k]] in shut:
-                    end_to(k)
-                    break
-        if name == "body" and any(page.tag[i] == "head" for i in open_):
-            end_to(next(k for k, i in enumerate(open_) if page.tag[i] == "head"))
+            place = last(*shut)
+            if place > last(*stop):
+                end_to(place)
+        if name == "body" and last("head"):
+            end_to(places["head"][0])
         if name in BLOCK:
             page.pieces.append((-1, ""))
         raw = m[4] or ""
@@ -193,7 +198,7 @@ def features(page: Page) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         up = page.parent[i]
         for k in page.kinds[i]:
             own_kind[i, k] += 1
-        silent[i] = page.tag[i] in SILENT or page.hidden[i] or (up >= 0 and silent[up])
+        silent[i] = page.tag[i] in SILENT or (up >= 0 and silent[up])
         in_link[i] = page.tag[i] == "a" or (up >= 0 and in_link[up])
         tag_id[i] = _TAG_OF.get(page.tag[i], -1)
         if up >= 0:

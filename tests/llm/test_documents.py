@@ -324,6 +324,49 @@ def test_main_text_of_awkward_pages(spark):
     assert unicodedata.normalize("NFC", got[7].text) == got[7].text
 
 
+def test_hidden_elements_and_formulas_of_an_article_are_kept(spark):
+    words = "The article goes on with a sentence of ordinary length, as articles do. "
+    page = f"<html><body><nav class=menu><a href=/>Home</a><a href=/a>All</a></nav><article><h1>Title</h1><p>{words * 3}</p><p hidden>Hidden words. {words * 2}</p>" \
+           f"<p style='display:none'>Undisplayed words. {words * 2}</p><p>It holds <math><mi>x</mi><mo>=</mo><mn>1</mn></math> and more. {words}</p></article></body></html>"
+    source = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html").limit(300)
+    got = html_main.extract(source.unionByName(spark.createDataFrame([(-1, "u", page)], "page_id bigint, url string, html string")), training_pages=600).filter("page_id = -1").first().text
+    assert "Hidden words." in got and "Undisplayed words." in got and "It holds x=1 and more." in got and "Home" not in got
+
+
+def test_parsing_is_linear_in_the_depth_of_open_elements():
+    import time
+
+    for source in ("<div>" * 80_000, "<b>" * 40_000 + "<p>" * 40_000, "<ul>" + "<li><b>" * 40_000, "<p><td>" * 40_000):
+        began = time.process_time()
+        assert len(html_main.parse(source).tag) > 40_000
+        assert time.process_time() - began < 4
+
+
+def test_decoding_finds_the_best_of_all_consistent_choices():
+    import itertools
+
+    rng = np.random.default_rng(3)
+    for _ in range(150):
+        n = int(rng.integers(1, 8))
+        parent = [-1] + [int(rng.integers(0, i)) for i in range(1, n)]
+        page = html_main.Page(tag=["div"] * n, parent=parent)
+        odds, own = rng.normal(0, 2, n), rng.integers(0, 60, n) * (rng.random(n) < 0.6)
+        weight = 0.5 + np.minimum(np.log1p(own) / 3, 2)
+        chance = 1 / (1 + np.exp(-odds))
+
+        def worth(states):
+            total = 0.0
+            for i, s in enumerate(states):
+                if i and s not in html_main._MAY[states[parent[i]]]:
+                    return -np.inf
+                total += weight[i] * np.log(chance[i] if s == html_main.KEPT else 1 - chance[i]) if s != html_main.OUTSIDE or own[i] else -0.05
+                total -= html_main.CHANGE * (i > 0 and s != states[parent[i]])
+            return total
+
+        best = max(worth(c) for c in itertools.product((0, 1, 2), repeat=n) if c[0] != html_main.DROPPED)
+        assert abs(worth([int(s) for s in html_main.decode(page, odds, own.astype(float))]) - best) < 1e-9
+
+
 def test_no_character_of_a_text_cuts_its_blocks(spark):
     import duckdb
     import pyarrow as pa
