@@ -9,13 +9,14 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import clusters as K
+from . import kmeans as KM
 from .stats import balanced_weights
 
 
@@ -23,36 +24,18 @@ def _zcols(features):
     return [f"z_{c}" for c in features]
 
 
-def train_kmeans(scaled: DataFrame, k: int = 3, seeds=(42, 43, 44, 45, 46), features=K.FEATURES, max_iter: int = 50):
-    """KMeans (k-means||) from several seeds, best by training cost;
-    centroids returned in the scaled space, ordered by cluster id."""
-    vec = VectorAssembler(inputCols=_zcols(features), outputCol="features").transform(scaled).select("features")
-    vec = vec.cache()  # iterative training; a lost cached block is recomputed from lineage
-    best = None
-    for s in seeds:
-        m = KMeans(k=k, seed=s, maxIter=max_iter, initMode="k-means||").fit(vec)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, m)
-    vec.unpersist()
-    cost, model = best
-    return model, [list(map(float, c)) for c in model.clusterCenters()], cost
-
-
-def k_sweep(scaled: DataFrame, ks=range(2, 9), seed: int = 42, features=K.FEATURES) -> list[tuple]:
-    """Per k: training cost, silhouette (squared euclidean, all rows) and
-    Davies-Bouldin from grouped aggregates."""
-    vec = VectorAssembler(inputCols=_zcols(features), outputCol="features").transform(scaled)
-    vec = vec.cache()
-    out = []
-    for k in ks:
-        m = KMeans(k=k, seed=seed, maxIter=50).fit(vec)
-        pred = m.transform(vec)
-        sil = ClusteringEvaluator(distanceMeasure="squaredEuclidean").evaluate(pred)
-        db = K.davies_bouldin(pred.withColumnRenamed("prediction", "cl"), "cl", features).first()["davies_bouldin"]
-        out.append((int(k), float(m.summary.trainingCost), float(sil), float(db)))
-    vec.unpersist()
-    return out
+def train_kmeans(scaled: DataFrame, k: int = 3, starts: int = 20, seed: int = 42, features=K.FEATURES) -> KM.Model | None:
+    """K-means of the scaled features, the best of ``starts`` k-means++ starts."""
+    return KM.fit(KM.points(scaled, features), [k], starts, seed).get(k)
+
+
+def k_sweep(scaled: DataFrame, ks=range(2, 9), starts: int = 10, seed: int = 42, features=K.FEATURES, sample: int = 5000) -> list[tuple]:
+    """Per k the least cost of ``starts`` starts, the Euclidean silhouette of a
+    sample of ``sample`` rows, and the Davies-Bouldin index."""
+    pts = KM.points(scaled, features)
+    models = KM.fit(pts, ks, starts, seed)
+    worth = KM.silhouettes(pts, models, sample, seed)
+    return [(k, m.cost, worth[k], m.davies_bouldin()) for k, m in models.items()]
 
 
 def rf_experiments(df: DataFrame, label: str, feature_sets: dict, fold_col: str = "fold", split_col: str = "is_train",

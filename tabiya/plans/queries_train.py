@@ -23,13 +23,25 @@ def _scaled(spark, sf):
     return e, K.scale(e, K.FEATURES, K.scaler_stats(e))
 
 
+def _trained(e, features):
+    """Rows, means and centre of each cluster, by quality rank, and the model's cost."""
+    z = K.scale(e, features, K.scaler_stats(e, features))
+    model = ML.train_kmeans(z, features=features)
+    lv = K.relabel_by_quality(K.assign_clusters(z, model.centres.tolist(), features), "model")
+    centre = F.element_at(F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in model.centres]), F.col("cluster_raw") + 1)
+    found = lv.groupBy("rank", "cluster_raw").agg(F.count(F.lit(1)).alias("n"), F.avg("acl_w").alias("acl_mean"), F.avg("theory_depth").alias("theory_mean"))
+    return found.withColumns({f"c_{f}": centre[i] for i, f in enumerate(features)}).withColumn("cost", F.lit(model.cost)).drop("cluster_raw")
+
+
 @register("m09_kmeans_training")
 def m09(spark, sf):
-    e, z = _scaled(spark, sf)
-    _model, cents, _cost = ML.train_kmeans(z)
-    lv = K.relabel_by_quality(K.assign_clusters(z, cents), "model")
-    return finalize(lv.groupBy("rank").agg(F.count(F.lit(1)).alias("n"), F.avg("acl_w").alias("acl_mean"),
-                                          F.avg("theory_depth").alias("theory_mean")))
+    return finalize(_trained(P.game_features(fx.games(spark, sf)), K.FEATURES))
+
+
+@register("m09_kmeans_flags")
+def m09_flags(spark, sf):
+    # the variant with the game flags and the result
+    return finalize(_trained(P.game_features(fx.games(spark, sf)), [*K.FEATURES, "is_theory_expert", "is_feeling_natural", "is_critical_point", "score"]))
 
 
 @register("m10_k_sweep")
