@@ -25,10 +25,19 @@ CATALOG_SCHEMA_COLS = [
 
 
 def message_resources(messages: DataFrame, min_date: str = "2022-01-01") -> DataFrame:
+    """The resource rows of messages deduplicated by resource id (first = newest
+    message, URLs before the attachment, URLs in text order)."""
+    return keep_first(message_rows(messages, min_date), ["resource_id"], message_order()).drop("msg_id", "branch", "pos")
+
+
+def message_order() -> list[F.Column]:
+    """Which of a resource's rows comes first."""
+    return [-F.col("msg_id"), F.col("branch"), F.col("pos")]
+
+
+def message_rows(messages: DataFrame, min_date: str = "2022-01-01") -> DataFrame:
     """One resource row per recognised URL plus one per recognised
-    attachment, deduplicated by resource id (first = newest message, URLs
-    before the attachment, URLs in text order). Stateless per message, so the
-    same function runs on a streaming DataFrame."""
+    attachment. Stateless per message, so the same function runs on a stream."""
     # text materialised once (its fixture expression is not re-planned per keyword test)
     m = messages.filter(F.col("sent_on") >= F.lit(min_date).cast("date")).withColumn("__low", F.lower(F.col("text")))
     low = F.col("__low")
@@ -65,9 +74,7 @@ def message_resources(messages: DataFrame, min_date: str = "2022-01-01") -> Data
         X.count_contains(F.lower(tt), X.MSG_BEGINNER_SIGNALS).alias("score_down"),
         X.count_contains(F.lower(tt), X.MSG_INTERMEDIATE_SIGNALS).alias("score_anchor"),
         "msg_id", F.lit(1).alias("branch"), F.lit(0).alias("pos"))
-    allr = urls.unionByName(files)
-    first = keep_first(allr, ["resource_id"], [-F.col("msg_id"), F.col("branch"), F.col("pos")])
-    return first.drop("msg_id", "branch", "pos")
+    return urls.unionByName(files)
 
 
 def clean_channel(res: DataFrame, order_col: str = "resource_id") -> DataFrame:

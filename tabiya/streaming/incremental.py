@@ -2,19 +2,20 @@
 
 Streams are file sources processed with ``trigger(availableNow=True)`` and a
 checkpoint location, so a restarted job resumes after the last committed
-micro-batch. Sinks are idempotent: each micro-batch is anti-joined against the
-target before it is appended, so a batch replayed after a failure adds nothing.
+micro-batch. Sinks are idempotent: every micro-batch has a folder of its own,
+which a batch replayed after a failure replaces. No batch reads or rewrites
+what earlier batches wrote; known keys are the stream's state.
 """
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.catalog import message_resources
-from ..operators.common import keep_first
+from ..operators.catalog import message_order, message_rows
 from ..session import scratch_path
 
 
@@ -30,25 +31,63 @@ def _children(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in store.listStatus(p)] if store.exists(p) else []
 
 
-def _append_new(batch: DataFrame, target: str, key: str, order_col: str) -> None:
-    spark = batch.sparkSession
-    fresh = keep_first(batch, [key], [F.col(order_col)])
-    # only a target without data files is new; any error while reading one ends the batch
-    if any(n.startswith("part-") for n in _children(spark, target)):
-        fresh = fresh.join(spark.read.parquet(target).select(key), key, "left_anti")
-    fresh.write.mode("append").parquet(target)
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream's checkpoint keeps over restarts."""
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
+
+
+def _append_first(rows: DataFrame, key: str, order: list, target: str, checkpoint: str) -> None:
+    """Append the first row of every key of a stream to ``target``, one folder a batch.
+
+    Keys are state: a streaming aggregation keeps, for each key, its first row and the times of the first
+    and the last batch that held it. A key is new if the two are equal, so a batch reads nothing of the
+    target. A batch that runs again has its old time and replaces its own folder. Folders of another
+    checkpoint, whose keys are not in this one's state, are read and anti-joined; there are none unless a
+    checkpoint was lost. The state is kept on disk, and a batch's commit writes what changed.
+    """
+    spark = rows.sparkSession
+    others = [c for c in rows.columns if c != key]
+    firsts = rows.withColumn("__at", F.current_timestamp()).groupBy(key).agg(
+        F.min_by(F.struct(*others), F.struct(F.col("__at"), *order)).alias("row"), F.min("__at").alias("first_at"), F.max("__at").alias("last_at"))
+
+    def write(df: DataFrame, epoch: int) -> None:
+        own = f"batch={_query_id(spark, checkpoint)}-"
+        new = df.filter("first_at = last_at").select(key, "row.*")
+        foreign = [f"{target}/{n}" for n in _children(spark, target) if n.startswith("batch=") and not n.startswith(own)]
+        if foreign:
+            known = spark.read.parquet(*foreign).select(F.col(key).alias("__known"))
+            new = new.join(known, F.col(key).eqNullSafe(F.col("__known")), "left_anti")
+        new.write.mode("overwrite").parquet(f"{target}/{own}{epoch}")
+
+    with _state_on_disk(spark):
+        q = (firsts.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+             .foreachBatch(write).trigger(availableNow=True).start())
+        q.awaitTermination()
+
+
+@contextlib.contextmanager
+def _state_on_disk(spark: SparkSession):
+    """State of the streams started inside is kept by RocksDB with change logs."""
+    wanted = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+              "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
 def exactly_once_append(spark: SparkSession, source_dir: str, schema, target: str, checkpoint: str,
-                        key: str = "game_id", order_col: str = "ingest_seq") -> None:
+                        key: str = "game_id", order_col: str = "ingest_seq", files_per_batch: int | None = None) -> None:
     """Stream new files of ``source_dir`` into ``target`` keeping the first
-    row per key across all batches (two barriers: in-batch dedupe, anti join
-    against the target)."""
-    stream = spark.readStream.schema(schema).parquet(source_dir)
-    q = (stream.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, _epoch: _append_new(df, target, key, order_col))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    row per key across all batches, in a batch the first by ``order_col``."""
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    _append_first(reader.parquet(source_dir), key, [F.col(order_col)], target, checkpoint)
 
 
 def blunder_state(events: DataFrame) -> DataFrame:
@@ -91,16 +130,9 @@ def reset_events(state: DataFrame, ts, player: str | None = None) -> DataFrame:
 def stream_message_resources(spark: SparkSession, source_dir: str, schema, target: str, checkpoint: str,
                              min_date: str = "2022-01-01") -> None:
     """T18 on a streaming DataFrame of messages; resources deduplicated by id
-    across batches by the idempotent append."""
-    stream = spark.readStream.schema(schema).parquet(source_dir)
-
-    def batch(df: DataFrame, _epoch: int) -> None:
-        # T18 is stateless per message: run the batch operator on each micro-batch
-        res = message_resources(df, min_date).withColumn("__order", F.lit(0))
-        _append_new(res, target, "resource_id", "__order")
-    q = (stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    across batches: the first batch that brings an id decides, in it the newest message."""
+    rows = message_rows(spark.readStream.schema(schema).parquet(source_dir), min_date)
+    _append_first(rows, "resource_id", message_order(), target, checkpoint)
 
 
 def new_run_dir(spark: SparkSession, name: str) -> str:
@@ -112,12 +144,13 @@ def stream_blunder_state(spark: SparkSession, source_dir: str, schema, target_ba
                          files_per_batch: int | None = None) -> str:
     """I03 as a stream: the blunder event log is aggregated per game by a
     streaming aggregation (update mode: only games touched in the batch are
-    emitted); each batch upserts them into the state table, written as a new
-    version (S09) so readers never see a half-written table.
+    emitted). A batch writes the games it touched to a log folder of its own and
+    reads nothing; the end of a run merges the log since the last version into a
+    new version of the state table (S09), so readers never see a half-written table.
 
     The newest complete version (one with Spark's ``_SUCCESS`` mark) of
-    ``target_base`` is where a run starts and, without new events, its result;
-    None if there never was an event."""
+    ``target_base`` is where a run's merge starts and, without new events, its
+    result; None if there never was an event."""
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -130,24 +163,31 @@ def stream_blunder_state(spark: SparkSession, source_dir: str, schema, target_ba
         F.max_by(F.col("kind"), F.struct(F.col("ts"), F.when(F.col("kind") == "observe", 0)
                                           .when(F.col("kind") == "reset", 1).otherwise(2))).alias("last_kind"))
 
-    def newest(before: int | None = None) -> str | None:
-        done = [n for n in _children(spark, target_base) if n.startswith("v") and "_SUCCESS" in _children(spark, f"{target_base}/{n}")]
-        done = [n for n in sorted(done) if before is None or int(n[1:]) < before]
-        return f"{target_base}/{done[-1]}" if done else None
+    def epochs(folder: str, prefix: str) -> list[int]:
+        """Numbers of the folder's complete versions or batches, in order."""
+        return sorted(int(n[1:]) for n in _children(spark, folder) if n.startswith(prefix) and "_SUCCESS" in _children(spark, f"{folder}/{n}"))
 
-    def upsert(df: DataFrame, epoch: int) -> None:
-        upd = df.filter(F.col("best").isNotNull()).select(
+    def log(df: DataFrame, epoch: int) -> None:
+        df.filter(F.col("best").isNotNull()).select(
             "game_id", F.col("best.player").alias("player"), F.col("best.opening").alias("opening"),
             F.col("best.fen").alias("fen"), F.col("best.loss").alias("loss"), "last_seen",
-            (F.col("last_kind") == "upload").alias("uploaded"))
-        path = f"{target_base}/v{epoch:09d}"
-        # a batch that runs again starts from the version before it
-        if (last := newest(before=epoch)) is not None:
-            old = df.sparkSession.read.parquet(last)
-            upd = old.join(upd.select("game_id"), "game_id", "left_anti").unionByName(upd)
-        upd.write.mode("overwrite").parquet(path)
-
-    q = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(upsert)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return newest()
+            (F.col("last_kind") == "upload").alias("uploaded"), F.lit(epoch).cast("long").alias("epoch")
+        ).write.mode("overwrite").parquet(f"{target_base}/log/e{epoch:09d}")
+
+    with _state_on_disk(spark):
+        q = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(log)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    versions = epochs(target_base, "v")
+    last = f"{target_base}/v{versions[-1]:09d}" if versions else None
+    since = [e for e in epochs(f"{target_base}/log", "e") if not versions or e > versions[-1]]
+    if not since:
+        return last
+    logged = spark.read.parquet(*[f"{target_base}/log/e{e:09d}" for e in since])
+    rest = [c for c in logged.columns if c not in ("game_id", "epoch")]
+    state = logged.groupBy("game_id").agg(F.max_by(F.struct(*rest), "epoch").alias("row")).select("game_id", "row.*")
+    if last is not None:
+        state = spark.read.parquet(last).join(state.select("game_id"), "game_id", "left_anti").unionByName(state)
+    path = f"{target_base}/v{since[-1]:09d}"
+    state.write.mode("overwrite").parquet(path)
+    return path
