@@ -139,6 +139,26 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> dict[
     return {c: [quantile(c, p) for p in probs] for c in cols}
 
 
+def grouped_quantiles(df: DataFrame, group: str, value: str, probs: list[float], out: list[str]) -> DataFrame:
+    """Exact quantiles (linear interpolation) of ``value`` in every group, one row a group (null is a group).
+
+    Values are counted per group and ranked by range partitions, so no task holds a whole group; an
+    order statistic is the value whose counts cover its place. A group without values has null quantiles.
+    """
+    # a struct is never null, so the null group joins like any other
+    d = df.select(F.struct(F.col(group).alias("v")).alias("g"), F.col(value).cast("double").alias("x"))
+    counts = d.groupBy("g", "x").agg(F.count(F.lit(1)).alias("n"))
+    total = counts.groupBy("g").agg(F.sum(F.when(F.col("x").isNotNull(), F.col("n")).otherwise(0)).alias("total"))
+    ranked = running_total(counts.filter(F.col("x").isNotNull()), ["g"], "x", "n", "before")
+    place = [F.lit(float(p)) * (F.col("total") - 1) for p in probs]
+
+    def at(k: F.Column) -> F.Column:
+        return F.max(F.when((F.col("before") <= k) & (k < F.col("before") + F.col("n")), F.col("x")))
+    found = total.join(ranked, "g", "left").groupBy("g", "total").agg(
+        *[at(F.floor(k)).alias(f"lo{i}") for i, k in enumerate(place)], *[at(F.ceil(k)).alias(f"hi{i}") for i, k in enumerate(place)])
+    return found.select(F.col("g.v").alias(group), *[(F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * (k - F.floor(k))).alias(c) for i, (k, c) in enumerate(zip(place, out))])
+
+
 def attach_values(df: DataFrame, values: dict[str, float | None]) -> DataFrame:
     """Constant double columns."""
     return df.withColumns({k: F.lit(v).cast("double") for k, v in values.items()})

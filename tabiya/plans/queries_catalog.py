@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import scalar as S
 from ..functions import text as X
 from ..operators import catalog as C
-from ..operators.common import exact_quantiles
+from ..operators.common import exact_quantiles, grouped_quantiles
 from ..sources import fixtures as fx
 from .queries_text import _RETIER_SQL
 from .registry import finalize, register
@@ -145,8 +145,8 @@ UNION ALL SELECT 'tier_median_paid_price', level_tier, round(quantile_cont(price
 def a22(spark, sf):
     c = fx.catalog(spark, sf)
     a = c.groupBy(F.col("source").alias("value")).agg(F.avg("is_free").alias("stat")).withColumn("dim", F.lit("source"))
-    b = (c.filter(F.col("is_free") == 0).groupBy(F.col("level_tier").alias("value"))
-          .agg(F.percentile("price_eur", 0.5).alias("stat")).withColumn("dim", F.lit("tier_median_paid_price")))
+    b = (grouped_quantiles(c.filter(F.col("is_free") == 0), "level_tier", "price_eur", [0.5], ["stat"])
+          .withColumnRenamed("level_tier", "value").withColumn("dim", F.lit("tier_median_paid_price")))
     return finalize(a.unionByName(b))
 
 
@@ -170,13 +170,10 @@ def a23(spark, sf):
             [(f"log10_{k}", F.log10(F.col(k).cast("double") + 1)) for k in ["views_yt", "price_eur"]]
     c = c.select(*[e.alias(k) for k, e in exprs])
     med = exact_quantiles(c, [k for k, _ in exprs], [0.5])
-    parts = [c.agg(F.lit(k).alias("feature"), F.avg(k).alias("mean"), F.stddev_samp(k).alias("std"),
-                   F.min(k).alias("min"), F.lit(med[k][0]).cast("double").alias("median"), F.max(k).alias("max"),
-                   F.skewness(k).alias("skew")) for k, _ in exprs]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return finalize(out)
+    # one aggregate of all columns, turned into a row each
+    stats = c.agg(*[F.struct(F.lit(k).alias("feature"), F.avg(k).alias("mean"), F.stddev_samp(k).alias("std"), F.min(k).alias("min"),
+                             F.lit(med[k][0]).cast("double").alias("median"), F.max(k).alias("max"), F.skewness(k).alias("skew")).alias(k) for k, _ in exprs])
+    return finalize(stats.select(F.inline(F.array(*[F.col(k) for k, _ in exprs]))))
 
 
 @register("a24_histogram", """
@@ -194,8 +191,7 @@ SELECT level_tier, round(min(price_eur), 8) AS q0, round(quantile_cont(price_eur
 FROM catalog GROUP BY level_tier""")
 def a25(spark, sf):
     c = fx.catalog(spark, sf)
-    p = c.groupBy("level_tier").agg(F.percentile("price_eur", [0.0, 0.25, 0.5, 0.75, 1.0]).alias("q"))
-    return finalize(p.select("level_tier", *[F.col("q")[i].alias(f"q{i}") for i in range(5)]))
+    return finalize(grouped_quantiles(c, "level_tier", "price_eur", [0.0, 0.25, 0.5, 0.75, 1.0], [f"q{i}" for i in range(5)]))
 
 
 _CORR_COLS = ["price_eur", "duration_min", "rating_score", "views_yt", "level_min", "level_max", "is_free", "has_video"]
