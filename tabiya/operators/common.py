@@ -28,16 +28,6 @@ def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return out
 
 
-def bound_class(value: F.Column, bounds: list[int], kind: str) -> F.Column:
-    """Largest bound <= value (``kind="floor"``) or smallest bound >= value
-    (``kind="ceil"``) among a sorted list of integer Elo bounds. The list is
-    bounded by the rating scale ([0, 9999]: at most 10^4 values)."""
-    arr = F.array(*[F.lit(int(b)).cast("long") for b in bounds]) if bounds else F.array().cast("array<long>")
-    if kind == "floor":
-        return F.array_max(F.filter(arr, lambda x: x <= value))
-    return F.array_min(F.filter(arr, lambda x: x >= value))
-
-
 def keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     """First row per key by ``order`` (unique tie-break expected).
 

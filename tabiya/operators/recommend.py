@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .bridge import match_bridge, rating_key, synonym_terms
 from ..session import ensure_checkpoint_dir
 from .metric import knn_neighbours
-from .common import attach_scalars, attach_values, bound_class, exact_quantiles, nearest_bound
+from .common import attach_scalars, attach_values, exact_quantiles, nearest_bound
 
 RESOURCE_COLS = ["resource_id", "title", "source", "level_tier", "is_free", "course_type"]
 # Level name maps of the recommenders.
@@ -68,7 +68,8 @@ def search_resources(requests: DataFrame, catalog: DataFrame, top_n: int = 3, va
         F.col("rating_score").desc_nulls_last(), F.col("is_free").asc_nulls_last(), "resource_id")
     top = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_n)
     hits = kc.join(top, ["opening", "a", "b"])
-    hits = hits.select("opening", "r_lo", "r_hi", "rank", F.lit("match").alias("match_kind"), *RESOURCE_COLS)
+    # read by the answer and by what is missing
+    hits = hits.select("opening", "r_lo", "r_hi", "rank", F.lit("match").alias("match_kind"), *RESOURCE_COLS).checkpoint(eager=True)
     # fallback: keys without any hit, by tier of the rating
     missing = keys.join(hits.select("opening", "r_lo", "r_hi").distinct(), ["opening", "r_lo", "r_hi"], "left_anti")
     r = F.col("r_lo")  # floor: '>= 2000' on the rating equals '>= 2000' on its floor
@@ -358,14 +359,12 @@ def label_driven_plan(profiles: DataFrame, catalog: DataFrame, top_n: int = 3) -
                           + F.coalesce("has_exercises", F.lit(0)) + F.coalesce("has_spaced_rep", F.lit(0))).alias("richness"),
                          F.coalesce(F.col("level_min"), F.lit(0)).cast("long").alias("lo"),
                          F.coalesce(F.col("level_max"), F.lit(9999)).cast("long").alias("hi"))
-    # range classes over the catalogue's distinct bounds
-    lo_b = sorted(r["lo"] for r in res.select("lo").distinct().collect())  # Elo bounds: <= 10^4 values
-    hi_b = sorted(r["hi"] for r in res.select("hi").distinct().collect())
-    pr = (pr.withColumn("a", bound_class(F.col("r_lo"), lo_b, "floor"))
-            .withColumn("b", bound_class(F.col("r_hi"), hi_b, "ceil"))
-            .filter(F.col("a").isNotNull() & F.col("b").isNotNull()).checkpoint(eager=True))
+    # range classes: a and b are the catalogue's bounds next to the rating; all ratings of a class are covered by the same resources
+    pr = nearest_bound(pr, "r_lo", res.select("lo"), "floor", "a")
+    pr = nearest_bound(pr, "r_hi", res.select("hi"), "ceil", "b")
+    pr = pr.filter(F.col("a").isNotNull() & F.col("b").isNotNull()).checkpoint(eager=True)
     rest_cols = ["color_en", "label", "group", "penalty", "a", "b"]
-    rk = pr.select(*rest_cols, "pref1", "prefs", "focus", "avoid").distinct()
+    taste = ["pref1", "prefs", "focus", "avoid"]
 
     def rest_score(df):
         ct = F.coalesce(F.col("course_type"), F.lit(""))
@@ -379,28 +378,24 @@ def label_driven_plan(profiles: DataFrame, catalog: DataFrame, top_n: int = 3) -
     def eligible(df):
         return df.filter((F.col("lo") <= F.col("a")) & (F.col("hi") >= F.col("b"))
                          & ~F.array_contains(F.col("avoid"), F.coalesce(F.col("course_type"), F.lit(""))))
-    # rest-key pools: every resource class is scored once per rest key (the
-    # rest keys are bounded by colour x label x group x penalty x range class)
-    rk_b = F.broadcast(rk)
-    # resources are exploded over the range-class lower bounds they satisfy
-    # (integer Elo bounds lie in [0, 9999]: at most 10^4 distinct values, in
-    # practice a few dozen), then equi-joined with the rest keys on that bound
-    bounds = sorted(r["a"] for r in pr.select("a").distinct().collect())
-    res_a = res.withColumn("a", F.explode(F.filter(F.array(*[F.lit(int(x)).cast("long") for x in bounds]),
-                                                   lambda x: x >= F.col("lo"))))
-    scored = eligible(res_a.join(rk_b, "a")).withColumn("s", rest_score(None))
+    # rest-key pools: the score depends on the rest key only through course type and colour, so the best of every
+    # (range class, course type, colour) are found first, for all rest keys at once
+    classes = pr.groupBy("a", "b").agg(F.min(F.col("r_lo") + F.col("r_hi")).alias("place"))
+    best_of = _best_by_range(classes, res.withColumn("base", F.col("richness") * 5.0 + F.col("popularity") * 5.0), ["course_type", "rcolor"], 2 * top_n)
+    rk = pr.select(*rest_cols, *taste).distinct()
+    scored = eligible(rk.join(best_of, ["a", "b"])).withColumn("s", rest_score(None))
     w = Window.partitionBy(*rest_cols).orderBy(F.desc("s"), "resource_id")
     pools = scored.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") <= 2 * top_n).drop("__r")
     # opening-matching resources per (apertura, rest key)
     ap = pr.select(F.col("apertura").alias("opening"), F.col("apertura").alias("term")).distinct()
     mt = match_bridge(ap, catalog, ["openings"]).withColumnRenamed("opening", "apertura")
-    keys = pr.select("apertura", *rest_cols).distinct()
-    m_sc = eligible(keys.join(mt, "apertura").join(res, "resource_id").join(rk_b, rest_cols)).withColumn(
+    keys = pr.select("apertura", *rest_cols, *taste).distinct()
+    m_sc = eligible(keys.join(mt, "apertura").join(res, "resource_id")).withColumn(
         "s", rest_score(None) + 40.0)
     wm = Window.partitionBy("apertura", *rest_cols).orderBy(F.desc("s"), "resource_id")
     m_top = m_sc.withColumn("__r", F.row_number().over(wm)).filter(F.col("__r") <= top_n).select(
         "apertura", *rest_cols, "resource_id", "s")
-    p_side = keys.join(pools.select(*rest_cols, "resource_id", "s"), rest_cols)
+    p_side = keys.drop(*taste).join(pools.select(*rest_cols, "resource_id", "s"), rest_cols)
     p_side = p_side.join(mt.withColumn("__m", F.lit(1)), ["apertura", "resource_id"], "left")
     p_side = p_side.withColumn("s", F.col("s") + F.when(F.col("__m") == 1, 40.0).otherwise(0.0)).drop("__m")
     cand = m_top.unionByName(p_side).groupBy("apertura", *rest_cols, "resource_id").agg(F.max("s").alias("score"))
@@ -410,6 +405,35 @@ def label_driven_plan(profiles: DataFrame, catalog: DataFrame, top_n: int = 3) -
     return lines.join(best, ["apertura", *rest_cols]).drop("apertura", "a", "b", "color_en", "penalty")
 
 
+#: Levels of the dyadic ranges; twice a rating lies below 2 ** RANGE_BITS, ratings and bounds beyond are moved to the border.
+RANGE_BITS = 16
+
+
+def _best_by_range(classes: DataFrame, res: DataFrame, kind: list[str], n: int) -> DataFrame:
+    """Per range class (a, b, place) and kind: the ``n`` resources of largest ``base`` (then smallest id) whose range holds the place.
+
+    A place is twice a rating, odd between two whole ones. A resource's range is cut into the dyadic
+    ranges that make it up, two a level at most; each dyadic range keeps its best ``n`` of every kind,
+    and a class looks up the one range of every level that holds its place. No resource meets every class.
+    """
+    border = 2 ** RANGE_BITS
+    cut = lambda c: F.least(F.greatest(c.cast("long"), F.lit(0).cast("long")), F.lit(border).cast("long"))
+    first, stop = "shiftright(__l + shiftleft(1L, i) - 1, i)", "shiftright(__r, i)"
+    parts = (f"filter(flatten(transform(sequence(0, {RANGE_BITS}), i -> array("
+             f"if({first} < {stop} AND {first} % 2 = 1, struct(i AS level, {first} AS cell), null), "
+             f"if({first} < {stop} AND {stop} % 2 = 1, struct(i AS level, {stop} - 1 AS cell), null)))), x -> x IS NOT NULL)")
+    # a range that ends before it begins holds nothing; the last place stands for all beyond it
+    cells = (res.withColumn("__l", F.least(cut(F.col("lo") * 2), F.lit(border - 1))).withColumn("__r", F.when(F.col("lo") <= F.col("hi"), F.least(cut(F.col("hi") * 2), F.lit(border - 1)) + 1).otherwise(0))
+             .withColumn("part", F.explode(F.expr(parts))).select("*", "part.level", "part.cell").drop("part", "__l", "__r"))
+    order = [F.desc("base"), "resource_id"]
+    held = cells.withColumn("__k", F.row_number().over(Window.partitionBy("level", "cell", *kind).orderBy(*order))).filter(F.col("__k") <= n).drop("__k")
+    at = (classes.withColumn("__p", F.least(F.greatest(F.col("place"), F.lit(0)), F.lit(border - 1)))
+          .withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(RANGE_BITS)))).withColumn("cell", F.expr("shiftright(__p, level)")).select("a", "b", "level", "cell"))
+    found = at.join(held, ["level", "cell"])
+    best = found.withColumn("__k", F.row_number().over(Window.partitionBy("a", "b", *kind).orderBy(*order))).filter(F.col("__k") <= n)
+    return best.drop("__k", "level", "cell")
+
+
 def rank_lines(profiles: DataFrame) -> DataFrame:
     """Every player's lines in the order of study: label priority,
     then accuracy; low-volume lines are left out, unknown labels come last."""
