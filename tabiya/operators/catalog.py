@@ -114,9 +114,17 @@ def skew_transforms(cat: DataFrame) -> DataFrame:
              .drop("__md", "__mr"))
 
 
+#: A column with more values than this is not turned into columns.
+MAX_DOMAIN = 1000
+
+
 def domain_of(df: DataFrame, col: str) -> list[str]:
-    """The distinct non-null values of a category column, sorted (as many as a wide table has columns)."""
-    return sorted(r[0] for r in df.select(F.col(col).cast("string")).filter(F.col(col).isNotNull()).distinct().collect())
+    """The distinct non-null values of a category column, sorted; an error above ``MAX_DOMAIN`` values, for
+    which ``crosstabs`` has the long form."""
+    found = df.select(F.col(col).cast("string")).filter(F.col(col).isNotNull()).distinct().limit(MAX_DOMAIN + 1).collect()
+    if len(found) > MAX_DOMAIN:
+        raise ValueError(f"{col} has more than {MAX_DOMAIN} values")
+    return sorted(r[0] for r in found)
 
 
 def one_hot(df: DataFrame, col: str, domain: list[str] | None = None, prefix: str | None = None) -> DataFrame:
@@ -172,6 +180,13 @@ def pivot_counts(df: DataFrame, row: str, col: str, domain: list[str] | None = N
     return df.groupBy(row).pivot(col, domain).count().fillna(0)
 
 
+def crosstabs(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """The cells of several crosstabs that hold rows, in long form (no column a value), in one pass."""
+    stack = "stack({n}, {args}) as (crosstab, row_value, col_value)".format(
+        n=len(pairs), args=", ".join(f"'{a} x {b}', CAST(`{a}` AS STRING), CAST(`{b}` AS STRING)" for a, b in pairs))
+    return df.selectExpr(stack).groupBy("crosstab", "row_value", "col_value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def row_percent(pivot: DataFrame, row: str, domain: list[str] | None = None) -> DataFrame:
     """Row-normalised crosstab: round(count/total, 3) * 100."""
     domain = [c for c in pivot.columns if c != row] if domain is None else domain

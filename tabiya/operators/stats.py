@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import attach_scalars, attach_values, exact_quantiles
@@ -18,9 +18,14 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
 
 def top_correlations(df: DataFrame, cols: list[str], k: int = 10) -> DataFrame:
     """Pearson r of every pair below the diagonal (pairwise complete, one
-    aggregation pass for all pairs), unpivoted, top-k by |r|."""
+    aggregation pass for all pairs), unpivoted, top-k by |r|; a pair with a
+    column that is constant where both have values has no r."""
+    def pearson(a: str, b: str) -> Column:
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        x, y = (F.when(both, F.col(c).cast("double")) for c in (a, b))
+        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    one = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}__{b}") for a, b in pairs])
+    one = df.agg(*[pearson(a, b).alias(f"{a}__{b}") for a, b in pairs])
     stack = "stack({n}, {args}) as (col_a, col_b, r)".format(
         n=len(pairs), args=", ".join(f"'{a}', '{b}', `{a}__{b}`" for a, b in pairs))
     r = one.selectExpr(stack).filter(F.col("r").isNotNull())

@@ -100,6 +100,18 @@ def a17(spark, sf):
     return C.pivot_counts(fx.catalog(spark, sf), "source", "level_tier")
 
 
+_CROSSTABS = [("source", "level_tier"), ("course_type", "level_tier"), ("format", "course_type"), ("color", "level_tier"),
+              ("level_tier", "richness"), ("level_tier", "course_type")]
+
+
+# the catalogue has no format column: a resource with a video is a video, as for messages
+@register("a17_crosstabs", "WITH f AS (SELECT *, CASE WHEN has_video = 1 THEN 'video' ELSE 'interactive' END AS format, coalesce(has_video, 0) + coalesce(has_pgn, 0) + coalesce(has_exercises, 0) + coalesce(has_spaced_rep, 0) AS richness FROM catalog) "
+          + " UNION ALL ".join(f"SELECT '{a} x {b}' AS crosstab, CAST({a} AS VARCHAR) AS row_value, CAST({b} AS VARCHAR) AS col_value, count(*) AS n FROM f GROUP BY {a}, {b}" for a, b in _CROSSTABS))
+def a17_all(spark, sf):
+    c = C.base_features(fx.catalog(spark, sf)).withColumn("format", F.when(F.col("has_video") == 1, "video").otherwise("interactive"))
+    return C.crosstabs(c, _CROSSTABS)
+
+
 @register("a18_row_percent", "WITH p AS (SELECT course_type, " + ", ".join(
     f"count(*) FILTER (WHERE level_tier = '{t}') AS {t}" for t in TIERS4) + " FROM catalog GROUP BY course_type) SELECT course_type, "
     + ", ".join(f"round(round({t} / ({' + '.join(TIERS4)}), 3) * 100, 8) AS {t}" for t in TIERS4) + " FROM p")
@@ -116,6 +128,13 @@ def a19(spark, sf):
     return C.crosstab_margins(rt, "level_tier_original", "level_tier_new")
 
 
+@register("a19_tier_source_margins", """
+SELECT CASE WHEN grouping(level_tier) = 1 THEN 'All' ELSE level_tier END AS level_tier, CASE WHEN grouping(source) = 1 THEN 'All' ELSE source END AS source, count(*) AS n
+FROM catalog GROUP BY CUBE (level_tier, source)""")
+def a19_source(spark, sf):
+    return C.crosstab_margins(fx.catalog(spark, sf), "level_tier", "source")
+
+
 @register("a20_opening_label_counts", """
 WITH e AS (SELECT resource_id, trim(unnest(string_split_regex(openings, '\\|'))) AS opening FROM catalog WHERE openings IS NOT NULL)
 SELECT opening, count(*) AS n FROM e WHERE opening <> '' GROUP BY opening""")
@@ -194,16 +213,18 @@ def a25(spark, sf):
     return finalize(grouped_quantiles(c, "level_tier", "price_eur", [0.0, 0.25, 0.5, 0.75, 1.0], [f"q{i}" for i in range(5)]))
 
 
-_CORR_COLS = ["price_eur", "duration_min", "rating_score", "views_yt", "level_min", "level_max", "is_free", "has_video"]
+_CORR_COLS = ["level_min", "level_max", "level_range", "duration_min", "price_eur", "is_free", "has_video", "has_pgn", "has_exercises",
+              "has_spaced_rep", "richness", "rating_score", "views_yt", "is_opening"]
 
 
-@register("a26_top_correlations", "WITH c AS (" + " UNION ALL ".join(
-    f"SELECT '{a}' AS col_a, '{b}' AS col_b, corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS r FROM catalog"
+@register("a26_top_correlations", """WITH f AS (SELECT *, level_max - level_min AS level_range, CASE WHEN course_type = 'opening' THEN 1 ELSE 0 END AS is_opening,
+  coalesce(has_video, 0) + coalesce(has_pgn, 0) + coalesce(has_exercises, 0) + coalesce(has_spaced_rep, 0) AS richness FROM catalog), c AS (""" + " UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS r FROM f"
     for i, a in enumerate(_CORR_COLS) for b in _CORR_COLS[i + 1:])
-    + ") SELECT col_a, col_b, round(r, 8) AS r FROM c WHERE r IS NOT NULL ORDER BY abs(round(r, 8)) DESC, col_a, col_b LIMIT 10")
+    + ") SELECT col_a, col_b, round(r, 8) AS r FROM c WHERE r IS NOT NULL AND NOT isnan(r) ORDER BY abs(round(r, 8)) DESC, col_a, col_b LIMIT 10")
 def a26(spark, sf):
     from ..operators.stats import top_correlations
-    return finalize(top_correlations(fx.catalog(spark, sf), _CORR_COLS, 10))
+    return finalize(top_correlations(C.base_features(fx.catalog(spark, sf)), _CORR_COLS, 10))
 
 
 @register("a29_retier_report", f"""WITH {_RETIER_SQL},
@@ -227,6 +248,15 @@ def a30(spark, sf):
     return finalize(C.distribution_vs_targets(rt, {"beginner": 20.0, "intermediate": 50.0, "advanced": 30.0}))
 
 
+@register("a30_distribution_vs_market_targets", """
+WITH t AS (SELECT * FROM (VALUES ('beginner', 10.0), ('intermediate', 55.0), ('advanced', 35.0)) v(level_tier, target)),
+n AS (SELECT level_tier, count(*) AS n FROM catalog GROUP BY 1), tot AS (SELECT count(*) AS total FROM catalog)
+SELECT t.level_tier, CAST(t.target AS DOUBLE) AS target, coalesce(n.n, 0) AS n, round(coalesce(n.n, 0) / total * 100, 8) AS pct,
+  CASE WHEN coalesce(n.n, 0) / total * 100 >= t.target THEN 'OK' ELSE 'LOW' END AS status FROM t LEFT JOIN n USING (level_tier), tot""")
+def a30_market(spark, sf):
+    return finalize(C.distribution_vs_targets(fx.catalog(spark, sf), {"beginner": 10.0, "intermediate": 55.0, "advanced": 35.0}))
+
+
 _MERGE_COLS = ["resource_id", "source", "title", "openings", "level_tier", "is_free", "price_eur", "score_up"]
 
 
