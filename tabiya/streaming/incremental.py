@@ -42,8 +42,8 @@ def _append_first(rows: DataFrame, key: str, order: list, target: str, checkpoin
     Keys are state: a streaming aggregation keeps, for each key, its first row and the times of the first
     and the last batch that held it. A key is new if the two are equal, so a batch reads nothing of the
     target. A batch that runs again has its old time and replaces its own folder. Folders of another
-    checkpoint, whose keys are not in this one's state, are read and anti-joined; there are none unless a
-    checkpoint was lost. The state is kept on disk, and a batch's commit writes what changed.
+    checkpoint and data files beside the folders, whose keys are not in this one's state, are read and anti-joined;
+    there are none unless a checkpoint was lost, and an error while reading them ends the batch. The state is kept on disk, and a batch's commit writes what changed.
     """
     spark = rows.sparkSession
     others = [c for c in rows.columns if c != key]
@@ -53,7 +53,7 @@ def _append_first(rows: DataFrame, key: str, order: list, target: str, checkpoin
     def write(df: DataFrame, epoch: int) -> None:
         own = f"batch={_query_id(spark, checkpoint)}-"
         new = df.filter("first_at = last_at").select(key, "row.*")
-        foreign = [f"{target}/{n}" for n in _children(spark, target) if n.startswith("batch=") and not n.startswith(own)]
+        foreign = [f"{target}/{n}" for n in _children(spark, target) if n.startswith(("batch=", "part-")) and not n.startswith(own)]
         if foreign:
             known = spark.read.parquet(*foreign).select(F.col(key).alias("__known"))
             new = new.join(known, F.col(key).eqNullSafe(F.col("__known")), "left_anti")
