@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..session import ensure_checkpoint_dir
+from .common import unbroadcast
 
 GRAM = 3
 
@@ -84,14 +85,14 @@ def match_bridge(terms: DataFrame, resources: DataFrame, text_cols: list[str], w
     # a term with a gram that no text has cannot occur
     rare = mine.join(df, "gram", "left").groupBy("term").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), F.col("gram"))).alias("g"))
     rare = rare.filter(F.col("g.df") > 0).select("term", F.col("g.gram").alias("gram"))
-    cand = grams.join(rare, "gram").select("term", "__id").join(texts, "__id")
+    cand = grams.join(rare, "gram").select("term", "__id").join(unbroadcast(texts), "__id")
     ok = F.instr(F.col("__t"), F.col("term")) > 0
     if word_terms:
         # the word terms are plain lower-case words, so they embed in the pattern as is
         bounded = F.regexp(F.col("__t"), F.concat(F.lit("(^|[^a-z])"), F.col("term"), F.lit("([^a-z]|$)")))
         ok = ok & (~F.col("term").isin(*word_terms) | bounded)
     hits = cand.filter(ok).select("term", "__t")
-    return hits.join(rows, "__t").join(terms.select("opening", "term").distinct(), "term").select("opening", id_col).distinct()
+    return hits.join(unbroadcast(rows), "__t").join(terms.select("opening", "term").distinct(), "term").select("opening", id_col).distinct()
 
 
 def rating_key(rating: F.Column) -> tuple[F.Column, F.Column]:

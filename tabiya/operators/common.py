@@ -28,6 +28,15 @@ def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return out
 
 
+def unbroadcast(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that is always shuffled.
+
+    Spark takes a scan's compressed file size for its rows' size and leaves an explode out of
+    it, so a catalogue of a few MB on disk can be sent through the driver as GBs of rows.
+    """
+    return df.hint("merge")
+
+
 def keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     """First row per key by ``order`` (unique tie-break expected).
 

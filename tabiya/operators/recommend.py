@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .bridge import match_bridge, rating_key, synonym_terms
 from ..session import ensure_checkpoint_dir
 from .metric import knn_neighbours
-from .common import attach_scalars, attach_values, exact_quantiles, nearest_bound
+from .common import attach_scalars, attach_values, exact_quantiles, nearest_bound, unbroadcast
 
 RESOURCE_COLS = ["resource_id", "title", "source", "level_tier", "is_free", "course_type"]
 # Level name maps of the recommenders.
@@ -46,10 +46,12 @@ def search_resources(requests: DataFrame, catalog: DataFrame, top_n: int = 3, va
     bridge = match_bridge(terms, catalog, ["openings"])
     res = catalog.select(*RESOURCE_COLS, F.coalesce(F.col("level_min"), F.lit(0)).cast("long").alias("lo"),
                          F.coalesce(F.col("level_max"), F.lit(9999)).cast("long").alias("hi"), "rating_score")
+    # resources of an opening with the same range cover the same keys, so the first top_n of each range hold every answer
+    order = [F.col("rating_score").desc_nulls_last(), F.col("is_free").asc_nulls_last(), "resource_id"]
+    br = bridge.join(unbroadcast(res), "resource_id").withColumn("__r", F.row_number().over(Window.partitionBy("opening", "lo", "hi").orderBy(*order)))
     # the bridge rows are reused by four branches below: materialise them once
     # (reliable checkpoint in the shared checkpoint folder)
-    ensure_checkpoint_dir(catalog.sparkSession)
-    br = bridge.join(res, "resource_id").checkpoint(eager=True)
+    br = br.filter(F.col("__r") <= max(1, top_n)).drop("__r").checkpoint(eager=True)
     # Keys whose covering resources are the same share one answer: a resource
     # covers (r_lo, r_hi) iff lo <= a and hi >= b, where a is the largest lower
     # bound <= r_lo and b the smallest upper bound >= r_hi among the opening's
@@ -64,8 +66,7 @@ def search_resources(requests: DataFrame, catalog: DataFrame, top_n: int = 3, va
     kc = keys.join(ka, ["opening", "r_lo"]).join(kb, ["opening", "r_hi"])
     classes = kc.select("opening", "a", "b").distinct()
     cand = classes.join(br, "opening").filter((F.col("lo") <= F.col("a")) & (F.col("hi") >= F.col("b")))
-    w = Window.partitionBy("opening", "a", "b").orderBy(
-        F.col("rating_score").desc_nulls_last(), F.col("is_free").asc_nulls_last(), "resource_id")
+    w = Window.partitionBy("opening", "a", "b").orderBy(*order)
     top = cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_n)
     hits = kc.join(top, ["opening", "a", "b"])
     # read by the answer and by what is missing
@@ -390,7 +391,7 @@ def label_driven_plan(profiles: DataFrame, catalog: DataFrame, top_n: int = 3) -
     ap = pr.select(F.col("apertura").alias("opening"), F.col("apertura").alias("term")).distinct()
     mt = match_bridge(ap, catalog, ["openings"]).withColumnRenamed("opening", "apertura")
     keys = pr.select("apertura", *rest_cols, *taste).distinct()
-    m_sc = eligible(keys.join(mt, "apertura").join(res, "resource_id")).withColumn(
+    m_sc = eligible(keys.join(mt, "apertura").join(unbroadcast(res), "resource_id")).withColumn(
         "s", rest_score(None) + 40.0)
     wm = Window.partitionBy("apertura", *rest_cols).orderBy(F.desc("s"), "resource_id")
     m_top = m_sc.withColumn("__r", F.row_number().over(wm)).filter(F.col("__r") <= top_n).select(
@@ -491,25 +492,31 @@ def _answer_lists(rq: DataFrame, res: DataFrame, top_n: int, most: int) -> DataF
     most ``top_n - 1 + most`` of the pool's first ``3 top_n - 1 + 2 most`` can fall away as matching or excluded.
     """
     from ..functions.text import WORD_TERMS
-    # a resource stands under each pool setting it belongs to (colour x all-colours flag x free channel: 12 rows at most)
+    # a resource stands under each pool setting that is asked for (colour x all-colours flag x free channel: 12 rows at most)
     setting = ["color_en", "all_colors", "free_key"]
     res_k = (res.withColumn("color_en", F.explode(F.array(F.lit("white"), F.lit("black"))))
                 .withColumn("all_colors", F.explode(F.array(F.lit(True), F.lit(False))))
                 .withColumn("free_key", F.explode(F.array(F.lit(1), F.lit(0), F.lit(-1)))))
     res_k = res_k.filter((F.col("all_colors") | F.col("rcolor").isin("both") | (F.col("rcolor") == F.col("color_en")))
                          & ((F.col("free_key") == -1) | (F.col("is_free") == F.col("free_key"))))
+    asked = rq.select(*setting).filter(F.col("free_key").isin(1, 0, -1)).distinct().checkpoint(eager=True)
+    res_k = res_k.join(F.broadcast(asked), setting, "left_semi")
     base = F.coalesce(F.col("rating_score"), F.lit(0.0)) * 0.5 + _type_bonus(F.col("course_type"))
     res_k = res_k.withColumn("base", base).select(*setting, "resource_id", "course_type", "level_tier", "lo", "hi", "base")
+    # resources with the same range are in or out of a pool together, so the first of each range hold all that a pool's list can take
+    length = 3 * top_n - 1 + 2 * most
+    held = res_k.withColumn("score", F.col("base")).withColumn("__r", F.row_number().over(
+        Window.partitionBy(*setting, "lo", "hi").orderBy(F.desc("score"), "resource_id")))
+    held = unbroadcast(held.filter(F.col("__r") <= max(1, length)).drop("__r").checkpoint(eager=True))
     in_range = (F.col("lo") <= F.col("a")) & (F.col("hi") >= F.col("b"))
     # does the range leave anything in the pool? else it does not count
     pools = rq.select(*POOL).distinct()
-    covered = pools.join(res_k, setting).groupBy(*POOL).agg(F.max(in_range.cast("int")).alias("use_range"))
+    covered = pools.join(held, setting).groupBy(*POOL).agg(F.max(in_range.cast("int")).alias("use_range"))
     pools = pools.join(covered, POOL, "left").withColumn("use_range", F.coalesce(F.col("use_range") == 1, F.lit(False)))
     pools = pools.checkpoint(eager=True)
     ok = ~F.col("use_range") | in_range
     # the rest: one list per pool
-    length = 3 * top_n - 1 + 2 * most
-    every = pools.join(res_k, setting).filter(ok).withColumn("score", F.col("base"))
+    every = pools.join(held, setting).filter(ok)
     best = Window.partitionBy(*POOL).orderBy(F.desc("score"), "resource_id")
     every = every.withColumn("__r", F.row_number().over(best)).filter(F.col("__r") <= length)
     every = every.groupBy(*POOL).agg(F.sort_array(F.collect_list(_item())).alias("pool"))
@@ -521,9 +528,12 @@ def _answer_lists(rq: DataFrame, res: DataFrame, top_n: int, most: int) -> DataF
     mb = match_bridge(terms, texts, ["text"], WORD_TERMS).groupBy("opening", F.col("resource_id.id").alias("resource_id")).agg(
         F.max(F.col("resource_id.open")).alias("m_open"), F.max(1 - F.col("resource_id.open")).alias("m_title"))
     keys = rq.select("opening", *POOL).distinct().join(pools, POOL)
-    hits = keys.join(mb.join(res_k, "resource_id"), ["opening", *setting]).filter(ok)
-    hits = hits.withColumn("score", F.col("m_open") * 60.0 + F.col("m_title") * 20.0 + F.col("base"))
-    tier = Window.partitionBy("opening", *POOL, "level_tier").orderBy(F.desc("score"), "resource_id")
+    first = [F.desc("score"), "resource_id"]
+    found = mb.join(unbroadcast(res_k), "resource_id").withColumn("score", F.col("m_open") * 60.0 + F.col("m_title") * 20.0 + F.col("base"))
+    found = found.withColumn("__r", F.row_number().over(Window.partitionBy("opening", *setting, "level_tier", "lo", "hi").orderBy(*first)))
+    found = found.filter(F.col("__r") <= 2 * top_n + most).drop("__r")
+    hits = keys.join(unbroadcast(found), ["opening", *setting]).filter(ok)
+    tier = Window.partitionBy("opening", *POOL, "level_tier").orderBy(*first)
     hits = hits.withColumn("__r", F.row_number().over(tier)).filter(F.col("__r") <= 2 * top_n + most)
     hits = hits.groupBy("opening", *POOL).agg(F.sort_array(F.collect_list(_item())).alias("hits"))
     out = keys.join(hits, ["opening", *POOL], "left").join(every, POOL, "left")
@@ -606,7 +616,7 @@ def _searched(catalog: DataFrame) -> DataFrame:
 
 def _described(got: DataFrame, res: DataFrame) -> DataFrame:
     """Picks with the resource's columns and the tier of a fallback."""
-    out = got.join(res.select("resource_id", "title", "source", "course_type", "level_tier", "is_free"), "resource_id")
+    out = got.join(unbroadcast(res.select("resource_id", "title", "source", "course_type", "level_tier", "is_free")), "resource_id")
     return out.withColumn("fallback_tier", F.when(F.col("prio") != 1, F.col("level_tier")))
 
 

@@ -1,6 +1,8 @@
 """No cut decides a result: exclusions, answer sizes, whole texts, unseen categories, restarts."""
 
 
+import random
+
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 from tabiya.functions import text as X
 from tabiya.operators import catalog as C
 from tabiya.operators import recommend as R
+from tabiya.operators.bridge import match_bridge
 from tabiya.sources import fixtures as fx
 from tabiya.streaming import incremental as I
 
@@ -192,3 +195,26 @@ def test_search_lists_make_no_row_per_request_and_candidate(spark):
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     # ranked per class before, picked inside the request's row
     assert "posexplode" in text and not [line for line in text.splitlines() if "Window" in line and "req_id" in line]
+
+
+def _broadcast_scans(df):
+    """Lines of the plan that stand below a broadcast and read a table or a checkpoint."""
+    found, inside = [], None
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        if inside is not None and depth <= inside:
+            inside = None
+        if inside is None and "BroadcastExchange" in line:
+            inside = depth
+        elif inside is not None and ("FileScan" in line or "Scan ExistingRDD" in line):
+            found.append(line.strip())
+    return found
+
+
+def test_no_catalogue_is_broadcast(spark):
+    cat = fx.catalog(spark, SF001)
+    # a catalogue's file is far smaller than its rows, so its size estimate must not decide
+    terms = spark.createDataFrame([("Slav Defense", "slav")], "opening string, term string")
+    assert not [x for x in _broadcast_scans(match_bridge(terms, cat, ["openings", "title"])) if "FileScan" in x]
+    req = spark.createDataFrame([("q", "white", "Slav Defense", "dominio", 1500.0, None)], "req_id string, color string, opening string, level string, rating double, free int")
+    assert not [x for x in _broadcast_scans(R.three_priority_search(req, cat)) if "title" in x]
