@@ -207,25 +207,29 @@ def tier_boosted_topn(users: DataFrame, scored: DataFrame, top_n: int = 10, free
     ``users``: (player, rating); ``scored``: (player, resource_id, level_tier,
     base_score, ...). The matrix is a 9-row constant (broadcast).
     """
-    spark = scored.sparkSession
-    m = spark.createDataFrame(TIER_BOOST, "user_tier string, level_tier string, mult double")
     u = users.withColumn("user_tier", user_tier(F.col("rating")))
     s = scored
     if free_only:
         s = s.filter(F.col("is_free") == 1)
     if formats:
         s = s.filter(F.col("format").isin(*formats))
-    s = s.join(u.select("player", "user_tier"), "player").join(F.broadcast(m), ["user_tier", "level_tier"], "left")
+    return _boosted_topn(unbroadcast(s).join(u.select("player", "user_tier"), "player"), top_n)
+
+
+def _boosted_topn(s: DataFrame, top_n: int) -> DataFrame:
+    """The ranking of ``tier_boosted_topn`` for scored rows that carry their user's tier."""
+    m = s.sparkSession.createDataFrame(TIER_BOOST, "user_tier string, level_tier string, mult double")
+    s = s.join(F.broadcast(m), ["user_tier", "level_tier"], "left")
     s = s.withColumn("score", F.col("base_score") * F.coalesce(F.col("mult"), F.lit(1.0)))
     own = F.col("level_tier") == F.col("user_tier")
     min_tier = max(1, int(top_n * 0.4))
     s = s.withColumn("__own", F.coalesce(own, F.lit(False))).withColumn(
         "__r", F.row_number().over(Window.partitionBy("player", "__own").orderBy(F.desc("score"), "resource_id")))
-    own_top = s.filter(F.col("__own") & (F.col("__r") <= min_tier))
-    n_own = own_top.groupBy("player").agg(F.count(F.lit(1)).alias("__k"))
-    other = s.filter(~F.col("__own")).join(n_own, "player", "left").filter(
-        F.col("__r") <= top_n - F.coalesce(F.col("__k"), F.lit(0))).drop("__k")
-    both = own_top.unionByName(other)
+    # neither side takes more than top_n; a constant bound limits the groups before the shuffle
+    s = s.filter(F.col("__r") <= max(1, top_n))
+    own_top = F.col("__own") & (F.col("__r") <= min_tier)
+    n_own = F.sum(own_top.cast("int")).over(Window.partitionBy("player"))
+    both = s.withColumn("__k", n_own).filter(own_top | (~F.col("__own") & (F.col("__r") <= top_n - F.col("__k")))).drop("__k")
     wf = Window.partitionBy("player").orderBy(F.desc("score"), "resource_id")
     return both.withColumn("rank", F.row_number().over(wf)).filter(F.col("rank") <= top_n).drop("__own", "__r", "mult")
 
@@ -288,12 +292,9 @@ def tier_boosted_by_tier(catalog: DataFrame, base_score: F.Column, top_n: int =
     ranking depends on the user only through the user tier, so it is computed
     once per tier (3 x catalogue rows, an explode, no join) and attached to
     users by tier."""
-    tiers = F.array(*[F.lit(t) for t in ("beginner", "intermediate", "advanced")])
+    tiers = F.array(*[user_tier(F.lit(r)) for r in (0, 1500, 2000)])
     s = catalog.withColumn("user_tier", F.explode(tiers)).withColumn("base_score", base_score)
-    s = s.withColumn("player", F.col("user_tier"))
-    users = catalog.sparkSession.createDataFrame([("beginner", 0), ("intermediate", 1500), ("advanced", 2000)],
-                                                 "player string, rating int")
-    out = tier_boosted_topn(users, s.drop("user_tier"), top_n)
+    out = _boosted_topn(s.withColumn("player", F.col("user_tier")), top_n)
     return out.drop("user_tier").withColumnRenamed("player", "user_tier")
 
 

@@ -218,3 +218,23 @@ def test_no_catalogue_is_broadcast(spark):
     assert not [x for x in _broadcast_scans(match_bridge(terms, cat, ["openings", "title"])) if "FileScan" in x]
     req = spark.createDataFrame([("q", "white", "Slav Defense", "dominio", 1500.0, None)], "req_id string, color string, opening string, level string, rating double, free int")
     assert not [x for x in _broadcast_scans(R.three_priority_search(req, cat)) if "title" in x]
+
+
+def test_boosted_catalogue_is_not_broadcast(spark):
+    boosted = R.tier_boosted_by_tier(fx.catalog(spark, SF001), F.coalesce("rating_score", F.lit(0.0)), 10)
+    assert not [x for x in _broadcast_scans(boosted) if "FileScan" in x]
+
+
+def test_boosted_ranking_of_users(spark):
+    rng = random.Random(3)
+    users = [(1, 900), (2, 1500), (3, 2100), (4, None)]
+    scored = [(u, f"r{i}", rng.choice(["beginner", "intermediate", "advanced", "expert", None]), rng.random()) for u in (1, 2, 3, 4, 5) for i in range(40)]
+    scored += [(1, f"x{i}", "beginner", 5.0) for i in range(6)]
+    got = R.tier_boosted_topn(spark.createDataFrame(users, "player long, rating int"), spark.createDataFrame(scored, "player long, resource_id string, level_tier string, base_score double"), 5).collect()
+    boost = {(u, t): m for u, t, m in R.TIER_BOOST}
+    for u, rating in users:
+        tier = "advanced" if rating is None or rating >= 1800 else "beginner" if rating < 1200 else "intermediate"
+        rows = sorted((-s * boost.get((tier, t), 1.0), r, t == tier) for p, r, t, s in scored if p == u)
+        own = [x for x in rows if x[2]][:2]
+        want = sorted(own + [x for x in rows if not x[2]][:5 - len(own)])
+        assert [r.resource_id for r in sorted((r for r in got if r.player == u), key=lambda r: r["rank"])] == [x[1] for x in want]
