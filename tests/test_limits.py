@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tabiya.functions import text as X
 from tabiya.operators import catalog as C
+from tabiya.operators import ml as ML
 from tabiya.operators import recommend as R
 from tabiya.operators.bridge import match_bridge
 from tabiya.sources import fixtures as fx
@@ -238,3 +239,10 @@ def test_boosted_ranking_of_users(spark):
         own = [x for x in rows if x[2]][:2]
         want = sorted(own + [x for x in rows if not x[2]][:5 - len(own)])
         assert [r.resource_id for r in sorted((r for r in got if r.player == u), key=lambda r: r["rank"])] == [x[1] for x in want]
+
+
+def test_forest_rows_are_spread_over_tasks(spark):
+    # adaptive execution leaves few bytes in one partition, whose rows one core would train on
+    spread = ML._spread(spark.range(0, 2 * ML.ROWS_PER_TASK + 1, 1, 1))
+    assert spread.rdd.getNumPartitions() == 3 and spread.agg(F.count("id"), F.sum("id")).first()[:] == (2 * ML.ROWS_PER_TASK + 1, ML.ROWS_PER_TASK * (2 * ML.ROWS_PER_TASK + 1))
+    assert ML._spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == 1 and ML._spread(spark.range(0).coalesce(1)).count() == 0
