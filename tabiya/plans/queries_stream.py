@@ -65,11 +65,19 @@ def i03(spark, sf):
 
 
 def _blunder_events(spark, sf):
+    obs = _observations(spark, sf)
+    return obs.unionByName(_flags(obs))
+
+
+def _observations(spark, sf):
     l = PO.move_losses(fx.positions(spark, sf))
-    obs = l.filter(F.col("is_own") & (F.col("loss") > 100)).select(
+    return l.filter(F.col("is_own") & (F.col("loss") > 100)).select(
         "game_id", (F.col("game_id") % 150).cast("long").alias("player"),
         F.concat(F.lit("op"), (F.col("game_id") % 12).cast("string")).alias("opening"), F.col("pos_before").alias("fen"),
         "loss", F.col("ply").cast("long").alias("ts"), F.lit("observe").alias("kind"))
+
+
+def _flags(obs):
     ids = obs.select("game_id").distinct()
     nulls = [F.lit(None).cast(t).alias(c) for c, t in [("player", "long"), ("opening", "string"), ("fen", "string"),
                                                          ("loss", "double")]]
@@ -77,7 +85,7 @@ def _blunder_events(spark, sf):
                                                        F.lit("upload").alias("kind"))
     rs = ids.filter(F.col("game_id") % 6 == 0).select("game_id", *nulls, F.lit(25).cast("long").alias("ts"),
                                                        F.lit("reset").alias("kind"))
-    return obs.unionByName(up).unionByName(rs)
+    return up.unionByName(rs)
 
 
 @register("i05_streaming_message_resources", f"WITH {_msg_resources_sql()} SELECT {_MSGRES_COLS} FROM res")
@@ -93,11 +101,13 @@ def i05(spark, sf):
 
 @register("i03_streaming_blunder_upsert", _I03_SQL)
 def i03s(spark, sf):
-    ev = _blunder_events(spark, sf)
     base = I.new_run_dir(spark, "i03")
-    # the event log arrives in 3 files ordered by time: observations of early plies, late plies, then flags
-    ev.withColumn("__f", F.when(F.col("kind") != "observe", 2).when(F.col("ts") <= 10, 0).otherwise(1)) \
-        .write.partitionBy("__f").parquet(f"{base}/in")
+    # the event log arrives in 3 parts ordered by time: observations of early plies, late plies, then flags,
+    # which are made from the written observations, so the losses are computed once
     schema = ("game_id long, player long, opening string, fen string, loss double, ts long, kind string, __f int")
-    path = I.stream_blunder_state(spark, f"{base}/in", schema, f"{base}/state", f"{base}/ckpt", files_per_batch=2)
+    obs = _observations(spark, sf).withColumn("__f", F.when(F.col("ts") <= 10, 0).otherwise(1))
+    obs.write.partitionBy("__f").parquet(f"{base}/in")
+    flags = _flags(spark.read.schema(schema).parquet(f"{base}/in")).withColumn("__f", F.lit(2))
+    flags.write.mode("append").partitionBy("__f").parquet(f"{base}/in")
+    path = I.stream_blunder_state(spark, f"{base}/in", schema, f"{base}/state", f"{base}/ckpt", files_per_batch=I.files_of_parts(spark, f"{base}/in", 2, 3))
     return spark.read.parquet(path)

@@ -31,6 +31,16 @@ def _children(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in store.listStatus(p)] if store.exists(p) else []
 
 
+def files_of_parts(spark: SparkSession, path: str, parts: int, of: int) -> int:
+    """How many files make up ``parts`` of the ``of`` parts of a log written by ``partitionBy``, two at least.
+
+    A batch costs every state partition a load and a commit, so batches must not
+    grow in number with the files that a part is written in.
+    """
+    files = sum(n.startswith("part-") for d in _children(spark, path) if "=" in d for n in _children(spark, f"{path}/{d}"))
+    return max(2, -(-parts * files // of))
+
+
 def _query_id(spark: SparkSession, checkpoint: str) -> str:
     """The id that a stream's checkpoint keeps over restarts."""
     return spark.read.json(f"{checkpoint}/metadata").first()["id"]

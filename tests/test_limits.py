@@ -246,3 +246,14 @@ def test_forest_rows_are_spread_over_tasks(spark):
     spread = ML._spread(spark.range(0, 2 * ML.ROWS_PER_TASK + 1, 1, 1))
     assert spread.rdd.getNumPartitions() == 3 and spread.agg(F.count("id"), F.sum("id")).first()[:] == (2 * ML.ROWS_PER_TASK + 1, ML.ROWS_PER_TASK * (2 * ML.ROWS_PER_TASK + 1))
     assert ML._spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == 1 and ML._spread(spark.range(0).coalesce(1)).count() == 0
+
+
+def test_batches_do_not_grow_with_files(spark, tmp_path):
+    # a part of a log is read in as many batches however many files it was written in
+    rows = spark.range(60).withColumn("f", F.col("id") % 3)
+    for name, n in (("few", 1), ("many", 12)):
+        rows.repartition(n).write.partitionBy("f").parquet(str(tmp_path / name))
+        files = len(list((tmp_path / name).glob("f=*/part-*")))
+        batch = I.files_of_parts(spark, str(tmp_path / name), 2, 3)
+        assert files >= 3 * min(n, 2) and -(-files // batch) == 2
+    assert I.files_of_parts(spark, str(tmp_path / "none"), 2, 3) == 2
