@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .common import attach_scalars, running_total
 
 FEATURES = ["theory_depth", "acl_w", "prep_score", "risk_index"]
@@ -74,7 +75,9 @@ def relabel_by_quality(assigned: DataFrame, scope: str = "model", quality_col: s
         return assigned.join(cm, ["player", "cluster_raw"], "left")
     cm = assigned.groupBy("cluster_raw").agg(F.avg(quality_col).alias("__q"))
     w = Window.orderBy(F.col("__q").asc_nulls_last(), "cluster_raw")  # k rows
-    cm = cm.withColumn("rank", F.row_number().over(w) - 1).drop("__q")
+    # k rows, found once however often the relabelled rows are read
+    ensure_checkpoint_dir(assigned.sparkSession)
+    cm = cm.withColumn("rank", F.row_number().over(w) - 1).drop("__q").checkpoint(eager=True)
     return assigned.join(F.broadcast(cm), "cluster_raw", "left")
 
 

@@ -111,10 +111,13 @@ def profile_openings(game_lv: DataFrame, top: int = 5, min_games: int = 5) -> Da
     return s.withColumn("rank_opening", F.row_number().over(w)).filter(F.col("rank_opening") <= top)
 
 
-def direct_profile_recommender(game_lv: DataFrame, catalog: DataFrame, top_openings: int = 5, top_n: int = 3) -> DataFrame:
-    """W09 openings of every player -> R01 at the player's mean rating."""
-    rating = game_lv.groupBy("player").agg(F.avg("rating").alias("rating"))
-    req = profile_openings(game_lv, top_openings).join(rating, "player")
+def direct_profile_recommender(game_lv: DataFrame, catalog: DataFrame, top_openings: int = 5, top_n: int = 3, ratings: DataFrame | None = None) -> DataFrame:
+    """W09 openings of every player -> R01 at the player's mean rating
+    (``ratings``: player, rating, where the caller has it)."""
+    ensure_checkpoint_dir(catalog.sparkSession)
+    rating = game_lv.groupBy("player").agg(F.avg("rating").alias("rating")) if ratings is None else ratings
+    # read by the search and by its answers: the games are gone through once
+    req = profile_openings(game_lv, top_openings).join(rating, "player").checkpoint(eager=True)
     ans = search_resources(req, catalog, top_n)
     return attach_answers(req, ans)
 
@@ -135,6 +138,9 @@ def similarity_profiles(game_lv: DataFrame) -> DataFrame:
         F.avg((lv == "desarrollo").cast("double")).alias("pct_desarrollo"),
         F.avg((lv == "sin_base").cast("double")).alias("pct_sin_base"),
         F.avg("score").alias("win_rate"), F.count_distinct("opening").cast("double").alias("n_openings"))
+    # a row a player, read by the medians, the scaler and the vectors
+    ensure_checkpoint_dir(p.sparkSession)
+    p = p.checkpoint(eager=True)
     out = attach_values(p, {f"__m_{c}": q[0] for c, q in exact_quantiles(p, KNN_FEATURES, [0.5]).items()})
     for c in KNN_FEATURES:
         out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"__m_{c}"), F.lit(50.0)))
@@ -162,6 +168,8 @@ def mastered_openings(game_lv: DataFrame, min_games: int = 5) -> DataFrame:
 def neighbour_gap_openings(neigh: DataFrame, mastered: DataFrame, top: int = 5) -> DataFrame:
     """Openings mastered by neighbours but not by the player, by neighbour
     frequency (desc, tie -> name), top 5."""
+    ensure_checkpoint_dir(mastered.sparkSession)
+    mastered = mastered.checkpoint(eager=True)  # both sides of the gap
     nm = neigh.join(mastered.withColumnRenamed("player", "neighbour"), "neighbour")
     gaps = nm.join(mastered, ["player", "opening"], "left_anti")
     f = gaps.groupBy("player", "opening").agg(F.count(F.lit(1)).alias("freq"))

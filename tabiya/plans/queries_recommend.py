@@ -161,11 +161,13 @@ SELECT player, res_key, CAST(n_profile AS BIGINT) AS n_profile, CAST(n_knn AS BI
 def r04(spark, sf):
     lv = _game_lv(spark, sf)
     cat = fx.catalog(spark, sf)
-    prof = R.direct_profile_recommender(lv, cat).withColumn("url", F.lit(None).cast("string"))
-    v = R.weighted_vectors(R.similarity_profiles(lv))
+    profiles = R.similarity_profiles(lv)
+    rating = profiles.select("player", F.col("rating_mean").alias("rating"))
+    prof = R.direct_profile_recommender(lv, cat, ratings=rating).withColumn("url", F.lit(None).cast("string"))
+    v = R.weighted_vectors(profiles)
     gaps = R.neighbour_gap_openings(R.knn_neighbours(v, 5), R.mastered_openings(lv))
-    rating = lv.groupBy("player").agg(F.avg("rating").alias("rating"))
-    kreq = gaps.join(rating, "player")
+    # read by the search and by its answers: the neighbours are joined once
+    kreq = gaps.join(rating, "player").checkpoint(eager=True)
     krec = R.attach_answers(kreq, R.search_resources(kreq, cat)).withColumn("url", F.lit(None).cast("string"))
     out = R.fuse_plans(prof, krec)
     return finalize(out.withColumn("n_profile", F.col("n_profile").cast("long")).withColumn("n_knn", F.col("n_knn").cast("long")))

@@ -1,8 +1,12 @@
 """Recommender properties: fusion closed form vs the literal fold, exact kNN vs brute force."""
 
 import numpy as np
+import pytest
 
 from tabiya.operators import recommend as R
+from tabiya.plans.registry import queries
+
+from .conftest import SF001
 
 
 def _fold(regs):
@@ -44,3 +48,10 @@ def test_knn_exact_against_brute_force(spark):
         order = sorted((d[i, j], j) for j in range(len(x)) if j != i)[:5]
         mine = sorted((r["distance"], r["neighbour"]) for r in got if r["player"] == i)
         assert [j for _, j in mine] == [j for _, j in order], i
+
+
+@pytest.mark.parametrize("query", ["r02_direct_profile_recommender", "r03_neighbour_gap_openings", "r04_plan_fusion"])
+def test_games_are_not_read_again_after_the_per_player_tables(spark, query):
+    """What several steps read of the games is written once; no later step goes through the events again."""
+    plan = queries()[query](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert "user_id" not in plan
