@@ -40,6 +40,8 @@ WIDTH = 5
 THRESHOLD = 0.8
 #: 48 bands of 7 positions each, no position in two: a pair at 0.8 is missed once in 80,000, (1 - 0.8^7)^48.
 POSITIONS, BAND_ROWS = 336, 7
+#: Bytes of text whose shingles a worker holds at once (some 60 bytes of arrays each); a longer text is alone.
+SLICE = 1 << 19
 _U = np.uint64
 _STEP, _LEVEL, _SPLIT = _U(0x9E3779B97F4A7C15), _U(0xA24BAED4963EE407), _U(0x9FB21C651E98DF25)
 
@@ -105,7 +107,7 @@ def _sign(batches):
     for batch in batches:
         buf, offsets = B.buffers(batch.column("text"))
         keys, sizes, band_keys = [], [], []
-        for i, j in B.slices(offsets):
+        for i, j in B.slices(offsets, SLICE):
             tok = B.tokens(buf[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], B.WORD)
             n = j - i
             doc, h, weight = shingles(tok)
@@ -141,7 +143,7 @@ def weighted_jaccard(a: pa.Array, b: pa.Array) -> np.ndarray:
     """Multiset similarity of the shingles of two string columns, row by row."""
     out = []
     (buf_a, off_a), (buf_b, off_b) = B.buffers(a), B.buffers(b)
-    for i, j in B.slices(off_a + off_b):
+    for i, j in B.slices(off_a + off_b, SLICE):
         side = []
         for buf, off in ((buf_a, off_a), (buf_b, off_b)):
             tok = B.tokens(buf[off[i]:off[j]], off[i:j + 1] - off[i], B.WORD)

@@ -47,8 +47,8 @@ _U = np.uint64
 #: Log probabilities are multiples of 1 / _UNIT.
 _UNIT = float(1 << 32)
 _CP_BASE = 0xC2B2AE3D27D4EB4F | 1
-#: Characters of text handled together.
-BATCH_CHARS = 1 << 21
+#: Characters of text handled together: some 400 bytes of arrays each.
+BATCH_CHARS = 1 << 19
 #: Edges of solved chunks that a worker keeps (42 bytes each).
 KEPT_EDGES = 5_000_000
 #: Steps of a path whose sibling groups bound the others, and more than the largest Gumbel that a draw can give.

@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import corpus_pipeline
@@ -329,3 +330,33 @@ def test_bands_are_independent():
     bands = bagminhash._bands()
     assert len(np.unique(bands)) == bands.size  # a position in two bands would make them miss together
     assert (1 - bagminhash.THRESHOLD ** bands.shape[1]) ** len(bands) < 1 / 80_000
+
+
+PLAIN = ["river", "stone", "garden", "window", "letter", "mountain", "evening", "paper", "market", "silver"]
+
+
+def _peak_mb(run) -> float:
+    run()  # tables that stay
+    tracemalloc.start()
+    run()
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return peak
+
+
+def test_workers_hold_the_arrays_of_a_bounded_slice_of_text():
+    """Shingles and signatures: a batch of 4 MB of short texts is worked off in slices."""
+    rng = random.Random(3)
+    texts = pa.array([" ".join(rng.choice(PLAIN) + str(rng.randrange(3000)) for _ in range(450)) for _ in range(1000)])
+    assert texts.nbytes > 3 << 20
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(range(len(texts))), texts], names=["row_id", "id", "text"])
+    assert _peak_mb(lambda: bagminhash.weighted_jaccard(texts, texts)) < 15
+    assert _peak_mb(lambda: list(bagminhash._sign([batch]))) < 25
+
+
+def test_sampler_holds_the_arrays_of_a_bounded_number_of_characters():
+    rng = random.Random(4)
+    text = " ".join(rng.choice(PLAIN) for _ in range(200))
+    texts = [text] * (S.BATCH_CHARS // len(text))
+    pieces = S.load(piece_model())
+    assert _peak_mb(lambda: S.sample_segmentations(pieces, texts, np.arange(len(texts), dtype=np.uint64), 2)) < 60
