@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bytetext as B
-from .common import ship, stored
+from .common import lean, ship, stored
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -172,7 +172,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Similarity of every pair (a, b); the texts meet by two equi joins."""
     both = pairs.join(texts.select(F.col("row_id").alias("a"), F.col("text").alias("text_a")), "a") \
         .join(texts.select(F.col("row_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a bigint, b bigint, similarity double")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(lean(_verify), "a bigint, b bigint, similarity double")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -233,7 +233,7 @@ def _token_rows(batches):
 def _shared_shingles(open_: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Tokens of the open rows that several of them have: (row_id, token, df); and per row its size n and number u of tokens of its own."""
     rows = open_.select("row_id", F.col("n_shingles").alias("n")).distinct()
-    tokens = stored(texts.join(rows.select("row_id"), "row_id", "left_semi").mapInArrow(_token_rows, "row_id bigint, token bigint"), "tokens")
+    tokens = stored(texts.join(rows.select("row_id"), "row_id", "left_semi").mapInArrow(lean(_token_rows), "row_id bigint, token bigint"), "tokens")
     common = tokens.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
     shared = stored(tokens.join(common, "token"), "shared")
     own = rows.join(shared.groupBy("row_id").agg(F.count("*").alias("k")), "row_id", "left").select("row_id", "n", (F.col("n") - F.coalesce("k", F.lit(0))).alias("u"))
@@ -281,7 +281,7 @@ def near_duplicates(base: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """
     ship(base.sparkSession)
     sign = stored(base.select("row_id", "id", "text").mapInArrow(
-        _sign, f"row_id bigint, id {base.schema['id'].dataType.simpleString()}, class_hi bigint, class_lo bigint, n_shingles bigint, bands array<bigint>"), "signatures")
+        lean(_sign), f"row_id bigint, id {base.schema['id'].dataType.simpleString()}, class_hi bigint, class_lo bigint, n_shingles bigint, bands array<bigint>"), "signatures")
     order = F.struct(F.col("id").isNull().alias("z"), F.col("id").alias("id"), F.col("row_id").alias("row_id"))
     classes = stored(sign.groupBy("class_hi", "class_lo").agg(F.min(order).alias("first"), F.max("n_shingles").alias("n_shingles"))
                      .select("class_hi", "class_lo", "first", F.col("first.row_id").alias("class_row"), "n_shingles"), "classes")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytetext as B
-from .common import ship
+from .common import lean, ship
 
 WIDTH = 10
 #: Bytes of benchmark text in one broadcast block; a larger benchmark is scanned block by block.
@@ -180,7 +180,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
         return keep
 
     for block in item_blocks(benchmark, "item_id", "text", block_bytes):
-        docs = docs.mapInArrow(clean(spark.sparkContext.broadcast(Index(block, width))), docs.schema)
+        docs = docs.mapInArrow(lean(clean(spark.sparkContext.broadcast(Index(block, width)))), docs.schema)
     return docs
 
 

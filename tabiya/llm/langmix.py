@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytetext as B
-from .common import ship
+from .common import lean, ship
 
 #: Strength of the back-off to the next lower order.
 BACKOFF = 4.0
@@ -188,7 +188,7 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Mo
     ship(docs.sparkSession)
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counts = rows.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")) \
-        .mapInArrow(_count, "lang string, key bigint, n bigint") \
+        .mapInArrow(lean(_count), "lang string, key bigint, n bigint") \
         .groupBy("lang", "key").agg(F.sum("n").alias("n"))
     found = counts.toArrow()
     return Model(found["lang"].to_numpy(), found["key"].to_numpy(), found["n"].to_numpy())
@@ -212,7 +212,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     kind = docs.schema[id_col].dataType.simpleString()
     df = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return df.mapInArrow(predict, f"id {kind}, lang_pred string, score double, langs array<string>, shares array<double>") \
+    return df.mapInArrow(lean(predict), f"id {kind}, lang_pred string, score double, langs array<string>, shares array<double>") \
         .withColumnRenamed("id", id_col)
 
 
@@ -237,4 +237,4 @@ def keep_identified(docs: DataFrame, model: Model, text_col: str = "text", least
             mask = [name != "und" and score >= least for name, score, _ in _predictions(known.value, batch.column(text_col))]
             yield batch.filter(pa.array(mask, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(lean(keep), docs.schema)

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bytetext as B
-from .common import ship
+from .common import lean, ship
 
 SPACE = "▁"
 #: What is solved together: marks and what follows them.
@@ -228,8 +228,8 @@ def _appended(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Solved:
     """Chunks solved so far by a worker, found by 64-bit hash.
 
-    When they hold more than ``KEPT_EDGES`` edges, those met in one batch only are dropped (all, where that is
-    not enough); a text's samples do not depend on what is kept.
+    When they hold more than ``KEPT_EDGES`` edges, or half of that between tasks, those met in one batch only are
+    dropped (all, where that is not enough); a text's samples do not depend on what is kept.
     """
 
     def __init__(self, pieces: Pieces):
@@ -240,16 +240,21 @@ class Solved:
         self.chunks = Chunks(self.pieces, np.zeros(0, np.int64), np.zeros(0, np.int64))
         self.hashes, self.number, self.met = np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def thin(self, most: int) -> None:
+        """With more than ``most`` edges, keep what was met again, if that is no more than half of ``KEPT_EDGES``."""
+        if len(self.chunks.size) <= most:
+            return
+        often = np.flatnonzero(self.met[np.argsort(self.number)] > 1)
+        if np.diff(self.chunks.edge0[self.chunks.node0])[often].sum() > KEPT_EDGES // 2:
+            self.forget()
+        else:
+            keep = np.isin(self.number, often)
+            self.chunks.only(often)
+            self.hashes, self.number, self.met = self.hashes[keep], np.searchsorted(often, self.number[keep]), self.met[keep] * 0 + 1
+
     def find(self, h: np.ndarray, cps: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Numbers of the chunks with ascending hashes ``h`` at ``at`` in ``cps``; new ones are solved."""
-        if len(self.chunks.size) > KEPT_EDGES:
-            often = np.flatnonzero(self.met[np.argsort(self.number)] > 1)
-            if np.diff(self.chunks.edge0[self.chunks.node0])[often].sum() > KEPT_EDGES // 2:
-                self.forget()
-            else:
-                keep = np.isin(self.number, often)
-                self.chunks.only(often)
-                self.hashes, self.number, self.met = self.hashes[keep], np.searchsorted(often, self.number[keep]), self.met[keep] * 0 + 1
+        self.thin(KEPT_EDGES)
         k = np.searchsorted(self.hashes, h)
         new = np.flatnonzero(self.hashes[np.minimum(k, len(self.hashes) - 1)] != h) if len(self.hashes) else np.arange(len(h))
         if len(new):
@@ -587,6 +592,7 @@ def encode_samples(docs: DataFrame, model_path: str, k: int = 2, id_col: str = "
     ship(docs.sparkSession)
 
     def encode(batches):
+        pieces = None
         for batch in batches:
             ids_in, key_in = batch.column("id"), batch.column("key").to_numpy().view(_U)
             texts = batch.column("text").to_pylist()
@@ -607,10 +613,12 @@ def encode_samples(docs: DataFrame, model_path: str, k: int = 2, id_col: str = "
                     pa.array([s[4] for s in flat]), pa.array(good)],
                     names=["id", "sample", "ids", "n_pieces", "log_prob", "perturbed", "log_inclusion", "round_trip"])
                 i = j
+        if pieces is not None:
+            pieces.solved.thin(KEPT_EDGES // 2)
 
     kind = docs.schema[id_col].dataType.simpleString()
     df = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.lit(seed), F.col(id_col).cast("string")).alias("key"), F.col(text_col).cast("string").alias("text"))
-    return df.mapInArrow(encode, f"id {kind}, sample int, ids binary, n_pieces bigint, log_prob double, perturbed double, log_inclusion double, round_trip boolean") \
+    return df.mapInArrow(lean(encode), f"id {kind}, sample int, ids binary, n_pieces bigint, log_prob double, perturbed double, log_inclusion double, round_trip boolean") \
         .withColumnRenamed("id", id_col)
 
 

@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import time
 import tracemalloc
 import zlib
 
@@ -18,6 +19,7 @@ from tabiya.llm import attention_lm as A
 from tabiya.llm import bagminhash, decontaminate, langmix
 from tabiya.llm import bytetext as B
 from tabiya.llm import spm_sampling as S
+from tabiya.llm.common import lean
 from tabiya.llm.queries import piece_model
 
 from .helpers import LOW, ROWS, awkward, empty, prose, words
@@ -360,3 +362,40 @@ def test_sampler_holds_the_arrays_of_a_bounded_number_of_characters():
     texts = [text] * (S.BATCH_CHARS // len(text))
     pieces = S.load(piece_model())
     assert _peak_mb(lambda: S.sample_segmentations(pieces, texts, np.arange(len(texts), dtype=np.uint64), 2)) < 60
+
+
+def _anonymous_mb() -> float:
+    with open("/proc/self/smaps_rollup") as f:
+        return int(re.search(r"\nAnonymous:\s+(\d+)", f.read())[1]) / 1024
+
+
+def test_a_task_hands_its_free_memory_back():
+    pins = []
+
+    def run(batches):
+        for batch in batches:
+            held = [np.ones(4000) for _ in range(6000)]
+            pins.append(np.ones(4000))  # stands behind the others: the heap can't shrink from its end
+            yield len(held)
+
+    before = _anonymous_mb()
+    assert list(run([1])) == [6000]
+    idle = _anonymous_mb() - before
+    assert list(lean(run)([1])) == [6000]
+    assert idle > 100 and _anonymous_mb() - before < 40
+
+
+def test_workers_keep_a_bounded_part_of_solved_chunks(spark):
+    """Between tasks a worker holds at most half of KEPT_EDGES edges of solved chunks."""
+    rng = random.Random(6)
+    words_ = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(12)) for _ in range(150_000)]
+    docs = spark.createDataFrame([(i, " ".join(words_[i * 1000:(i + 1) * 1000])) for i in range(150)], "doc_id bigint, text string").coalesce(1)
+    path = piece_model()
+    assert S.encode_samples(docs, path).filter("round_trip").count() == 300
+
+    def held(batches):
+        for _ in batches:
+            time.sleep(0.5)  # so that every worker gets one
+        yield pa.RecordBatch.from_arrays([pa.array([len(S.load(path, 1.0, 2.7).solved.chunks.size)])], names=["edges"])
+
+    assert max(r.edges for r in spark.range(4).repartition(4).mapInArrow(held, "edges bigint").collect()) <= S.KEPT_EDGES // 2
