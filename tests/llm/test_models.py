@@ -159,6 +159,94 @@ def test_probabilities_sum_to_one():
     assert abs(total - 1) < 1e-3
 
 
+class CountingCoder:
+    """A tokenizer that notes what it is asked to encode."""
+
+    def __init__(self, coder):
+        self.coder, self.asked = coder, []
+
+    def encode_ordinary(self, text):
+        self.asked.append(text)
+        return self.coder.encode_ordinary(text)
+
+    def encode_ordinary_batch(self, texts, num_threads=1):
+        return [self.encode_ordinary(t) for t in texts]
+
+
+def test_a_word_is_encoded_once_in_a_worker(monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    sub = A.Subwords(path)
+    plain, sub.coder = sub.coder, CountingCoder(sub.coder)
+    monkeypatch.setattr(A, "subwords", lambda _: sub)
+    texts = [prose(1, 300), None, "", "Élan. élan. ÜBER 日本語 a\u00a0b \x00 ***", prose(2, 300)]
+    heavy = type("Sent", (), {"value": (np.zeros(0, np.int64), np.zeros(0))})
+
+    def batch(texts):
+        n = range(len(texts))
+        return pa.RecordBatch.from_arrays([pa.array(n), pa.array(n), pa.array([True] * len(texts)), pa.array(texts, pa.string())], names=["row_id", "id", "fold", "text"])
+
+    def found(texts, times):
+        return [np.frombuffer(v, "<u2").tolist() for b in A._read_words(path, heavy, 1.0)(iter([batch(texts)] * times)) for v in b.column("ids").to_pylist()]
+
+    low = [FIELD.findall((t or "").translate(LOW)) for t in texts]
+    want = [[i for w in t for i in plain.encode_ordinary(" " + w)] + [sub.end] for t in low]
+    assert found(texts, 3) == want * 3
+    assert sorted(sub.coder.asked) == sorted({" " + w for t in low for w in t})
+    # what is kept is bounded, and the ids stay the same
+    monkeypatch.setattr(A, "KEPT_WORDS", 5, raising=False)
+    assert found(texts[:1], 1) + found(texts[4:], 1) + found(texts[3:4], 1) == [want[0], want[4], want[3]]
+    assert len(sub.kept) == len(set(low[3]))
+
+
+def test_training_takes_every_window_once_over_the_rounds(monkeypatch):
+    rng = np.random.default_rng(4)
+    c = A.Classes(rng.integers(0, 1000, 500), rng.random(500) < 0.5)
+    w = A.first_weights(c)
+    sizes = [1, 32, 33, 700, 5000, 2]
+    texts = [rng.integers(0, 500, n).astype("<u2") for n in sizes]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(100, 108)), pa.array([b"", b""] + [t.tobytes() for t in texts], pa.binary())], names=["row_id", "ids"]).slice(2)
+    flat, bounds = np.concatenate(texts).astype(np.int64), np.concatenate(([0], np.cumsum(sizes)))
+    want = collections.Counter(tuple(r) for r in A._window_arrays(c, flat, bounds, *A.windows(bounds))[0].tolist())
+    taken, steps = collections.Counter(), []
+    real = A.train_step
+
+    def step(w, *arrays, **out):
+        taken.update(tuple(r) for r in arrays[0].tolist())
+        steps.append(len(arrays[0]))
+        return real(w, *arrays, **out)
+
+    monkeypatch.setattr(A, "train_step", step)
+    monkeypatch.setattr(A, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": lambda self: 0})())}))
+    sent = lambda v: type("Sent", (), {"value": v})
+    seen = [next(A._trainer(sent(w), sent(c), turn)(iter([batch]))).column("seen")[0].as_py() for turn in range(A.ROUNDS)]
+    assert taken == want and sum(seen) == sum(want.values()) and max(steps) <= A.BATCH
+
+
+def test_adam_is_the_plain_rule():
+    rng = np.random.default_rng(5)
+    c = A.Classes(rng.integers(0, 1000, 500), rng.random(500) < 0.5)
+    adam = A.Adam(A.first_weights(c))
+    w = {k: v.copy() for k, v in adam.w.items()}
+    mean, square = {k: np.zeros_like(v) for k, v in w.items()}, {k: np.zeros_like(v) for k, v in w.items()}
+    for n in range(1, 6):
+        arrays = rng.integers(0, A.N_INPUTS, (8, A.WINDOW)), rng.integers(0, A.GROUPS, (8, A.WINDOW)), rng.integers(0, A.PLACES, (8, A.WINDOW)), rng.random((8, A.WINDOW)) < 0.9
+        g = A.train_step(adam.w, *arrays)[1]
+        adam.learn(arrays, 1e-2)
+        for k in w:
+            mean[k] += 0.1 * (g[k] - mean[k])
+            square[k] += 0.01 * (g[k] * g[k] - square[k])
+            w[k] -= 1e-2 * n / 20 / (1 - 0.9 ** n) * mean[k] / (np.sqrt(square[k] / (1 - 0.99 ** n)) + 1e-8)
+            assert np.abs(w[k] - adam.w[k]).max() < 1e-4
+
+
+def test_probabilities_of_very_low_and_very_high_logits():
+    for shift in (-500, 0, 500):
+        logits = np.linspace(-3, 3, 64, dtype=np.float32)[None].repeat(2, 0) + np.float32(shift)
+        got = A._log_prob(logits, np.array([0, 63]))
+        assert np.allclose(got, [logits[0, 0] - logits[0, 63] + got[1], got[1]], atol=1e-3)
+        assert abs(float(got[1]) - float(3 - np.log(np.exp(np.linspace(-3, 3, 64)).sum()))) < 1e-3
+
+
 def test_scores_of_awkward_and_empty_tables(spark):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 != 0
