@@ -344,8 +344,9 @@ def label_driven_plan(profiles: DataFrame, catalog: DataFrame, top_n: int = 3) -
     *rest key* (colour, label, group, penalty, range class). Per rest key the
     best 2 n resources are enough for the non-matching side: if fewer than n of
     them miss the opening, more than n match it, and their +40 puts them before
-    every resource outside the 2 n. Matching resources come from the opening bridge. Candidates are thus
-    bounded by rest keys x catalogue and bridge size, not by the number of lines.
+    every resource outside the 2 n. Matching resources come from the opening bridge; of those that match an
+    opening, the best n of every range class, course type and colour are enough. Candidates are thus
+    bounded by rest keys, course types and colours, not by the number of lines or by the catalogue.
     """
     from ..functions import scalar as S
     spark = profiles.sparkSession
@@ -363,12 +364,12 @@ def label_driven_plan(profiles: DataFrame, catalog: DataFrame, top_n: int = 3) -
     lo, hi = rating_key(F.col("rating"))
     pr = pr.withColumn("r_lo", lo).withColumn("r_hi", hi)
     popularity = F.coalesce(F.col("popularity_score").cast("double"), F.lit(0.0)) if "popularity_score" in catalog.columns else F.lit(0.0)
-    res = catalog.select("resource_id", "openings", "course_type", popularity.alias("popularity"),
+    res = catalog.select("resource_id", "course_type", popularity.alias("popularity"),
                          F.lower(F.coalesce(F.col("color"), F.lit("Both"))).alias("rcolor"),
                          (F.coalesce("has_video", F.lit(0)) + F.coalesce("has_pgn", F.lit(0))
                           + F.coalesce("has_exercises", F.lit(0)) + F.coalesce("has_spaced_rep", F.lit(0))).alias("richness"),
                          F.coalesce(F.col("level_min"), F.lit(0)).cast("long").alias("lo"),
-                         F.coalesce(F.col("level_max"), F.lit(9999)).cast("long").alias("hi"))
+                         F.coalesce(F.col("level_max"), F.lit(9999)).cast("long").alias("hi")).withColumn("base", F.col("richness") * 5.0 + F.col("popularity") * 5.0)
     # range classes: a and b are the catalogue's bounds next to the rating; all ratings of a class are covered by the same resources
     pr = nearest_bound(pr, "r_lo", res.select("lo"), "floor", "a")
     pr = nearest_bound(pr, "r_hi", res.select("hi"), "ceil", "b")
@@ -390,8 +391,8 @@ def label_driven_plan(profiles: DataFrame, catalog: DataFrame, top_n: int = 3) -
                          & ~F.array_contains(F.col("avoid"), F.coalesce(F.col("course_type"), F.lit(""))))
     # rest-key pools: the score depends on the rest key only through course type and colour, so the best of every
     # (range class, course type, colour) are found first, for all rest keys at once
-    classes = pr.groupBy("a", "b").agg(F.min(F.col("r_lo") + F.col("r_hi")).alias("place"))
-    best_of = _best_by_range(classes, res.withColumn("base", F.col("richness") * 5.0 + F.col("popularity") * 5.0), ["course_type", "rcolor"], 2 * top_n)
+    place, kind = F.min(F.col("r_lo") + F.col("r_hi")).alias("place"), ["course_type", "rcolor"]
+    best_of = _best_by_range(pr.groupBy("a", "b").agg(place), res, kind, 2 * top_n)
     rk = pr.select(*rest_cols, *taste).distinct()
     scored = eligible(rk.join(best_of, ["a", "b"])).withColumn("s", rest_score(None))
     w = Window.partitionBy(*rest_cols).orderBy(F.desc("s"), "resource_id")
@@ -400,8 +401,9 @@ def label_driven_plan(profiles: DataFrame, catalog: DataFrame, top_n: int = 3) -
     ap = pr.select(F.col("apertura").alias("opening"), F.col("apertura").alias("term")).distinct()
     mt = match_bridge(ap, catalog, ["openings"]).withColumnRenamed("opening", "apertura")
     keys = pr.select("apertura", *rest_cols, *taste).distinct()
-    m_sc = eligible(keys.join(mt, "apertura").join(unbroadcast(res), "resource_id")).withColumn(
-        "s", rest_score(None) + 40.0)
+    # no rest key meets all matches: the best of every (opening, range class, course type, colour) come first here, too
+    m_best = _best_by_range(pr.groupBy("apertura", "a", "b").agg(place), mt.join(unbroadcast(res), "resource_id"), kind, top_n, by=("apertura",))
+    m_sc = eligible(keys.join(m_best, ["apertura", "a", "b"])).withColumn("s", rest_score(None) + 40.0)
     wm = Window.partitionBy("apertura", *rest_cols).orderBy(F.desc("s"), "resource_id")
     m_top = m_sc.withColumn("__r", F.row_number().over(wm)).filter(F.col("__r") <= top_n).select(
         "apertura", *rest_cols, "resource_id", "s")
@@ -415,33 +417,35 @@ def label_driven_plan(profiles: DataFrame, catalog: DataFrame, top_n: int = 3) -
     return lines.join(best, ["apertura", *rest_cols]).drop("apertura", "a", "b", "color_en", "penalty")
 
 
-#: Levels of the dyadic ranges; twice a rating lies below 2 ** RANGE_BITS, ratings and bounds beyond are moved to the border.
-RANGE_BITS = 16
+#: Levels of the dyadic ranges; twice a rating lies within 2 ** (RANGE_BITS - 1) of 0, ratings and bounds beyond are moved to the border.
+RANGE_BITS = 33
 
 
-def _best_by_range(classes: DataFrame, res: DataFrame, kind: list[str], n: int) -> DataFrame:
-    """Per range class (a, b, place) and kind: the ``n`` resources of largest ``base`` (then smallest id) whose range holds the place.
+def _best_by_range(classes: DataFrame, res: DataFrame, kind: list[str], n: int, by: tuple[str, ...] = ()) -> DataFrame:
+    """Per range class (a, b, place) and kind: the ``n`` resources of largest ``base`` (then smallest id) whose range holds the place
+    and that have the class's values of the columns ``by``.
 
-    A place is twice a rating, odd between two whole ones. A resource's range is cut into the dyadic
-    ranges that make it up, two a level at most; each dyadic range keeps its best ``n`` of every kind,
-    and a class looks up the one range of every level that holds its place. No resource meets every class.
+    A place is twice a rating, odd between two whole ones. Of resources with the same range and kind the first ``n`` go on. A
+    resource's range is cut into the dyadic ranges that make it up, two a level at most; each dyadic range keeps its best ``n``
+    of every kind, and a class looks up the one range of every level that holds its place. No resource meets every class.
     """
-    border = 2 ** RANGE_BITS
-    cut = lambda c: F.least(F.greatest(c.cast("long"), F.lit(0).cast("long")), F.lit(border).cast("long"))
+    half, last = 2 ** (RANGE_BITS - 1), 2 ** RANGE_BITS - 1
+    cut = lambda c: F.least(F.greatest(c.cast("long") + half, F.lit(0).cast("long")), F.lit(last).cast("long"))
     first, stop = "shiftright(__l + shiftleft(1L, i) - 1, i)", "shiftright(__r, i)"
     parts = (f"filter(flatten(transform(sequence(0, {RANGE_BITS}), i -> array("
              f"if({first} < {stop} AND {first} % 2 = 1, struct(i AS level, {first} AS cell), null), "
              f"if({first} < {stop} AND {stop} % 2 = 1, struct(i AS level, {stop} - 1 AS cell), null)))), x -> x IS NOT NULL)")
+    order = [F.desc("base"), "resource_id"]
+
+    def best(df: DataFrame, keys: list[str]) -> DataFrame:
+        return df.withColumn("__k", F.row_number().over(Window.partitionBy(*keys, *by, *kind).orderBy(*order))).filter(F.col("__k") <= n).drop("__k")
     # a range that ends before it begins holds nothing; the last place stands for all beyond it
-    cells = (res.withColumn("__l", F.least(cut(F.col("lo") * 2), F.lit(border - 1))).withColumn("__r", F.when(F.col("lo") <= F.col("hi"), F.least(cut(F.col("hi") * 2), F.lit(border - 1)) + 1).otherwise(0))
+    cells = (best(res, ["lo", "hi"]).withColumn("__l", cut(F.col("lo") * 2)).withColumn("__r", F.when(F.col("lo") <= F.col("hi"), cut(F.col("hi") * 2) + 1).otherwise(0))
              .withColumn("part", F.explode(F.expr(parts))).select("*", "part.level", "part.cell").drop("part", "__l", "__r"))
-    order = [F.desc("base"), "resource_id"]
-    held = cells.withColumn("__k", F.row_number().over(Window.partitionBy("level", "cell", *kind).orderBy(*order))).filter(F.col("__k") <= n).drop("__k")
-    at = (classes.withColumn("__p", F.least(F.greatest(F.col("place"), F.lit(0)), F.lit(border - 1)))
-          .withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(RANGE_BITS)))).withColumn("cell", F.expr("shiftright(__p, level)")).select("a", "b", "level", "cell"))
-    found = at.join(held, ["level", "cell"])
-    best = found.withColumn("__k", F.row_number().over(Window.partitionBy("a", "b", *kind).orderBy(*order))).filter(F.col("__k") <= n)
-    return best.drop("__k", "level", "cell")
+    at = (classes.withColumn("__p", cut(F.col("place")))
+          .withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(RANGE_BITS)))).withColumn("cell", F.expr("shiftright(__p, level)")).select("a", "b", *by, "level", "cell"))
+    found = at.join(unbroadcast(best(cells, ["level", "cell"])), ["level", "cell", *by])
+    return best(found, ["a", "b"]).drop("level", "cell")
 
 
 def rank_lines(profiles: DataFrame) -> DataFrame:
