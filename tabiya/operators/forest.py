@@ -248,7 +248,8 @@ def fit(rows: DataFrame, n: int, sets: dict[str, list[str]], weight: np.ndarray,
             state.append((feature[s], cut[s], slots, [e if size == width else rng.permuted(e, axis=1)[:, :size] for e in every]))
         sent = sc.broadcast(state)
         sums = kept.mapInArrow(_histograms(sent, level, classes, seed, bootstrap), "s int, tree int, held binary")
-        found = (sums.repartition(min(sc.defaultParallelism, num_trees * len(names)), "s", "tree")
+        # adaptive execution joins partitions that hold little
+        found = (sums.repartition("s", "tree")
                  .mapInArrow(_splits(sent, n_cuts, weight, min_leaf), "s int, tree int, feature array<bigint>, cut array<bigint>, left array<bigint>, total array<bigint>").collect())
         # one row a tree
         for r in found:
