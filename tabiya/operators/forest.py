@@ -214,6 +214,16 @@ def blocks(rows: DataFrame, cuts: dict[str, np.ndarray], sets: dict[str, list[st
     return rows.select("label", *cuts).mapInArrow(run, "s int, block bigint, bins binary, label binary, count binary").checkpoint(eager=True)
 
 
+def _looked_at(rng: np.random.Generator, nodes: int, width: int, size: int) -> np.ndarray:
+    """Features that each node looks at, in the order of a reservoir, as MLlib's: of equal gains the first one counts."""
+    out = np.tile(np.arange(size), (nodes, 1))
+    for i in range(size, width):
+        at = (rng.random(nodes) * (i + 1)).astype(np.int64)
+        on = np.flatnonzero(at < size)
+        out[on, at[on]] = i
+    return out
+
+
 def fit(rows: DataFrame, n: int, sets: dict[str, list[str]], weight: np.ndarray, num_trees: int, max_depth: int, min_leaf: int, seed: int,
         bootstrap: bool = True, all_features: bool = False) -> tuple[dict[str, np.ndarray], dict[str, Forest]]:
     """The thresholds of all columns and a forest of every set, grown on the ``n`` rows (label, class_weight, columns);
@@ -244,8 +254,7 @@ def fit(rows: DataFrame, n: int, sets: dict[str, list[str]], weight: np.ndarray,
             slots = np.full((num_trees, 1 << level), -1)
             for t, a in enumerate(active[s]):
                 slots[t, a] = np.arange(len(a))
-            every = [np.tile(np.arange(width), (len(a), 1)) for a in active[s]]
-            state.append((feature[s], cut[s], slots, [e if size == width else rng.permuted(e, axis=1)[:, :size] for e in every]))
+            state.append((feature[s], cut[s], slots, [_looked_at(rng, len(a), width, size) for a in active[s]]))
         sent = sc.broadcast(state)
         sums = kept.mapInArrow(_histograms(sent, level, classes, seed, bootstrap), "s int, tree int, held binary")
         # adaptive execution joins partitions that hold little

@@ -84,6 +84,12 @@ def test_bootstrap_takes_a_row_poisson_times():
             assert abs((part == k).mean() - share) < 5 * math.sqrt(share / len(part)) + 1e-5
 
 
+def test_nodes_look_at_every_feature_alike():
+    got = FO._looked_at(np.random.default_rng(1), 50_000, 5, 3)
+    assert all(len(set(r)) == 3 for r in got[:1000].tolist()) and abs(np.bincount(got.ravel()) / 50_000 - 0.6).max() < 0.02
+    assert (FO._looked_at(np.random.default_rng(1), 4, 3, 3) == [0, 1, 2]).all()
+
+
 def test_equal_rows_are_one_and_no_row_is_lost(spark):
     df = _frame(spark, np.tile([[1.0, 2.0, 3.0, 0.0, 0.0], [2.0, 2.0, 3.0, 1.0, 0.0]], (500, 1)), [0, 1] * 500, 1)
     cuts = {"a": np.array([1.5]), "b": np.array([]), "c": np.array([0.5, 9.0])}
